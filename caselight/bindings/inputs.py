@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from caselight.bindings.texts import AS_OF, DAG_ID, ERROR_TYPE_CYCLE, LOGS, STATEMENTS
 from caselight.functions.measures import moment
@@ -102,6 +102,35 @@ def nested_reports(spark: SparkSession, sf: str) -> DataFrame:
     return orders.select(key.alias("report_no"), F.year("o_orderdate").alias("year"), F.to_json(document).alias("json"))
 
 
+def numbered(df: DataFrame, group: str, key: str, block: int = 1000) -> DataFrame:
+    """Number the rows of each group from 0 in the order of a whole-number key.
+
+    Blocks of keys are numbered on their own and shifted by the sizes of the blocks before them, so no task ever sorts
+    more than a block of rows, however large a group is.
+    """
+    blocked = df.withColumn("__block", F.floor(F.col(key) / block))
+    sizes = blocked.groupBy(group, "__block").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(group, "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    inside = F.row_number().over(Window.partitionBy(group, "__block").orderBy(key)) - 1
+    numbers = blocked.withColumn("__inside", inside).join(offsets, [group, "__block"])
+    return numbers.withColumn("number", F.col("__offset") + F.col("__inside")).drop("__block", "__inside", "__offset")
+
+
+def save_pages(spark: SparkSession, sf: str, path: str) -> None:
+    """Page envelopes of a hundred documents per calendar year, saved the way the folder fetcher reads them."""
+    nested = numbered(nested_reports(spark, sf), "year", "report_no").withColumn("page", F.floor(F.col("number") / 100))
+    pages = nested.groupBy("year", "page").agg(F.collect_list(F.struct("number", "json")).alias("documents"))
+    totals = nested.groupBy("year").agg(F.count(F.lit(1)).alias("total"))
+    envelope = F.concat(
+        F.lit('{"meta":{"results":{"total":'), F.col("total").cast("string"), F.lit('}},"results":['),
+        F.array_join(F.transform(F.array_sort("documents"), lambda d: d["json"]), ","), F.lit("]}"),
+    )
+    window = F.concat(F.col("year").cast("string"), F.lit("0101"), F.col("year").cast("string"), F.lit("1231"))
+    rows = pages.join(totals, "year").select(window.alias("window"), (F.col("page") * 100).alias("skip"), envelope.alias("value"))
+    rows.write.partitionBy("window", "skip").text(path)
+
+
 # --- runs and incidents ----------------------------------------------------------------------------------------------
 
 def _run_columns() -> list[Column]:
@@ -150,8 +179,12 @@ def incident_reports(spark: SparkSession, sf: str) -> DataFrame:
 
 def alerts(spark: SparkSession, sf: str) -> DataFrame:
     """One alert per error event, some of them without a log text."""
+    return alerts_from(table(spark, sf, "events"))
+
+
+def alerts_from(events: DataFrame) -> DataFrame:
     event = F.col("event_id")
-    errors = table(spark, sf, "events").where(F.col("event_type") == "error")
+    errors = events.where(F.col("event_type") == "error")
     text = F.when(event % 9 == 0, None).when(event % 9 == 1, "").otherwise(_log())
     return errors.select(
         event.alias("incident_id"), *_run_columns(), text.alias("log_text"),
@@ -250,10 +283,14 @@ def live_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def approvals(spark: SparkSession, sf: str) -> DataFrame:
     """One approval per order."""
+    return approvals_from(table(spark, sf, "orders"))
+
+
+def approvals_from(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     created = moment(AS_OF) - F.make_dt_interval(mins=(key % 90).cast("int"))
     done = F.col("o_orderstatus") == "F"
-    return table(spark, sf, "orders").select(
+    return orders.select(
         key.cast("string").alias("incident_id"), F.lit(DAG_ID).alias("dag_id"),
         F.concat(F.lit("run-"), F.col("o_custkey").cast("string")).alias("run_id"),
         pick(TASK_IDS, key % 5).alias("task_id"), F.concat(F.lit("order "), key.cast("string")).alias("summary"),

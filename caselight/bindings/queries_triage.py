@@ -89,15 +89,15 @@ def impacted_models(spark, sf):
 
 
 @query("source_lookup", """
-SELECT event_type AS source_name, 'user_' || user_id AS name, CASE WHEN user_id % 3 <> 0 THEN min(event_id) END AS unique_id,
-       (user_id % 3 <> 0)::VARCHAR AS source_found
+SELECT event_type AS source_name, 'user_' || user_id AS name, min(event_id) FILTER (WHERE value > 200) AS unique_id,
+       (unique_id IS NOT NULL)::VARCHAR AS source_found
 FROM events GROUP BY event_type, user_id
 """)
 def source_lookup(spark, sf):
-    """Sources asked for by name; a third of them is not in the list."""
+    """Sources asked for by name, not all of which are in the list."""
     events = b.table(spark, sf, "events").withColumn("name", F.concat(F.lit("user_"), F.col("user_id").cast("string")))
     wanted = events.select(F.col("event_type").alias("source_name"), "name").distinct()
-    known = events.where(F.col("user_id") % 3 != 0).groupBy(F.col("event_type").alias("source_name"), "name").agg(
+    known = events.where(F.col("value") > 200).groupBy(F.col("event_type").alias("source_name"), "name").agg(
         F.min("event_id").alias("unique_id"))
     return lineage.source_ids(known, wanted)
 
@@ -205,9 +205,9 @@ def evidence(spark, sf):
 
 
 def _proposals(spark, sf):
-    """Proposed fixes as a person or a model would supply them, for two thirds of the alerts."""
+    """Proposed fixes as a person or a model would supply them, for the alerts nobody labelled."""
     event = F.col("incident_id")
-    return b.alerts(spark, sf).where(event % 3 != 0).select(
+    return b.alerts(spark, sf).where(F.col("label").isNull()).select(
         "incident_id", F.concat(F.lit("Proposal for "), event.cast("string")).alias("description"),
         b.pick(["low", "medium", "high"], event % 3).alias("risk_level"), b._statement("incident_id").alias("sql"),
     )
@@ -230,7 +230,7 @@ FIXES = REUSABLE + f"""
 , reuse AS (SELECT query_id AS incident_id, score, description, risk_level, sql FROM r JOIN x_vectors v ON v.incident_id = match_id),
 proposal AS (SELECT incident_id, 'Proposal for ' || incident_id AS description,
                     (['low', 'medium', 'high'])[incident_id % 3 + 1] AS risk_level, s.sql
-             FROM x_alerts JOIN x_statements s ON n = incident_id % {len(STATEMENTS)} WHERE incident_id % 3 <> 0),
+             FROM x_alerts JOIN x_statements s ON n = incident_id % {len(STATEMENTS)} WHERE label IS NULL),
 fixes AS (
     SELECT c.*, current_name IS NOT NULL AS rename_valid, CASE
         WHEN severity = 'P3' THEN ['none', 'P3 (upstream/infra) — no fix attempted, logged only.', 'low', NULL]

@@ -6,8 +6,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import caselight
+
 
 def build_session(app: str = "caselight", cores: int | None = None, **conf: str) -> SparkSession:
     """Local session for tests and benchmarks; on a cluster spark-submit supplies master and sizes."""
@@ -44,3 +47,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package() -> None:
+    """Send this package's classes to Python workers by value.
+
+    The data source and the stateful processor run in Python workers, some of them started before any file is shipped.
+    With their code pickled by value the package need not be installed there.
+    """
+    cloudpickle.register_pickle_by_value(caselight)
