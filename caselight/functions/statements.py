@@ -6,6 +6,8 @@ filters what people review; it does not prove that a statement is safe.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 REJECTED = "rejected"
@@ -37,6 +39,15 @@ STATEMENT_WORDS = "SELECT|INSERT|UPDATE|DELETE|MERGE|CREATE|ALTER|DROP|UPSERT|RE
 PAREN_DEPTH = 8
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` mentions it.
+
+    A plain column would be copied into every place that mentions it as soon as a filter is pushed below it; a lambda
+    variable is not.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def mask(sql: Column) -> Column:
     """Each quoted text and comment replaced by one letter, so only real separators remain."""
     return F.regexp_replace(sql, f"{QUOTED}|{COMMENT}", "q")
@@ -104,3 +115,38 @@ def verdict(
     for condition, found in reversed(rules):
         result = F.when(condition, found).otherwise(result)
     return result
+
+
+def classify(sql: Column, allowed: list[str] = ALLOWED_TABLES) -> Column:
+    """Struct (tier, reason, statement_type, tables) of a statement."""
+    names = F.array(*[F.lit(name) for name in allowed])
+
+    def parse(text: Column) -> Column:
+        return F.struct(
+            text.alias("text"), bare(text).alias("bare"), statement_count(text).alias("parts"),
+            referenced_tables(text).alias("tables"),
+        )
+
+    def analyse(parsed: Column) -> Column:
+        nested = parsed["bare"].rlike(r"(?i)^\s*(?:WITH|DELETE)\b")
+        top = F.when(nested, top_level(parsed["bare"])).otherwise(parsed["bare"])
+        return let(top, lambda flat: F.struct(
+            parsed["text"].alias("text"), parsed["parts"].alias("parts"), parsed["tables"].alias("tables"),
+            flat.alias("top"), statement_type(parsed["bare"], flat).alias("kind"),
+            F.array_except(parsed["tables"], names).alias("outside"),
+        ))
+
+    def judge(found: Column) -> Column:
+        typed = F.when(found["text"].rlike(r"\S") & (found["parts"] == 1), found["kind"])
+        ruled = verdict(found["text"], found["parts"], found["kind"], found["tables"], found["outside"], found["top"])
+        return let(ruled, lambda result: F.struct(
+            result["tier"].alias("tier"), result["reason"].alias("reason"), typed.alias("statement_type"),
+            found["tables"].alias("tables"),
+        ))
+
+    return let(F.coalesce(sql, F.lit("")), lambda text: let(parse(text), lambda parsed: let(analyse(parsed), judge)))
+
+
+def tier(sql: Column, allowed: list[str] = ALLOWED_TABLES) -> Column:
+    """Tier only; null when there is no statement."""
+    return F.when(F.coalesce(sql, F.lit("")) != "", classify(sql, allowed)["tier"])

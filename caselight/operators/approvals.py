@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caselight.functions import statements as st
 from caselight.functions.measures import minutes_between, moment
-from caselight.operators.audit import audit
 from caselight.operators.changes import update_where, upsert_columns
 from caselight.operators.incidents import TIMEOUT_MINUTES
 from caselight.operators.latest import latest_per_key
@@ -39,15 +38,15 @@ def fix_steps(approved: DataFrame, allowed: list[str] = st.ALLOWED_TABLES) -> Da
     P0 approvals are only acknowledged. For P1 and P2 the statement is classified again: a refused one is not run, a
     rename is derived anew from the live schema, anything else runs as approved; no statement means a plain retry.
     """
-    audited = audit(approved, "proposed_sql", "__audit", allowed)
-    step = (
+    tier = st.tier(F.col("proposed_sql"), allowed)
+    step = st.let(tier, lambda known: (
         F.when(~F.coalesce(F.col("severity").isin("P1", "P2"), F.lit(False)), "acknowledge")
         .when(F.coalesce("proposed_sql", F.lit("")) == "", "retry")
-        .when(F.col("__audit.tier") == st.REJECTED, "refuse")
-        .when(F.col("__audit.tier") == st.AUTO_EXECUTABLE, "apply_rename_and_retry")
+        .when(known == st.REJECTED, "refuse")
+        .when(known == st.AUTO_EXECUTABLE, "apply_rename_and_retry")
         .otherwise("run_statement_and_retry")
-    )
-    return audited.withColumn("step", step).drop("__audit")
+    ))
+    return approved.withColumn("step", step)
 
 
 def status_of(wanted: DataFrame, approvals: DataFrame) -> DataFrame:

@@ -4,27 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from caselight.functions import statements as st
+from caselight.functions.statements import ALLOWED_TABLES, classify
 
 
-def audit(df: DataFrame, sql: str = "sql", into: str = "audit", allowed: list[str] = st.ALLOWED_TABLES) -> DataFrame:
-    """Add a struct (tier, reason, statement_type, tables) for the statement in column ``sql``.
-
-    The parts that several rules use are computed once, in projections of their own.
-    """
-    text = F.col("__text")
-    parsed = (
-        df.withColumn("__text", F.coalesce(F.col(sql), F.lit("")))
-        .withColumns({"__bare": st.bare(text), "__parts": st.statement_count(text),
-                      "__tables": st.referenced_tables(text)})
-        .withColumns({"__top": st.top_level(F.col("__bare")),
-                      "__outside": F.array_except("__tables", F.array(*[F.lit(name) for name in allowed]))})
-        .withColumn("__kind", st.statement_type(F.col("__bare"), F.col("__top")))
-        .withColumn("__verdict", st.verdict(text, F.col("__parts"), F.col("__kind"), F.col("__tables"),
-                                            F.col("__outside"), F.col("__top")))
-    )
-    typed = F.when(text.rlike(r"\S") & (F.col("__parts") == 1), F.col("__kind"))
-    return parsed.withColumn(into, F.struct(
-        F.col("__verdict.tier").alias("tier"), F.col("__verdict.reason").alias("reason"),
-        typed.alias("statement_type"), F.col("__tables").alias("tables"),
-    )).select(*[c for c in df.columns if c != into], into)
+def audit(df: DataFrame, sql: str = "sql", into: str = "audit", allowed: list[str] = ALLOWED_TABLES) -> DataFrame:
+    """Add a struct (tier, reason, statement_type, tables) for the statement in column ``sql``."""
+    return df.withColumn(into, classify(F.col(sql), allowed))

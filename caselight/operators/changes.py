@@ -13,6 +13,9 @@ from caselight.functions.measures import moment
 from caselight.operators.latest import latest_per_key
 
 
+_LONE = "__lone"
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     found = F.lit(False)
     for key in keys:
@@ -21,9 +24,13 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def dedupe_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first under ``order``. Rows without a key conflict with nothing and all stay."""
-    keyed = latest_per_key(batch.where(~_any_null(keys)), keys, order)
-    return keyed.unionByName(batch.where(_any_null(keys)))
+    """One row per key, the first under ``order``. Rows without a key conflict with nothing and all stay.
+
+    A row without a key gets a number of its own to be grouped by, which also keeps such rows from piling up in one
+    task; which number it is makes no difference to the result.
+    """
+    lone = F.when(_any_null(keys), F.monotonically_increasing_id())
+    return latest_per_key(batch.withColumn(_LONE, lone), [*keys, _LONE], order).drop(_LONE)
 
 
 def stamp(df: DataFrame, column: str, at) -> DataFrame:
@@ -39,8 +46,11 @@ def upsert(
     most, and not at all while the batch is small enough for Catalyst to broadcast its keys.
     """
     fresh = dedupe_batch(batch, keys, order)
-    if loaded_at is not None:
-        fresh = stamp(fresh, "loaded_at", loaded_at)
+    return merge(target, fresh if loaded_at is None else stamp(fresh, "loaded_at", loaded_at), keys)
+
+
+def merge(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is not in ``fresh``, and all of ``fresh``, whose keys are unique."""
     kept = target.join(fresh.select(*keys), list(keys), "left_anti")
     return kept.unionByName(fresh.select(*target.columns))
 

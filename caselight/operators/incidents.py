@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from caselight.functions import labels, logs, statements as st
-from caselight.operators.audit import audit
 from caselight.operators.latest import latest_per_key
 from caselight.operators.monitors import TABLE_KEY, listed
 from caselight.operators.runlog import RUN_KEY
@@ -209,34 +208,39 @@ def route(incidents: DataFrame, allowed: list[str] = st.ALLOWED_TABLES, timeout:
     the ordered list of what to do (see ``actions``); nothing is executed here. A rename runs only if ``rename_valid``
     says that it still applies to the live schema, otherwise the task is simply retried.
     """
-    sql = F.coalesce(F.col("fix.sql"), F.lit(""))
-    audited = audit(incidents.withColumn("__sql", sql), "__sql", "__audit", allowed)
-    tier = F.when(F.col("__sql") != "", F.col("__audit.tier"))
     severity = F.col("severity")
     p0, p1, p3 = severity == "P0", severity == "P1", severity == "P3"
-    loud = lambda *steps: F.when(p1, F.array(*[F.lit(s) for s in steps], F.lit("notify"))).otherwise(
-        F.array(*[F.lit(s) for s in steps]))
 
-    status = (
-        F.when(p0, "escalated").when(p3 | tier.isNull(), "auto_approved")
-        .when(tier == st.REJECTED, "escalated").when(tier == st.AUTO_EXECUTABLE, "auto_approved").otherwise("pending")
-    )
-    renames = ~p0 & ~p3 & F.coalesce(tier == st.AUTO_EXECUTABLE, F.lit(False)) & F.col("rename_valid")
-    steps = (
-        F.when(p0, F.array(F.lit("pause"), F.lit("notify"), F.lit("request_approval")))
-        .when(p3, F.array(F.lit("log")))
-        .when(tier.isNull(), loud("retry"))
-        .when(tier == st.REJECTED, F.array(F.lit("notify")))
-        .when(renames, loud("apply_rename", "retry"))
-        .when(tier == st.AUTO_EXECUTABLE, F.array(F.lit("retry")))
-        .otherwise(F.array(F.lit("request_approval")))
-    )
-    wait = F.when(p1 & (status == "pending"), timeout).when(p0, 0).when(status == "pending", 0)
-    return audited.select(
-        *incidents.columns, tier.alias("tier"), F.when(tier.isNotNull(), F.col("__audit.reason")).alias("tier_reason"),
-        status.alias("approval_status"), renames.alias("fix_executed"), wait.alias("timeout_minutes"),
-        steps.alias("actions"), incident_line(F.col("fix.description")).alias("line"),
-    )
+    def steps(*names: str, told: bool = False) -> Column:
+        quiet = F.array(*[F.lit(name) for name in names])
+        return F.when(p1, F.array_append(quiet, F.lit("notify"))).otherwise(quiet) if told else quiet
+
+    def decide(audit: Column) -> Column:
+        tier = audit["tier"]
+        renames = ~p0 & ~p3 & F.coalesce(tier == st.AUTO_EXECUTABLE, F.lit(False)) & F.col("rename_valid")
+        waits = ~p0 & ~p3 & F.coalesce(tier == st.NEEDS_APPROVAL, F.lit(False))
+        status = (
+            F.when(p0, "escalated").when(p3 | tier.isNull(), "auto_approved").when(tier == st.REJECTED, "escalated")
+            .when(waits, "pending").otherwise("auto_approved")
+        )
+        plan = (
+            F.when(p0, steps("pause", "notify", "request_approval"))
+            .when(p3, steps("log"))
+            .when(tier.isNull(), steps("retry", told=True))
+            .when(tier == st.REJECTED, steps("notify"))
+            .when(renames, steps("apply_rename", "retry", told=True))
+            .when(waits, steps("request_approval"))
+            .otherwise(steps("retry"))
+        )
+        return F.struct(
+            tier.alias("tier"), audit["reason"].alias("tier_reason"), status.alias("approval_status"),
+            renames.alias("fix_executed"),
+            F.when(waits & p1, timeout).when(waits | p0, 0).alias("timeout_minutes"), plan.alias("actions"),
+        )
+
+    audited = F.when(F.coalesce("fix.sql", F.lit("")) != "", st.classify(F.col("fix.sql"), allowed))
+    decided = incidents.withColumn("__decision", st.let(audited, decide))
+    return decided.select(*incidents.columns, "__decision.*", incident_line(F.col("fix.description")).alias("line"))
 
 
 def actions(routed: DataFrame) -> DataFrame:
@@ -249,7 +253,9 @@ def actions(routed: DataFrame) -> DataFrame:
               F.concat("line", F.lit("\nReason: "), "tier_reason", F.lit("\nProposed SQL: "), "fix.sql"))
         .otherwise(F.col("line"))
     )
-    exploded = routed.select("*", F.posexplode("actions").alias("step", "action"))
+    # Every incident has an action. The outer form keeps Spark from deriving a filter on the list, which would be pushed
+    # down and classify each statement a second time.
+    exploded = routed.select("*", F.posexplode_outer("actions").alias("step", "action"))
     return exploded.select("incident_id", "step", "action", detail.alias("detail"),
                            F.col("approval_status").alias("status"))
 
@@ -287,10 +293,9 @@ def incident_records(routed: DataFrame, created_at: Column, allowed: list[str] =
         F.coalesce(F.nullif("fix.description", F.lit("")), F.lit(NO_FIX)).alias("resolution"),
         F.col("fix.risk_level").alias("risk_level"), "approval_status", sql.alias("sql"), "fix_executed",
     )
-    tiered = audit(records, "sql", "__audit", allowed)
-    return tiered.select(
+    return records.select(
         *[c for c in records.columns if c != "fix_executed"],
-        F.when(F.col("sql").isNotNull(), F.col("__audit.tier")).alias("sql_tier"),
+        st.tier(F.col("sql"), allowed).alias("sql_tier"),
         (F.col("fix_executed") & F.col("sql").isNotNull()).alias("has_sql_fix"),
         F.concat_ws("\n", "summary", "root_cause", "resolution").alias("embedding_text"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 from caselight.session import shared_dir
@@ -13,19 +13,32 @@ def downstream(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
     The graph may have cycles; a root is its own descendant only if a cycle leads back to it. Each round follows the
     edges of the nodes found last, for all roots together, and ends when nothing new turns up. A round's nodes are
-    checkpointed to the shared folder, so a lost executor costs one round at most and the plan does not grow.
+    written to the shared folder and read from there: the plan stays short, a lost executor costs one round at most,
+    and Spark knows the size of what it joins, so it broadcasts small rounds only.
     """
-    shared_dir(edges.sparkSession, "lineage")  # makes sure that a checkpoint folder is set
+    spark = edges.sparkSession
+    path = shared_dir(spark, "lineage")
     edges = edges.select("parent", "child").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    found = roots.select("root", F.col("root").alias("parent")).join(edges, "parent")
-    frontier = found.select("root", F.col("child").alias("node")).distinct().checkpoint()
-    seen = frontier
-    while not frontier.isEmpty():
-        steps = frontier.join(edges, frontier["node"] == edges["parent"]).select("root", F.col("child").alias("node"))
-        frontier = steps.distinct().join(seen, ["root", "node"], "left_anti").checkpoint()
-        seen = seen.unionByName(frontier)
-    edges.unpersist()
-    return seen
+    ddl = T.StructType([
+        T.StructField("root", roots.schema["root"].dataType), T.StructField("node", edges.schema["child"].dataType)
+    ])
+    try:
+        number = 0
+        found = roots.select("root", F.col("root").alias("parent")).join(edges, "parent").select(
+            "root", F.col("child").alias("node")).distinct()
+        while True:
+            new = Observation()
+            found.observe(new, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/round={number}")
+            if new.get["rows"] == 0:
+                break
+            frontier = spark.read.schema(ddl).parquet(f"{path}/round={number}")
+            seen = spark.read.schema(ddl).parquet(*[f"{path}/round={n}" for n in range(number + 1)])
+            steps = frontier.join(edges, F.col("node") == F.col("parent")).select("root", F.col("child").alias("node"))
+            found = steps.distinct().join(seen, ["root", "node"], "left_anti")
+            number += 1
+    finally:
+        edges.unpersist()
+    return spark.read.schema(ddl).parquet(*[f"{path}/round={n}" for n in range(number + 1)])
 
 
 def source_ids(sources: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -42,14 +42,17 @@ def select_fraction(
     while True:
         width = len(prefix) + STEP
         inside = digests.where(F.col("digest").startswith(prefix)) if prefix else digests
-        groups = inside.groupBy(F.substring("digest", 1, width).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-        if remaining is None:
-            total = groups.agg(F.sum("n")).first()[0] or 0
-            remaining = wanted_rows(total, fraction, rounding, minimum)
-            if remaining == 0:
-                return F.lit(False)
-        running = groups.withColumn("upto", F.sum("n").over(ordered))
-        cut = running.where(F.col("upto") >= remaining).orderBy("prefix").first()
+        groups = inside.groupBy(F.substring("digest", 1, width).alias("prefix")).agg(F.count(F.lit(1)).alias("n")).persist()
+        try:
+            if remaining is None:
+                total = groups.agg(F.sum("n")).first()[0] or 0
+                remaining = wanted_rows(total, fraction, rounding, minimum)
+                if remaining == 0:
+                    return F.lit(False)
+            running = groups.withColumn("upto", F.sum("n").over(ordered))
+            cut = running.where(F.col("upto") >= remaining).orderBy("prefix").first()
+        finally:
+            groups.unpersist()
         prefix = cut["prefix"]
         if cut["upto"] == remaining or width == HEX_DIGITS:
             return F.coalesce(F.substring(digest, 1, width) <= prefix, F.lit(False))

@@ -22,6 +22,7 @@ def build_session(app: str = "caselight", cores: int | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site per column expression
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.storagelevel import StorageLevel
 
-from caselight.operators.changes import upsert
+from caselight.operators.changes import dedupe_batch, merge, stamp
 
 BUCKET = "bucket"
 
@@ -49,21 +50,26 @@ class KeyedTable:
         placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(self.path)
 
     def upsert(self, batch: DataFrame, order: Sequence[Column], loaded_at=None) -> None:
-        """Insert or replace by key; the first row of a key under ``order`` wins inside the batch."""
+        """Insert or replace by key; the first row of a key under ``order`` wins inside the batch.
+
+        The batch is deduplicated once and kept while its partitions are looked up and rewritten.
+        """
         spark = batch.sparkSession
+        fresh = dedupe_batch(batch, self.keys, order)
+        if loaded_at is not None:
+            fresh = stamp(fresh, "loaded_at", loaded_at)
         if not self.exists(spark):
-            columns = batch.columns if loaded_at is None or "loaded_at" in batch.columns else [*batch.columns, "loaded_at"]
-            empty = batch.limit(0)
-            if loaded_at is not None:
-                empty = empty.withColumn("loaded_at", F.lit(None).cast("timestamp_ntz"))
-            self.write(upsert(empty.select(*columns), batch, self.keys, order, loaded_at))
-            return
-        # At most one number per bucket of the table comes to the driver; it prunes the scan to those partitions.
-        touched = [row[0] for row in batch.select(self._bucket().alias(BUCKET)).distinct().collect()]
-        if not touched:
+            self.write(fresh)
             return
-        current = spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        self._save(upsert(current, batch, self.keys, order, loaded_at), "dynamic")
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # At most one number per bucket of the table comes to the driver; it prunes the scan to those partitions.
+            touched = [row[0] for row in fresh.select(self._bucket().alias(BUCKET)).distinct().collect()]
+            if touched:
+                current = spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+                self._save(merge(current, fresh, self.keys), "dynamic")
+        finally:
+            fresh.unpersist()
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -67,14 +67,15 @@ class EscalationLadder(StatefulProcessor):
 def escalations(approvals: DataFrame, late: str = "0 seconds", timeout_minutes: int = TIMEOUT_MINUTES) -> DataFrame:
     """Actions that fall due on a stream of approval rows (requests and resolutions with ``created_at``).
 
-    Timers follow the watermark, so a quiet stream needs rows from time to time (a heartbeat) to move on. The state of
+    Timers follow the watermark, so a quiet stream needs rows from time to time to move on; rows without a severity
+    serve as such a heartbeat. Severities that never time out are not kept in state. The state of
     an incident is a few bytes and lives in RocksDB; incidents are spread by a hash of their id.
     """
     rows = approvals.select(
         "incident_id", "severity", "status", F.col("created_at").cast("timestamp").alias("created_at"),
         F.unix_millis(F.col("created_at").cast("timestamp")).alias("requested_ms"),
         F.col("escalation_email_sent_at").isNotNull().alias("mailed"), F.col("dag_paused_at").isNotNull().alias("paused"),
-    ).withWatermark("created_at", late)
+    ).withWatermark("created_at", late).where(F.col("severity").isNull() | F.col("severity").isin("P0", "P1"))
     ship_package()
     actions = rows.groupBy("incident_id").transformWithState(
         statefulProcessor=EscalationLadder(timeout_minutes),
