@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from caselight.schemas import LANDING_COLUMNS, LANDING_DDL
 
-# Quotes are doubled inside quoted text, as other CSV writers do.
-CSV = {"header": "true", "quote": '"', "escape": '"'}
+# Quotes are doubled inside quoted text, as other CSV writers do. Empty text and null are one and the same in a file.
+CSV = {
+    "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 LISTED = 20
 
 

@@ -112,9 +112,9 @@ class PagedBatchReader(DataSourceReader):
         if skip >= size:
             earlier = self.window.earlier(date_range)
             if earlier is None:
-                return []
+                return [Pages(date_range, skip, 0)]  # Spark wants one partition at least
             date_range, skip, size = earlier, 0, self.window.size(earlier)
-        return self.window.runs(date_range, skip, min(size, skip + self.max_rows))
+        return self.window.runs(date_range, skip, min(size, skip + self.max_rows)) or [Pages(date_range, skip, 0)]
 
     def read(self, partition: Pages) -> Iterator[tuple[str, int, str]]:
         yield from self.window.rows(partition)
