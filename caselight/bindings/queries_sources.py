@@ -160,13 +160,14 @@ SELECT report_id, received_date, drug_name, source_row, {stamp('loaded_at')} AS
 FROM (SELECT * FROM old WHERE report_id NOT IN (SELECT report_id FROM new) UNION ALL SELECT * FROM new)
 """)
 def keyed_table(spark, sf):
-    """The upsert of ``upsert_reports`` on a stored table, run twice to the same end."""
-    table = tables.KeyedTable(f"{shared_dir(spark, 'keyed')}/reports", ("report_id",), 16)
+    """The upsert of ``upsert_reports`` on a stored table, run twice to the same end, before and after compaction."""
+    table = tables.KeyedTable(f"{shared_dir(spark, 'keyed')}/reports", ("report_id",))
     raw = b.raw_reports(spark, sf, reporter=False).select("report_id", "received_date", "drug_name", "source_row", "loaded_at")
     table.write(changes.dedupe_batch(raw.where(F.col("loaded_at") < SPLIT_DAY), ["report_id"], b.last_wins()))
     batch = raw.where(F.col("loaded_at") >= SPLIT_DAY)
-    for _ in range(2):
-        table.upsert(batch, b.last_wins(), loaded_at=AS_OF)
+    table.upsert(batch, b.last_wins(), loaded_at=AS_OF)
+    table.compact(spark)
+    table.upsert(batch, b.last_wins(), loaded_at=AS_OF)
     return table.read(spark)
 
 
@@ -180,7 +181,7 @@ FROM flat WHERE drug_name IS NOT NULL GROUP BY ALL
 def scheduled_load(spark, sf):
     """Landing file to raw table to marts, with the rules as gate; reports without a drug are set aside before."""
     root = shared_dir(spark, "load")
-    warehouse = Warehouse(f"{root}/warehouse", 16)
+    warehouse = Warehouse(f"{root}/warehouse")
     flat = reports.flatten(reports.parse_documents(b.nested_reports(spark, sf)), LOAD_DATE)
     landing.write_landing(flat, f"{root}/landing", LOAD_DATE, "0001")
     batch = landing.read_batch(spark, f"{root}/landing", LOAD_DATE, "0001")
@@ -199,7 +200,7 @@ SELECT report_id, received_date, CASE WHEN o_orderdate >= DATE '{SPLIT_DAY}' THE
 def stream_ingest(spark, sf):
     """Documents arrive in two drops, the second with corrections; a stream upserts each drop and resumes in between."""
     root = shared_dir(spark, "ingest")
-    warehouse = Warehouse(f"{root}/warehouse", 16)
+    warehouse = Warehouse(f"{root}/warehouse")
     nested = b.nested_reports(spark, sf)
     wrong = F.regexp_replace("json", '"serious":"[12]"', '"serious":"9"')
     recent = F.get_json_object("json", "$.receiptdate") >= SPLIT_DAY.replace("-", "")

@@ -22,11 +22,10 @@ class Warehouse:
     """Paths of the tables below one root folder."""
 
     root: str
-    buckets: int = 64
 
     @property
     def raw(self) -> tables.KeyedTable:
-        return tables.KeyedTable(f"{self.root}/raw/case_reports", ("report_id",), self.buckets)
+        return tables.KeyedTable(f"{self.root}/raw/case_reports", ("report_id",))
 
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table}"
@@ -65,11 +64,19 @@ def load_batch(
 
 
 def build_models(warehouse: Warehouse, spark: SparkSession, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Rebuild both marts from the staging view, then run its rules; returns the rule report and raises if any failed."""
+    """Rebuild both marts from the staging view, then run its rules; returns the rule report and raises if any failed.
+
+    Both marts come from one grouped scan of the reports, kept while they are written.
+    """
     staged = stage_reports(warehouse.raw.read(spark))
     staged.createOrReplaceTempView("stg_case_reports")
-    tables.rebuild(marts.drug_reactions(staged), warehouse.path("mart", "drug_reactions"))
-    tables.rebuild(marts.serious_events(staged), warehouse.path("mart", "serious_events"))
+    groups = marts.report_groups(staged).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables.rebuild(marts.drug_reactions_from_groups(groups), warehouse.path("mart", "drug_reactions"))
+        tables.rebuild(marts.serious_events_from_groups(groups), warehouse.path("mart", "serious_events"),
+                       ["drug_name", "severity_rank"])
+    finally:
+        groups.unpersist()
     report = quality.run_rules(staged, quality.STAGED_RULES, "stg_case_reports", exclude)
     quality.gate(report)
     return report

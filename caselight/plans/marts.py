@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MIN_REPORTS = 5
 REACTION_INPUTS = ["report_id", "drug_name", "reaction", "is_serious", "is_fatal", "patient_age", "received_date"]
 SERIOUS_INPUTS = ["report_id", "drug_name", "outcome", "is_serious", "is_fatal", "patient_age", "received_date"]
 
 
-def _mean_age():
-    return F.round(F.avg("patient_age").cast("double"), 1).alias("avg_patient_age")
+def report_groups(staged: DataFrame) -> DataFrame:
+    """Counts and sums by drug, reaction, outcome and seriousness: all that both marts need, from one scan.
+
+    Reports are merged per map task before the shuffle, so a drug with a third of all reports costs no more than others.
+    """
+    return staged.groupBy("drug_name", "reaction", "outcome", "is_serious").agg(
+        F.count(F.lit(1)).alias("reports"),
+        F.count_if("is_fatal").alias("fatal"),
+        F.sum("patient_age").alias("age_sum"),
+        F.count("patient_age").alias("age_count"),
+        F.max("received_date").alias("newest"),
+    )
+
+
+def _mean_age(total: Column, known: Column) -> Column:
+    """Mean rounded to one digit; the decimal sum is exact and divided only once."""
+    return F.when(known > 0, F.round(total.cast("double") / known, 1))
 
 
 def drug_reactions(staged: DataFrame) -> DataFrame:
@@ -19,23 +34,49 @@ def drug_reactions(staged: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("report_count"),
         F.count_if("is_serious").alias("serious_count"),
         F.count_if("is_fatal").alias("fatal_count"),
-        _mean_age(),
+        _mean_age(F.sum("patient_age"), F.count("patient_age")).alias("avg_patient_age"),
         F.max("received_date").alias("most_recent_report_date"),
     )
 
 
-def serious_events(staged: DataFrame, min_reports: int = MIN_REPORTS) -> DataFrame:
-    """Serious reports by drug and outcome, ranked inside each drug, pairs with more than ``min_reports`` only.
+def drug_reactions_from_groups(groups: DataFrame) -> DataFrame:
+    """The same from ``report_groups``."""
+    return groups.groupBy("drug_name", "reaction").agg(
+        F.sum("reports").alias("report_count"),
+        F.sum(F.when(F.col("is_serious"), F.col("reports")).otherwise(0)).alias("serious_count"),
+        F.sum("fatal").alias("fatal_count"),
+        _mean_age(F.sum("age_sum"), F.sum("age_count")).alias("avg_patient_age"),
+        F.max("newest").alias("most_recent_report_date"),
+    )
 
-    The filter comes before the window: a rank counts rows with more reports, so the pairs filtered out, which have
-    fewer, change no rank, and the window sorts what is left. A drug with very many reports is reduced to one row per
-    outcome by the map-side aggregate first.
-    """
+
+def serious_events(staged: DataFrame, min_reports: int = MIN_REPORTS) -> DataFrame:
+    """Serious reports by drug and outcome, ranked inside each drug, pairs with more than ``min_reports`` only."""
     pairs = staged.where("is_serious").groupBy("drug_name", "outcome").agg(
         F.count(F.lit(1)).alias("report_count"),
         F.count_if("is_fatal").alias("fatal_count"),
-        _mean_age(),
+        _mean_age(F.sum("patient_age"), F.count("patient_age")).alias("avg_patient_age"),
         F.max("received_date").alias("most_recent_date"),
-    ).where(F.col("report_count") > min_reports)
+    )
+    return _ranked(pairs, min_reports)
+
+
+def serious_events_from_groups(groups: DataFrame, min_reports: int = MIN_REPORTS) -> DataFrame:
+    """The same from ``report_groups``."""
+    pairs = groups.where("is_serious").groupBy("drug_name", "outcome").agg(
+        F.sum("reports").alias("report_count"),
+        F.sum("fatal").alias("fatal_count"),
+        _mean_age(F.sum("age_sum"), F.sum("age_count")).alias("avg_patient_age"),
+        F.max("newest").alias("most_recent_date"),
+    )
+    return _ranked(pairs, min_reports)
+
+
+def _ranked(pairs: DataFrame, min_reports: int) -> DataFrame:
+    """Keep the pairs with enough reports and rank them inside their drug.
+
+    The filter comes before the window: a rank counts the pairs with more reports, so the pairs filtered out, which have
+    fewer, change no rank. What a window task sorts is one row per outcome code of its drugs, not their reports.
+    """
     by_volume = Window.partitionBy("drug_name").orderBy(F.desc("report_count"))
-    return pairs.withColumn("severity_rank", F.rank().over(by_volume))
+    return pairs.where(F.col("report_count") > min_reports).withColumn("severity_rank", F.rank().over(by_volume))

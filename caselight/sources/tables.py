@@ -1,4 +1,4 @@
-"""Stored tables: keyed Parquet tables that upserts rewrite partly, append-only logs, rebuilt marts, jdbc scans."""
+"""Stored tables: keyed Parquet tables that take upserts, append-only logs, rebuilt marts, jdbc scans."""
 
 from __future__ import annotations
 
@@ -7,69 +7,79 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from caselight.operators.changes import dedupe_batch, merge, stamp
 
-BUCKET = "bucket"
+BATCH = "batch"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A Parquet table with unique keys, partitioned by a hash of the key.
+    """A Parquet table with unique keys that takes upserts at the price of the batch, not of the table.
 
-    An upsert reads and rewrites only the partitions that its batch touches, with Spark's dynamic partition overwrite.
-    The hash of a unique key spreads rows evenly over the partitions. Pick ``buckets`` so that one bucket stays in the
-    low gigabytes; the write rebalances, so a bucket may be written by several tasks. Running the same upsert again
-    gives the same table, so a failed or repeated batch is simply repeated.
+    An upsert only appends the batch, under the next number, to the ``changes`` folder. A reader takes the newest change
+    of each key and the rows of the base whose key did not change: the base is scanned once and, as long as Spark finds
+    the changed keys small enough to broadcast, not shuffled. ``compact`` folds the changes into a new base; run it
+    when they reach a few percent of the table. One writer at a time; a failed upsert is simply repeated, and a repeated
+    one leaves every key as it is.
+
+    Layout: ``base/batch=<n>`` holds everything up to batch n, ``changes/batch=<n>`` one batch. A folder counts once
+    Spark has put its success mark there.
     """
 
     path: str
     keys: tuple[str, ...]
-    buckets: int = 64
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def _numbers(self, spark: SparkSession, part: str) -> list[int]:
+        """Numbers of the complete folders of ``base`` or ``changes``."""
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/{BATCH}=*/_SUCCESS")
+        found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
-    def exists(self, spark: SparkSession) -> bool:
-        try:
-            spark.read.parquet(self.path)
-            return True
-        except AnalysisException:
-            return False
+    def _next(self, spark: SparkSession) -> int:
+        return max(self._numbers(spark, "base") + self._numbers(spark, "changes"), default=-1) + 1
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop(BUCKET)
+    def _save(self, df: DataFrame, part: str, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/{part}/{BATCH}={number}")
+
+    def exists(self, spark: SparkSession) -> bool:
+        return bool(self._numbers(spark, "base") or self._numbers(spark, "changes"))
 
     def write(self, df: DataFrame) -> None:
-        """Replace the whole table. ``df`` must not be read from it."""
-        self._save(df, "static")
+        """Replace the whole table; the keys of ``df`` must be unique."""
+        self._save(df, "base", self._next(df.sparkSession))
 
-    def _save(self, df: DataFrame, mode: str) -> None:
-        placed = df.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
-        placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(self.path)
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The current rows."""
+        bases = self._numbers(spark, "base")
+        newer = [n for n in self._numbers(spark, "changes") if not bases or n > bases[-1]]
+        base = spark.read.parquet(f"{self.path}/base/{BATCH}={bases[-1]}") if bases else None
+        if not newer:
+            if base is None:
+                raise FileNotFoundError(f"no table at {self.path}")
+            return base
+        folders = [f"{self.path}/changes/{BATCH}={n}" for n in newer]
+        changes = spark.read.option("basePath", f"{self.path}/changes").option("mergeSchema", "true").parquet(*folders)
+        if len(newer) > 1:
+            changes = dedupe_batch(changes, self.keys, [F.desc(BATCH)])
+        changes = changes.drop(BATCH)
+        return changes if base is None else merge(base, changes.select(*base.columns), self.keys)
 
     def upsert(self, batch: DataFrame, order: Sequence[Column], loaded_at=None) -> None:
         """Insert or replace by key; the first row of a key under ``order`` wins inside the batch.
 
-        The batch is deduplicated once and kept while its partitions are looked up and rewritten.
+        Rows without a key replace nothing and are added each time.
         """
-        spark = batch.sparkSession
         fresh = dedupe_batch(batch, self.keys, order)
         if loaded_at is not None:
             fresh = stamp(fresh, "loaded_at", loaded_at)
-        if not self.exists(spark):
-            self.write(fresh)
-            return
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # At most one number per bucket of the table comes to the driver; it prunes the scan to those partitions.
-            touched = [row[0] for row in fresh.select(self._bucket().alias(BUCKET)).distinct().collect()]
-            if touched:
-                current = spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-                self._save(merge(current, fresh, self.keys), "dynamic")
-        finally:
-            fresh.unpersist()
+        self._save(fresh, "changes", self._next(batch.sparkSession))
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold all changes into a new base. The folders it replaces may be removed once no reader uses them."""
+        numbers = self._numbers(spark, "changes")
+        if numbers and numbers[-1] > max(self._numbers(spark, "base"), default=-1):
+            self._save(self.read(spark), "base", numbers[-1])
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -96,8 +106,9 @@ def snapshot_once(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, bounds: tuple, partitions: int,
-              **options: str) -> DataFrame:
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, partition_column: str, bounds: tuple, partitions: int, **options: str
+) -> DataFrame:
     """A database table read in parallel by ranges of a column; filters and columns are pushed into the database."""
     return spark.read.format("jdbc").options(
         url=url, dbtable=table, partitionColumn=partition_column, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
@@ -111,4 +122,3 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def has_column(df: DataFrame, column: str) -> bool:
     return column in df.columns
-

@@ -362,3 +362,14 @@ def test_rank_filter_order_makes_no_difference(spark):
     counted = staged.groupBy("drug_name", "outcome").count()
     ranked = counted.withColumn("rank", F.rank().over(Window.partitionBy("drug_name").orderBy(F.desc("count"))))
     assert rows(serious_events(staged, 40), "drug_name", "outcome", "severity_rank") == rows(ranked.where("count > 40"), "drug_name", "outcome", "rank")
+
+
+def test_marts_from_groups_equal_marts_from_reports(spark, sf):
+    from caselight.bindings import inputs
+    from caselight.plans import marts
+    from caselight.plans.staging import stage_reports
+
+    staged = stage_reports(inputs.raw_reports(spark, sf))
+    groups = marts.report_groups(staged)
+    assert rows(marts.drug_reactions_from_groups(groups)) == rows(marts.drug_reactions(staged))
+    assert rows(marts.serious_events_from_groups(groups)) == rows(marts.serious_events(staged))

@@ -141,20 +141,48 @@ def test_missing_landing_file_lists_what_exists(spark, tmp_path):
 
 # --- stored tables ---------------------------------------------------------------------------------------------------
 
-def test_keyed_table_rewrites_only_touched_buckets(spark, tmp_path):
-    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), 8)
+def test_keyed_table(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
+    assert not table.exists(spark)
     table.upsert(spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), [F.desc("v")])
-
-    def files():
-        return {r[0] for r in landing.list_files(spark, table.path, "*.parquet").collect()}
-
-    before = files()
-    table.upsert(spark.createDataFrame([("5", 1), ("5", 2)], "id string, v int"), [F.desc("v")])
-    kept = before & files()
-    assert {f.split("bucket=")[1][0] for f in before} - {f.split("bucket=")[1][0] for f in kept} != set()
-    assert len({f.split("bucket=")[1].split("/")[0] for f in kept}) == 7
-    assert table.read(spark).count() == 100
-    assert table.read(spark).where("id = '5'").first()["v"] == 2
+    changed = spark.createDataFrame([("5", 1), ("5", 2), ("new", 3)], "id string, v int")
+
+    def state():
+        found = {r["id"]: r["v"] for r in table.read(spark).collect()}
+        return len(found), found["5"], found.get("new")
+
+    assert state() == (100, 0, None)
+    for compact in (False, True, False):
+        table.upsert(changed, [F.desc("v")])
+        assert state() == (101, 2, 3)
+        if compact:
+            table.compact(spark)
+            assert state() == (101, 2, 3)
+    table.write(changed.where("v = 1"))
+    assert rows(table.read(spark)) == [("5", 1)]
+
+
+def test_keyed_table_ignores_unfinished_folders(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
+    row = lambda v: spark.createDataFrame([("a", v)], "id string, v int")
+    table.write(row(0))
+    table.upsert(row(1), [F.desc("v")])
+    row(9).write.parquet(f"{table.path}/changes/batch=2")
+    os.remove(f"{table.path}/changes/batch=2/_SUCCESS")
+    assert rows(table.read(spark)) == [("a", 1)]
+    table.upsert(row(2), [F.desc("v")])
+    assert rows(table.read(spark)) == [("a", 2)]
+
+
+def test_keyed_table_keeps_rows_without_key(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
+    table.write(spark.createDataFrame([(None, 0), ("a", 0)], "id string, v int"))
+    for v in (1, 2):
+        table.upsert(spark.createDataFrame([(None, v), (None, v), ("a", v)], "id string, v int"), [F.desc("v")])
+    expected = sorted([(None, 0), (None, 1), (None, 1), (None, 2), (None, 2), ("a", 2)], key=repr)
+    assert rows(table.read(spark)) == expected
+    table.compact(spark)
+    assert rows(table.read(spark)) == expected
 
 
 def test_snapshot_is_taken_once(spark, tmp_path):
@@ -172,7 +200,7 @@ def test_log_columns_may_be_added_later(spark, tmp_path):
 
 
 def test_load_batch_logs_and_skips_empty_batches(spark, tmp_path):
-    warehouse = Warehouse(str(tmp_path / "w"), 4)
+    warehouse = Warehouse(str(tmp_path / "w"))
     batch = landing_batch(spark, {"report_id": "1", "patient_age": "NaN", "load_date": "2024-03-01", "serious": "1.0"})
     order = [F.desc("received_date")]
     assert load_batch(warehouse, batch.limit(0), order, "2024-03-01 01:00:00") == 0
@@ -187,7 +215,7 @@ def test_load_batch_logs_and_skips_empty_batches(spark, tmp_path):
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 def test_stream_ingest_replays_without_effect(spark, tmp_path):
-    source, warehouse = tmp_path / "docs", Warehouse(str(tmp_path / "w"), 4)
+    source, warehouse = tmp_path / "docs", Warehouse(str(tmp_path / "w"))
     os.makedirs(source)
 
     def drop(name, *documents):
