@@ -10,9 +10,14 @@ from caselight.bindings.queries_monitors import APPROVAL_OUT
 from caselight.bindings.registry import query
 from caselight.bindings.texts import AS_OF, STATEMENTS
 from caselight.functions import logs
+from caselight.functions.statements import ALLOWED_TABLES
 from caselight.operators import approvals, incidents, lineage, similarity
 from caselight.operators.audit import audit
+from caselight.operators.repair import rename_candidates
 from caselight.plans import triage
+from caselight.plans.ingest import Warehouse
+from caselight.session import shared_dir
+from caselight.streaming import records
 
 REUSE_SCORE = 0.38  # the vectors of the test data are nearly orthogonal
 
@@ -221,8 +226,6 @@ def _fixed(spark, sf, found):
 
 
 def incidents_renames(spark, sf):
-    from caselight.operators.repair import rename_candidates
-
     return rename_candidates(b.live_columns(spark, sf), b.declared_columns(spark, sf))
 
 
@@ -260,8 +263,6 @@ ALLOWED_TRACKED = [f"raw.{kind}_{number}" for kind in b.EVENT_TYPES for number i
 
 
 def _allowed():
-    from caselight.functions.statements import ALLOWED_TABLES
-
     return ALLOWED_TABLES + ALLOWED_TRACKED
 
 
@@ -324,7 +325,7 @@ def approval_requests(spark, sf):
     return asked.withColumn("urgency", approvals.urgency(F.col("severity"), F.col("timeout_minutes"), F.col("risk_level")))
 
 
-RECORDS = ROUTED + EVIDENCE.replace(SIMILAR, SIMILAR, 1) + """
+RECORDS = ROUTED + EVIDENCE + """
 , records AS (
     SELECT routed.incident_id, created_at, dag_id, run_id, task_id, error_type, severity, error_message,
            coalesce(error_type, 'unknown_error') || ' on ' || dag_id || '.' || task_id || ' (run ' || run_id || ')' AS summary,
@@ -357,6 +358,34 @@ def incident_reports_rows(spark, sf):
     return incidents.incident_reports(_records(spark, sf))
 
 
+@query("stream_records", ROUTED + f"""
+, plain AS (
+    SELECT routed.*, coalesce(error_type, 'unknown_error') || ' on ' || dag_id || '.' || task_id || ' (run ' || run_id || ')' AS summary
+    FROM routed)
+SELECT 'memory' AS sink, incident_id, summary, coalesce(fix[2], 'No fix proposed.') AS resolution, tier AS sql_tier,
+       (fix_executed AND fix[4] IS NOT NULL)::VARCHAR AS flag FROM plain
+UNION ALL
+SELECT 'reports', NULL, error_message, coalesce(fix[2], 'No fix proposed.'), fix[4],
+       CASE WHEN approval_status = 'auto_approved' THEN 'true' END FROM plain
+""")
+def stream_records(spark, sf):
+    """Routed incidents arrive as a stream and are kept in the incident memory and in the reporting table."""
+    root = shared_dir(spark, "records")
+    warehouse = Warehouse(root)
+    routed = incidents.route(_fixed(spark, sf, _classified(spark, sf)), _allowed()).withColumn("evidence", F.lit(""))
+    routed.withColumn("fix", F.struct("fix.*")).write.parquet(f"{root}/routed")
+    schema = spark.read.parquet(f"{root}/routed").schema
+    stream = spark.readStream.schema(schema).parquet(f"{root}/routed")
+    records.start_records(stream, "created_at", warehouse, _allowed(), f"{root}/checkpoint").awaitTermination()
+    memory = records.memory_table(warehouse).read(spark).select(
+        F.lit("memory").alias("sink"), "incident_id", "summary", "resolution", "sql_tier",
+        F.col("has_sql_fix").cast("string").alias("flag"))
+    written = spark.read.parquet(warehouse.path("monitoring", "incident_reports"))
+    return memory.unionByName(written.select(
+        F.lit("reports").alias("sink"), F.lit(None).cast("bigint").alias("incident_id"), F.col("error_message").alias("summary"),
+        F.col("fix_attempted").alias("resolution"), F.col("fix_sql").alias("sql_tier"), F.col("approved").cast("string").alias("flag")))
+
+
 # --- approvals -------------------------------------------------------------------------------------------------------
 
 @query("approval_upsert", f"""

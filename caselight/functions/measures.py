@@ -30,8 +30,9 @@ def deviation(current: Column, baseline: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Seconds with microseconds as a double; inputs are zone-less and read as UTC."""
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1e6)
+    """Seconds with microseconds as a double. Both are zone-less, so the session time zone plays no part."""
+    span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    return span.cast("interval second").cast("decimal(20,6)").cast("double")
 
 
 def minutes_between(start: Column, end: Column) -> Column:

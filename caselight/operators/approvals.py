@@ -13,6 +13,12 @@ from caselight.operators.latest import latest_per_key
 REQUEST_COLUMNS = ["summary", "risk_level", "severity", "proposed_sql"]
 TIMEOUT_RESOLVER = "escalation_timeout"
 
+# Headlines of requests.
+URGENT = "P0 — DAG PAUSED — urgent response required"
+TIMED = "P1 — will auto-apply in %d min if unanswered"
+HIGH_RISK = "HIGH RISK — do not auto-apply"
+REVIEW = "Review needed"
+
 
 def request(approvals: DataFrame, requests: DataFrame, order: list[Column], at) -> DataFrame:
     """Add requests as pending; a repeated request refreshes its four request columns and keeps status and times."""
@@ -58,11 +64,10 @@ def status_of(wanted: DataFrame, approvals: DataFrame) -> DataFrame:
 def urgency(severity: Column, timeout_minutes: Column, risk_level: Column) -> Column:
     """Headline of a request."""
     return (
-        F.when(severity == "P0", "P0 — DAG PAUSED — urgent response required")
-        .when((severity == "P1") & (timeout_minutes > 0),
-              F.concat(F.lit("P1 — will auto-apply in "), timeout_minutes.cast("string"), F.lit(" min if unanswered")))
-        .when(risk_level == "high", "HIGH RISK — do not auto-apply")
-        .otherwise("Review needed")
+        F.when(severity == "P0", URGENT)
+        .when((severity == "P1") & (timeout_minutes > 0), F.format_string(TIMED, timeout_minutes))
+        .when(risk_level == "high", HIGH_RISK)
+        .otherwise(REVIEW)
     )
 
 

@@ -15,10 +15,25 @@ from caselight.operators.runlog import RUN_KEY
 
 TIMEOUT_MINUTES = 30
 
-# Texts that stand in for missing ones.
+# Wording of messages and of the texts that stand in for missing ones.
+NO_LOG = "No error_message found in monitoring.pipeline_runs for dag_id=%s run_id=%s task_id=%s"
+SIMILAR = "Found %d similar past incident(s); most similar (score %.2f): %s."
+NO_SIMILAR = "No similar past incidents found in memory."
+DRIFT = "Schema diff vs. last snapshot: added=%s removed=%s changed_types=%s. models impacted: %s%s."
+REFERENCING = "; models referencing the changed column: %s"
+COUNTS = "Row count check: current=%s baseline=%s deviation=%s%%."
+NULLS = "Null-rate check on %s: %d/%d rows (%s%%) are NULL."
+FRESHNESS = "Latest freshness check: last_loaded=%s is_stale=%s."
+NO_FRESHNESS = "No freshness check recorded yet."
+NO_CHECK = "No specialized check beyond similar incidents; likely outside the data itself."
+LOGGED_ONLY = "P3 (upstream/infra) — no fix attempted, logged only."
+RENAME_SQL = 'ALTER TABLE %s.%s RENAME COLUMN "%s" TO "%s"'
+RENAME_NOTE = "Rename column '%s' back to '%s'."
+REUSE_NOTE = "Reusing a previously successful fix for a similar incident (similarity %.2f): %s"
+INCIDENT_LINE = "[%s/%s] %s.%s (run %s): %s"
+INCIDENT_SUMMARY = "%s on %s.%s (run %s)"
 NO_SUMMARY = "No investigation summary available."
 NO_FIX = "No fix proposed."
-LOGGED_ONLY = "P3 (upstream/infra) — no fix attempted, logged only."
 
 FIX_FIELDS = ["source", "description", "risk_level", "sql"]
 
@@ -31,10 +46,7 @@ def backfill_logs(alerts: DataFrame, runs: DataFrame) -> DataFrame:
         runs.where(F.col("status") == "failed").select(*RUN_KEY, "finished_at", "error_message"),
         RUN_KEY, [F.desc_nulls_first("finished_at")],
     ).select(*RUN_KEY, F.col("error_message").alias("__message"))
-    sentence = F.concat(
-        F.lit("No error_message found in monitoring.pipeline_runs for dag_id="), "dag_id", F.lit(" run_id="), "run_id",
-        F.lit(" task_id="), "task_id",
-    )
+    sentence = F.format_string(NO_LOG, "dag_id", "run_id", "task_id")
     return alerts.join(failed, RUN_KEY, "left").withColumn(
         "raw_log", F.coalesce(F.nullif("log_text", F.lit("")), F.col("__message"), sentence)
     ).select(*alerts.columns, "raw_log")
@@ -71,8 +83,8 @@ def gather_evidence(
     incidents: DataFrame, *, similar: DataFrame, diffs: DataFrame, counts: DataFrame, nulls: DataFrame,
     freshness: DataFrame, impact: DataFrame,
 ) -> DataFrame:
-    """Add ``tool_used``, ``changed_column`` and ``evidence`` (a summary text) to incidents with an incident_id and a
-    table.
+    """Add ``tool_used``, ``changed_column``, ``evidence`` (a summary text) and ``details`` (what it was made from, as
+    JSON) to incidents with an incident_id and a table.
 
     The check results hold one row per table (``similar`` one per incident), so each join adds columns and no rows:
     ``diffs`` schema_diff, ``counts`` count_check, ``nulls`` null_rates of one column, ``freshness`` the latest check
@@ -85,9 +97,8 @@ def gather_evidence(
 
     memory = F.when(
         F.coalesce(F.col("similar.n_similar"), F.lit(0)) > 0,
-        F.format_string("Found %d similar past incident(s); most similar (score %.2f): %s.",
-                        F.col("similar.n_similar"), F.round("similar.top_score", 2), F.col("similar.top_summary")),
-    ).otherwise("No similar past incidents found in memory.")
+        F.format_string(SIMILAR, "similar.n_similar", F.round("similar.top_score", 2), "similar.top_summary"),
+    ).otherwise(NO_SIMILAR)
 
     single = (F.size("diff.added") == 1) & (F.size("diff.removed") == 1)
     changed = F.when((F.col("error_type") == "schema_drift") & single, F.col("diff.removed")[0])
@@ -95,28 +106,15 @@ def gather_evidence(
     def names(path: str) -> Column:
         return listed(F.coalesce(F.col(path), F.array().cast("array<string>")))
 
-    drift_text = F.concat(
-        F.lit("Schema diff vs. last snapshot: added="), names("diff.added"), F.lit(" removed="), names("diff.removed"),
-        F.lit(" changed_types="), names("diff.changed_types"), F.lit(". models impacted: "), names("impact.models"),
-        F.when(changed.isNotNull(), F.concat(F.lit("; models referencing the changed column: "),
-                                             names("impact.referencing"))).otherwise(""),
-        F.lit("."),
-    )
-    count_text = F.concat(
-        F.lit("Row count check: current="), _or_none(F.col("count.current_count")), F.lit(" baseline="),
-        _or_none(F.col("count.baseline_count")), F.lit(" deviation="), _or_none(F.col("count.deviation_pct")),
-        F.lit("%."),
-    )
-    null_text = F.concat(
-        F.lit("Null-rate check on "), F.col("null.column_name"), F.lit(": "), F.col("null.null_rows").cast("string"),
-        F.lit("/"), F.col("null.total_rows").cast("string"), F.lit(" rows ("), F.col("null.null_pct").cast("string"),
-        F.lit("%) are NULL."),
-    )
-    fresh_text = F.when(
-        F.col("fresh").isNotNull(),
-        F.concat(F.lit("Latest freshness check: last_loaded="), _or_none(F.col("fresh.last_loaded")),
-                 F.lit(" is_stale="), _or_none(F.col("fresh.is_stale")), F.lit(".")),
-    ).otherwise("No freshness check recorded yet.")
+    referencing = F.when(changed.isNotNull(), F.format_string(REFERENCING, names("impact.referencing"))).otherwise("")
+    drift_text = F.format_string(
+        DRIFT, names("diff.added"), names("diff.removed"), names("diff.changed_types"), names("impact.models"), referencing)
+    count_text = F.format_string(
+        COUNTS, *[_or_none(F.col(f"count.{name}")) for name in ("current_count", "baseline_count", "deviation_pct")])
+    null_text = F.when(F.col("null").isNotNull(), F.format_string(
+        NULLS, "null.column_name", "null.null_rows", "null.total_rows", F.col("null.null_pct").cast("string")))
+    fresh_text = F.when(F.col("fresh").isNotNull(), F.format_string(
+        FRESHNESS, _or_none(F.col("fresh.last_loaded")), _or_none(F.col("fresh.is_stale")))).otherwise(NO_FRESHNESS)
     kind = F.col("error_type")
     special = (
         F.when(kind == "schema_drift", drift_text)
@@ -124,7 +122,7 @@ def gather_evidence(
         .when(kind == "data_quality", null_text)
         .when(kind == "data_corruption", F.concat_ws(" ", null_text, count_text))
         .when(kind == "freshness", fresh_text)
-        .otherwise("No specialized check beyond similar incidents; likely outside the data itself.")
+        .otherwise(NO_CHECK)
     )
     tool = labels.lookup({
         "schema_drift": "schema_inspector+lineage_tracer",
@@ -133,16 +131,22 @@ def gather_evidence(
         "data_corruption": "null_rate_check+row_count_check",
         "freshness": "freshness_check",
     }, kind, F.lit("memory_lookup"))
+    only = lambda name, *kinds: F.when(kind.isin(*kinds), F.col(name)).alias(name)
+    details = F.to_json(F.struct(
+        "similar", only("diff", "schema_drift"), only("impact", "schema_drift"),
+        only("count", "volume_anomaly", "data_corruption"), only("null", "data_quality", "data_corruption"),
+        only("fresh", "freshness"),
+    ))
     return joined.select(
         *incidents.columns, tool.alias("tool_used"), changed.alias("changed_column"),
-        F.concat_ws(" ", memory, special).alias("evidence"),
+        F.concat_ws(" ", memory, special).alias("evidence"), details.alias("details"),
     )
 
 
 # --- fix -------------------------------------------------------------------------------------------------------------
 
 def rename_statement(schema: Column, table: Column, current: Column, canonical: Column) -> Column:
-    return F.format_string('ALTER TABLE %s.%s RENAME COLUMN "%s" TO "%s"', schema, table, current, canonical)
+    return F.format_string(RENAME_SQL, schema, table, current, canonical)
 
 
 def choose_fix(
@@ -168,14 +172,13 @@ def choose_fix(
 
     mechanical = fix(
         "mechanical",
-        F.concat(F.lit("Rename column '"), "current_name", F.lit("' back to '"), "canonical_name", F.lit("'.")),
+        F.format_string(RENAME_NOTE, "current_name", "canonical_name"),
         "low", rename_statement(F.col("schema_name"), F.col("table_name"), F.col("current_name"),
                                 F.col("canonical_name")),
     )
     reuse = fix(
         "reuse",
-        F.format_string("Reusing a previously successful fix for a similar incident (similarity %.2f): %s",
-                        F.round("reuse.score", 2), F.col("reuse.description")),
+        F.format_string(REUSE_NOTE, F.round("reuse.score", 2), "reuse.description"),
         F.coalesce("reuse.risk_level", F.lit("medium")), F.col("reuse.sql"),
     )
     missing = fix("needs_proposal", F.lit(None).cast("string"), "high", None)
@@ -195,10 +198,9 @@ def choose_fix(
 # --- routing ---------------------------------------------------------------------------------------------------------
 
 def incident_line(description: Column) -> Column:
-    return F.concat(
-        F.lit("["), "severity", F.lit("/"), F.coalesce("error_type", F.lit("upstream_failure")), F.lit("] "), "dag_id",
-        F.lit("."), "task_id", F.lit(" (run "), "run_id", F.lit("): "), F.coalesce(description, F.lit("")),
-    )
+    kind = F.coalesce("error_type", F.lit("upstream_failure"))
+    return F.format_string(
+        INCIDENT_LINE, "severity", kind, "dag_id", "task_id", "run_id", F.coalesce(description, F.lit("")))
 
 
 def route(incidents: DataFrame, allowed: list[str] = st.ALLOWED_TABLES, timeout: int = TIMEOUT_MINUTES) -> DataFrame:
@@ -282,10 +284,8 @@ def approved(status: Column) -> Column:
 def incident_records(routed: DataFrame, created_at: Column, allowed: list[str] = st.ALLOWED_TABLES) -> DataFrame:
     """The memory record of each incident. A fix counts as reusable only if its statement really ran."""
     sql = F.nullif("fix.sql", F.lit(""))
-    summary = F.concat(
-        F.coalesce("error_type", F.lit("unknown_error")), F.lit(" on "), "dag_id", F.lit("."), "task_id",
-        F.lit(" (run "), "run_id", F.lit(")"),
-    )
+    kind = F.coalesce("error_type", F.lit("unknown_error"))
+    summary = F.format_string(INCIDENT_SUMMARY, kind, "dag_id", "task_id", "run_id")
     records = routed.select(
         "incident_id", created_at.alias("created_at"), "dag_id", "run_id", "task_id", "error_type", "severity",
         "error_message", summary.alias("summary"),

@@ -20,6 +20,12 @@ STALE_HOURS = 24
 WARN_HOURS = 25
 ERROR_HOURS = 49
 
+# Wording of alerts.
+COUNT_MESSAGE = "%s row count deviated %.1f%% from baseline (%d vs %d)"
+NEVER_LOADED_MESSAGE = "%s has no rows / no loaded_at timestamp."
+STALE_MESSAGE = "%s last loaded %.1fh ago (threshold: %sh)"
+DRIFT_MESSAGE = "Schema change detected on %s: added=%s removed=%s changed_types=%s"
+
 TABLE_KEY = ["schema_name", "table_name"]
 ALERT_COLUMNS = ["alert_type", "severity", *TABLE_KEY, "message", "details", "timestamp"]
 
@@ -66,8 +72,7 @@ def count_check(
 
 def count_alerts(checks: DataFrame, at, threshold: float = COUNT_THRESHOLD) -> DataFrame:
     message = F.format_string(
-        "%s row count deviated %.1f%% from baseline (%d vs %d)",
-        _qualified(), F.round(F.col("deviation") * 100, 1), F.col("current_count"), F.col("baseline_count"),
+        COUNT_MESSAGE, _qualified(), F.round(F.col("deviation") * 100, 1), F.col("current_count"), F.col("baseline_count"),
     )
     details = F.to_json(F.struct(
         "current_count", "baseline_count", "deviation_pct", F.lit(threshold * 100).alias("threshold_pct")
@@ -105,9 +110,9 @@ def freshness_check(stats: DataFrame, as_of, stale_hours: float = STALE_HOURS) -
 
 def freshness_alerts(checks: DataFrame, at, stale_hours: float = STALE_HOURS) -> DataFrame:
     message = F.when(
-        F.col("last_loaded").isNull(), F.concat(_qualified(), F.lit(" has no rows / no loaded_at timestamp."))
+        F.col("last_loaded").isNull(), F.format_string(NEVER_LOADED_MESSAGE, _qualified())
     ).otherwise(F.format_string(
-        f"%s last loaded %.1fh ago (threshold: {stale_hours:g}h)", _qualified(), F.round("hours_since_load", 1)
+        STALE_MESSAGE, _qualified(), F.round("hours_since_load", 1), F.lit(f"{stale_hours:g}")
     ))
     details = F.to_json(F.struct(
         F.date_format("last_loaded", "yyyy-MM-dd'T'HH:mm:ss").alias("last_loaded"),
@@ -190,10 +195,7 @@ def listed(names: Column) -> Column:
 
 
 def schema_alerts(diff: DataFrame, at) -> DataFrame:
-    message = F.concat(
-        F.lit("Schema change detected on "), _qualified(), F.lit(": added="), listed(F.col("added")),
-        F.lit(" removed="), listed(F.col("removed")), F.lit(" changed_types="), listed(F.col("changed_types")),
-    )
+    message = F.format_string(DRIFT_MESSAGE, _qualified(), *[listed(F.col(c)) for c in ("added", "removed", "changed_types")])
     details = F.to_json(F.struct(
         F.col("added").alias("added_columns"), F.col("removed").alias("removed_columns"),
         F.col("changed_types").alias("changed_type_columns"),

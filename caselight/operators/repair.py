@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from caselight.operators.monitors import TABLE_KEY
 from caselight.schemas import RAW_COLUMNS
 
+# Wording of the note about a rename.
+RENAMED = "Renamed column '%s' back to '%s'."
+
 
 def rename_candidates(live: DataFrame, declared: DataFrame) -> DataFrame:
     """For each live table the one safe rename, if there is one.
@@ -49,4 +52,4 @@ def apply_safe_rename(df: DataFrame, declared: Sequence[str] = RAW_COLUMNS) -> t
     if found is None:
         return df, None
     current, canonical = found
-    return df.withColumnRenamed(current, canonical), f"Renamed column '{current}' back to '{canonical}'."
+    return df.withColumnRenamed(current, canonical), RENAMED % (current, canonical)
