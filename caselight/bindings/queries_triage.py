@@ -44,7 +44,7 @@ FROM (SELECT doc_id, regexp_replace(CASE WHEN contains(text, 'Traceback (most re
 def document_hints(spark, sf):
     """The log parser over long free texts, whole."""
     message = logs.error_message(F.col("text"))
-    return b.table(spark, sf, "documents").select(
+    return b.spread(b.table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
         "doc_id", logs.error_type_hint(message).alias("error_type_hint"), F.md5(message).alias("message_digest"))
 
 
@@ -61,7 +61,8 @@ SELECT event_id, sql, tier, reason, statement_type, array_to_string(tables, ',')
 FROM events JOIN x_audited ON n = event_id % {len(STATEMENTS)}
 """)
 def statement_audit(spark, sf):
-    statements = b.table(spark, sf, "events").select("event_id", b._statement("event_id").alias("sql"))
+    events = b.spread(b.table(spark, sf, "events").select("event_id"), "event_id")
+    statements = events.select("event_id", b._statement("event_id").alias("sql"))
     return audit(statements).select("event_id", "sql", "audit.*")
 
 
