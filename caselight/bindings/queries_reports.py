@@ -286,7 +286,7 @@ def run_log_fold(spark, sf):
     runs = b.task_runs(spark, sf)
     done = runs.where(F.col("status") != "running")
     started = runlog.start_events(runs, F.col("started_at"))
-    finished = runlog.finish_events(done, F.col("finished_at"))
+    finished = runlog.finish_events(done, F.col("started_at"), F.col("finished_at"))
     early = finished.withColumns({"status": F.lit("running"), "finished_at": F.col("finished_at") - F.expr("interval 1 hour")})
     return runlog.fold(started.unionByName(early).unionByName(finished))
 

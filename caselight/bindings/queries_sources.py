@@ -9,7 +9,6 @@ from caselight.bindings.ctes import hint, q, severity, stamp
 from caselight.bindings.queries_monitors import CHECKED_AT, SPLIT_DAY
 from caselight.bindings.registry import query
 from caselight.bindings.texts import AS_OF, STATEMENTS
-from caselight.functions import labels, logs
 from caselight.operators import changes, monitors, quality
 from caselight.operators.audit import audit
 from caselight.plans.ingest import Warehouse, build_models, load_batch

@@ -130,13 +130,17 @@ def missing_columns(actual: Iterable[str], required: Iterable[str]) -> list[str]
     return sorted(set(required) - set(actual))
 
 
-def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
-    """The frame itself; raises with the missing and the actual names when a required column is absent."""
-    missing = missing_columns(df.columns, required)
+def require_names(actual: Iterable[str], required: Iterable[str]) -> None:
+    """Raise with the missing and the actual names when a required name is absent."""
+    actual = sorted(actual)
+    missing = missing_columns(actual, required)
     if missing:
-        raise MissingColumnsError(
-            f"Schema validation FAILED.\nMissing columns: {missing}\nActual columns: {sorted(df.columns)}"
-        )
+        raise MissingColumnsError(f"Schema validation FAILED.\nMissing columns: {missing}\nActual columns: {actual}")
+
+
+def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
+    """The frame itself, if it has all required columns."""
+    require_names(df.columns, required)
     return df
 
 

@@ -1,4 +1,4 @@
-"""Task runs as events: a start row, later a finish row, folded to the current state."""
+"""Task runs as events: a start row, later a finish row, folded to one row per attempt."""
 
 from __future__ import annotations
 
@@ -21,21 +21,22 @@ def start_events(runs: DataFrame, at) -> DataFrame:
     )
 
 
-def finish_events(results: DataFrame, at) -> DataFrame:
-    """Finish events from rows with the run key, status, rows_processed and error_message."""
+def finish_events(results: DataFrame, started_at, at) -> DataFrame:
+    """Finish events of the attempts that started at ``started_at``, from rows with the run key, status,
+    rows_processed and error_message."""
     return results.select(
         *RUN_KEY, "status", F.col("rows_processed").cast("bigint").alias("rows_processed"), "error_message",
-        F.lit(None).cast("timestamp_ntz").alias("started_at"), moment(at).alias("finished_at"),
+        moment(started_at).alias("started_at"), moment(at).alias("finished_at"),
     )
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """Current state of each task run: its start time and the values of its newest finish event.
+    """One row per attempt, which is a task of a run and its start time: the values of its newest finish event.
 
-    One hash-partitioned aggregate; each map task merges the events of a run before the shuffle.
+    One aggregate by key; each map task merges the events of an attempt before the shuffle.
     """
     finish = F.when(F.col("finished_at").isNotNull(), F.struct("finished_at", "status", "rows_processed", "error_message"))
-    state = events.groupBy(*RUN_KEY).agg(F.min("started_at").alias("started_at"), F.max(finish).alias("finish"))
+    state = events.groupBy(*RUN_KEY, "started_at").agg(F.max(finish).alias("finish"))
     return state.select(
         *RUN_KEY,
         F.coalesce("finish.status", F.lit("running")).alias("status"),

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from caselight.functions.measures import moment
-from caselight.operators import monitors, quality
+from caselight.operators import monitors, quality, runlog
 from caselight.plans import marts
 from caselight.plans.staging import normalize_codes, stage_reports
-from caselight.schemas import LANDING_COLUMNS, REQUIRED_COLUMNS
+from caselight.schemas import LANDING_COLUMNS, REQUIRED_COLUMNS, TASK_RUN_DDL
 from caselight.sources import landing, tables
+from caselight.sources.reports import flatten
+
+logger = logging.getLogger(__name__)
 
 TABLE = ("raw", "case_reports")
 
@@ -31,6 +39,101 @@ class Warehouse:
         return f"{self.root}/{schema}/{table}"
 
 
+@dataclass(frozen=True)
+class Extracted:
+    """One landing batch: where it is, its rows, and whether it is an old one because the source was down."""
+
+    load_date: str
+    batch_id: str
+    rows: int
+    used_cache: bool
+
+
+def extract(
+    spark: SparkSession, documents: Callable[[], DataFrame], landing_path: str, load_date: str, batch_id: str
+) -> Extracted:
+    """Land the documents of a source; if it cannot be read, fall back to the newest batch that landed before.
+
+    A batch that cannot be read back is an error of the landing folder, not of the source, and is raised.
+    """
+    try:
+        rows = landing.write_landing(flatten(documents(), load_date), landing_path, load_date, batch_id)
+        return Extracted(load_date, batch_id, rows, used_cache=False)
+    except (PySparkException, Py4JJavaError, OSError) as problem:
+        logger.warning("source unreachable, using the newest landing batch: %s", problem)
+    old_date, old_batch = landing.latest_batch(spark, landing_path)
+    return Extracted(old_date, old_batch, landing.read_batch(spark, landing_path, old_date, old_batch).count(), True)
+
+
+def logged(
+    warehouse: Warehouse, spark: SparkSession, run: tuple[str, str], task_id: str, work: Callable[[], int | None],
+    clock: Callable[[], dt.datetime],
+) -> int | None:
+    """Run one task of a load and append its start and its finish, with rows or error, to the run log."""
+    log = warehouse.path("monitoring", "pipeline_runs")
+    key = spark.createDataFrame([(*run, task_id)], "dag_id string, run_id string, task_id string")
+
+    started = clock()
+
+    def finish(status: str, rows: int | None = None, error: str | None = None) -> None:
+        result = key.select(
+            "*", F.lit(status).alias("status"), F.lit(rows).cast("bigint").alias("rows_processed"),
+            F.lit(error).cast("string").alias("error_message"))
+        tables.append(runlog.finish_events(result, started, clock()), log)
+
+    tables.append(runlog.start_events(key, started), log)
+    try:
+        rows = work()
+    except Exception as problem:
+        finish("failed", error=str(problem))
+        raise
+    finish("success", rows)
+    return rows
+
+
+def task_runs(warehouse: Warehouse, spark: SparkSession) -> DataFrame:
+    """Every attempt of every task in the log."""
+    return runlog.fold(tables.read_log(spark, warehouse.path("monitoring", "pipeline_runs"), TASK_RUN_DDL))
+
+
+def run_load(
+    spark: SparkSession, warehouse: Warehouse, documents: Callable[[], DataFrame], landing_path: str, load_date: str,
+    run: tuple[str, str], clock: Callable[[], dt.datetime], clean_codes: bool = False, exclude: tuple[str, ...] = (),
+) -> Extracted:
+    """One load from end to end: extract, validate, load, build. Each task is logged; the first failure stops the load.
+
+    ``run`` is (dag_id, run_id) and also names the landing batch. When nothing came in, the later tasks do not run.
+    """
+    found: list[Extracted] = []
+
+    def extract_reports() -> int:
+        found.append(extract(spark, documents, landing_path, load_date, run[1]))
+        return found[0].rows
+
+    def batch() -> DataFrame:
+        return landing.read_batch(spark, landing_path, found[0].load_date, found[0].batch_id)
+
+    def validate_schema() -> None:
+        names = landing.header(spark, landing.batch_path(landing_path, found[0].load_date, found[0].batch_id))
+        quality.require_names(names, REQUIRED_COLUMNS)
+        if warehouse.raw.exists(spark):
+            record_schema(warehouse, warehouse.raw.read(spark), clock())
+
+    def load_reports() -> int:
+        order = [F.desc_nulls_last("received_date"), F.desc_nulls_last("outcome")]
+        return load_batch(warehouse, batch(), order, clock(), found[0].used_cache, clean_codes)
+
+    def build() -> None:
+        build_models(warehouse, spark, exclude)
+
+    logged(warehouse, spark, run, "extract_reports", extract_reports, clock)
+    if found[0].rows > 0:
+        logged(warehouse, spark, run, "validate_schema", validate_schema, clock)
+        logged(warehouse, spark, run, "load_reports", load_reports, clock)
+        logged(warehouse, spark, run, "build_models", build, clock)
+    return found[0]
+
+
 def typed_batch(batch: DataFrame) -> DataFrame:
     """A landing batch, all text, with the types of the raw table."""
     columns = [F.col(name) for name in LANDING_COLUMNS if name not in ("patient_age", "load_date")]

@@ -46,10 +46,3 @@ def investigate(
         freshness=freshness_status(freshness),
         impact=impact,
     )
-
-
-def decide(
-    classified: DataFrame, renames: DataFrame, reusable: DataFrame, proposals: DataFrame | None, allowed: list[str]
-) -> DataFrame:
-    """Choose a fix for each incident and route it."""
-    return incidents.route(incidents.choose_fix(classified, renames, reusable, proposals), allowed)

@@ -21,6 +21,12 @@ def page_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return explode_pages(spark.readStream.format("paged_reports").options(**options).load())
 
 
+def first_cursor(spark: SparkSession, warehouse: Warehouse, date_range: str) -> dict[str, str]:
+    """Options that start a paged source where a table loaded so far left off, for a stream without a checkpoint yet."""
+    loaded = warehouse.raw.read(spark).count() if warehouse.raw.exists(spark) else 0
+    return {"date_range": date_range, "skip": str(loaded)}
+
+
 def start_ingest(documents: DataFrame, warehouse: Warehouse, load_date: str, at, checkpoint: str,
                  used_cache: bool = False) -> StreamingQuery:
     """Flatten arriving documents and upsert them; inside a micro-batch the newest received report of a key wins.

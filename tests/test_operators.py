@@ -45,7 +45,9 @@ def test_upsert_stamps_the_batch(spark):
 
 def test_hot_key_keeps_one_row_per_task(spark):
     """A key with nearly all rows is cut down before the shuffle."""
-    hot = spark.range(0, 5000, 1, 4).select(F.when(F.col("id") != 7, "hot").otherwise("cold").alias("id"), F.col("id").cast("int").alias("v"), F.col("id").cast("int").alias("o"))
+    number = F.col("id").cast("int")
+    hot = spark.range(0, 5000, 1, 4).select(
+        F.when(number != 7, "hot").otherwise("cold").alias("id"), number.alias("v"), number.alias("o"))
     got = changes.dedupe_batch(hot, ["id"], [F.desc("o")])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
@@ -78,7 +80,9 @@ def test_missing_columns_are_added_once(spark):
 def test_run_log_folds_to_the_newest_finish(spark):
     key = spark.createDataFrame([("d", "r", "t"), ("d", "r", "u")], "dag_id string, run_id string, task_id string")
     done = key.where("task_id = 't'").select("*", F.lit("failed").alias("status"), F.lit(5).alias("rows_processed"), F.lit("boom").alias("error_message"))
-    events = runlog.start_events(key, at(10)).unionByName(runlog.finish_events(done, at(5)))
+    retried = runlog.start_events(key.where("task_id = 't'"), at(2))
+    events = runlog.start_events(key, at(10)).unionByName(runlog.finish_events(done, at(10), at(5)))
+    assert rows(runlog.fold(events.unionByName(retried)), "task_id", "status") == [("t", "failed"), ("t", "running"), ("u", "running")]
     got = {r["task_id"]: r for r in runlog.fold(events).collect()}
     assert (got["t"]["status"], got["t"]["rows_processed"], got["t"]["finished_at"]) == ("failed", 5, at(5))
     assert (got["u"]["status"], got["u"]["finished_at"], got["u"]["started_at"]) == ("running", None, at(10))

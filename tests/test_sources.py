@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from caselight.plans.ingest import Warehouse, load_batch
+from caselight.operators.quality import DataQualityError
+from caselight.plans.ingest import Warehouse, load_batch, run_load, task_runs
+from caselight.plans.reports import run_summary
 from caselight.schemas import FRESHNESS_DDL, LANDING_COLUMNS, LANDING_DDL, REPORT_DDL
 from caselight.sources import landing, paged, reports, tables, windows
 from caselight.streaming import ingest, jobs, ladder
@@ -212,6 +214,57 @@ def test_load_batch_logs_and_skips_empty_batches(spark, tmp_path):
     assert (log["data_source"], log["is_stale"]) == ("cached", True)
 
 
+def clock_from(start):
+    moments = iter(start + dt.timedelta(minutes=i) for i in range(1000))
+    return lambda: next(moments)
+
+
+def document_frame(spark, *documents):
+    lines = spark.createDataFrame([(json.dumps(d),) for d in documents], "json string")
+    return reports.parse_documents(lines)
+
+
+def full_document(key, **fields):
+    return {"safetyreportid": key, "receiptdate": "20240101", "serious": "1", "patient": {
+        "patientsex": "1", "drug": [{"medicinalproduct": "x"}], "reaction": [{"reactionmeddrapt": "r"}]}} | fields
+
+
+def test_run_load_logs_each_task(spark, tmp_path):
+    warehouse, path = Warehouse(str(tmp_path / "w")), str(tmp_path / "landing")
+    clock = clock_from(dt.datetime(2024, 3, 1))
+
+    def load(run_id, documents):
+        return run_load(spark, warehouse, documents, path, "2024-03-01", ("d", run_id), clock)
+
+    def states(run_id):
+        found = task_runs(warehouse, spark).where(F.col("run_id") == run_id)
+        return {r["task_id"]: (r["status"], r["rows_processed"]) for r in found.collect()}
+
+    def down():
+        raise OSError("no route to host")
+
+    with pytest.raises(landing.LandingError):
+        load("r0", down)
+    assert states("r0") == {"extract_reports": ("failed", None)}
+    load("r1", lambda: document_frame(spark, full_document("a"), full_document("b")))
+    assert states("r1") == {"extract_reports": ("success", 2), "validate_schema": ("success", None),
+                            "load_reports": ("success", 2), "build_models": ("success", None)}
+    assert load("r2", down).used_cache
+    assert states("r2")["load_reports"] == ("success", 2) and warehouse.raw.read(spark).count() == 2
+    log = tables.read_log(spark, warehouse.path("monitoring", "freshness_checks"), FRESHNESS_DDL)
+    assert sorted(r["data_source"] for r in log.collect()) == ["cached", "live"]
+    assert load("r3", lambda: document_frame(spark, full_document("a")).limit(0)).rows == 0
+    assert states("r3") == {"extract_reports": ("success", 0)}
+    with pytest.raises(DataQualityError, match="drug_name: not_null failed for 1"):
+        load("r4", lambda: document_frame(spark, full_document("c", patient={"reaction": [{"reactionmeddrapt": "r"}]})))
+    assert states("r4")["build_models"] == ("failed", None)
+    error = task_runs(warehouse, spark).where("run_id = 'r4' and status = 'failed'").first()["error_message"]
+    assert "not_null failed for 1" in error
+    summary = run_summary(task_runs(warehouse, spark)).first()
+    assert (summary["total_runs"], summary["success_rate"]) == (5, 60.0)
+    assert ingest.first_cursor(spark, warehouse, WINDOW) == {"date_range": WINDOW, "skip": "3"}
+
+
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 def test_stream_ingest_replays_without_effect(spark, tmp_path):
