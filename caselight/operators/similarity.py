@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caselight.operators.latest import top_per_key
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 REUSE_SCORE = 0.85
 
 
@@ -24,10 +24,15 @@ def _blocks(df: DataFrame, key: str, vector: str, order: str | None, n_blocks: i
     )
     return packed.select(
         f"{prefix}_block", F.col("items.id").alias(f"{prefix}_ids"), F.col("items.rank").alias(f"{prefix}_ranks"),
-        F.flatten("items.vector").cast("array<double>").alias(f"{prefix}_values"),
+        F.flatten("items.vector").alias(f"{prefix}_values"),
     )
 
 
+def _for_each(blocks: DataFrame, own: str, other: str, n_blocks: int) -> DataFrame:
+    """One copy of each block for each block number of the other side."""
+    return blocks.drop(own).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+
+
 def _best_of_block(k: int, ordered: bool, min_score: float | None):
     """Arrow function: for each pair of blocks, multiply them and keep the k best matches of each query."""
 
@@ -38,24 +43,21 @@ def _best_of_block(k: int, ordered: bool, min_score: float | None):
                     return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
                 q_ids, c_ids = numbers("q_ids"), numbers("c_ids")
-                queries = numbers("q_values").reshape(len(q_ids), -1)
-                corpus = numbers("c_values").reshape(len(c_ids), -1)
+                queries = numbers("q_values").astype(np.float64).reshape(len(q_ids), -1)
+                corpus = numbers("c_values").astype(np.float64).reshape(len(c_ids), -1)
                 scores = queries @ corpus.T
                 if ordered:
                     scores[numbers("c_ranks")[None, :] >= numbers("q_ranks")[:, None]] = -np.inf
-                floor = -np.inf if min_score is None else np.nextafter(min_score, -np.inf)
-                out_query, out_match, out_score = [], [], []
-                for position, line in enumerate(scores):
-                    cut = floor
-                    if len(line) > k:
-                        cut = max(cut, np.nextafter(np.partition(line, len(line) - k)[len(line) - k], -np.inf))
-                    near = np.flatnonzero(line > cut)
-                    near = near[np.lexsort((c_ids[near], -line[near]))][:k]
-                    out_query.append(np.full(len(near), q_ids[position]))
-                    out_match.append(c_ids[near])
-                    out_score.append(line[near])
+                wanted = scores > -np.inf if min_score is None else scores >= min_score
+                if len(c_ids) > k:
+                    wanted &= scores >= np.partition(scores, len(c_ids) - k, axis=1)[:, [len(c_ids) - k]]
+                near, match = np.nonzero(wanted)
+                best = np.lexsort((c_ids[match], -scores[near, match], near))
+                near, match = near[best], match[best]
+                position = np.arange(len(near)) - np.searchsorted(near, near)  # rank among the matches of one query
+                near, match = near[position < k], match[position < k]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(part)) for part in (out_query, out_match, out_score)],
+                    [pa.array(q_ids[near]), pa.array(c_ids[match]), pa.array(scores[near, match])],
                     names=["query_id", "match_id", "score"],
                 )
 
@@ -68,8 +70,8 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` most similar corpus rows of each query: (query_id, match_id, score, rank); ties go to the smaller id.
 
-    Keys are whole numbers and unique. Both sides are packed into blocks; a block of queries meets every block of the
-    corpus through an equi-join on the block number, and each meeting is one matrix product that hands on only the k
+    Keys are whole numbers and unique. Both sides are packed into blocks; every block of queries meets every block of
+    the corpus through an equi-join on a block number, and each meeting is one matrix product that hands on only the k
     best of each query. No pair of rows is ever materialised. ``order`` names a numeric column of both sides; with it
     a query only sees corpus rows that come strictly before it.
     """
@@ -77,7 +79,11 @@ def nearest(
     q_blocks, c_blocks = max(1, math.ceil(n_queries / block_rows)), max(1, math.ceil(n_corpus / block_rows))
     left = _blocks(queries, query_key, vector, order, q_blocks, "q")
     right = _blocks(corpus, corpus_key, vector, order, c_blocks, "c")
-    meetings = left.withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))).join(right, "c_block")
+    # The side with fewer blocks is repeated for each block of the other, whose block number then spreads the work.
+    if q_blocks >= c_blocks:
+        meetings = left.join(_for_each(right, "c_block", "q_block", q_blocks), "q_block")
+    else:
+        meetings = right.join(_for_each(left, "q_block", "c_block", c_blocks), "c_block")
     best = meetings.select("q_ids", "q_ranks", "q_values", "c_ids", "c_ranks", "c_values").mapInArrow(
         _best_of_block(k, order is not None, min_score), "query_id bigint, match_id bigint, score double"
     )

@@ -281,6 +281,19 @@ def test_nearest_matches_brute_force(spark, block_rows, ordered):
     assert set(result) == set(expected) and not close
 
 
+def test_nearest_with_sides_of_different_size(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(40, 5))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id bigint, vector array<double>")
+    few, many = df.where("id < 3"), df.where("id >= 3")
+    for queries, corpus in ((few, many), (many, few)):
+        got = similarity.nearest(queries, corpus, 2, query_key="id", corpus_key="id", block_rows=4)
+        q_ids, c_ids = [sorted(r["id"] for r in side.collect()) for side in (queries, corpus)]
+        expected = {(q, rank, sorted(c_ids, key=lambda c: -vectors[q] @ vectors[c])[rank - 1]) for q in q_ids for rank in (1, 2)}
+        assert set(rows(got, "query_id", "rank", "match_id")) == expected
+
+
 def test_reuse_threshold_is_inclusive(spark):
     memory = spark.createDataFrame(
         [(1, [1.0, 0.0], True), (2, [0.0, 1.0], False)], "incident_id bigint, vector array<double>, has_sql_fix boolean")
