@@ -315,7 +315,7 @@ FROM (SELECT *, CASE
 CTES["x_edges"] = """
 SELECT (event_id - 1) // 2 AS parent, event_id AS child FROM events WHERE event_id > 0
 UNION ALL
-SELECT event_id, (event_id - 1) // 2 FROM events WHERE event_id > 0 AND event_id % 4 = 0
+SELECT event_id, (event_id - 1) // 2 FROM events WHERE event_id > 0 AND event_type = 'error'
 """
 CTES["x_nodes"] = """
 SELECT event_id AS unique_id, CASE WHEN event_id % 3 <> 0 THEN 'model' ELSE 'test' END AS resource_type,

@@ -342,10 +342,10 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 def lineage_edges(spark: SparkSession, sf: str) -> DataFrame:
     """A binary tree over the event numbers with some edges back up, so it has cycles."""
-    events = table(spark, sf, "events").select(F.col("event_id").alias("n"))
+    events = table(spark, sf, "events").select(F.col("event_id").alias("n"), "event_type")
     parent = F.floor((F.col("n") - 1) / 2)
     down = events.where("n > 0").select(parent.alias("parent"), F.col("n").alias("child"))
-    back = events.where("n > 0 and n % 4 = 0").select(F.col("n").alias("parent"), parent.alias("child"))
+    back = events.where("n > 0 and event_type = 'error'").select(F.col("n").alias("parent"), parent.alias("child"))
     return down.unionByName(back)
 
 

@@ -75,7 +75,8 @@ def nearest(
     best of each query. No pair of rows is ever materialised. ``order`` names a numeric column of both sides; with it
     a query only sees corpus rows that come strictly before it.
     """
-    n_queries, n_corpus = queries.count(), corpus.count()
+    n_queries = queries.count()
+    n_corpus = n_queries if corpus is queries else corpus.count()
     q_blocks, c_blocks = max(1, math.ceil(n_queries / block_rows)), max(1, math.ceil(n_corpus / block_rows))
     left = _blocks(queries, query_key, vector, order, q_blocks, "q")
     right = _blocks(corpus, corpus_key, vector, order, c_blocks, "c")

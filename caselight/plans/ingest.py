@@ -27,9 +27,10 @@ TABLE = ("raw", "case_reports")
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Paths of the tables below one root folder."""
+    """Paths of the tables below one root folder, and after how many loads the raw table is compacted."""
 
     root: str
+    compact_after: int = 100
 
     @property
     def raw(self) -> tables.KeyedTable:
@@ -157,6 +158,8 @@ def load_batch(
         if rows == 0:
             return 0
         warehouse.raw.upsert(batch, order, loaded_at=at)
+        if warehouse.raw.pending(batch.sparkSession) >= warehouse.compact_after:
+            warehouse.raw.compact(batch.sparkSession)
         tables.append(monitors.batch_baseline(*TABLE, batch, at), warehouse.path("monitoring", "row_count_baselines"))
         one = batch.sparkSession.range(1).select(
             *[value.alias(name) for name, value in monitors.load_record(*TABLE, used_cache, at).items()])

@@ -75,11 +75,25 @@ class KeyedTable:
             fresh = stamp(fresh, "loaded_at", loaded_at)
         self._save(fresh, "changes", self._next(batch.sparkSession))
 
+    def pending(self, spark: SparkSession) -> int:
+        """Number of upserts that are not in the base yet."""
+        newest = max(self._numbers(spark, "base"), default=-1)
+        return sum(number > newest for number in self._numbers(spark, "changes"))
+
     def compact(self, spark: SparkSession) -> None:
-        """Fold all changes into a new base. The folders it replaces may be removed once no reader uses them."""
-        numbers = self._numbers(spark, "changes")
-        if numbers and numbers[-1] > max(self._numbers(spark, "base"), default=-1):
-            self._save(self.read(spark), "base", numbers[-1])
+        """Fold all changes into a new base. Readers of the old folders go on undisturbed, see ``drop_superseded``."""
+        if self.pending(spark):
+            self._save(self.read(spark), "base", self._numbers(spark, "changes")[-1])
+
+    def drop_superseded(self, spark: SparkSession) -> int:
+        """Remove the folders that the newest base replaced, once no reader needs them; returns how many."""
+        newest = max(self._numbers(spark, "base"), default=-1)
+        old = [f"{self.path}/base/{BATCH}={n}" for n in self._numbers(spark, "base") if n < newest]
+        old += [f"{self.path}/changes/{BATCH}={n}" for n in self._numbers(spark, "changes") if n <= newest]
+        for folder in old:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(old)
 
 
 def append(df: DataFrame, path: str) -> None:

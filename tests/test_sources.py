@@ -164,6 +164,30 @@ def test_keyed_table(spark, tmp_path):
     assert rows(table.read(spark)) == [("5", 1)]
 
 
+def test_keyed_table_drops_what_a_base_replaced(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
+    row = lambda v: spark.createDataFrame([("a", v)], "id string, v int")
+    table.write(row(0))
+    for v in (1, 2):
+        table.upsert(row(v), [F.desc("v")])
+    assert table.pending(spark) == 2 and table.drop_superseded(spark) == 0
+    table.compact(spark)
+    assert table.pending(spark) == 0 and table.drop_superseded(spark) == 3
+    assert rows(table.read(spark)) == [("a", 2)]
+    table.upsert(row(3), [F.desc("v")])
+    assert rows(table.read(spark)) == [("a", 3)]
+
+
+def test_loads_compact_the_raw_table_now_and_then(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path / "w"), compact_after=2)
+    pending = []
+    for number in range(5):
+        batch = landing_batch(spark, {"report_id": str(number % 2), "load_date": "2024-03-01", "received_date": "20240101"})
+        load_batch(warehouse, batch, [F.desc("received_date")], f"2024-03-01 0{number}:00:00")
+        pending.append(warehouse.raw.pending(spark))
+    assert pending == [1, 0, 1, 0, 1] and warehouse.raw.read(spark).count() == 2
+
+
 def test_keyed_table_ignores_unfinished_folders(spark, tmp_path):
     table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
     row = lambda v: spark.createDataFrame([("a", v)], "id string, v int")
