@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caselight.llm import bpe, exact, mixing, pii, quality, url_filters, warc
+from caselight.llm import bpe, exact, fmindex, jaccard, mixing, pii, quality, suffix, url_filters, warc
 from caselight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +36,22 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary(), ids=False, decoded=False, digests=True)
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -56,7 +68,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_url_filters, op2_quality_rules, op3_source_mixing, op5_bpe, op8_exact_dedup, op9_warc, op10_pii)}
+    op1_url_filters, op2_quality_rules, op3_source_mixing, op4_ngram_jaccard, op5_bpe, op6_suffix_array, op7_fm_index,
+    op8_exact_dedup, op9_warc, op10_pii)}
 
 _URL = """
 WITH cut AS (
