@@ -47,6 +47,25 @@ def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return condition
 
 
+#: Size up to which a table with one row per document is sent to all executors; beyond it the join shuffles.
+BROADCAST_BYTES, BROADCAST_ROWS = 32_000_000, 500_000
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str, name: str = "__key") -> DataFrame:
+    """Append a key that rows share only if they repeat both id and text (null as empty)."""
+    return docs.withColumn(name, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def attach(docs: DataFrame, side: DataFrame, on: str, how: str, size: Column | None = None) -> DataFrame:
+    """Join a stored table with one row per key to the documents; a small one, by its measured size, is broadcast.
+
+    The limits hold at every size of the corpus; the result does not depend on which way the join takes.
+    """
+    rows, held = side.agg(F.count("*"), F.sum(size if size is not None else F.lit(16))).first()
+    small = rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES
+    return docs.join(F.broadcast(side) if small else side, on, how)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once for each row."""
     return F.element_at(F.transform(F.array(value), body), 1)

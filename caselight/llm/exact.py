@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from caselight.llm.common import SPACE, stored
+from caselight.llm.common import SPACE, attach, stored
 
 PREFIX = 64
 
@@ -21,10 +21,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     length or text that a third of all rows shares costs one row per task. The last join is on a table written before
     it, so that Spark splits the rows of a frequent text over many tasks.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    bare = F.regexp_replace(text, SPACE + "+", "")
+    rows, groups = refined(docs, id_col, text_col)
+    joined = rows.join(groups, ["len", "digest"], "left")
+    grouped = F.col("group_size").isNotNull()
+    keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("id"))
+    return joined.select(
+        F.col("id").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias(
+            "group_size"), F.col("id").eqNullSafe(keep).alias("kept"), F.col("digest").alias("text_sha256"))
+
+
+def bare_text(text: Column) -> Column:
+    """The text without white space; empty for null."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE + "+", "")
+
+
+def refined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Stored: one narrow row per input row, and the groups of two rows or more with the id that stays."""
     rows = stored(docs.select(
-        F.col(id_col).alias("id"), F.length(text).cast("long").alias("points"), bare.alias("bare")).select(
+        F.col(id_col).alias("id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("points"),
+        bare_text(F.col(text_col)).alias("bare")).select(
         "id", "points", F.length("bare").cast("long").alias("len"),
         F.xxhash64(F.substring("bare", 1, PREFIX)).alias("prefix"), F.sha2(F.col("bare"), 256).alias("digest")), "exact")
     lengths = rows.groupBy("len").agg(F.count("*").alias("n")).filter("n > 1").select("len")
@@ -36,9 +51,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.min(F.struct((-F.col("points")).alias("points"), F.col("id").isNull().alias("no_id"), "id")).alias("best"))
     groups = stored(full.filter("group_size > 1").select("len", "digest", "group_size", F.col("best.id").alias("keep_id")),
                     "exact_groups")
-    joined = rows.join(groups, ["len", "digest"], "left")
-    grouped = F.col("group_size").isNotNull()
-    keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("id"))
-    return joined.select(
-        F.col("id").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias(
-            "group_size"), F.col("id").eqNullSafe(keep).alias("kept"), F.col("digest").alias("text_sha256"))
+    return rows, groups
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns; of rows that repeat an id, one."""
+    _, groups = refined(docs, id_col, text_col)
+    side = stored(groups.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"),
+                                F.lit(True).alias("__group")), "copies")
+    marked = docs.withColumn("__digest", F.sha2(bare_text(F.col(text_col)), 256))
+    joined = attach(marked, side, "__digest", "left", F.lit(100))
+    alone = joined.filter(F.col("__group").isNull())
+    firsts = joined.filter(F.col("__group") & F.col(id_col).eqNullSafe(F.col("__keep"))).dropDuplicates(["__digest"])
+    return alone.unionByName(firsts).select(*[F.col(f"`{c}`") for c in docs.columns])

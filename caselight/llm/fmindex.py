@@ -152,7 +152,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length < 2 * GRAM:
         raise ValueError(f"windows of less than {2 * GRAM} words have too few anchors")
-    rows = S.keyed(docs, id_col, text_col)
+    rows = S.rows_of(docs, id_col, text_col)
     shards = S.segments(rows, S.Unit(True, length, GRAM))
     spans = shards.groupBy("shard").applyInArrow(lambda group, table: repeated_windows(table, length), S.SPANS)
     joined = S.removal(rows, spans)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselight.llm import hashing as H
-from caselight.llm.common import partitions, stored
+from caselight.llm.common import attach, keyed, partitions, stored
 from caselight.llm.components import components
 
 SIGNATURES_PER_SHARD = 1_000_000
@@ -122,7 +122,8 @@ def signatures(items: np.ndarray, bounds: np.ndarray, bands: Bands, step: int) -
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return keyed(rows, "id", "text", "key")
 
 
 def _shards(sets: DataFrame, bands: Bands, n: int, shards: int) -> DataFrame:
@@ -222,6 +223,21 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Sets that share a signature are first compared with the least of them. What that leaves in different components is
     then compared completely, so no link is lost, and a group of near copies is not expanded into all its pairs.
     """
+    return _grouped(docs, id_col, text_col, n, percent).select(
+        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("print").alias("set_id"))
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
+                 ) -> DataFrame:
+    """The rows of ``docs`` whose id is that of their group, with all their columns; rows with an empty set stay."""
+    rows = _grouped(docs, id_col, text_col, n, percent)
+    gone = stored(rows.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct(),
+                  "similar")
+    kept = attach(keyed(docs, id_col, text_col), gone, "__key", "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     bands, texts = Bands(percent), _texts(docs, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
@@ -234,11 +250,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 band = bands.of(np.maximum(sizes, 1))
                 many = sum(bands.parts[band + s] * bands.fine[band + s] * (bands.fine[band + s] - 1) // 2 for s in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(sizes, pa.int64()),
+                    [part.column("id"), part.column("key"), pa.array(sizes, pa.int64()),
                      pa.array(set_prints(items, bounds).view(np.int64), pa.int64()), pa.array(many, pa.int64())],
-                    ["id", "n_shingles", "print", "n_signatures"])
+                    ["id", "key", "n_shingles", "print", "n_signatures"])
 
-    members = stored(texts.mapInArrow(describe, f"id {kind}, n_shingles long, print long, n_signatures long"), "sets")
+    members = stored(texts.select("id", "key", "text").mapInArrow(
+        describe, f"id {kind}, key long, n_shingles long, print long, n_signatures long"), "sets")
     total = members.agg(F.sum("n_signatures")).first()[0] or 0
     shards = max(partitions(spark), total // SIGNATURES_PER_SHARD + 1)
     lists = stored(_lists(_shards(texts, bands, n, shards)), "lists")
@@ -273,9 +290,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = named.groupBy("label").agg(F.min(F.struct(F.col("rep_id").isNull().alias("no_id"), "rep_id")).alias("least"))
     named = stored(named.join(least, "label").select("print", F.col("least.rep_id").alias("component_id")), "named")
     return members.join(named, "print", "left").select(
-        F.col("id").alias(id_col), "n_shingles",
-        F.when(F.col("print") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.col("print").alias("set_id"))
+        "id", "key", "n_shingles", "print",
+        F.when(F.col("print") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def _sets_of(spark: SparkSession, texts: DataFrame, chosen: DataFrame, n: int) -> DataFrame:

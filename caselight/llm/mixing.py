@@ -13,7 +13,7 @@ from fractions import Fraction
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
-from caselight.llm.common import stored, word_count
+from caselight.llm.common import attach, keyed, stored, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -79,9 +79,42 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     nothing is taken of it. Repeated rows are placed one by one. The plan over sources handles one row per source; rows
     are dealt by source and shard, so a source with a third of all rows spreads over many shards.
     """
+    chosen = _placed(docs, id_col, text_col, source_col, block_words, shard_words, cap, seed)
+
+    def upto(x: str) -> str:
+        """Words of the chosen blocks that lie before word ``x`` of the line."""
+        k = f"(({x}) div {block_words})"
+        before, after = f"(({k} * extra + start) div n)", f"((({k} + 1) * extra + start) div n)"
+        return f"({block_words} * {before} + ({after} - {before}) * (({x}) - {block_words} * {k}))"
+
+    return chosen.select(
+        F.col("id").alias(id_col), "size", "source_size", "target",
+        F.expr(f"least({cap} * size, passes * size + {upto('at + size')} - {upto('at')})").cast("long").alias("taken"))
+
+
+def take_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                   block_words: int = 64, shard_words: int = 2_000_000, cap: int = 3, seed: int = 7) -> DataFrame:
+    """The mix in whole documents, with all their columns: a document is repeated once for each full pass over its shard
+    and once more if its first word lies in a chosen block. Documents without words are left out. Rows that repeat id and
+    text are taken as often as the one of them that is taken most often.
+    """
+    chosen = _placed(docs, id_col, text_col, source_col, block_words, shard_words, cap, seed)
+    block = f"(at div {block_words})"
+    extra_copy = f"((({block} + 1) * extra + start) div n) - (({block} * extra + start) div n)"
+    copies = chosen.filter("size > 0").select("key", F.expr(f"least({cap}, passes + {extra_copy})").alias("copies"))
+    per_key = stored(copies.groupBy(F.col("key").alias("__key")).agg(F.max("copies").alias("__copies")), "copies")
+    joined = attach(keyed(docs, id_col, text_col), per_key.filter("__copies > 0"), "__key", "inner")
+    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, shard_words: int, cap: int,
+            seed: int) -> DataFrame:
+    """Rows on the lines of their shards, with the full passes, extra blocks and seeded start of each shard."""
     size = word_count(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"),
-                       F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("place"))
+    rows = keyed(docs, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.col("__key").alias("key"),
+        F.xxhash64(F.lit(seed), F.col("__key")).alias("place"))
     rows = stored(rows, "mix")
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = sums.groupBy().applyInPandas(
@@ -89,7 +122,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "source string, source_size long, target double, quota long, shards long")
     plan = stored(plan, "mix_sources")
     dealt = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(
-        "id", rows["source"], "size", "place", "source_size", "target", "quota",
+        "id", rows["source"], "size", "key", "place", "source_size", "target", "quota",
         F.expr("pmod(xxhash64(place), shards)").alias("shard"))
 
     def shard_quotas(part: pd.DataFrame) -> pd.DataFrame:
@@ -100,23 +133,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     lines = dealt.groupBy("source", "shard").agg(F.sum("size").alias("line"), F.max("quota").alias("quota"))
     quotas = lines.groupBy("source").applyInPandas(
         shard_quotas, "source string, shard long, line long, blocks long").alias("q")
-    rank = Window.partitionBy("source", "shard").orderBy("place", "id").rowsBetween(Window.unboundedPreceding, -1)
+    rank = Window.partitionBy("source", "shard").orderBy("place", "key", "id").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("at", F.coalesce(F.sum("size").over(rank), F.lit(0))).alias("d")
     joined = placed.join(quotas, F.col("d.source").eqNullSafe(F.col("q.source"))
                          & (F.col("d.shard") == F.col("q.shard"))).select("d.*", "q.line", "q.blocks")
-    chosen = joined.select(
+    return joined.select(
         "*", F.expr(f"least(blocks * {block_words}, {cap} * line)").alias("goal"),
         F.expr(f"greatest(1, (line + {block_words} - 1) div {block_words})").alias("n")).select(
         "*", F.expr("if(line > 0, goal div line, 0)").alias("passes"),
         F.expr(f"if(line > 0, least(n, ((goal % line) + {block_words} div 2) div {block_words}), 0)").alias("extra"),
         F.expr(f"pmod(xxhash64({seed}, source, shard), n)").alias("start"))
-
-    def upto(x: str) -> str:
-        """Words of the chosen blocks that lie before word ``x`` of the line."""
-        k = f"(({x}) div {block_words})"
-        before, after = f"(({k} * extra + start) div n)", f"((({k} + 1) * extra + start) div n)"
-        return f"({block_words} * {before} + ({after} - {before}) * (({x}) - {block_words} * {k}))"
-
-    return chosen.select(
-        F.col("id").alias(id_col), "size", "source_size", "target",
-        F.expr(f"least({cap} * size, passes * size + {upto('at + size')} - {upto('at')})").cast("long").alias("taken"))

@@ -127,17 +127,34 @@ def fences(rows: DataFrame, spread: float = 6.0, min_docs: int = 100) -> DataFra
     return quart.groupBy("lang", "source").agg(*sides)
 
 
-def within_fences() -> Column:
-    """Whether the counts of a row lie within the fences of its row; true where a group has no fence."""
+def within_fences(limits: Column) -> Column:
+    """Whether the counts of a row lie within the fences of its group; true where a group has no fence."""
     inside = F.lit(True)
     for name, (expression, low_counts, _) in MEASURES.items():
-        value = F.expr(f"{expression}")
-        inside = inside & F.coalesce(value <= F.col(f"max_{name}"), F.lit(True))
+        value = F.expr(expression)
+        inside = inside & F.coalesce(value <= limits[f"max_{name}"], F.lit(True))
         if low_counts:
-            inside = inside & F.coalesce(value >= F.col(f"min_{name}"), F.lit(True))
+            inside = inside & F.coalesce(value >= limits[f"min_{name}"], F.lit(True))
     return inside
 
 
+def _judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rows with id, lang, source, base counts and base_failed: add the verdict."""
+    limits = limits.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.struct(
+        *[c for c in limits.columns if c not in ("lang", "source")]).alias("limits"))
+    joined = rows.join(limits, rows["lang"].eqNullSafe(limits["l"]) & rows["source"].eqNullSafe(limits["s"]), "left")
+    return joined.withColumn(
+        "kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(within_fences(F.col("limits")))).drop("l", "s", "limits")
+
+
+def _counted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, min_words: int,
+             max_repeat_percent: int, *more: Column) -> DataFrame:
+    counts = measured(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                  F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), *more))
+    names = [c for c in counts.columns if c not in ("text", "__quality")]
+    return counts.select(*names, "__quality.*").withColumn("base_failed", base_failed(min_words, max_repeat_percent))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source", min_words: int = 20, max_repeat_percent: int = 30, spread: float = 6.0,
           min_docs: int = 100) -> DataFrame:
@@ -146,13 +163,21 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Null or blank text has no words and fails the base rules. Null languages and sources form groups of their own.
     Repeated rows are judged alike, each counting in its sketch; other columns are not read; an empty table gives none.
     """
-    counts = measured(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                                  F.col(lang_col).alias("lang"), F.col(source_col).alias("source")))
-    rows = stored(counts.select("id", "lang", "source", "__quality.*").withColumn(
-        "base_failed", base_failed(min_words, max_repeat_percent)), "quality")
-    limits = fences(rows.filter(~F.col("base_failed")), spread, min_docs)
-    joined = rows.join(limits, rows["lang"].eqNullSafe(limits["lang"]) & rows["source"].eqNullSafe(limits["source"]),
-                       "left")
-    return joined.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.when(F.col("base_failed"), F.lit(False)).otherwise(within_fences()).alias("kept"))
+    rows = stored(_counted(docs, id_col, text_col, lang_col, source_col, min_words, max_repeat_percent), "quality")
+    judged = _judged(rows, fences(rows.filter(~F.col("base_failed")), spread, min_docs))
+    return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              source_col: str = "source", min_words: int = 20, max_repeat_percent: int = 30, spread: float = 6.0,
+              min_docs: int = 100) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Counts are taken once to find the fences and once more to filter: that is cheaper than moving the texts.
+    """
+    rows = stored(_counted(docs, id_col, text_col, lang_col, source_col, min_words, max_repeat_percent), "quality")
+    limits = stored(fences(rows.filter(~F.col("base_failed")), spread, min_docs), "fences")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    again = _counted(docs, id_col, text_col, lang_col, source_col, min_words, max_repeat_percent, whole)
+    return _judged(again, limits).filter("kept").select("whole.*")

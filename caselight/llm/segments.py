@@ -13,18 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from caselight.llm import hashing as H
-from caselight.llm.common import partitions, stored
+from caselight.llm.common import attach, keyed, partitions, stored
 
 #: Bits of an anchor's hash that order grams; the rest of a 64-bit key holds the place within a block.
 _PLACE_BITS = 24
 _BLOCK = 1 << 22
 ANCHORS_PER_SHARD = 1_000_000
 BYTES_PER_SHARD = 2_000_000
-#: Size up to which a table with one row per document is sent to all executors; beyond it the texts are shuffled.
-BROADCAST_BYTES, BROADCAST_ROWS = 32_000_000, 500_000
 
 
 @dataclass(frozen=True)
@@ -90,10 +88,10 @@ def cut(grams: np.ndarray, bounds: np.ndarray, unit: Unit):
     return text[first], start[first], start[last], anchor[first], grams[anchor[first]]
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text (null as empty) and a key that rows share only if they repeat both."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("key", F.xxhash64("id", "text"))
+def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text (null as empty) and the key of each row."""
+    return keyed(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")),
+                 "id", "text", "key")
 
 
 def repeated_anchors(docs: DataFrame, unit: Unit) -> DataFrame:
@@ -166,13 +164,6 @@ def repeated_anchors(docs: DataFrame, unit: Unit) -> DataFrame:
     return found.groupBy("key").agg(F.collect_list("places").alias("places"))
 
 
-def attach(docs: DataFrame, per_key: DataFrame, how: str, size) -> DataFrame:
-    """Join a stored table with one row per key to the documents; small ones, by measured size, are broadcast."""
-    rows, held = per_key.agg(F.count("*"), F.sum(size)).first()
-    side = F.broadcast(per_key) if rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES else per_key
-    return docs.join(side, "key", how)
-
-
 def segments(docs: DataFrame, unit: Unit) -> DataFrame:
     """One row per batch and different segment: shard, content, and of each occurrence the id, key and first item.
 
@@ -186,7 +177,6 @@ def segments(docs: DataFrame, unit: Unit) -> DataFrame:
     per_anchor = unit.length * 1.5 * (7 if unit.words else 1)
     shards = max(partitions(spark), int(volume / 4 * per_anchor / 2) // BYTES_PER_SHARD + 1)
     kind = docs.schema["id"].dataType
-    from pyspark.sql import types as T
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +213,7 @@ def segments(docs: DataFrame, unit: Unit) -> DataFrame:
         T.StructField("shard", T.IntegerType()), T.StructField("content", T.BinaryType()),
         T.StructField("ids", T.ArrayType(kind)), T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("firsts", T.ArrayType(T.LongType()))])
-    return attach(docs, marks, "inner", held).select("id", "key", "text", "places").mapInArrow(expand, schema)
+    return attach(docs, marks, "key", "inner", held).select("id", "key", "text", "places").mapInArrow(expand, schema)
 
 
 def gathered(table: pa.Table):
@@ -265,7 +255,7 @@ def removal(docs: DataFrame, spans: DataFrame) -> DataFrame:
     per_key = stored(spans.groupBy("key").agg(F.collect_list("begins").alias("begins"), F.collect_list("ends").alias("ends")),
                      "spans")
     held = F.aggregate("begins", F.lit(0), lambda acc, p: acc + 16 * F.size(p))
-    return attach(docs, per_key, "left", held).select("id", "text", "begins", "ends")
+    return attach(docs, per_key, "key", "left", held).select("id", "text", "begins", "ends")
 
 
 def covered(n: int, begins, ends) -> np.ndarray:

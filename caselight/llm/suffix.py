@@ -160,7 +160,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length < 2 * GRAM:
         raise ValueError(f"strings shorter than {2 * GRAM} bytes have too few anchors")
-    rows = S.keyed(docs, id_col, text_col)
+    rows = S.rows_of(docs, id_col, text_col)
     shards = S.segments(rows, S.Unit(False, length, GRAM))
     spans = shards.groupBy("shard").applyInArrow(lambda group, table: repeated_spans(table, length), S.SPANS)
     joined = S.removal(rows, spans)
