@@ -266,7 +266,6 @@ SELECT i - 1 AS n, ({array(STATEMENTS)})[i] AS sql FROM range(1, {len(STATEMENTS
 """
 _QUOTED = "''(?:[^'']|'''')*''|\"(?:[^\"]|\"\")*\""
 _COMMENT = "--[^\\r\\n]*|/\\*[\\s\\S]*?\\*/"
-_PEEL = "regexp_replace(" * 8 + "bare" + ", '\\([^()]*\\)', ' ', 'g')" * 8
 _REF = (
     r'\b(?:FROM|UPDATE|INTO|TABLE|TRUNCATE)\s+"?([a-zA-Z_][a-zA-Z0-9_]*)"?\s*\.\s*"?([a-zA-Z_][a-zA-Z0-9_]*)"?'
 )
@@ -280,19 +279,30 @@ SELECT *, list_filter(string_split(regexp_replace(sql, '{_QUOTED}|{_COMMENT}', '
            lambda r: lower(r[1] || '.' || r[2])))) AS tables
 FROM x_statements
 """
+CTES["x_chars"] = """
+SELECT n, i, c, sum(CASE c WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER (PARTITION BY n ORDER BY i) AS depth
+FROM (SELECT n, unnest(string_split(bare, '')) AS c, generate_subscripts(string_split(bare, ''), 1) AS i FROM x_parts)
+"""
+CTES["x_outside"] = """
+SELECT n, string_agg(CASE WHEN depth = 0 AND c <> ')' THEN c ELSE ' ' END, '' ORDER BY i) AS top,
+       min(depth) = 0 AND arg_max(depth, i) = 0 AS balanced
+FROM x_chars GROUP BY n
+"""
 CTES["x_typed"] = f"""
 SELECT *, CASE WHEN regexp_matches(word, '^({_WORDS})$') THEN word ELSE 'UNKNOWN' END AS kind,
+       coalesce(balanced, true) AND NOT regexp_matches(bare, '[''"]') AS closed,
        list_filter(tables, lambda t: NOT list_contains({array(ALLOWED_TABLES)}, t)) AS outside
 FROM (SELECT *, CASE WHEN upper(regexp_extract(bare, '^\\s*([A-Za-z]+)', 1)) = 'WITH'
                      THEN upper(regexp_extract(top, '\\b({_WORDS})\\b', 1, 'i'))
                      ELSE upper(regexp_extract(bare, '^\\s*([A-Za-z]+)', 1)) END AS word
-      FROM (SELECT *, {_PEEL} AS top FROM x_parts))
+      FROM (SELECT x_parts.*, top, balanced FROM x_parts LEFT JOIN x_outside USING (n)))
 """
 CTES["x_audited"] = r"""
 SELECT n, sql, split_part(verdict, '|', 1) AS tier, split_part(verdict, '|', 2) AS reason,
        CASE WHEN trim(sql) <> '' AND parts = 1 THEN kind END AS statement_type, tables
 FROM (SELECT *, CASE
         WHEN trim(sql) = '' THEN 'rejected|no statement'
+        WHEN NOT closed THEN 'rejected|quotes or parentheses that do not close'
         WHEN parts <> 1 THEN 'rejected|expected one statement, found ' || parts
         WHEN len(tables) = 0 THEN 'rejected|no table could be identified'
         WHEN len(outside) > 0 THEN 'rejected|tables outside the allow list: ' || array_to_string(outside, ', ')

@@ -38,4 +38,8 @@ STATEMENTS = [
     "/* note; */ ALTER TABLE \"raw\".\"case_reports\" ADD COLUMN note text -- x",
     "VACUUM TABLE raw.case_reports",
     "UPDATE raw.case_reports SET a = 1; DELETE FROM raw.case_reports",
+    "DELETE FROM raw.case_reports USING (SELECT 1 AS a WHERE " + "(" * 50 + "1 = 1" + ")" * 50 + ") q",
+    "UPDATE raw.case_reports SET outcome = '" + "it''s long; " * 600 + "' WHERE report_id = '1'",
+    "DELETE FROM raw.case_reports WHERE (drug_name IS NULL",
+    "UPDATE raw.case_reports SET outcome = 'x WHERE report_id = 1",
 ]

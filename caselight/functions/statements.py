@@ -33,10 +33,10 @@ TABLE_PATTERN = (
 RENAME_PATTERN = r"(?i)^\s*ALTER\s+TABLE\s+\S+\s+RENAME\s+COLUMN\s+\S+\s+TO\s+\S+\s*;?\s*$"
 
 # Quoted text, then comments; the first alternative that matches wins, so a dash pair inside quotes is no comment.
-QUOTED = r"""'(?:[^']|'')*'|"(?:[^"]|"")*\""""
+# Possessive and unrolled: linear, and without a stack frame per character of a long literal.
+QUOTED = r"""'[^']*+(?:''[^']*+)*+'|"[^"]*+(?:""[^"]*+)*+\""""
 COMMENT = r"--[^\r\n]*|/\*[\s\S]*?\*/"
 STATEMENT_WORDS = "SELECT|INSERT|UPDATE|DELETE|MERGE|CREATE|ALTER|DROP|UPSERT|REPLACE"
-PAREN_DEPTH = 8
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -59,11 +59,26 @@ def bare(sql: Column) -> Column:
     return F.regexp_replace(without_comments, QUOTED, "q")
 
 
-def top_level(text: Column) -> Column:
-    """A ``bare`` text without anything in parentheses."""
-    for _ in range(PAREN_DEPTH):
-        text = F.regexp_replace(text, r"\([^()]*\)", " ")
-    return text
+def outline(text: Column) -> Column:
+    """Struct (depth, lowest, has_where, word) of a ``bare`` text, from one pass over its parentheses and keywords.
+
+    ``has_where`` and ``word`` (the first data keyword) look outside parentheses only, however deep these nest. The
+    parentheses are balanced when ``depth``, what is open at the end, and ``lowest`` are both zero.
+    """
+    found = F.regexp_extract_all(text, F.lit(rf"(?i)[()]|\b(?:WHERE|{STATEMENT_WORDS})\b"), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("lowest"), F.lit(False).alias("has_where"),
+                     F.lit("").alias("word"))
+
+    def step(seen: Column, token: Column) -> Column:
+        depth = seen["depth"] + F.when(token == "(", 1).when(token == ")", -1).otherwise(0)
+        name = F.upper(token)
+        plain = (seen["depth"] == 0) & ~token.isin("(", ")")
+        return F.struct(
+            depth.alias("depth"), F.least(seen["lowest"], depth).alias("lowest"),
+            (seen["has_where"] | (plain & (name == "WHERE"))).alias("has_where"),
+            F.when(plain & (seen["word"] == "") & (name != "WHERE"), name).otherwise(seen["word"]).alias("word"))
+
+    return F.aggregate(found, start, step)
 
 
 def statement_count(sql: Column) -> Column:
@@ -71,11 +86,10 @@ def statement_count(sql: Column) -> Column:
     return F.size(F.filter(F.split(mask(sql), ";"), lambda part: part.rlike(r"\S")))
 
 
-def statement_type(text: Column, top: Column) -> Column:
+def statement_type(text: Column, word_outside: Column) -> Column:
     """First keyword of a ``bare`` text; for a WITH statement the first data keyword outside its CTEs."""
     first = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
-    after_cte = F.upper(F.regexp_extract(top, rf"(?i)\b({STATEMENT_WORDS})\b", 1))
-    word = F.when(first == "WITH", after_cte).otherwise(first)
+    word = F.when(first == "WITH", word_outside).otherwise(first)
     return F.when(word.isin(STATEMENT_WORDS.split("|")), word).otherwise("UNKNOWN")
 
 
@@ -87,7 +101,7 @@ def referenced_tables(sql: Column) -> Column:
 
 
 def verdict(
-    text: Column, parts: Column, kind: Column, tables: Column, outside: Column, top: Column
+    text: Column, parts: Column, kind: Column, tables: Column, outside: Column, has_where: Column, closed: Column
 ) -> Column:
     """Struct of tier and reason; the first rule that applies decides."""
 
@@ -98,12 +112,13 @@ def verdict(
     shouted = F.upper(text)
     rules = [
         (~text.rlike(r"\S"), outcome(REJECTED, "no statement")),
+        (~closed, outcome(REJECTED, "quotes or parentheses that do not close")),
         (parts != 1, outcome(REJECTED, F.concat(F.lit("expected one statement, found "), parts.cast("string")))),
         (F.size(tables) == 0, outcome(REJECTED, "no table could be identified")),
         (F.size(outside) > 0,
          outcome(REJECTED, F.concat(F.lit("tables outside the allow list: "), F.array_join(outside, ", ")))),
         (shouted.contains("DROP") | shouted.contains("TRUNCATE"), outcome(REJECTED, "drop or truncate")),
-        ((kind == "DELETE") & ~top.rlike(r"(?i)\bWHERE\b"), outcome(REJECTED, "delete without where")),
+        ((kind == "DELETE") & ~has_where, outcome(REJECTED, "delete without where")),
         (kind == "DELETE", outcome(NEEDS_APPROVAL, "delete with where")),
         ((kind == "ALTER") & text.rlike(RENAME_PATTERN), outcome(AUTO_EXECUTABLE, "column rename")),
         (kind == "ALTER", outcome(NEEDS_APPROVAL, "alter other than a column rename")),
@@ -128,17 +143,18 @@ def classify(sql: Column, allowed: list[str] = ALLOWED_TABLES) -> Column:
         )
 
     def analyse(parsed: Column) -> Column:
-        nested = parsed["bare"].rlike(r"(?i)^\s*(?:WITH|DELETE)\b")
-        top = F.when(nested, top_level(parsed["bare"])).otherwise(parsed["bare"])
-        return let(top, lambda flat: F.struct(
+        closed = lambda seen: (seen["depth"] == 0) & (seen["lowest"] == 0) & ~parsed["bare"].rlike("""['"]""")
+        return let(outline(parsed["bare"]), lambda seen: F.struct(
             parsed["text"].alias("text"), parsed["parts"].alias("parts"), parsed["tables"].alias("tables"),
-            flat.alias("top"), statement_type(parsed["bare"], flat).alias("kind"),
+            seen["has_where"].alias("has_where"), closed(seen).alias("closed"),
+            statement_type(parsed["bare"], seen["word"]).alias("kind"),
             F.array_except(parsed["tables"], names).alias("outside"),
         ))
 
     def judge(found: Column) -> Column:
         typed = F.when(found["text"].rlike(r"\S") & (found["parts"] == 1), found["kind"])
-        ruled = verdict(found["text"], found["parts"], found["kind"], found["tables"], found["outside"], found["top"])
+        ruled = verdict(found["text"], found["parts"], found["kind"], found["tables"], found["outside"], found["has_where"],
+                        found["closed"])
         return let(ruled, lambda result: F.struct(
             result["tier"].alias("tier"), result["reason"].alias("reason"), typed.alias("statement_type"),
             found["tables"].alias("tables"),

@@ -123,6 +123,17 @@ TIERS = [
 ]
 
 
+def test_long_and_deep_statements(spark):
+    deep = "DELETE FROM raw.case_reports USING (SELECT 1 AS a WHERE %s1 = 1%s) q"
+    texts = [deep % ("(" * n, ")" * n) for n in (0, 7, 8, 50, 5000)]
+    texts += ["UPDATE raw.case_reports SET a = '%s' WHERE b = 1" % ("x''y" * 250_000), '-- "' + "z" * 1_000_000 + "\nSELECT 1",
+              "DELETE FROM raw.case_reports WHERE a IN (1", "DELETE FROM raw.case_reports) WHERE (a = 1", "UPDATE raw.case_reports SET a = 'b"]
+    got = column(spark, "s string", texts, statements.classify(F.col("s")))
+    assert [r["reason"] for r in got[:5]] == ["delete without where"] * 5
+    assert [r["reason"] for r in got[5:7]] == ["update", "no table could be identified"]
+    assert [r["reason"] for r in got[7:]] == ["quotes or parentheses that do not close"] * 3
+
+
 def test_statement_tiers(spark):
     got = column(spark, "s string", [t[0] for t in TIERS], statements.classify(F.col("s")))
     assert [(r["tier"], r["reason"], r["statement_type"]) for r in got] == [t[1:] for t in TIERS]
