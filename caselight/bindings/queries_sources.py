@@ -8,6 +8,7 @@ from caselight.bindings import inputs as b
 from caselight.bindings.ctes import hint, q, severity, stamp
 from caselight.bindings.queries_monitors import CHECKED_AT, SPLIT_DAY
 from caselight.bindings.registry import query
+from caselight.bindings.saved_pages import fetch_saved
 from caselight.bindings.texts import AS_OF, STATEMENTS
 from caselight.operators import changes, monitors, quality
 from caselight.operators.audit import audit
@@ -78,13 +79,18 @@ def page_totals(spark, sf):
 FIRST_WINDOW = "receiptdate:[20200401 TO 20210401]"
 
 
-def _window_totals(spark, sf):
-    """Size of each yearly window back from the first one; orders stand for the reports of the service."""
+def _daily_totals(spark, sf):
+    """Rows per day of each yearly window back from the first one; orders stand for the reports of the service."""
     day = F.col("o_orderdate")
     counts = b.table(spark, sf, "orders").groupBy(
-        (F.year(day) - F.when(F.month(day) < 4, 1).otherwise(0)).alias("start_year")).agg(F.count(F.lit(1)).alias("total"))
-    known = windows.windows_back(spark, FIRST_WINDOW, earliest=1994).join(counts, "start_year", "left")
-    return known.withColumn("total", F.coalesce("total", F.lit(0)))
+        (F.year(day) - F.when(F.month(day) < 4, 1).otherwise(0)).alias("start_year"), day.alias("day")).agg(
+        F.count(F.lit(1)).alias("total"))
+    return windows.windows_back(spark, FIRST_WINDOW, earliest=1994).join(counts, "start_year", "left")
+
+
+def _window_totals(spark, sf):
+    return _daily_totals(spark, sf).groupBy("position", "date_range", "start_year").agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"))
 
 
 WINDOWS = """
@@ -100,10 +106,20 @@ def window_totals(spark, sf):
 
 
 @query("window_plan", WINDOWS + """
-SELECT date_range, unnest(range(0, least(total, 25000), 100)) AS skip, 100::BIGINT AS "limit" FROM w
+, daily AS (
+    SELECT date_range, total AS whole, o_orderdate AS d, count(*) AS n
+    FROM orders JOIN w ON start_year = year(o_orderdate) - (month(o_orderdate) < 4)::INT GROUP BY ALL),
+running AS (
+    SELECT *, max(n) OVER (PARTITION BY date_range) AS most, sum(n) OVER (PARTITION BY date_range ORDER BY d) - n AS before FROM daily),
+fitted AS (
+    SELECT CASE WHEN whole <= 25000 THEN date_range
+                ELSE 'receiptdate:[' || strftime(min(d), '%Y%m%d') || ' TO ' || strftime(max(d), '%Y%m%d') || ']' END AS date_range, sum(n) AS total
+    FROM running GROUP BY running.date_range, whole, CASE WHEN whole > 25000 THEN before // (25000 - most) END)
+SELECT date_range, unnest(range(0, total::BIGINT, 100)) AS skip, 100::BIGINT AS "limit" FROM fitted
 """)
 def window_plan(spark, sf):
-    return windows.page_plan(_window_totals(spark, sf))
+    return windows.page_plan(windows.fit_windows(_daily_totals(spark, sf).where("day is not null").select(
+        "date_range", "day", "total")))
 
 
 YEAR_WINDOW = "receiptdate:[20010101 TO 20011231]"
@@ -112,24 +128,29 @@ SERVED = """
 """
 
 
-@query("paged_run", FLAT + SERVED + f"SELECT {FLAT_COLUMNS} FROM served WHERE y = 2001 AND n >= 300 AND n < least(25000, 1300)")
+# The saved pages stand for a service without a limit of its own.
+NO_CAP = str(10**12)
+
+
+@query("paged_run", FLAT + SERVED + f"SELECT {FLAT_COLUMNS} FROM served WHERE y = 2001 AND n >= 250")
 def paged_run(spark, sf):
-    """One run of the paged source: ten pages from a cursor on, fetched by executors."""
+    """The paged source as a batch: from a cursor to the end of its window, fetched by executors."""
     folder = shared_dir(spark, "pages")
     b.save_pages(spark, sf, folder)
-    paged.register(spark)
-    pages = spark.read.format("paged_reports").options(folder=folder, date_range=YEAR_WINDOW, skip=300, pages_per_task=3).load()
+    paged.register(spark, fetch_saved)
+    pages = spark.read.format("paged_reports").options(
+        folder=folder, date_range=YEAR_WINDOW, skip=250, pages_per_task=3, cap=NO_CAP).load()
     return reports.flatten(reports.explode_pages(pages), LOAD_DATE)
 
 
-@query("paged_stream", FLAT + SERVED + f"SELECT {FLAT_COLUMNS} FROM served WHERE n < 25000 AND (y < 2001 OR n >= 300)")
+@query("paged_stream", FLAT + SERVED + f"SELECT {FLAT_COLUMNS} FROM served WHERE y < 2001 OR y = 2001 AND n >= 250")
 def paged_stream(spark, sf):
     """The paged source as a stream: from a cursor to the end of its window and on through the years before."""
     folder = shared_dir(spark, "pages")
     b.save_pages(spark, sf, folder)
-    paged.register(spark)
+    paged.register(spark, fetch_saved)
     documents = ingest.page_stream(spark, {
-        "folder": folder, "date_range": YEAR_WINDOW, "skip": "300", "earliest_year": "1990"})
+        "folder": folder, "date_range": YEAR_WINDOW, "skip": "250", "earliest_year": "1990", "cap": NO_CAP})
     return jobs.drain(reports.flatten(documents, LOAD_DATE), "paged")
 
 
@@ -270,22 +291,56 @@ def stream_checks(spark, sf):
     return failures.unionByName(alerts)
 
 
-@query("stream_escalations", f"""
-SELECT incident_id, severity, 'auto_apply' AS action, {stamp('created_at + INTERVAL 30 MINUTES')} AS due_at FROM x_approvals
-WHERE status = 'pending' AND severity = 'P1' AND created_at + INTERVAL 30 MINUTES <= TIMESTAMP {q(AS_OF)}
+TIMEOUT_STEP = """CASE WHEN coalesce(proposed_sql, '') = '' THEN 'retry' WHEN tier = 'rejected' THEN 'refuse'
+    WHEN tier = 'auto_executable' THEN 'apply_rename_and_retry' ELSE 'run_statement_and_retry' END"""
+
+
+def _fired(requests: str) -> str:
+    """SQL for the actions that fall due on open requests until the newest one."""
+    due = f"+ INTERVAL 30 MINUTES <= TIMESTAMP {q(AS_OF)}"
+    return f"""
+SELECT incident_id, severity, 'auto_apply' AS action, {stamp('created_at + INTERVAL 30 MINUTES')} AS due_at, {TIMEOUT_STEP} AS step
+FROM {requests} LEFT JOIN x_audited ON sql = proposed_sql WHERE severity = 'P1' AND created_at {due}
 UNION ALL
-SELECT incident_id, severity, 'send_mail', {stamp('created_at + INTERVAL 30 MINUTES')} FROM x_approvals
-WHERE status = 'pending' AND severity = 'P0' AND escalation_email_sent_at IS NULL AND created_at + INTERVAL 30 MINUTES <= TIMESTAMP {q(AS_OF)}
+SELECT incident_id, severity, 'send_mail', {stamp('created_at + INTERVAL 30 MINUTES')}, NULL FROM {requests}
+WHERE severity = 'P0' AND escalation_email_sent_at IS NULL AND created_at {due}
 UNION ALL
-SELECT incident_id, severity, 'pause_dag', {stamp('created_at + INTERVAL 60 MINUTES')} FROM x_approvals
-WHERE status = 'pending' AND severity = 'P0' AND dag_paused_at IS NULL AND created_at + INTERVAL 60 MINUTES <= TIMESTAMP {q(AS_OF)}
-""")
-def stream_escalations(spark, sf):
-    """The escalation ladder with timers on a stream of approvals; the newest request moves the clock."""
+SELECT incident_id, severity, 'pause_dag', {stamp('created_at + INTERVAL 60 MINUTES')}, NULL FROM {requests}
+WHERE severity = 'P0' AND dag_paused_at IS NULL AND created_at + INTERVAL 30 MINUTES {due}
+"""
+
+
+def _climbed(spark, rows, name):
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, jobs.STATE_PROVIDER)
     try:
-        return jobs.drain(ladder.escalations(b.approvals_from(jobs.read_table_stream(spark, sf, "orders"))), "ladder")
+        return jobs.drain(ladder.escalations(rows), name)
     finally:
         spark.conf.set(provider, before)
+
+
+@query("stream_escalations", f"""
+, waiting AS (SELECT * FROM x_approvals WHERE status = 'pending')
+{_fired('waiting')}
+""")
+def stream_escalations(spark, sf):
+    """The escalation ladder with timers on a stream of approvals; the newest request moves the clock."""
+    return _climbed(spark, b.approvals_from(jobs.read_table_stream(spark, sf, "orders")), "ladder")
+
+
+@query("stream_escalation_order", f"""
+, waiting AS (SELECT * FROM x_approvals WHERE incident_id::BIGINT % 3 <> 0 OR incident_id::BIGINT % 2 <> 0)
+{_fired('waiting')}
+""")
+def stream_escalation_order(spark, sf):
+    """Several rows per incident, out of order: a rejection handed over before its request, an older one, a repeated request."""
+    one = b.approvals_from(jobs.read_table_stream(spark, sf, "orders"))
+    key = F.col("incident_id").cast("bigint")
+    shift = F.when(key % 2 == 0, F.expr("INTERVAL 0 MINUTES")).otherwise(F.expr("INTERVAL -1 MINUTE"))
+    rejected = F.struct(F.lit("rejected").alias("status"), (F.col("created_at") + shift).alias("created_at"))
+    asked = F.struct(F.lit("pending").alias("status"), F.col("created_at").alias("created_at"))
+    turns = F.when(key % 3 == 0, F.array(rejected, asked, asked)).otherwise(F.array(asked, asked))
+    rows = one.withColumn("turn", F.explode(turns)).withColumns(
+        {"status": F.col("turn.status"), "created_at": F.col("turn.created_at")}).drop("turn")
+    return _climbed(spark, rows, "ladder_order")

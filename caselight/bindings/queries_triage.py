@@ -442,6 +442,8 @@ def approval_status(spark, sf):
 
 
 LATER = "2024-03-01 00:10:00"
+TIMEOUT_STEP = """CASE WHEN coalesce(proposed_sql, '') = '' THEN 'retry' WHEN tier = 'rejected' THEN 'refuse'
+    WHEN tier = 'auto_executable' THEN 'apply_rename_and_retry' ELSE 'run_statement_and_retry' END"""
 DUE = f"""
 , due AS (SELECT *, epoch(TIMESTAMP '{LATER}' - created_at) / 60 AS age_minutes FROM x_approvals),
 acts AS (
@@ -453,7 +455,10 @@ acts AS (
 """
 
 
-@query("escalation_ladder", DUE + "SELECT * FROM acts")
+@query("escalation_ladder", DUE + f"""
+SELECT acts.*, CASE WHEN action = 'auto_apply' THEN {TIMEOUT_STEP} END AS step
+FROM acts JOIN x_approvals USING (incident_id) LEFT JOIN x_audited ON sql = proposed_sql
+""".replace("acts.*", "acts.incident_id, acts.severity, age_minutes, action"))
 def escalation_ladder(spark, sf):
     return approvals.ladder(b.approvals(spark, sf), LATER)
 

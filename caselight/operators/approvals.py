@@ -44,15 +44,24 @@ def fix_steps(approved: DataFrame, allowed: list[str] = st.ALLOWED_TABLES) -> Da
     P0 approvals are only acknowledged. For P1 and P2 the statement is classified again: a refused one is not run, a
     rename is derived anew from the live schema, anything else runs as approved; no statement means a plain retry.
     """
-    tier = st.tier(F.col("proposed_sql"), allowed)
-    step = st.let(tier, lambda known: (
-        F.when(~F.coalesce(F.col("severity").isin("P1", "P2"), F.lit(False)), "acknowledge")
-        .when(F.coalesce("proposed_sql", F.lit("")) == "", "retry")
+    acts = F.coalesce(F.col("severity").isin("P1", "P2"), F.lit(False))
+    return approved.withColumn(
+        "step", F.when(acts, audited_step(F.col("proposed_sql"), allowed)).otherwise("acknowledge"))
+
+
+def audited_step(sql: Column, allowed: list[str] = st.ALLOWED_TABLES) -> Column:
+    """What to do with a statement that may run now, after a fresh audit."""
+    return st.let(st.tier(sql, allowed), lambda known: (
+        F.when(F.coalesce(sql, F.lit("")) == "", "retry")
         .when(known == st.REJECTED, "refuse")
         .when(known == st.AUTO_EXECUTABLE, "apply_rename_and_retry")
         .otherwise("run_statement_and_retry")
     ))
-    return approved.withColumn("step", step)
+
+
+def timeout_step(action: Column, sql: Column, allowed: list[str] = st.ALLOWED_TABLES) -> Column:
+    """The step of an ``auto_apply``, null for other actions: nobody looked at the statement, so it is audited again."""
+    return F.when(action == "auto_apply", audited_step(sql, allowed))
 
 
 def status_of(wanted: DataFrame, approvals: DataFrame) -> DataFrame:
@@ -83,16 +92,23 @@ def due_actions(
     ))
 
 
-def ladder(approvals: DataFrame, as_of, timeout: int = TIMEOUT_MINUTES) -> DataFrame:
-    """One row per action due at ``as_of`` among pending approvals."""
+def ladder(
+    approvals: DataFrame, as_of, timeout: int = TIMEOUT_MINUTES, allowed: list[str] = st.ALLOWED_TABLES
+) -> DataFrame:
+    """One row per action due at ``as_of`` among pending approvals; ``step`` says what an ``auto_apply`` really does."""
     age = minutes_between(F.col("created_at"), moment(as_of))
     due = due_actions(F.col("severity"), age, F.col("escalation_email_sent_at"), F.col("dag_paused_at"), timeout)
     pending = approvals.where(F.col("status") == "pending")
-    return pending.select("incident_id", "severity", age.alias("age_minutes"), F.explode(due).alias("action"))
+    found = pending.select(
+        "incident_id", "severity", age.alias("age_minutes"), "proposed_sql", F.explode(due).alias("action"))
+    return found.withColumn("step", timeout_step(F.col("action"), F.col("proposed_sql"), allowed)).drop("proposed_sql")
 
 
 def climb(approvals: DataFrame, as_of, timeout: int = TIMEOUT_MINUTES) -> DataFrame:
-    """The approvals table after the due actions of ``ladder`` were taken at ``as_of``; no join needed."""
+    """The approvals table after the due actions of ``ladder`` were taken at ``as_of``; no join needed.
+
+    A request whose statement the audit refuses is closed as well, as on approval; ``ladder`` tells that it did not run.
+    """
     age = minutes_between(F.col("created_at"), moment(as_of))
     due = F.when(
         F.col("status") == "pending",

@@ -1,161 +1,159 @@
 """A paged web source as a Spark data source: pages are fetched in parallel by executors.
 
 How a page is fetched is up to the caller, who hands over a function of (date_range, skip, limit, options) that returns
-the page as JSON text, or None when there is nothing. It raises WindowExhausted when the service refuses to go further
-in the window.
+the page as JSON text, or None when there is nothing. It raises ``SourceUnavailable`` when the service cannot be reached.
 
 Batch:  register(spark, fetch); spark.read.format("paged_reports").option("date_range", ...).load()
-Stream: the same with readStream; the offset is the cursor {date_range, skip}, and windows step back a year when they
-        are used up.
+Stream: the same with readStream. The offset holds how many rows of each window were handed out, so a batch that is
+        planned again fetches the same pages, and a window that grows later is carried on.
+
+The service serves at most ``cap`` rows of a window. A larger window is split by days until each part fits; a single day
+above the cap is an error. A page that should be there and is not is an error too: no row is passed over.
 """
 
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from caselight.session import ship_package
-from caselight.sources.windows import EARLIEST_YEAR, MAX_PAGES, PAGE_LIMIT, SKIP_CAP, shift_back
+from caselight.sources.windows import EARLIEST_YEAR, PAGE_LIMIT, SKIP_CAP, halves, steps_back, years_back
 
 Fetcher = Callable[[str, int, int, dict], "str | None"]
+PAGES_PER_TASK = 10
 
 
-class WindowExhausted(RuntimeError):
-    """The service refuses the page because skip and limit exceed what it serves for one window."""
-
-
-class Pages(InputPartition):
-    """A run of consecutive pages of one window, fetched one after the other by one task."""
+class SourceUnavailable(RuntimeError):
+    """The service cannot be reached; a load may fall back to what landed before."""
 
-    def __init__(self, date_range: str, skip: int, n_pages: int):
-        self.date_range, self.skip, self.n_pages = date_range, skip, n_pages
 
+class MissingPage(RuntimeError):
+    """The service announced rows that it does not hand out."""
 
-def window_digits(date_range: str) -> str:
-    return "".join(c for c in date_range if c.isdigit())
 
+class Pages(InputPartition):
+    """Rows ``start`` to ``end`` of one window, fetched page by page by one task."""
 
-def folder_fetcher(date_range: str, skip: int, limit: int, options: dict) -> str | None:
-    """Saved pages, one text file each in ``<folder>/window=<digits>/skip=<skip>``, a folder all executors share."""
-    if skip + limit > SKIP_CAP:
-        raise WindowExhausted(f"skip={skip} in {date_range}")
-    folder = os.path.join(options["folder"].removeprefix("file:"), f"window={window_digits(date_range)}", f"skip={skip}")
-    names = sorted(name for name in os.listdir(folder) if name.startswith("part-")) if os.path.isdir(folder) else []
-    if not names:
-        return None
-    with open(os.path.join(folder, names[0]), encoding="utf-8") as page:
-        return page.read()
+    def __init__(self, date_range: str, start: int, end: int):
+        self.date_range, self.start, self.end = date_range, start, end
 
 
-class _Window:
-    """Sizes and page runs of windows."""
+class Service:
+    """Sizes, parts and pages of windows."""
 
     def __init__(self, options: dict, fetch: Fetcher):
         self.options = dict(options)
         self.fetcher = fetch
         self.limit = int(options.get("limit", PAGE_LIMIT))
-        self.run = int(options.get("pages_per_task", MAX_PAGES))
+        self.cap = int(options.get("cap", SKIP_CAP))
+        self.rows_per_task = self.limit * int(options.get("pages_per_task", PAGES_PER_TASK))
         self.earliest = int(options.get("earliest_year", EARLIEST_YEAR))
 
-    def fetch(self, date_range: str, skip: int) -> str | None:
-        return self.fetcher(date_range, skip, self.limit, self.options)
-
     def size(self, date_range: str) -> int:
-        """Rows of a window that can be fetched, from the envelope of its first page."""
-        try:
-            page = self.fetch(date_range, 0)
-        except WindowExhausted:
-            return 0
-        if not page:
-            return 0
-        envelope = json.loads(page)
-        if not envelope.get("results"):
-            return 0
-        return min(int(envelope.get("meta", {}).get("results", {}).get("total", 0)), SKIP_CAP)
-
-    def earlier(self, date_range: str) -> str | None:
-        try:
-            return shift_back(date_range, self.earliest)
-        except ValueError:
-            return None
-
-    def runs(self, date_range: str, start: int, end: int) -> list[Pages]:
-        step = self.limit * self.run
-        return [
-            Pages(date_range, skip, -(-(min(skip + step, end) - skip) // self.limit)) for skip in range(start, end, step)
-        ]
-
-    def rows(self, pages: Pages) -> Iterator[tuple[str, int, str]]:
-        for number in range(pages.n_pages):
-            skip = pages.skip + number * self.limit
-            page = self.fetch(pages.date_range, skip)
-            if page:
-                yield pages.date_range, skip, page
+        """Rows of a window, from the envelope of its first page."""
+        page = self.fetcher(date_range, 0, self.limit, self.options)
+        envelope = json.loads(page) if page else {}
+        return int(envelope.get("meta", {}).get("results", {}).get("total", 0)) if envelope.get("results") else 0
+
+    def parts(self, date_range: str) -> list[list]:
+        """[range, rows] of a window, or of the parts that it takes to stay within the cap; empty parts are left out."""
+        rows = self.size(date_range)
+        if rows > self.cap:
+            return [part for half in halves(date_range) for part in self.parts(half)]
+        return [[date_range, rows]] if rows else []
+
+    def earlier(self, date_range: str) -> list[str]:
+        """The window and all before it, newest first."""
+        return [years_back(date_range, n) for n in range(steps_back(date_range, self.earliest) + 1)]
+
+    def tasks(self, parts: list[list], start: int, end: int) -> list[Pages]:
+        """Runs of pages for rows ``start`` to ``end``, counted over all parts of a window."""
+        out, before = [], 0
+        for date_range, rows in parts:
+            first, last = max(start - before, 0), min(end - before, rows)
+            out += [Pages(date_range, at, min(at + self.rows_per_task, last)) for at in range(first, last, self.rows_per_task)]
+            before += rows
+        return out
+
+    def pages(self, run: Pages) -> Iterator[tuple[str, int, str]]:
+        """The last page of a window is asked for with what is left, so any start works and the cap is never passed."""
+        for skip in range(run.start, run.end, self.limit):
+            wanted = min(self.limit, run.end - skip)
+            page = self.fetcher(run.date_range, skip, wanted, self.options)
+            found = len(json.loads(page).get("results") or []) if page else 0
+            if found < wanted:
+                raise MissingPage(f"{found} of {wanted} rows at skip={skip} in {run.date_range}")
+            yield run.date_range, skip, page
+
+
+def position(options: dict, fetch: Fetcher) -> dict:
+    """Where a batch starts: the cursor itself, or the start of the newest earlier window with rows once it is used up.
+
+    Returns {date_range, skip, parts}; without any rows left ``parts`` is empty.
+    """
+    service, skip = Service(options, fetch), int(options.get("skip", 0))
+    for date_range in service.earlier(options["date_range"]):
+        parts = service.parts(date_range)
+        if skip < sum(rows for _, rows in parts):
+            return {"date_range": date_range, "skip": skip, "parts": parts}
+        skip = 0
+    return {"date_range": options["date_range"], "skip": int(options.get("skip", 0)), "parts": []}
 
 
 class PagedBatchReader(DataSourceReader):
-    """One run: up to ``max_pages`` pages from ``skip`` on, or from the start of the window before if none are left."""
+    """The rows of a window from ``skip`` on, all of them or at most ``max_rows``."""
 
     def __init__(self, options: dict, fetch: Fetcher):
-        self.window = _Window(options, fetch)
-        self.date_range = options["date_range"]
-        self.skip = int(options.get("skip", 0))
-        self.max_rows = int(options.get("max_pages", MAX_PAGES)) * self.window.limit
+        self.service, self.options, self.fetch = Service(options, fetch), dict(options), fetch
 
     def partitions(self) -> list[Pages]:
-        date_range, skip = self.date_range, self.skip
-        size = self.window.size(date_range)
-        if skip >= size:
-            earlier = self.window.earlier(date_range)
-            if earlier is None:
-                return [Pages(date_range, skip, 0)]  # Spark wants one partition at least
-            date_range, skip, size = earlier, 0, self.window.size(earlier)
-        return self.window.runs(date_range, skip, min(size, skip + self.max_rows)) or [Pages(date_range, skip, 0)]
+        where = position(self.options, self.fetch)
+        end = sum(rows for _, rows in where["parts"])
+        if "max_rows" in self.options:
+            end = min(end, where["skip"] + int(self.options["max_rows"]))
+        # Spark wants one partition at least.
+        return self.service.tasks(where["parts"], where["skip"], end) or [Pages(where["date_range"], 0, 0)]
 
     def read(self, partition: Pages) -> Iterator[tuple[str, int, str]]:
-        yield from self.window.rows(partition)
+        yield from self.service.pages(partition)
 
 
 class PagedStreamReader(DataSourceStreamReader):
-    """All pages from the cursor to the end of the earliest window; the checkpoint keeps the cursor."""
+    """All pages from the cursor to the end of the earliest window; the checkpoint keeps what was handed out."""
 
     def __init__(self, options: dict, fetch: Fetcher):
-        self.window = _Window(options, fetch)
+        self.service = Service(options, fetch)
         self.date_range = options["date_range"]
         self.skip = int(options.get("skip", 0))
 
     def initialOffset(self) -> dict:
-        return {"date_range": self.date_range, "skip": self.skip}
+        return {"windows": {}}
 
     def latestOffset(self) -> dict:
-        """The end of the last window, going back in time, that holds any rows."""
-        latest = self.initialOffset()
-        date_range: str | None = self.date_range
-        while date_range is not None:
-            size = self.window.size(date_range)
-            if size > 0:
-                latest = {"date_range": date_range, "skip": max(size, latest["skip"] if date_range == self.date_range else 0)}
-            date_range = self.window.earlier(date_range)
-        return latest
+        return {"windows": {window: self.service.parts(window) for window in self.service.earlier(self.date_range)}}
 
     def partitions(self, start: dict, end: dict) -> list[Pages]:
-        pages: list[Pages] = []
-        date_range, skip = start["date_range"], start["skip"]
-        while date_range is not None:
-            last = date_range == end["date_range"]
-            pages += self.window.runs(date_range, skip, end["skip"] if last else self.window.size(date_range))
-            date_range, skip = (None if last else self.window.earlier(date_range)), 0
-        return pages
+        """A window that had to be split anew since the last batch is fetched again as a whole: loads are by key."""
+        out: list[Pages] = []
+        for window, parts in end["windows"].items():
+            before = start["windows"].get(window, [])
+            same = [part[0] for part in before] == [part[0] for part in parts]
+            if same:
+                for (date_range, had), (_, has) in zip(before, parts):
+                    out += self.service.tasks([[date_range, has]], had, has)
+            else:
+                skip = self.skip if window == self.date_range and not before else 0
+                out += self.service.tasks(parts, skip, sum(rows for _, rows in parts))
+        return out or [Pages(self.date_range, 0, 0)]
 
     def read(self, partition: Pages) -> Iterator[tuple[str, int, str]]:
-        yield from self.window.rows(partition)
+        yield from self.service.pages(partition)
 
     def commit(self, end: dict) -> None:
-        """Nothing to release: the cursor lives in the checkpoint."""
+        """Nothing to release: the checkpoint holds the offset."""
 
 
 class PagedReports(DataSource):
@@ -177,7 +175,7 @@ class PagedReports(DataSource):
         return PagedStreamReader(self.options, type(self).fetch)
 
 
-def register(spark: SparkSession, fetch: Fetcher = folder_fetcher) -> None:
+def register(spark: SparkSession, fetch: Fetcher) -> None:
     """Make the format ``paged_reports`` available in a session, fetching pages with the given function."""
     ship_package()
     spark.dataSource.register(type("PagedReports", (PagedReports,), {"fetch": staticmethod(fetch)}))

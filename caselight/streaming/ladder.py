@@ -7,79 +7,104 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from caselight.functions.statements import ALLOWED_TABLES
+from caselight.operators.approvals import timeout_step
 from caselight.operators.incidents import TIMEOUT_MINUTES
 from caselight.session import ship_package
 
 MINUTE_MS = 60_000
-OUTPUT_DDL = "incident_id string, severity string, action string, due_ms bigint"
+OUTPUT_DDL = "incident_id string, severity string, proposed_sql string, action string, due_ms bigint"
+OPEN_DDL = "severity string, requested_ms bigint, mailed boolean, paused boolean, proposed_sql string"
 
 
 class EscalationLadder(StatefulProcessor):
-    """State per incident: severity, request time, mailed, paused. Timers at one and two timeouts.
+    """State per incident: the open request and when the incident was last resolved. Timers at one and two timeouts.
 
-    A request starts the timers its severity needs, a later row with another status than pending clears everything,
-    and an expiring timer emits the action that is still due. P2 and P3 never time out.
+    The rows of an incident count in the order of their times, however they arrive. A request starts the timers its
+    severity needs unless the incident was resolved at the same time or later; a later row with another status than
+    pending clears it. What is known when a timer fires decides, so a resolution that came in before wins. An expiring
+    timer emits the action that is still due. P2 and P3 never time out. A resolution is remembered for ``keep_minutes``.
     """
 
-    def __init__(self, timeout_minutes: int = TIMEOUT_MINUTES):
-        self.step = timeout_minutes * MINUTE_MS
+    def __init__(self, timeout_minutes: int, keep_minutes: int):
+        self.step, self.keep = timeout_minutes * MINUTE_MS, keep_minutes * MINUTE_MS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "severity string, requested_ms bigint, mailed boolean, paused boolean")
+        self.open = handle.getValueState("open", OPEN_DDL)
+        self.resolved = handle.getValueState("resolved", "at_ms bigint")
 
     def _clear(self) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.open.clear()
 
+    def _resolve(self, at: int) -> None:
+        last = max(at, self.resolved.get()[0]) if self.resolved.exists() else at
+        if self.open.exists() and self.open.get()[1] <= last:
+            self._clear()
+        self.resolved.update((last,))
+        self.handle.registerTimer(last + self.keep)
+
+    def _request(self, row, at: int) -> None:
+        if self.open.exists() or row["severity"] not in ("P0", "P1"):
+            return
+        if self.resolved.exists() and at <= self.resolved.get()[0]:
+            return
+        self.open.update((row["severity"], at, bool(row["mailed"]), bool(row["paused"]), row["proposed_sql"]))
+        self.handle.registerTimer(at + self.step)
+        if row["severity"] == "P0":
+            self.handle.registerTimer(at + 2 * self.step)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in rows:
-            if row["status"] != "pending":
-                self._clear()
-            elif row["severity"] in ("P0", "P1") and not self.open.exists():
-                start = int(row["requested_ms"])
-                self.open.update((row["severity"], start, bool(row["mailed"]), bool(row["paused"])))
-                self.handle.registerTimer(start + self.step)
-                if row["severity"] == "P0":
-                    self.handle.registerTimer(start + 2 * self.step)
+        if key[0] is not None:
+            for row in sorted(rows, key=lambda r: (r["requested_ms"], r["status"] != "pending")):
+                at = int(row["requested_ms"])
+                self._request(row, at) if row["status"] == "pending" else self._resolve(at)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        if self.resolved.exists() and due >= self.resolved.get()[0] + self.keep:
+            self.resolved.clear()
         if not self.open.exists():
             return
-        severity, start, mailed, paused = self.open.get()
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        first = due < start + 2 * self.step
-        action = "auto_apply" if severity == "P1" else ("send_mail" if first else "pause_dag")
-        if severity == "P0" and first:
-            if mailed:
-                action = None
-            self.open.update((severity, start, True, paused))
-        else:
-            if severity == "P0" and paused:
-                action = None
+        severity, start, mailed, paused, proposed = self.open.get()
+        action = None
+        if severity == "P1" and due == start + self.step:
+            action = "auto_apply"
+            self.open.clear()
+        elif severity == "P0" and due == start + self.step:
+            action = None if mailed else "send_mail"
+            self.open.update((severity, start, True, paused, proposed))
+        elif severity == "P0" and due == start + 2 * self.step:
+            action = None if paused else "pause_dag"
             self.open.clear()
         if action:
-            yield Row(incident_id=key[0], severity=severity, action=action, due_ms=due)
+            yield Row(incident_id=key[0], severity=severity, proposed_sql=proposed, action=action, due_ms=due)
 
 
-def escalations(approvals: DataFrame, late: str = "0 seconds", timeout_minutes: int = TIMEOUT_MINUTES) -> DataFrame:
+def escalations(
+    approvals: DataFrame, late: str = "0 seconds", timeout_minutes: int = TIMEOUT_MINUTES, keep_minutes: int = 7 * 24 * 60,
+    allowed: list[str] = ALLOWED_TABLES,
+) -> DataFrame:
     """Actions that fall due on a stream of approval rows (requests and resolutions with ``created_at``).
 
-    Timers follow the watermark, so a quiet stream needs rows from time to time to move on; rows without a severity
-    serve as such a heartbeat. Severities that never time out are not kept in state. The state of
-    an incident is a few bytes and lives in RocksDB; incidents are spread by a hash of their id.
+    Timers follow the watermark, so a quiet stream needs rows from time to time to move on; rows without an incident
+    serve as such a heartbeat. ``late`` only delays the clock: the time column ends before the stateful step, so no row
+    is dropped for being late, and a late request fires as soon as it comes in. The statement of an ``auto_apply`` is
+    audited again; ``step`` says what to do with it. The state of an incident is its open request; incidents are spread
+    by a hash of their id.
     """
-    rows = approvals.select(
-        "incident_id", "severity", "status", F.col("created_at").cast("timestamp").alias("created_at"),
-        F.unix_millis(F.col("created_at").cast("timestamp")).alias("requested_ms"),
+    rows = approvals.withColumn("__at", F.col("created_at").cast("timestamp")).withWatermark("__at", late).select(
+        "incident_id", "severity", "status", "proposed_sql", F.unix_millis("__at").alias("requested_ms"),
         F.col("escalation_email_sent_at").isNotNull().alias("mailed"), F.col("dag_paused_at").isNotNull().alias("paused"),
-    ).withWatermark("created_at", late).where(F.col("severity").isNull() | F.col("severity").isin("P0", "P1"))
+    ).where(F.col("severity").isNull() | F.col("severity").isin("P0", "P1"))
     ship_package()
     actions = rows.groupBy("incident_id").transformWithState(
-        statefulProcessor=EscalationLadder(timeout_minutes),
+        statefulProcessor=EscalationLadder(timeout_minutes, keep_minutes),
         outputStructType=OUTPUT_DDL,
         outputMode="append", timeMode="EventTime",
     )
-    return actions.select("incident_id", "severity", "action", F.timestamp_millis("due_ms").alias("due_at"))
+    return actions.select("incident_id", "severity", "action", F.timestamp_millis("due_ms").alias("due_at"),
+                          timeout_step(F.col("action"), F.col("proposed_sql"), allowed).alias("step"))

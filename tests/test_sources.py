@@ -42,65 +42,136 @@ def test_flatten_edge_documents(spark, tmp_path):
 
 # --- windows and pages -----------------------------------------------------------------------------------------------
 
-def test_windows_shift_back():
-    assert windows.shift_back("receiptdate:[20250401 TO 20260401]") == "receiptdate:[20240401 TO 20250401]"
-    with pytest.raises(ValueError):
-        windows.shift_back("receiptdate:[20040401 TO 20050401]")
-    with pytest.raises(ValueError):
-        windows.shift_back("something else")
+def test_windows_go_back_and_split():
+    assert windows.years_back("receiptdate:[20250401 TO 20260401]") == "receiptdate:[20240401 TO 20250401]"
+    assert windows.steps_back("receiptdate:[20050401 TO 20060401]") == 1
+    assert windows.halves("receiptdate:[20240228 TO 20240302]") == [
+        "receiptdate:[20240228 TO 20240229]", "receiptdate:[20240301 TO 20240302]"]
+    for wrong in ("something else", "receiptdate:[20240228 TO 20240228]"):
+        with pytest.raises(ValueError):
+            windows.halves(wrong)
 
 
 def test_windows_and_pages(spark):
     back = windows.windows_back(spark, WINDOW)
     assert [r["date_range"] for r in back.orderBy("position").collect()] == [
-        WINDOW, windows.shift_back(WINDOW), windows.shift_back(windows.shift_back(WINDOW))]
-    totals = spark.createDataFrame([("a", 0), ("b", 100), ("c", 101), ("d", 99_999)], "date_range string, total bigint")
-    plan = windows.page_plan(totals)
-    assert {r[0]: r[1:] for r in plan.groupBy("date_range").agg(F.count("skip"), F.max("skip")).collect()} == {
-        "b": (1, 0), "c": (2, 100), "d": (250, 24_900)}
-
-
-def save_window(folder, date_range, total):
-    for skip in range(0, total, 100):
-        where = folder / f"window={paged.window_digits(date_range)}" / f"skip={skip}"
-        os.makedirs(where, exist_ok=True)
-        results = [{"safetyreportid": f"{date_range[13:17]}-{i}"} for i in range(skip, min(skip + 100, total))]
-        (where / "part-0").write_text(json.dumps({"meta": {"results": {"total": total}}, "results": results}))
-
-
-def read_pages(spark, folder, **options):
-    pages = spark.read.format("paged_reports").options(folder=str(folder), date_range=WINDOW, **options).load()
-    return pages
-
-
-def test_paged_run(spark, tmp_path):
-    paged.register(spark)
-    save_window(tmp_path, WINDOW, 1450)
-    save_window(tmp_path, windows.shift_back(WINDOW), 120)
-    first = read_pages(spark, tmp_path)
-    assert [r["skip"] for r in first.orderBy("skip").collect()] == list(range(0, 1000, 100))
-    rest = read_pages(spark, tmp_path, skip=1000, pages_per_task=2)
-    assert rest.rdd.getNumPartitions() == 3 and reports.explode_pages(rest).count() == 450
-    shifted = read_pages(spark, tmp_path, skip=1450)
-    assert reports.explode_pages(shifted).count() == 120
-    assert read_pages(spark, tmp_path, skip=1450, earliest_year=2006).count() == 0
+        WINDOW, windows.years_back(WINDOW), windows.years_back(WINDOW, 2)]
+    totals = spark.createDataFrame([("a", 0), ("b", 100), ("c", 101)], "date_range string, total bigint")
+    assert {r[0]: r[1:] for r in windows.page_plan(totals).groupBy("date_range").agg(F.count("skip"), F.max("skip")).collect()} == {
+        "b": (1, 0), "c": (2, 100)}
+    with pytest.raises(Exception, match="more rows than the service serves"):
+        windows.page_plan(spark.createDataFrame([("d", 25_001)], "date_range string, total bigint")).collect()
+
+
+def test_windows_are_cut_until_they_fit(spark):
+    days = [("w", dt.date(2024, 1, 1) + dt.timedelta(days=i), 700 + i) for i in range(90)] + [("s", dt.date(2023, 1, 5), 9)]
+    daily = spark.createDataFrame(days, "date_range string, day date, total bigint")
+    fitted = windows.fit_windows(daily)
+    got = {r["date_range"]: r["total"] for r in fitted.collect()}
+    assert got.pop("s") == 9 and len(got) >= 3 and max(got.values()) <= 25_000
+    assert sum(got.values()) == sum(d[2] for d in days[:-1])
+    assert windows.page_plan(fitted).count() == sum(-(-n // 100) for n in [*got.values(), 9])
+    with pytest.raises(Exception, match="on day 2024-01-01"):
+        windows.fit_windows(spark.createDataFrame([("w", dt.date(2024, 1, 1), 25_001)], "date_range string, day date, total bigint")).collect()
+
+
+def make_service(path, per_day, cap=25_000, gap=None):
+    """A service of ``per_day`` reports on each day of some years, kept in a file so that it can grow; it refuses to go on
+    beyond the cap, as the real one does."""
+    def fetch(date_range, skip, limit, options):
+        import datetime, json, os
+
+        if not os.path.exists(options["folder"]):
+            raise RuntimeError("down")
+        with open(options["folder"], encoding="utf-8") as file:
+            years = json.load(file)
+        if skip + limit > int(options.get("cap", 25_000)):
+            raise RuntimeError(f"refused: {skip} + {limit}")
+        first, last = (datetime.datetime.strptime(d, "%Y%m%d").date() for d in
+                       (date_range[13:21], date_range[25:33]))
+        span = (last - first).days + 1
+        rate = years.get(str(first.year), 0)
+        total = span * rate
+        rows = range(skip, min(skip + limit, total))
+        if gap_at is not None and gap_at in rows:
+            return None
+        results = [{"safetyreportid": f"{first + datetime.timedelta(days=i // rate)}-{i % rate}"} for i in rows]
+        return json.dumps({"meta": {"results": {"total": total}}, "results": results}) if results else None
+
+    gap_at = gap
+    path.write_text(json.dumps(per_day))
+    return fetch
+
+
+YEAR = "receiptdate:[20060101 TO 20061231]"
+
+
+def read_pages(spark, path, **options):
+    return spark.read.format("paged_reports").options(folder=str(path), date_range=YEAR, **options).load()
+
+
+def ids(pages):
+    found = [r["safetyreportid"] for r in reports.explode_pages(pages).select("safetyreportid").collect()]
+    assert len(found) == len(set(found))
+    return found
+
+
+def test_paged_batch(spark, tmp_path):
+    path = tmp_path / "service.json"
+    paged.register(spark, make_service(path, {"2006": 4, "2005": 1}))
+    assert len(ids(read_pages(spark, path))) == 1460
+    assert len(ids(read_pages(spark, path, max_rows=1000))) == 1000
+    rest = read_pages(spark, path, skip=955, pages_per_task=2)
+    assert rest.rdd.getNumPartitions() == 3 and len(ids(rest)) == 505
+    assert len(ids(read_pages(spark, path, skip=1460))) == 365
+    assert read_pages(spark, path, skip=1460, earliest_year=2006).count() == 0
+
+
+def test_large_windows_are_split_and_read_whole(spark, tmp_path):
+    path = tmp_path / "service.json"
+    paged.register(spark, make_service(path, {"2006": 165}))
+    assert len(ids(read_pages(spark, path, pages_per_task=100))) == 60_225
+    assert len(ids(read_pages(spark, path, pages_per_task=100, skip=24_950))) == 60_225 - 24_950
+    paged.register(spark, make_service(path, {"2006": 25_001}))
+    with pytest.raises(Exception, match="one day and cannot be split"):
+        read_pages(spark, path).collect()
+
+
+def test_a_missing_page_fails_the_read(spark, tmp_path):
+    path = tmp_path / "service.json"
+    paged.register(spark, make_service(path, {"2006": 2}, gap=350))
+    with pytest.raises(Exception, match="rows at skip=300"):
+        read_pages(spark, path).collect()
+
+
+def test_paged_offsets_replay_and_follow_growth(tmp_path):
+    path = tmp_path / "service.json"
+    fetch = make_service(path, {"2006": 1, "2005": 2})
+    reader = paged.PagedStreamReader({"folder": str(path), "date_range": YEAR, "skip": "100"}, fetch)
+    end = json.loads(json.dumps(reader.latestOffset()))
+    plan = lambda start, end: [(p.date_range[13:17], p.start, p.end) for p in reader.partitions(start, end)]
+    assert plan(reader.initialOffset(), end) == [("2006", 100, 365), ("2005", 0, 730)]
+    path.write_text(json.dumps({"2006": 2, "2005": 2}))
+    assert plan(reader.initialOffset(), end) == [("2006", 100, 365), ("2005", 0, 730)]
+    later = json.loads(json.dumps(reader.latestOffset()))
+    assert plan(end, later) == [("2006", 365, 730)]
+    assert plan(later, later) == [("2006", 0, 0)]
 
 
 def test_paged_stream_resumes_at_its_cursor(spark, tmp_path):
-    paged.register(spark)
-    pages, out, checkpoint = tmp_path / "pages", str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    save_window(pages, WINDOW, 250)
-    options = {"folder": str(pages), "date_range": WINDOW, "skip": "100"}
+    path, out, checkpoint = tmp_path / "service.json", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    paged.register(spark, make_service(path, {"2006": 1}))
+    options = {"folder": str(path), "date_range": YEAR, "skip": "100"}
 
     def run():
         documents = reports.flatten(ingest.page_stream(spark, options), "2024-03-01")
         jobs.start_table(documents, out, checkpoint).awaitTermination()
         return spark.read.schema(LANDING_DDL).parquet(out).count()
 
-    assert run() == 150
-    assert run() == 150
-    save_window(pages, windows.shift_back(WINDOW), 130)
-    assert run() == 280
+    assert run() == 265
+    assert run() == 265
+    path.write_text(json.dumps({"2006": 1, "2005": 1}))
+    assert run() == 630
 
 
 # --- landing files ---------------------------------------------------------------------------------------------------
@@ -312,14 +383,15 @@ def test_stream_ingest_replays_without_effect(spark, tmp_path):
 
 def test_ladder_timers(spark, tmp_path):
     ddl = ("incident_id string, severity string, status string, created_at timestamp_ntz, "
-           "escalation_email_sent_at timestamp_ntz, dag_paused_at timestamp_ntz")
+           "escalation_email_sent_at timestamp_ntz, dag_paused_at timestamp_ntz, proposed_sql string")
     start = dt.datetime(2024, 3, 1)
     minute = lambda m: start + dt.timedelta(minutes=m)
     source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.STATE_PROVIDER)
 
     def feed(*data):
-        spark.createDataFrame(list(data), ddl).coalesce(1).write.mode("append").parquet(source)
+        data = [(*row, "DELETE FROM raw.case_reports") if len(row) == 6 else row for row in data]
+        spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(source)
         stream = ladder.escalations(spark.readStream.schema(ddl).parquet(source))
         jobs.start_table(stream, out, checkpoint).awaitTermination()
         got = spark.read.schema(stream.schema).parquet(out)
@@ -335,6 +407,14 @@ def test_ladder_timers(spark, tmp_path):
     assert feed(("p0", "P0", "rejected", minute(45), None, None)) == {("p1", "auto_apply"), ("p0", "send_mail")}
     assert feed((None, None, "heartbeat", minute(99), None, None)) == {
         ("p1", "auto_apply"), ("p0", "send_mail"), ("mailed", "pause_dag")}
+    # A rejection that arrives before its request, in one batch and in two; a request far behind the clock.
+    early = feed(("turned", "P1", "rejected", minute(105), None, None), ("turned", "P1", "pending", minute(100), None, None),
+                 ("late", "P1", "pending", minute(2), None, None), ("gone", "P1", "rejected", minute(104), None, None))
+    assert early == {("p1", "auto_apply"), ("p0", "send_mail"), ("mailed", "pause_dag"), ("late", "auto_apply")}
+    feed(("gone", "P1", "pending", minute(103), None, None), ("again", "P1", "pending", minute(103), None, None, None))
+    assert feed((None, None, "heartbeat", minute(300), None, None)) - early == {("again", "auto_apply")}
+    steps = {r["incident_id"]: r["step"] for r in spark.read.parquet(out).where("action = 'auto_apply'").collect()}
+    assert steps == {"p1": "refuse", "late": "refuse", "again": "retry"}
 
 
 def test_documents_schema_is_fixed(spark):
