@@ -190,7 +190,7 @@ FROM x_tracked
 """
 CTES["x_freshness_status"] = """
 SELECT table_name, schema_name, last_loaded, is_stale, coalesce(data_source, 'live') AS data_source
-FROM x_freshness QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY checked_at DESC) = 1
+FROM x_freshness QUALIFY row_number() OVER (PARTITION BY schema_name, table_name ORDER BY checked_at DESC) = 1
 """
 CTES["x_declared"] = """
 SELECT DISTINCT schema_name, table_name, 'c' || n AS column_name, (['text', 'bigint', 'numeric'])[n % 3 + 1] AS data_type,

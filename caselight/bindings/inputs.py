@@ -19,15 +19,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt out by key to all cores when there are fewer input files than cores, for work that outweighs a shuffle.
-
-    An input with at least as many files as cores is already spread and left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
-
-
 def pick(values: Sequence[str], index: Column) -> Column:
     """Element of a literal list by zero-based position."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
@@ -44,7 +35,7 @@ def raw_reports(spark: SparkSession, sf: str, reporter: bool = True) -> DataFram
 
     Without ``reporter`` the patient sex and the country, which need three more joins, are left out.
     """
-    lines = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    lines = table(spark, sf, "lineitem")
     lines = lines.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if reporter:
         lines = (

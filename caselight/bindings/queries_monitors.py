@@ -9,11 +9,16 @@ from caselight.bindings.ctes import day, q, stamp
 from caselight.bindings.registry import query
 from caselight.bindings.texts import AS_OF
 from caselight.operators import changes, drills, monitors, quality, repair
+from caselight.plans.ingest import Warehouse
+from caselight.plans.monitoring import run_monitors
 from caselight.plans.reports import total_records
-from caselight.schemas import RAW_COLUMNS
+from caselight.schemas import BASELINE_DDL, FRESHNESS_DDL, RAW_COLUMNS, SNAPSHOT_DDL
+from caselight.session import shared_dir
+from caselight.sources import tables
 
 # The checks run two and a half days after the first stale table was last loaded.
 CHECKED_AT = "2024-02-01 00:00:00"
+SPLIT_DAY = "1999-01-01"
 
 
 # --- row counts and freshness ----------------------------------------------------------------------------------------
@@ -167,11 +172,12 @@ def alerts_json(spark, sf):
     return monitors.alerts_as_json(row_count_alerts(spark, sf))
 
 
-@query("run_checks", """
+@query("run_checks", f"""
 , t(table_name, n, newest) AS (
     SELECT 'raw_reports', count(*), max(loaded_at) FROM x_raw UNION ALL SELECT 'events', count(*), max(ts) FROM events
     UNION ALL SELECT 'approvals', count(*), max(created_at) FROM x_approvals),
-known(table_name, base) AS (VALUES ('raw_reports', 1000), ('events', 10)),
+known(table_name, base) AS (
+    SELECT 'raw_reports', count(*) FROM x_raw WHERE loaded_at < TIMESTAMP '{SPLIT_DAY}' UNION ALL SELECT 'events', count(*) FROM events WHERE event_id % 4 = 0),
 checks AS (SELECT *, abs(n - base) / base AS deviation FROM t LEFT JOIN known USING (table_name))
 SELECT 'row_count_deviation' AS alert_type, table_name, CASE WHEN deviation > 0.5 THEN 'critical' ELSE 'warning' END AS severity,
        printf('raw.%s row count deviated %.1f%% from baseline (%d vs %d)', table_name, round(deviation * 100, 1), n, base) AS message
@@ -192,10 +198,11 @@ def run_checks(spark, sf):
         "events": b.table(spark, sf, "events").withColumnRenamed("ts", "loaded_at"),
         "approvals": b.approvals(spark, sf).withColumnRenamed("created_at", "loaded_at"),
     }
-    known = spark.createDataFrame(
-        [("raw", "raw_reports", "table", 1000), ("raw", "events", "table", 10)],
-        "schema_name string, table_name string, scope string, baseline_count bigint",
-    ).withColumn("recorded_at", monitors.moment("2024-01-01"))
+    before = {"raw_reports": tables["raw_reports"].where(F.col("loaded_at") < SPLIT_DAY),
+              "events": tables["events"].where(F.col("event_id") % 4 == 0)}
+    unknown = spark.createDataFrame([], BASELINE_DDL)
+    known = monitors.first_baselines(
+        monitors.count_check(monitors.table_stats(before, "raw"), unknown), "2024-01-01")
     previous = spark.createDataFrame(
         [("raw", "events", name, kind, "YES") for name, kind in
          [("event_id", "bigint"), ("event_type", "string"), ("props", "bigint"), ("gone", "string")]],
@@ -205,6 +212,45 @@ def run_checks(spark, sf):
     return found["alerts"].select("alert_type", "table_name", "severity", "message")
 
 
+@query("monitor_job", """
+, t(table_name, n) AS (SELECT 'events', count(*) FROM events UNION ALL SELECT 'orders', count(*) FROM orders),
+later(table_name, n) AS (SELECT 'events', count(*) FROM events WHERE event_id % 4 = 0 UNION ALL SELECT 'orders', count(*) FROM orders)
+SELECT 'baseline' AS kind, table_name, n AS value FROM t
+UNION ALL SELECT 'freshness', table_name, 2 FROM t
+UNION ALL SELECT 'snapshot', 'events', 4 + 3
+UNION ALL SELECT 'snapshot', 'orders', count(*) FROM (DESCRIBE orders)
+UNION ALL SELECT 'alert row_count_deviation', 'events', 1
+UNION ALL SELECT 'alert schema_drift', 'events', 1
+UNION ALL SELECT 'alert freshness_violation', table_name, 2 FROM t
+UNION ALL SELECT 'failed', 'broken', 2
+""")
+def monitor_job(spark, sf):
+    """The monitor job twice over stored logs, the second time over a table that lost rows and a column; a table that
+    cannot be read takes no other check with it. The second run is repeated, which changes nothing."""
+    warehouse = Warehouse(f"{shared_dir(spark, 'monitors')}/warehouse")
+    events = b.table(spark, sf, "events").select("event_id", F.col("ts").alias("loaded_at"), "event_type", "value")
+    orders = b.table(spark, sf, "orders").withColumn("loaded_at", F.to_timestamp_ntz("o_orderdate")).drop("o_comment")
+    names = b.table(spark, sf, "orders").columns
+    orders = orders.select(*names[:-1], F.col("loaded_at").alias(names[-1])).withColumnRenamed(names[-1], "loaded_at")
+    broken = events.withColumn("loaded_at", F.raise_error(F.lit("cannot be read")).cast("timestamp_ntz"))
+    watched = {"events": events, "orders": orders, "broken": broken}
+    smaller = watched | {"events": events.where(F.col("event_id") % 4 == 0).drop("value")}
+    failed = []
+    for run, found, at in (("1", watched, AS_OF), ("2", smaller, "2024-03-01 01:00:00"), ("2", smaller, "2024-03-01 01:00:00")):
+        failed.append(run_monitors(spark, warehouse, found, "raw", at, run))
+    log = lambda name, ddl: tables.read_log(spark, warehouse.path("monitoring", name), ddl)
+    counted = lambda df, kind: df.groupBy("table_name").agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit(kind).alias("kind"), "table_name", "value")
+    alerts = log("alerts", "alert_type string, severity string, schema_name string, table_name string, message string")
+    per_alert = alerts.groupBy(F.concat(F.lit("alert "), F.col("alert_type")).alias("kind"), "table_name").agg(
+        F.count(F.lit(1)).alias("value"))
+    bad = spark.createDataFrame([("failed", name) for names in failed[:2] for name in names], "kind string, table_name string")
+    return (log("row_count_baselines", BASELINE_DDL).select(F.lit("baseline").alias("kind"), "table_name", F.col("baseline_count").alias("value"))
+            .unionByName(counted(log("freshness_checks", FRESHNESS_DDL), "freshness"))
+            .unionByName(counted(log("schema_snapshots", SNAPSHOT_DDL).where("table_name <> 'broken'"), "snapshot")).unionByName(per_alert)
+            .unionByName(bad.groupBy("kind", "table_name").agg(F.count(F.lit(1)).alias("value"))))
+
+
 # --- drills ----------------------------------------------------------------------------------------------------------
 
 SEED = 7
@@ -293,7 +339,6 @@ def drill_detection(spark, sf):
 
 # --- changes ---------------------------------------------------------------------------------------------------------
 
-SPLIT_DAY = "1999-01-01"
 
 
 @query("upsert_reports", f"""
@@ -353,11 +398,21 @@ def replace_slice(spark, sf):
     return kept.select("table_name", "column_name", "data_type", "snapshotted_at")
 
 
-@query("restore_after_drill", f"SELECT count(*) AS rows_restored, count(drug_name) AS drug_names FROM x_loaded")
+@query("restore_after_drill", """
+SELECT report_id, drug_name, serious, received_date FROM x_loaded
+""")
 def restore_after_drill(spark, sf):
-    """The snapshot taken before a drill gives back every row and the declared columns."""
-    loaded = b.loaded_reports(spark, sf)
-    drills.run_drill("schema_drift", loaded, ["report_id"], AS_OF)
-    restored = drills.restore(loaded)
-    assert restored.columns == RAW_COLUMNS
-    return restored.agg(F.count(F.lit(1)).alias("rows_restored"), F.count("drug_name").alias("drug_names"))
+    """A stored table loses rows and a column; the snapshot stored before gives back every row as it was."""
+    root = shared_dir(spark, "drill")
+    tables.rebuild(b.loaded_reports(spark, sf), f"{root}/live")
+    live = spark.read.parquet(f"{root}/live")
+    tables.snapshot_once(live, f"{root}/backup")
+    damaged = live
+    for scenario in ("volume_anomaly", "data_quality", "schema_drift"):
+        damaged = drills.run_drill(scenario, damaged, ["report_id"], AS_OF)
+    tables.rebuild(damaged, f"{root}/damaged")
+    hurt = spark.read.parquet(f"{root}/damaged")
+    assert hurt.columns != RAW_COLUMNS
+    restored = drills.restore(tables.snapshot_once(hurt, f"{root}/backup"))
+    tables.rebuild(restored, f"{root}/damaged")
+    return spark.read.parquet(f"{root}/damaged").select("report_id", "drug_name", "serious", "received_date")

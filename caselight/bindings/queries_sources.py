@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from caselight.bindings import inputs as b
@@ -12,7 +14,7 @@ from caselight.bindings.saved_pages import fetch_saved
 from caselight.bindings.texts import AS_OF, STATEMENTS
 from caselight.operators import changes, monitors, quality
 from caselight.operators.audit import audit
-from caselight.plans.ingest import Warehouse, build_models, load_batch
+from caselight.plans.ingest import Warehouse, build_models, load_batch, run_load, task_runs
 from caselight.schemas import LANDING_COLUMNS
 from caselight.session import shared_dir
 from caselight.sources import landing, paged, reports, tables, windows
@@ -180,17 +182,49 @@ SELECT report_id, received_date, drug_name, source_row, {stamp('loaded_at')} AS
 FROM (SELECT * FROM old WHERE report_id NOT IN (SELECT report_id FROM new) UNION ALL SELECT * FROM new)
 """)
 def keyed_table(spark, sf):
-    """The upsert of ``upsert_reports`` on a stored table, run twice to the same end, before and after compaction."""
+    """The upsert of ``upsert_reports`` on a stored table, run twice to the same end."""
     table = tables.KeyedTable(f"{shared_dir(spark, 'keyed')}/reports", ("report_id",))
     raw = b.raw_reports(spark, sf, reporter=False).select("report_id", "received_date", "drug_name", "source_row", "loaded_at")
     table.write(changes.dedupe_batch(raw.where(F.col("loaded_at") < SPLIT_DAY), ["report_id"], b.last_wins()))
     batch = raw.where(F.col("loaded_at") >= SPLIT_DAY)
-    table.upsert(batch, b.last_wins(), loaded_at=AS_OF)
-    table.compact(spark)
-    table.upsert(batch, b.last_wins(), loaded_at=AS_OF)
+    for _ in range(2):
+        table.upsert(batch, b.last_wins(), loaded_at=AS_OF)
     return table.read(spark)
 
 
+@query("load_provenance", FLAT + """
+, n AS (SELECT count(*) AS n FROM flat WHERE drug_name IS NOT NULL AND reaction IS NOT NULL)
+SELECT '1 live' AS load, n AS landed, 'false' AS used_cache, 'live' AS data_source, n AS loaded, 'success' AS status FROM n
+UNION ALL SELECT '2 down', n, 'true', 'cached', n, 'success' FROM n
+UNION ALL SELECT '3 empty', 0, 'false', NULL, NULL, 'success'
+UNION ALL SELECT '4 down', n, 'true', 'cached', n, 'success' FROM n
+""")
+def load_provenance(spark, sf):
+    """Four loads: live, with the source down, of an empty answer (which does not land), and with the source down again."""
+    root = shared_dir(spark, "provenance")
+    warehouse = Warehouse(f"{root}/warehouse", buckets=8)
+    first = lambda column, field: F.get(F.col(column), F.lit(0))[field].isNotNull()
+    documents = reports.parse_documents(b.nested_reports(spark, sf)).where(
+        first("patient.drug", "medicinalproduct") & first("patient.reaction", "reactionmeddrapt"))
+
+    def down():
+        raise paged.SourceUnavailable("no answer")
+
+    moments = (dt.datetime(2024, 3, 1) + dt.timedelta(minutes=i) for i in range(1000))
+    rows = []
+    for name, source in (("1 live", lambda: documents), ("2 down", down), ("3 empty", lambda: documents.limit(0)), ("4 down", down)):
+        found = run_load(spark, warehouse, source, f"{root}/landing", LOAD_DATE, ("d", name.replace(" ", "-")), lambda: next(moments))
+        rows.append((name, found.rows, str(found.used_cache).lower()))
+    runs = task_runs(warehouse, spark)
+    loads = runs.where("task_id = 'load_reports'").select("run_id", F.col("rows_processed").alias("loaded"))
+    landed = runs.where("task_id = 'extract_reports'").select("run_id", "status")
+    checks = spark.read.parquet(warehouse.path("monitoring", "freshness_checks")).select(
+        F.col("batch").cast("string").alias("run_id"), "data_source")
+    known = spark.createDataFrame(rows, "load string, landed bigint, used_cache string").withColumn(
+        "run_id", F.replace("load", F.lit(" "), F.lit("-")))
+    return known.join(landed, "run_id").join(loads, "run_id", "left").join(checks, "run_id", "left").drop("run_id")
+
+
 @query("scheduled_load", FLAT + """
 SELECT upper(drug_name) AS drug_name, lower(reaction) AS reaction, count(*) AS report_count,
        count(*) FILTER (WHERE serious = '1') AS serious_count, count(*) FILTER (WHERE serious_death = '1') AS fatal_count,
@@ -274,14 +308,14 @@ def stream_audit(spark, sf):
 SELECT 'not_null' AS rule, 'value' AS column_name, count(*) FILTER (WHERE value < 10) AS failures FROM events
 UNION ALL SELECT 'unique', 'event_id', 0
 UNION ALL SELECT 'row_count_deviation', 'critical', count(*) FROM events
+HAVING abs(count(*) - count(*) FILTER (WHERE event_id % 4 = 0)) / count(*) FILTER (WHERE event_id % 4 = 0)::DOUBLE > 0.5
 """)
 def stream_checks(spark, sf):
     """Rules and the row-count check on each micro-batch of a stream."""
     root = shared_dir(spark, "checks")
     events = jobs.read_table_stream(spark, sf, "events").withColumn("value", F.when(F.col("value") >= 10, F.col("value")))
-    base = spark.createDataFrame(
-        [("raw", "events", "table", 10)], "schema_name string, table_name string, scope string, baseline_count bigint"
-    ).withColumn("recorded_at", monitors.moment("2024-01-01"))
+    earlier = b.table(spark, sf, "events").where(F.col("event_id") % 4 == 0)
+    base = monitors.batch_baseline("raw", "events", earlier, "2024-01-01")
     rules = [quality.not_null("value"), quality.unique("event_id")]
     checks.start_checks(events, rules, base, "raw", "events", CHECKED_AT, root, f"{root}/checkpoint").awaitTermination()
     failures = spark.read.parquet(f"{root}/rules").select("rule", "column_name", "failures")

@@ -44,7 +44,7 @@ FROM (SELECT doc_id, regexp_replace(CASE WHEN contains(text, 'Traceback (most re
 def document_hints(spark, sf):
     """The log parser over long free texts, whole."""
     message = logs.error_message(F.col("text"))
-    return b.spread(b.table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
+    return b.table(spark, sf, "documents").select(
         "doc_id", logs.error_type_hint(message).alias("error_type_hint"), F.md5(message).alias("message_digest"))
 
 
@@ -61,8 +61,7 @@ SELECT event_id, sql, tier, reason, statement_type, array_to_string(tables, ',')
 FROM events JOIN x_audited ON n = event_id % {len(STATEMENTS)}
 """)
 def statement_audit(spark, sf):
-    events = b.spread(b.table(spark, sf, "events").select("event_id"), "event_id")
-    statements = events.select("event_id", b._statement("event_id").alias("sql"))
+    statements = b.table(spark, sf, "events").select("event_id", b._statement("event_id").alias("sql"))
     return audit(statements).select("event_id", "sql", "audit.*")
 
 
@@ -236,7 +235,8 @@ proposal AS (SELECT incident_id, 'Proposal for ' || incident_id AS description,
                     (['low', 'medium', 'high'])[incident_id % 3 + 1] AS risk_level, s.sql
              FROM x_alerts JOIN x_statements s ON n = incident_id % {len(STATEMENTS)} WHERE label IS NULL),
 fixes AS (
-    SELECT c.*, current_name IS NOT NULL AS rename_valid, CASE
+    SELECT c.*, current_name IS NOT NULL AS rename_valid,
+           printf('ALTER TABLE %s.%s RENAME COLUMN "%s" TO "%s"', schema_name, table_name, current_name, canonical_name) AS rename_sql, CASE
         WHEN severity = 'P3' THEN ['none', 'P3 (upstream/infra) — no fix attempted, logged only.', 'low', NULL]
         WHEN error_type = 'schema_drift' AND current_name IS NOT NULL THEN
             ['mechanical', 'Rename column ''' || current_name || ''' back to ''' || canonical_name || '''.', 'low',
@@ -302,7 +302,7 @@ def route_decisions(spark, sf):
 @query("route_actions", ROUTED + """
 , steps AS (SELECT *, unnest(string_split(actions, ',')) AS action, generate_subscripts(string_split(actions, ','), 1) - 1 AS step FROM routed)
 SELECT incident_id, step, action, approval_status AS status,
-       CASE WHEN action = 'apply_rename' THEN fix[4]
+       CASE WHEN action = 'apply_rename' THEN rename_sql
             WHEN action = 'request_approval' AND reason IS NOT NULL THEN line || chr(10) || '(' || reason || ')'
             WHEN action = 'notify' AND tier = 'rejected' THEN line || chr(10) || 'Reason: ' || reason || chr(10) || 'Proposed SQL: ' || fix[4]
             ELSE line END AS detail

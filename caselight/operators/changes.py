@@ -33,6 +33,11 @@ def dedupe_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return latest_per_key(batch.withColumn(_LONE, lone), [*keys, _LONE], order).drop(_LONE)
 
 
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in which no key column is null."""
+    return df.where(~_any_null(keys))
+
+
 def stamp(df: DataFrame, column: str, at) -> DataFrame:
     return df.withColumn(column, moment(at))
 
@@ -50,9 +55,12 @@ def upsert(
 
 
 def merge(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in ``fresh``, and all of ``fresh``, whose keys are unique."""
+    """Target rows whose key is not in ``fresh``, and all of ``fresh``, whose keys are unique.
+
+    A column that one side lacks is null there.
+    """
     kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(fresh.select(*target.columns))
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def upsert_columns(

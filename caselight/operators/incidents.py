@@ -153,7 +153,8 @@ def choose_fix(
     incidents: DataFrame, renames: DataFrame, reusable: DataFrame, proposals: DataFrame | None = None
 ) -> DataFrame:
     """Add ``fix`` (source, description, risk_level, sql), the first that applies of: nothing for P3, a verified rename
-    for schema drift, the fix of a similar incident, a proposal from outside, else the mark ``needs_proposal``.
+    for schema drift, the fix of a similar incident, a proposal from outside, else the mark ``needs_proposal``. Also add
+    ``rename_valid`` and ``rename_sql``, the rename that the live schema calls for.
 
     ``renames`` are rename_candidates per table; ``reusable`` and ``proposals`` hold one row per incident_id with
     description, risk_level and sql (``reusable`` also score).
@@ -190,9 +191,10 @@ def choose_fix(
     if proposals is not None:
         offered = fix("proposal", F.col("proposal.description"), F.col("proposal.risk_level"), F.col("proposal.sql"))
         chosen = chosen.when(F.col("proposal").isNotNull(), offered)
-    return joined.withColumn("fix", chosen.otherwise(missing)).withColumn(
-        "rename_valid", F.col("current_name").isNotNull()
-    ).select(*incidents.columns, "fix", "rename_valid")
+    live = F.col("current_name").isNotNull()
+    derived = rename_statement(F.col("schema_name"), F.col("table_name"), F.col("current_name"), F.col("canonical_name"))
+    return joined.withColumn("fix", chosen.otherwise(missing)).select(
+        *incidents.columns, "fix", live.alias("rename_valid"), F.when(live, derived).alias("rename_sql"))
 
 
 # --- routing ---------------------------------------------------------------------------------------------------------
@@ -248,7 +250,7 @@ def route(incidents: DataFrame, allowed: list[str] = st.ALLOWED_TABLES, timeout:
 def actions(routed: DataFrame) -> DataFrame:
     """One row per action in order: incident_id, step, action, detail, status."""
     detail = (
-        F.when(F.col("action") == "apply_rename", F.col("fix.sql"))
+        F.when(F.col("action") == "apply_rename", F.col("rename_sql"))  # never the proposed text
         .when((F.col("action") == "request_approval") & F.col("tier_reason").isNotNull(),
               F.concat("line", F.lit("\n("), "tier_reason", F.lit(")")))
         .when((F.col("action") == "notify") & (F.col("tier") == st.REJECTED),

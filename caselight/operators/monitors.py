@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -224,36 +224,49 @@ def alerts_as_json(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.to_json(F.struct(*ALERT_COLUMNS[:-1], stamp)).alias("value"))
 
 
-def run_checks(
-    tables: Mapping[str, DataFrame], schema: str, baselines: DataFrame, snapshots: DataFrame, as_of,
-) -> dict[str, DataFrame]:
-    """All monitors over a set of tables: the alerts and the rows each monitor wants appended.
+def checks(
+    stats: DataFrame, columns: DataFrame, baselines: DataFrame, snapshots: DataFrame, as_of,
+) -> dict[str, Callable[[], dict[str, DataFrame]]]:
+    """The monitors by name, each with its alerts and the rows it wants stored, built when it is called.
 
-    A check that cannot be planned, for example because a monitoring table lacks a column, is logged and left out; the
-    other checks still run.
+    ``stats`` has one row per table (``table_stats``), ``columns`` the live columns of all tables (``schema_rows``).
     """
-    stats = table_stats(tables, schema)
-
     def counts() -> dict[str, DataFrame]:
-        checks = count_check(stats, baselines)
-        return {"alerts": count_alerts(checks, as_of), "baselines": first_baselines(checks, as_of)}
+        found = count_check(stats, baselines)
+        return {"alerts": count_alerts(found, as_of), "baselines": first_baselines(found, as_of)}
 
     def freshness() -> dict[str, DataFrame]:
-        checks = freshness_check(stats, as_of)
-        return {"alerts": freshness_alerts(checks, as_of), "freshness": checks.drop("hours_since_load")}
+        found = freshness_check(stats, as_of)
+        return {"alerts": freshness_alerts(found, as_of), "freshness": found.drop("hours_since_load")}
 
     def schemas() -> dict[str, DataFrame]:
-        live = reduce(DataFrame.unionByName, [schema_rows(df, schema, name) for name, df in tables.items()])
-        diff = schema_diff(live, latest_snapshot(snapshots))
-        return {"alerts": schema_alerts(diff, as_of), "snapshots": snapshots_to_record(live, diff, as_of)}
+        diff = schema_diff(columns, latest_snapshot(snapshots))
+        return {"alerts": schema_alerts(diff, as_of), "snapshots": snapshots_to_record(columns, diff, as_of)}
+
+    return {"counts": counts, "freshness": freshness, "schemas": schemas}
+
+
+def live_schemas(tables: Mapping[str, DataFrame], schema: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [schema_rows(df, schema, name) for name, df in tables.items()])
 
+
+def run_checks(
+    tables: Mapping[str, DataFrame], schema: str, baselines: DataFrame, snapshots: DataFrame, as_of,
+) -> dict[str, DataFrame]:
+    """All monitors over a set of tables: the alerts and the rows each monitor wants stored.
+
+    Every table is scanned once. A check that cannot be planned, for example because a monitoring table lacks a column,
+    is logged and left out; the other checks still run. ``plans.monitoring`` runs them apart and stores what they find.
+    """
+    stats = table_stats(tables, schema)
+    stats = stats.sparkSession.createDataFrame(stats.collect(), stats.schema)  # one row per table
     results: dict[str, DataFrame] = {}
-    for check in (counts, freshness, schemas):
+    for name, check in checks(stats, live_schemas(tables, schema), baselines, snapshots, as_of).items():
         try:
             found = check()
             found["alerts"].schema  # analysed now, so that a broken check fails here and not in the union below
         except Exception:
-            logger.exception("check %s failed", check.__name__)
+            logger.exception("check %s failed", name)
             continue
         if "alerts" in results:
             found["alerts"] = results["alerts"].unionByName(found["alerts"])

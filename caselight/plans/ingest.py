@@ -7,7 +7,6 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -16,25 +15,27 @@ from caselight.functions.measures import moment
 from caselight.operators import monitors, quality, runlog
 from caselight.plans import marts
 from caselight.plans.staging import normalize_codes, stage_reports
-from caselight.schemas import LANDING_COLUMNS, REQUIRED_COLUMNS, TASK_RUN_DDL
+from caselight.schemas import LANDING_COLUMNS, REQUIRED_COLUMNS, SNAPSHOT_DDL, TASK_RUN_DDL
 from caselight.sources import landing, tables
-from caselight.sources.reports import flatten
+from caselight.sources.paged import Fetcher, SourceUnavailable, position, register
+from caselight.sources.reports import explode_pages, flatten
 
 logger = logging.getLogger(__name__)
 
 TABLE = ("raw", "case_reports")
+CURSOR_DDL = "date_range string, skip bigint, moved_at timestamp_ntz"
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Paths of the tables below one root folder, and after how many loads the raw table is compacted."""
+    """Paths of the tables below one root folder, and into how many buckets the raw table is cut."""
 
     root: str
-    compact_after: int = 100
+    buckets: int = 32
 
     @property
     def raw(self) -> tables.KeyedTable:
-        return tables.KeyedTable(f"{self.root}/raw/case_reports", ("report_id",))
+        return tables.KeyedTable(f"{self.root}/raw/case_reports", ("report_id",), self.buckets)
 
     def path(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table}"
@@ -53,19 +54,29 @@ class Extracted:
 def extract(
     spark: SparkSession, documents: Callable[[], DataFrame], landing_path: str, load_date: str, batch_id: str
 ) -> Extracted:
-    """Land the documents of a source; if it cannot be read, fall back to the newest batch that landed before.
+    """Land the documents of a source; if it cannot be reached, fall back to the newest batch that landed before.
 
-    A batch that cannot be read back is an error of the landing folder, not of the source, and is raised.
+    Only ``SourceUnavailable`` means that the source cannot be reached. Whatever else goes wrong, a missing column, a
+    full disk, a batch that cannot be read back, fails the load.
     """
     try:
         rows = landing.write_landing(flatten(documents(), load_date), landing_path, load_date, batch_id)
         return Extracted(load_date, batch_id, rows, used_cache=False)
-    except (PySparkException, Py4JJavaError, OSError) as problem:
-        logger.warning("source unreachable, using the newest landing batch: %s", problem)
+    except (SourceUnavailable, PySparkException) as problem:
+        if not is_unavailable(problem):
+            raise
+        logger.warning("the source cannot be reached, using the newest landing batch: %s", problem)
     old_date, old_batch = landing.latest_batch(spark, landing_path)
     return Extracted(old_date, old_batch, landing.read_batch(spark, landing_path, old_date, old_batch).count(), True)
 
 
+def is_unavailable(problem: Exception) -> bool:
+    """Whether the fetch side raised ``SourceUnavailable``, here or in a task, whose error Spark passes on as text."""
+    name = f"{SourceUnavailable.__name__}:"
+    return isinstance(problem, SourceUnavailable) or any(
+        line.split(" ", 1)[0].endswith(name) for line in str(problem).splitlines())
+
+
 def logged(
     warehouse: Warehouse, spark: SparkSession, run: tuple[str, str], task_id: str, work: Callable[[], int | None],
     clock: Callable[[], dt.datetime],
@@ -118,11 +129,11 @@ def run_load(
         names = landing.header(spark, landing.batch_path(landing_path, found[0].load_date, found[0].batch_id))
         quality.require_names(names, REQUIRED_COLUMNS)
         if warehouse.raw.exists(spark):
-            record_schema(warehouse, warehouse.raw.read(spark), clock())
+            record_schema(warehouse, warehouse.raw.read(spark), clock(), run[1])
 
     def load_reports() -> int:
         order = [F.desc_nulls_last("received_date"), F.desc_nulls_last("outcome")]
-        return load_batch(warehouse, batch(), order, clock(), found[0].used_cache, clean_codes)
+        return load_batch(warehouse, batch(), order, clock(), found[0].used_cache, clean_codes, run[1])
 
     def build() -> None:
         build_models(warehouse, spark, exclude)
@@ -145,11 +156,12 @@ def typed_batch(batch: DataFrame) -> DataFrame:
 
 
 def load_batch(
-    warehouse: Warehouse, batch: DataFrame, order: list[Column], at, used_cache: bool = False, clean_codes: bool = False
+    warehouse: Warehouse, batch: DataFrame, order: list[Column], at, used_cache: bool = False, clean_codes: bool = False,
+    batch_id: str = "0",
 ) -> int:
     """Upsert one landing batch into the raw table and log its size and freshness; returns the number of rows.
 
-    An empty batch changes nothing and logs nothing.
+    An empty batch changes nothing and logs nothing. The same batch loaded again replaces its log rows.
     """
     batch = quality.require_columns(landing.lower_names(batch), REQUIRED_COLUMNS)
     batch = typed_batch(normalize_codes(batch) if clean_codes else batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -158,12 +170,10 @@ def load_batch(
         if rows == 0:
             return 0
         warehouse.raw.upsert(batch, order, loaded_at=at)
-        if warehouse.raw.pending(batch.sparkSession) >= warehouse.compact_after:
-            warehouse.raw.compact(batch.sparkSession)
-        tables.append(monitors.batch_baseline(*TABLE, batch, at), warehouse.path("monitoring", "row_count_baselines"))
+        tables.put(monitors.batch_baseline(*TABLE, batch, at), warehouse.path("monitoring", "row_count_baselines"), batch_id)
         one = batch.sparkSession.range(1).select(
             *[value.alias(name) for name, value in monitors.load_record(*TABLE, used_cache, at).items()])
-        tables.append(one, warehouse.path("monitoring", "freshness_checks"))
+        tables.put(one, warehouse.path("monitoring", "freshness_checks"), batch_id)
         return rows
     finally:
         batch.unpersist()
@@ -172,23 +182,58 @@ def load_batch(
 def build_models(warehouse: Warehouse, spark: SparkSession, exclude: tuple[str, ...] = ()) -> DataFrame:
     """Rebuild both marts from the staging view, then run its rules; returns the rule report and raises if any failed.
 
-    Both marts come from one grouped scan of the reports, kept while they are written.
+    The raw table is scanned and typed once and kept while marts and rules use it; both marts come from one grouping.
     """
-    staged = stage_reports(warehouse.raw.read(spark))
+    staged = stage_reports(warehouse.raw.read(spark)).persist(StorageLevel.MEMORY_AND_DISK)
     staged.createOrReplaceTempView("stg_case_reports")
     groups = marts.report_groups(staged).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables.rebuild(marts.drug_reactions_from_groups(groups), warehouse.path("mart", "drug_reactions"))
         tables.rebuild(marts.serious_events_from_groups(groups), warehouse.path("mart", "serious_events"),
                        ["drug_name", "severity_rank"])
+        rules = quality.run_rules(staged, quality.STAGED_RULES, "stg_case_reports", exclude)
+        report = spark.createDataFrame(rules.collect(), rules.schema)  # one row per rule
     finally:
         groups.unpersist()
-    report = quality.run_rules(staged, quality.STAGED_RULES, "stg_case_reports", exclude)
+        staged.unpersist()
     quality.gate(report)
     return report
 
 
-def record_schema(warehouse: Warehouse, df: DataFrame, at) -> None:
-    """Append the live columns of the raw table to the snapshot history."""
-    rows = monitors.schema_rows(df, *TABLE).withColumn("snapshotted_at", moment(at))
-    tables.append(rows, warehouse.path("monitoring", "schema_snapshots"))
+def record_schema(warehouse: Warehouse, df: DataFrame, at, batch_id: str) -> None:
+    """Store the live columns of the raw table if they are new or changed, so that a drift check still sees the change
+    until then, and drift is not hidden by the loads that follow it."""
+    path = warehouse.path("monitoring", "schema_snapshots")
+    known = tables.read_log(df.sparkSession, path, SNAPSHOT_DDL)
+    live = monitors.schema_rows(df, *TABLE)
+    diff = monitors.schema_diff(live, monitors.latest_snapshot(known))
+    first = monitors.snapshots_to_record(live, diff.where("not has_prior_snapshot"), at)
+    if not first.isEmpty():
+        tables.put(first, path, batch_id)
+
+
+def run_paged_load(
+    spark: SparkSession, warehouse: Warehouse, fetch: Fetcher, options: dict[str, str], landing_path: str, load_date: str,
+    run: tuple[str, str], clock: Callable[[], dt.datetime], **more,
+) -> Extracted:
+    """``run_load`` from a paged source, from the stored cursor on.
+
+    ``options`` are those of the source; its ``date_range`` is where the first load starts. After a load that took live
+    data the cursor moves on by the rows fetched, in the window they came from. A load from the cache leaves it alone.
+    """
+    path = warehouse.path("monitoring", "cursors")
+    last = tables.read_log(spark, path, CURSOR_DDL).orderBy(F.desc("moved_at")).first()
+    start = options | ({"date_range": last["date_range"], "skip": str(last["skip"])} if last else {})
+    register(spark, fetch)
+    where: dict = {}
+
+    def documents() -> DataFrame:
+        where.update(position(start, fetch))
+        here = start | {"date_range": where["date_range"], "skip": str(where["skip"])}
+        return explode_pages(spark.read.format("paged_reports").options(**here).load())
+
+    done = run_load(spark, warehouse, documents, landing_path, load_date, run, clock, **more)
+    if not done.used_cache and done.rows:
+        row = spark.createDataFrame([(where["date_range"], where["skip"] + done.rows)], "date_range string, skip bigint")
+        tables.put(row.withColumn("moved_at", moment(clock())), path, run[1])
+    return done

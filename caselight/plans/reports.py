@@ -103,8 +103,8 @@ def recent_runs(runs: DataFrame, incidents: DataFrame, n: int = 10, load_task: s
 
 
 def freshness_status(checks: DataFrame) -> DataFrame:
-    """Latest check of each table."""
-    last = latest_per_key(checks, ["table_name"], [F.desc_nulls_first("checked_at")])
+    """Latest check of each table; tables of one name in two schemas are two tables."""
+    last = latest_per_key(checks, ["schema_name", "table_name"], [F.desc_nulls_first("checked_at")])
     return last.select("table_name", "schema_name", "last_loaded", "is_stale",
                        F.coalesce("data_source", F.lit("live")).alias("data_source"))
 

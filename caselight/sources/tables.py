@@ -1,4 +1,4 @@
-"""Stored tables: keyed Parquet tables that take upserts, append-only logs, rebuilt marts, jdbc scans."""
+"""Stored tables: keyed Parquet tables that take upserts, logs, rebuilt marts."""
 
 from __future__ import annotations
 
@@ -8,92 +8,74 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from caselight.operators.changes import dedupe_batch, merge, stamp
+from caselight.operators.changes import dedupe_batch, merge, stamp, with_key
 
+BUCKET = "key_bucket"
 BATCH = "batch"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A Parquet table with unique keys that takes upserts at the price of the batch, not of the table.
+    """A Parquet table with unique keys, partitioned by a hash of the keys.
 
-    An upsert only appends the batch, under the next number, to the ``changes`` folder. A reader takes the newest change
-    of each key and the rows of the base whose key did not change: the base is scanned once and, as long as Spark finds
-    the changed keys small enough to broadcast, not shuffled. ``compact`` folds the changes into a new base; run it
-    when they reach a few percent of the table. One writer at a time; a failed upsert is simply repeated, and a repeated
-    one leaves every key as it is.
-
-    Layout: ``base/batch=<n>`` holds everything up to batch n, ``changes/batch=<n>`` one batch. A folder counts once
-    Spark has put its success mark there.
+    An upsert reads and overwrites the buckets that its keys fall into, with Spark's dynamic partition overwrite; a
+    reader scans plain Parquet. ``buckets`` sets how much one task rewrites and is part of the layout. Rows without a
+    key have no place in a keyed table and are left out (``quality.quarantine`` sets them aside before). Handing over the same
+    batch twice changes nothing. One writer at a time; a failed upsert is repeated.
     """
 
     path: str
     keys: tuple[str, ...]
+    buckets: int = 32
 
-    def _numbers(self, spark: SparkSession, part: str) -> list[int]:
-        """Numbers of the complete folders of ``base`` or ``changes``."""
-        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/{BATCH}=*/_SUCCESS")
-        found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
-
-    def _next(self, spark: SparkSession) -> int:
-        return max(self._numbers(spark, "base") + self._numbers(spark, "changes"), default=-1) + 1
+    def _placed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
-    def _save(self, df: DataFrame, part: str, number: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{part}/{BATCH}={number}")
+    def _save(self, placed: DataFrame) -> None:
+        placed.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            BUCKET).parquet(self.path)
 
     def exists(self, spark: SparkSession) -> bool:
-        return bool(self._numbers(spark, "base") or self._numbers(spark, "changes"))
+        try:
+            spark.read.parquet(self.path)
+        except AnalysisException as problem:
+            if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
+        return True
 
     def write(self, df: DataFrame) -> None:
         """Replace the whole table; the keys of ``df`` must be unique."""
-        self._save(df, "base", self._next(df.sparkSession))
+        with_key(self._placed(df), self.keys).repartition(BUCKET).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The current rows."""
-        bases = self._numbers(spark, "base")
-        newer = [n for n in self._numbers(spark, "changes") if not bases or n > bases[-1]]
-        base = spark.read.parquet(f"{self.path}/base/{BATCH}={bases[-1]}") if bases else None
-        if not newer:
-            if base is None:
-                raise FileNotFoundError(f"no table at {self.path}")
-            return base
-        folders = [f"{self.path}/changes/{BATCH}={n}" for n in newer]
-        changes = spark.read.option("basePath", f"{self.path}/changes").option("mergeSchema", "true").parquet(*folders)
-        if len(newer) > 1:
-            changes = dedupe_batch(changes, self.keys, [F.desc(BATCH)])
-        changes = changes.drop(BATCH)
-        return changes if base is None else merge(base, changes.select(*base.columns), self.keys)
+        if not self.exists(spark):
+            raise FileNotFoundError(f"no table at {self.path}")
+        return spark.read.option("mergeSchema", "true").parquet(self.path).drop(BUCKET)
 
     def upsert(self, batch: DataFrame, order: Sequence[Column], loaded_at=None) -> None:
         """Insert or replace by key; the first row of a key under ``order`` wins inside the batch.
 
-        Rows without a key replace nothing and are added each time.
+        Columns that only one side has are kept and null on the other.
         """
-        fresh = dedupe_batch(batch, self.keys, order)
+        spark = batch.sparkSession
+        fresh = dedupe_batch(with_key(batch, self.keys), self.keys, order)
         if loaded_at is not None:
             fresh = stamp(fresh, "loaded_at", loaded_at)
-        self._save(fresh, "changes", self._next(batch.sparkSession))
-
-    def pending(self, spark: SparkSession) -> int:
-        """Number of upserts that are not in the base yet."""
-        newest = max(self._numbers(spark, "base"), default=-1)
-        return sum(number > newest for number in self._numbers(spark, "changes"))
+        fresh = self._placed(fresh)
+        if not self.exists(spark):
+            self._save(fresh)
+            return
+        touched = [row[BUCKET] for row in self._placed(batch.select(*self.keys)).select(BUCKET).distinct().collect()]
+        stored = spark.read.option("mergeSchema", "true").parquet(self.path)
+        self._save(merge(stored.where(F.col(BUCKET).isin(touched)), fresh, [*self.keys, BUCKET]))
 
-    def compact(self, spark: SparkSession) -> None:
-        """Fold all changes into a new base. Readers of the old folders go on undisturbed, see ``drop_superseded``."""
-        if self.pending(spark):
-            self._save(self.read(spark), "base", self._numbers(spark, "changes")[-1])
 
-    def drop_superseded(self, spark: SparkSession) -> int:
-        """Remove the folders that the newest base replaced, once no reader needs them; returns how many."""
-        newest = max(self._numbers(spark, "base"), default=-1)
-        old = [f"{self.path}/base/{BATCH}={n}" for n in self._numbers(spark, "base") if n < newest]
-        old += [f"{self.path}/changes/{BATCH}={n}" for n in self._numbers(spark, "changes") if n <= newest]
-        for folder in old:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        return len(old)
+def put(df: DataFrame, path: str, batch: str) -> None:
+    """Write the rows of one batch to a log; the same batch written again takes their place."""
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -101,12 +83,18 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_log(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """An append-only table, empty while nothing was appended yet; columns added later read as null in old files."""
+def read_log(spark: SparkSession, path: str, ddl: str, keep_batch: bool = False) -> DataFrame:
+    """A log, empty while nothing was written yet; columns added later read as null in old files.
+
+    With ``keep_batch`` the schema names the batch as well.
+    """
     try:
-        return spark.read.schema(ddl).parquet(path)
-    except AnalysisException:
+        found = spark.read.schema(ddl).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], ddl)
+    return found if keep_batch else found.drop(BATCH)
 
 
 def rebuild(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
@@ -118,21 +106,3 @@ def snapshot_once(df: DataFrame, path: str) -> DataFrame:
     """Keep a copy of a table unless one exists already, and read the copy."""
     df.write.mode("ignore").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def read_jdbc(
-    spark: SparkSession, url: str, table: str, partition_column: str, bounds: tuple, partitions: int, **options: str
-) -> DataFrame:
-    """A database table read in parallel by ranges of a column; filters and columns are pushed into the database."""
-    return spark.read.format("jdbc").options(
-        url=url, dbtable=table, partitionColumn=partition_column, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
-        numPartitions=str(partitions), **options,
-    ).load()
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
-def has_column(df: DataFrame, column: str) -> bool:
-    return column in df.columns

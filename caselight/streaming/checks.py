@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from caselight.operators import monitors, quality
-from caselight.sources.tables import append
+from caselight.sources.tables import put
 from caselight.streaming.jobs import start_batches
 
 
@@ -18,16 +18,17 @@ def start_checks(
 ) -> StreamingQuery:
     """Append a rule report and the row-count check of each micro-batch to ``output``.
 
-    Rows carry the batch number, so a batch that is handed over again after a failure can be told from its first copy.
+    Rows are written per batch, so a batch that is handed over again replaces its first copy. ``baselines`` have the
+    scope of a batch: like is compared with like.
     """
     rules = list(rules)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         report = quality.run_rules(batch, rules, table)
-        append(report.withColumn("batch_id", F.lit(batch_id)), f"{output}/rules")
+        put(report.withColumn("batch_id", F.lit(batch_id)), f"{output}/rules", str(batch_id))
         counts = batch.agg(F.count(F.lit(1)).alias("current_count")).select(
             F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "current_count")
-        alerts = monitors.count_alerts(monitors.count_check(counts, baselines), at)
-        append(alerts.withColumn("batch_id", F.lit(batch_id)), f"{output}/alerts")
+        alerts = monitors.count_alerts(monitors.count_check(counts, baselines, scope="batch"), at)
+        put(alerts.withColumn("batch_id", F.lit(batch_id)), f"{output}/alerts", str(batch_id))
 
     return start_batches(rows, check, checkpoint, every)

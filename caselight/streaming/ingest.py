@@ -31,10 +31,10 @@ def start_ingest(documents: DataFrame, warehouse: Warehouse, load_date: str, at,
                  used_cache: bool = False) -> StreamingQuery:
     """Flatten arriving documents and upsert them; inside a micro-batch the newest received report of a key wins.
 
-    Handing the same micro-batch over twice leaves the table as it is, because the upsert is by key.
+    Handing the same micro-batch over twice changes nothing: the upsert is by key, and log rows are written per batch.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         order = [F.desc_nulls_last("received_date"), F.desc_nulls_last("outcome")]
-        load_batch(warehouse, batch, order, at, used_cache)
+        load_batch(warehouse, batch, order, at, used_cache, batch_id=f"stream-{batch_id}")
 
     return start_batches(flatten(documents, load_date), load, checkpoint)

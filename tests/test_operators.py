@@ -320,14 +320,17 @@ def test_routing_table(spark):
         ("P2", update, False, "pending", False, ["request_approval"], 0),
     ]
     df = spark.createDataFrame(
-        [(i, "d", "r", "t", "x", c[0], (("s"), "why", "low", c[1]), c[2]) for i, c in enumerate(cases)],
+        [(i, "d", "r", "t", "x", c[0], (("s"), "why", "low", c[1]), c[2], "live rename" if c[2] else None) for i, c in enumerate(cases)],
         "incident_id int, dag_id string, run_id string, task_id string, error_type string, severity string, "
-        "fix struct<source: string, description: string, risk_level: string, sql: string>, rename_valid boolean")
+        "fix struct<source: string, description: string, risk_level: string, sql: string>, rename_valid boolean, "
+        "rename_sql string")
     routed = incidents.route(df)
     got = [(r["approval_status"], r["fix_executed"], r["actions"], r["timeout_minutes"]) for r in routed.orderBy("incident_id").collect()]
     assert got == [c[3:] for c in cases]
     assert rows(incidents.approval_requests(routed), "incident_id") == [(0,), (10,), (9,)]
-    assert incidents.actions(routed).count() == sum(len(c[5]) for c in cases)
+    steps = incidents.actions(routed)
+    assert steps.count() == sum(len(c[5]) for c in cases)
+    assert {r["detail"] for r in steps.where("action = 'apply_rename'").collect()} == {"live rename"}
 
 
 def approvals_table(spark, *data):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselight.operators.quality import DataQualityError
+from caselight.plans import ingest as ingest_plan
 from caselight.plans.ingest import Warehouse, load_batch, run_load, task_runs
 from caselight.plans.reports import run_summary
 from caselight.schemas import FRESHNESS_DDL, LANDING_COLUMNS, LANDING_DDL, REPORT_DDL
@@ -185,8 +186,8 @@ def test_landing_keeps_text_as_it_is(spark, tmp_path):
     path = str(tmp_path / "landing")
     tricky = [{"report_id": "1", "drug_name": 'say "x", y', "reaction": "a\nb", "serious": "01", "country": ""},
               {"report_id": "2", "drug_name": None, "reaction": "back\\slash", "serious": "1.0", "country": " PE "}]
-    assert landing.write_landing(landing_batch(spark, *tricky), path, "2024-03-01", "0001", multiline=True) == 2
-    back = landing.read_batch(spark, path, "2024-03-01", "0001", multiline=True)
+    assert landing.write_landing(landing_batch(spark, *tricky), path, "2024-03-01", "0001") == 2
+    back = landing.read_batch(spark, path, "2024-03-01", "0001")
     columns = ["report_id", "drug_name", "reaction", "serious", "country", "load_date"]
     assert rows(back, *columns) == [("1", 'say "x", y', "a\nb", "01", None, "2024-03-01"),
                                     ("2", None, "back\\slash", "1.0", " PE ", "2024-03-01")]
@@ -203,83 +204,51 @@ def test_landing_batches_of_one_day_do_not_overwrite_each_other(spark, tmp_path)
 
 def test_missing_landing_file_lists_what_exists(spark, tmp_path):
     path = str(tmp_path / "landing")
-    with pytest.raises(FileNotFoundError, match="no files found"):
+    with pytest.raises(FileNotFoundError, match="nothing has landed"):
         landing.read_batch(spark, path, "2024-02-29", "0001")
     with pytest.raises(landing.LandingError):
         landing.latest_batch(spark, path)
     landing.write_landing(landing_batch(spark, {"report_id": "1"}), path, "2024-02-28", "0001")
-    with pytest.raises(FileNotFoundError, match="load_date=2024-02-28"):
+    with pytest.raises(FileNotFoundError, match="there are: .*load_date=2024-02-28"):
         landing.read_batch(spark, path, "2024-02-29", "0001")
 
 
 # --- stored tables ---------------------------------------------------------------------------------------------------
 
 def test_keyed_table(spark, tmp_path):
-    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=4)
     assert not table.exists(spark)
     table.upsert(spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), [F.desc("v")])
-    changed = spark.createDataFrame([("5", 1), ("5", 2), ("new", 3)], "id string, v int")
+    changed = spark.createDataFrame([("5", 1), ("5", 2), ("new", 3), (None, 9)], "id string, v int")
 
     def state():
         found = {r["id"]: r["v"] for r in table.read(spark).collect()}
         return len(found), found["5"], found.get("new")
 
     assert state() == (100, 0, None)
-    for compact in (False, True, False):
+    for _ in range(3):  # a repeated batch, rows without key included, changes nothing
         table.upsert(changed, [F.desc("v")])
         assert state() == (101, 2, 3)
-        if compact:
-            table.compact(spark)
-            assert state() == (101, 2, 3)
     table.write(changed.where("v = 1"))
     assert rows(table.read(spark)) == [("5", 1)]
 
 
-def test_keyed_table_drops_what_a_base_replaced(spark, tmp_path):
-    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
-    row = lambda v: spark.createDataFrame([("a", v)], "id string, v int")
-    table.write(row(0))
-    for v in (1, 2):
-        table.upsert(row(v), [F.desc("v")])
-    assert table.pending(spark) == 2 and table.drop_superseded(spark) == 0
-    table.compact(spark)
-    assert table.pending(spark) == 0 and table.drop_superseded(spark) == 3
-    assert rows(table.read(spark)) == [("a", 2)]
-    table.upsert(row(3), [F.desc("v")])
-    assert rows(table.read(spark)) == [("a", 3)]
-
-
-def test_loads_compact_the_raw_table_now_and_then(spark, tmp_path):
-    warehouse = Warehouse(str(tmp_path / "w"), compact_after=2)
-    pending = []
-    for number in range(5):
-        batch = landing_batch(spark, {"report_id": str(number % 2), "load_date": "2024-03-01", "received_date": "20240101"})
-        load_batch(warehouse, batch, [F.desc("received_date")], f"2024-03-01 0{number}:00:00")
-        pending.append(warehouse.raw.pending(spark))
-    assert pending == [1, 0, 1, 0, 1] and warehouse.raw.read(spark).count() == 2
-
-
-def test_keyed_table_ignores_unfinished_folders(spark, tmp_path):
-    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
-    row = lambda v: spark.createDataFrame([("a", v)], "id string, v int")
-    table.write(row(0))
-    table.upsert(row(1), [F.desc("v")])
-    row(9).write.parquet(f"{table.path}/changes/batch=2")
-    os.remove(f"{table.path}/changes/batch=2/_SUCCESS")
-    assert rows(table.read(spark)) == [("a", 1)]
-    table.upsert(row(2), [F.desc("v")])
-    assert rows(table.read(spark)) == [("a", 2)]
-
-
-def test_keyed_table_keeps_rows_without_key(spark, tmp_path):
-    table = tables.KeyedTable(str(tmp_path / "t"), ("id",))
-    table.write(spark.createDataFrame([(None, 0), ("a", 0)], "id string, v int"))
-    for v in (1, 2):
-        table.upsert(spark.createDataFrame([(None, v), (None, v), ("a", v)], "id string, v int"), [F.desc("v")])
-    expected = sorted([(None, 0), (None, 1), (None, 1), (None, 2), (None, 2), ("a", 2)], key=repr)
-    assert rows(table.read(spark)) == expected
-    table.compact(spark)
-    assert rows(table.read(spark)) == expected
+def test_keyed_table_leaves_other_buckets_alone(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=8)
+    table.write(spark.range(200).withColumn("v", F.lit(0)))
+    files = lambda: {f for f in (r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+        table.path).select("path").collect()) if "part-" in f}
+    before = files()
+    table.upsert(spark.range(1).withColumn("v", F.lit(1)), [F.desc("v")])
+    assert len(before - files()) == 1 and table.read(spark).where("v = 1").count() == 1
+
+
+def test_keyed_table_keeps_columns_of_either_side(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("k",), buckets=4)
+    table.write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"))
+    table.upsert(spark.createDataFrame([("b", 2, "x"), ("c", 3, "y")], "k string, v int, extra string"), [F.desc("v")])
+    table.upsert(spark.createDataFrame([("d", 4)], "k string, v int"), [F.desc("v")])
+    assert rows(table.read(spark), "k", "v", "extra") == [("a", 1, None), ("b", 2, "x"), ("c", 3, "y"), ("d", 4, None)]
 
 
 def test_snapshot_is_taken_once(spark, tmp_path):
@@ -336,7 +305,7 @@ def test_run_load_logs_each_task(spark, tmp_path):
         return {r["task_id"]: (r["status"], r["rows_processed"]) for r in found.collect()}
 
     def down():
-        raise OSError("no route to host")
+        raise paged.SourceUnavailable("no route to host")
 
     with pytest.raises(landing.LandingError):
         load("r0", down)
@@ -360,6 +329,59 @@ def test_run_load_logs_each_task(spark, tmp_path):
     assert ingest.first_cursor(spark, warehouse, WINDOW) == {"date_range": WINDOW, "skip": "3"}
 
 
+def test_only_a_source_that_is_down_lets_a_load_use_old_data(spark, tmp_path):
+    warehouse, path = Warehouse(str(tmp_path / "w"), buckets=4), str(tmp_path / "landing")
+    clock = clock_from(dt.datetime(2024, 3, 1))
+    load = lambda run_id, documents: run_load(spark, warehouse, documents, path, "2024-03-01", ("d", run_id), clock)
+
+    def down():
+        raise paged.SourceUnavailable("no route to host")
+
+    broken_line = full_document("b", patient={"patientsex": "1", "drug": [{"medicinalproduct": 'a\nb"c,d'}],
+                                              "reaction": [{"reactionmeddrapt": "r\r\ns"}]})
+    assert load("r1", lambda: document_frame(spark, full_document("a"), broken_line)).rows == 2
+    batch = landing.read_batch(spark, path, "2024-03-01", "r1")
+    assert {r["drug_name"] for r in batch.collect()} == {"x", 'a\nb"c,d'}
+    with pytest.raises(Exception, match="safetyreportid"):
+        load("r2", lambda: spark.createDataFrame([("x",)], "other string"))
+    with pytest.raises(OSError):
+        load("r3", lambda: (_ for _ in ()).throw(OSError("disk full")))
+    assert load("r4", lambda: document_frame(spark, full_document("a")).limit(0)).rows == 0
+    again = load("r5", down)
+    assert (again.used_cache, again.batch_id, again.rows) == (True, "r1", 2)
+    assert [r["batch_id"] for r in landing.batches(spark, path).collect()] == ["r1"]
+
+
+def test_a_paged_load_keeps_its_cursor(spark, tmp_path):
+    warehouse, service = Warehouse(str(tmp_path / "w"), buckets=4), tmp_path / "service.json"
+    inner, unavailable = make_service(service, {"2006": 1, "2005": 1}), paged.SourceUnavailable
+
+    def fetch(date_range, skip, limit, options):
+        import json, os
+
+        if not os.path.exists(options["folder"] + ".up"):
+            raise unavailable("down")
+        page = inner(date_range, skip, limit, options)
+        if not page:
+            return None
+        envelope = json.loads(page)
+        for r in envelope["results"]:
+            r |= {"receiptdate": "20060101", "serious": "1", "patient": {
+                "patientsex": "1", "drug": [{"medicinalproduct": "x"}], "reaction": [{"reactionmeddrapt": "r"}]}}
+        return json.dumps(envelope)
+
+    clock = clock_from(dt.datetime(2024, 3, 1))
+    options = {"folder": str(service), "date_range": YEAR, "max_rows": "200", "earliest_year": "2005"}
+    load = lambda run: ingest_plan.run_paged_load(spark, warehouse, fetch, options, str(tmp_path / "l"), "2024-03-01", ("d", run), clock)
+    (tmp_path / "service.json.up").write_text("")
+    assert [load(f"r{i}").rows for i in range(3)] == [200, 165, 200]
+    (tmp_path / "service.json.up").unlink()
+    assert load("r3").used_cache
+    (tmp_path / "service.json.up").write_text("")
+    assert [load(f"s{i}").rows for i in range(2)] == [165, 0]
+    assert warehouse.raw.read(spark).count() == 730
+
+
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 def test_stream_ingest_replays_without_effect(spark, tmp_path):
