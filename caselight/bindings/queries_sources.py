@@ -245,6 +245,78 @@ def scheduled_load(spark, sf):
     return spark.read.parquet(warehouse.path("mart", "drug_reactions"))
 
 
+# --- parts of a load on their own -------------------------------------------------------------------------------------
+
+def _landed(spark, sf, name):
+    path = shared_dir(spark, name)
+    flat = reports.flatten(reports.parse_documents(b.nested_reports(spark, sf)), LOAD_DATE)
+    landing.write_landing(flat, path, LOAD_DATE, "0001")
+    return path
+
+
+@query("landing_header", FLAT + f"""
+, named AS (SELECT unnest({LANDING_COLUMNS!r}) AS name, (SELECT count(*) FROM flat) AS n)
+SELECT name, n AS rows_landed FROM named WHERE name <> 'load_date'
+""")
+def landing_header(spark, sf):
+    """Column names of a landing file from its first line, and the batch as the log of batches has it."""
+    path = _landed(spark, sf, "header")
+    names = landing.header(spark, landing.batch_path(path, LOAD_DATE, "0001"))
+    return landing.batches(spark, path).select(F.explode(F.array(*map(F.lit, names))).alias("name"), F.col("rows").alias("rows_landed"))
+
+
+@query("missing_batch", FLAT + """
+SELECT count(*) > 0 AND false AS found_other_batch, count(*) AS rows_of_newest, 'true' AS names_what_is_there FROM flat
+""".replace("count(*) > 0 AND false", "(count(*) < 0)::VARCHAR"))
+def missing_batch(spark, sf):
+    """Reading a batch that is not there tells what is; the newest batch is still found."""
+    path = _landed(spark, sf, "missing")
+    try:
+        landing.read_batch(spark, path, LOAD_DATE, "0002")
+        found, told = "true", "false"
+    except FileNotFoundError as problem:
+        found, told = "false", str("batch_id=0001" in str(problem)).lower()
+    batch = landing.read_batch(spark, path, *landing.latest_batch(spark, path))
+    return batch.agg(F.count(F.lit(1)).alias("rows_of_newest")).select(
+        F.lit(found).alias("found_other_batch"), "rows_of_newest", F.lit(told).alias("names_what_is_there"))
+
+
+@query("staging_view", FLAT + """
+SELECT count(*) AS view_rows, count(DISTINCT report_id) AS view_reports, count(DISTINCT upper(drug_name)) AS view_drugs
+FROM flat WHERE drug_name IS NOT NULL
+""")
+def staging_view(spark, sf):
+    """The staging view that a build leaves behind, read by name."""
+    root = shared_dir(spark, "view")
+    warehouse = Warehouse(f"{root}/warehouse", buckets=8)
+    flat = reports.flatten(reports.parse_documents(b.nested_reports(spark, sf)), LOAD_DATE)
+    load_batch(warehouse, flat.where("drug_name is not null and reaction is not null"), [F.desc("received_date")], AS_OF)
+    build_models(warehouse, spark)
+    return spark.sql("SELECT count(*) AS view_rows, count(DISTINCT report_id) AS view_reports, "
+                     "count(DISTINCT drug_name) AS view_drugs FROM stg_case_reports")
+
+
+@query("quality_gate", FLAT + """
+SELECT 'reports.drug_name: not_null failed for ' || count(*) AS message FROM flat WHERE drug_name IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'passed' FROM flat HAVING count(*) FILTER (WHERE drug_name IS NULL) = 0
+""")
+def quality_gate(spark, sf):
+    """What the gate says about reports without a drug."""
+    flat = reports.flatten(reports.parse_documents(b.nested_reports(spark, sf)), LOAD_DATE)
+    try:
+        quality.gate(quality.run_rules(flat, [quality.not_null("drug_name"), quality.not_null("report_id")], "reports"))
+        message = "passed"
+    except quality.DataQualityError as problem:
+        message = str(problem)
+    return spark.createDataFrame([(message,)], "message string")
+
+
+@query("added_columns", "SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS note, NULL::BIGINT AS visits FROM orders")
+def added_columns(spark, sf):
+    orders = b.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return changes.add_missing_columns(orders, {"o_orderstatus": "int", "note": "string", "visits": "bigint"})
+
+
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 @query("stream_ingest", FLAT + f"""
