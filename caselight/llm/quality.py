@@ -17,7 +17,8 @@ MEASURES = {
     "word_length": ("100 * word_chars div n_words", True, 100),
     "symbols": ("1000 * n_symbols div n_words", False, 100),
     "dup_lines": ("1000 * n_dup_lines div n_words", False, 50),
-    "repeats": ("1000 * n_repeat_words div n_words", False, 150),
+    "repeats": ("1000 * n_repeat_words div n_words", False, 290),
+    "runs": ("1000 * n_run_words div n_words", False, 100),
 }
 WINDOW = 8
 
@@ -60,8 +61,14 @@ def repeat_words(tokens: Column) -> Column:
     )).cast("long")
 
 
+def run_words(tokens: Column) -> Column:
+    """How many words equal the word before."""
+    pairs = F.zip_with(tokens, F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(0))), lambda a, b: a.eqNullSafe(b))
+    return F.size(F.filter(pairs, lambda x: x)).cast("long")
+
+
 def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality") -> DataFrame:
-    """Append one struct with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+    """Append one struct with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_run_words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     bare = F.regexp_replace(text, SPACE + "+", "")
@@ -72,7 +79,8 @@ def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality") -
             F.length(bare).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            repeat_words(tokens).alias("n_repeat_words"))
+            repeat_words(tokens).alias("n_repeat_words"),
+            run_words(tokens).alias("n_run_words"))
 
     return docs.withColumn(name, let(words(F.col(text_col)), counts))
 
@@ -158,7 +166,7 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source", min_words: int = 20, max_repeat_percent: int = 30, spread: float = 6.0,
           min_docs: int = 100) -> DataFrame:
-    """One row per input row: id, counts, base_failed, kept.
+    """One row per input row: id, counts, base_failed, kept, n_run_words.
 
     Null or blank text has no words and fails the base rules. Null languages and sources form groups of their own.
     Repeated rows are judged alike, each counting in its sketch; other columns are not read; an empty table gives none.
@@ -166,7 +174,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = stored(_counted(docs, id_col, text_col, lang_col, source_col, min_words, max_repeat_percent), "quality")
     judged = _judged(rows, fences(rows.filter(~F.col("base_failed")), spread, min_docs))
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                         "n_repeat_words", "base_failed", "kept")
+                         "n_repeat_words", "base_failed", "kept", "n_run_words")
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

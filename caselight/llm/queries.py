@@ -145,15 +145,16 @@ WITH t AS (
     CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
       - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))))
       AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words
+    CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(list_filter(range(1, CAST(len(words) AS BIGINT)), lambda i: words[i] = words[i + 1])) AS BIGINT) AS n_run_words
   FROM w LEFT JOIN covered c ON c.rid = w.rid
 ), based AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
 ), long_form AS (
   SELECT rid, lang, source, m, v FROM (
-    SELECT rid, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS m,
+    SELECT rid, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats', 'runs']) AS m,
       unnest([100 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_dup_lines // n_words,
-              1000 * n_repeat_words // n_words]) AS v
+              1000 * n_repeat_words // n_words, 1000 * n_run_words // n_words]) AS v
     FROM based WHERE NOT base_failed)
 ), sketch AS (
   SELECT lang, source, m, {_BUCKET} AS b, count(*) AS n FROM long_form GROUP BY ALL
@@ -178,11 +179,11 @@ WITH t AS (
 ), bad AS (
   SELECT DISTINCT x.rid FROM long_form x JOIN limits l
     ON x.lang IS NOT DISTINCT FROM l.lang AND x.source IS NOT DISTINCT FROM l.source AND x.m = l.m
-  WHERE v > q3 + 6 * (q3 - q1) + CASE x.m WHEN 'word_length' THEN 100 WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 50 ELSE 150 END
+  WHERE v > q3 + 6 * (q3 - q1) + CASE x.m WHEN 'dup_lines' THEN 50 WHEN 'repeats' THEN 290 ELSE 100 END
      OR x.m = 'word_length' AND v < q1 - 6 * (q3 - q1) - 100
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND bad.rid IS NULL AS kept
+       NOT base_failed AND bad.rid IS NULL AS kept, n_run_words
 FROM based LEFT JOIN bad ON bad.rid = based.rid
 """
 
