@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from caselight.llm import hashing as H
-from caselight.llm.common import attach, keyed, partitions, stored
+from caselight.llm.common import keyed, partitions, stored
 
 #: Bits of an anchor's hash that order grams; the rest of a 64-bit key holds the place within a block.
 _PLACE_BITS = 24
 _BLOCK = 1 << 22
 ANCHORS_PER_SHARD = 1_000_000
-BYTES_PER_SHARD = 2_000_000
+BYTES_PER_SHARD = 1_000_000
+#: Bytes of text that a worker hashes at once; some dozen arrays of eight bytes a byte of text stand beside them.
+BYTES_AT_ONCE = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -103,7 +105,7 @@ def repeated_anchors(docs: DataFrame, unit: Unit) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in H.pieces(batch, "text"):
+            for part in H.pieces(batch, "text", BYTES_AT_ONCE):
                 _, grams, bounds, _, _ = items_of(part.column("text"), unit)
                 text, _, _, anchor, value = cut(grams, bounds, unit)
                 place = (anchor - bounds[text]).astype("<u4")
@@ -180,7 +182,7 @@ def segments(docs: DataFrame, unit: Unit) -> DataFrame:
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in H.pieces(batch, "text"):
+            for part in H.pieces(batch, "text", BYTES_AT_ONCE):
                 data, grams, bounds, starts, ends = items_of(part.column("text"), unit)
                 text, first, last, anchor, value = cut(grams, bounds, unit)
                 marked = [np.frombuffer(b"".join(p), "<u4") for p in part.column("places").to_pylist()]
@@ -213,7 +215,7 @@ def segments(docs: DataFrame, unit: Unit) -> DataFrame:
         T.StructField("shard", T.IntegerType()), T.StructField("content", T.BinaryType()),
         T.StructField("ids", T.ArrayType(kind)), T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("firsts", T.ArrayType(T.LongType()))])
-    return attach(docs, marks, "key", "inner", held).select("id", "key", "text", "places").mapInArrow(expand, schema)
+    return docs.join(marks, "key").select("id", "key", "text", "places").mapInArrow(expand, schema)
 
 
 def gathered(table: pa.Table):
@@ -251,11 +253,12 @@ SPANS = "key long, begins array<long>, ends array<long>"
 
 
 def removal(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Documents with the spans found in all shards: id, text, begins, ends (lists of lists, null without spans)."""
-    per_key = stored(spans.groupBy("key").agg(F.collect_list("begins").alias("begins"), F.collect_list("ends").alias("ends")),
-                     "spans")
-    held = F.aggregate("begins", F.lit(0), lambda acc, p: acc + 16 * F.size(p))
-    return attach(docs, per_key, "key", "left", held).select("id", "text", "begins", "ends")
+    """Documents with the spans found in all shards: id, text, begins, ends (lists of lists, null without spans).
+
+    Texts are dealt by key here as in ``segments``, in the same job, so Spark moves them once and uses that shuffle twice.
+    """
+    per_key = spans.groupBy("key").agg(F.collect_list("begins").alias("begins"), F.collect_list("ends").alias("ends"))
+    return docs.join(per_key, "key", "left").select("id", "text", "begins", "ends")
 
 
 def covered(n: int, begins, ends) -> np.ndarray:
