@@ -23,7 +23,7 @@ from caselight.llm import hashing as H
 from caselight.llm.common import attach, keyed, partitions, stored
 from caselight.llm.components import components
 
-SIGNATURES_PER_SHARD = 1_000_000
+SIGNATURES_PER_SHARD = 500_000
 #: Most ids that are sent to all executors; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -133,7 +133,7 @@ def _shards(sets: DataFrame, bands: Bands, n: int, shards: int) -> DataFrame:
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in H.pieces(batch, "text", 8_000_000):
+            for part in H.pieces(batch, "text"):
                 items, bounds = shingle_sets(part.column("text"), n)
                 prints = set_prints(items, bounds)
                 prints, first = np.unique(prints, return_index=True)  # equal sets of a batch count once
@@ -196,18 +196,79 @@ def _lists(packed: DataFrame) -> DataFrame:
     return lists.groupBy("list_id").agg(F.first("members").alias("members"))
 
 
+def sketch(items: np.ndarray) -> np.ndarray:
+    """Parities of the set over cells, about three cells for two elements, as 64-bit words; the words are a power of two.
+
+    Cells whose parities differ hold at least one element that only one of two sets has, so the number of differing bits
+    never exceeds the number of differing elements: a filter that loses nothing. Folding halves onto each other gives the
+    sketch with half the cells.
+    """
+    words = 1
+    while words * 64 < 1.5 * len(items):
+        words *= 2
+    odd = np.bincount((H.mix(items + np.uint64(5)) & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<u8")
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and sketches leave possible."""
+    narrow = sets.select("print", F.size("items").alias("n"), "sketch")
+    both = (pairs.join(narrow.select(F.col("print").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x")), "a")
+            .join(narrow.select(F.col("print").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y")), "b")
+            .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+
+    def fold(name: str, other: str):
+        half = (F.size(name) / 2).cast("int")
+        folded = F.zip_with(F.slice(name, F.lit(1), half), F.slice(name, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(name) > F.size(other), folded).otherwise(F.col(name))  # sizes this near differ by one fold
+
+    bits = F.aggregate(F.zip_with(fold("x", "y"), fold("y", "x"), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0),
+                       lambda acc, v: acc + v)
+    return both.filter((100 + percent) * bits <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sets are similar enough, by exact intersection."""
-    one = sets.select(F.col("print").alias("a"), F.col("items").alias("x"))
-    two = sets.select(F.col("print").alias("b"), F.col("items").alias("y"))
-    sizes = sets.select("print", F.size("items").alias("n"))
-    near = (pairs.join(sizes.select(F.col("print").alias("a"), F.col("n").alias("na")), "a")
-            .join(sizes.select(F.col("print").alias("b"), F.col("n").alias("nb")), "b")
-            .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
-    both = near.join(two, "b").join(one, "a")
+    """Those pairs (a, b), stored, whose sets are similar enough, by exact intersection; only their sets are moved."""
+    needed = stored(pairs.select(F.col("a").alias("print")).unionByName(pairs.select(F.col("b").alias("print"))).distinct(),
+                    "needed")
+    some = attach(sets.select("print", "items"), needed, "print", "left_semi")
+    both = pairs.join(some.withColumnsRenamed({"print": "b", "items": "y"}), "b").join(
+        some.withColumnsRenamed({"print": "a", "items": "x"}), "a")
     shared = F.size(F.array_intersect("x", "y"))
     return both.withColumn("shared", shared).filter(
-        100 * F.col("shared") >= percent * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b")
+        100 * F.col("shared") >= percent * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b").distinct()
+
+
+def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs within a list that are in different components and that sizes and sketches leave possible.
+
+    ``lists`` has one row per list: nodes, labels, sizes and sketches of its members.
+    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = set()
+            for nodes, labels, sizes, sketches in zip(*(batch.column(x).to_pylist() for x in ("nodes", "labels", "sizes", "sketches"))):
+                nodes, labels, sizes = (np.array(x, np.int64) for x in (nodes, labels, sizes))
+                words = min(map(len, sketches))
+                bits = np.zeros((len(nodes), words), np.uint64)
+                for i, own in enumerate(sketches):
+                    own = np.array(own, np.int64).view(np.uint64)
+                    while len(own) > words:
+                        own = own[:len(own) // 2] ^ own[len(own) // 2:]
+                    bits[i] = own
+                for i in range(len(nodes) - 1):
+                    rest = slice(i + 1, None)
+                    differ = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    total, least = sizes[rest] + sizes[i], np.minimum(sizes[rest], sizes[i])
+                    fits = ((labels[rest] != labels[i]) & ((100 + percent) * differ <= (100 - percent) * total)
+                            & (100 * least >= percent * (total - least)))
+                    for j in np.flatnonzero(fits).tolist():
+                        one, two = int(nodes[i]), int(nodes[i + 1 + j])
+                        seen.add((min(one, two), max(one, two)))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in seen], pa.int64()), pa.array([y for _, y in seen], pa.int64())],
+                                             ["a", "b"])
+
+    return lists.mapInArrow(compare, "a long, b long").distinct()
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
@@ -269,19 +330,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
 
     pairs = lists.select(F.element_at("members", 1).alias("a"),
                          F.explode(F.expr("slice(members, 2, size(members))")).alias("b")).distinct()
-    links = stored(_verified(pairs, sets, percent), "links")
+    links = stored(_verified(stored(_near(pairs, sets, percent), "near"), sets, percent), "links")
     labels = stored(components(links), "labels")
 
     rest = lists.select("list_id", F.explode("members").alias("node")).join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    split = rest.groupBy("list_id").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select(
-        "list_id")
-    open_lists = stored(rest.join(split, "list_id", "left_semi").groupBy("list_id").agg(
-        F.sort_array(F.collect_list(F.struct("label", "node"))).alias("m")), "open_lists")
-    cross = open_lists.select(F.col("m"), F.posexplode("m").alias("i", "one")).select(
-        "one", F.explode(F.expr("filter(slice(m, i + 2, size(m)), x -> x.label <> one.label)")).alias("two")).select(
-        F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
-    late = stored(_verified(cross.join(pairs, ["a", "b"], "left_anti"), sets, percent), "late_links")
+    split = stored(rest.groupBy("list_id").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select(
+        "list_id"), "split")
+    narrow = sets.select(F.col("print").alias("node"), F.size("items").alias("n"), "sketch")
+    open_lists = rest.join(split, "list_id", "left_semi").join(narrow, "node").groupBy("list_id").agg(
+        F.collect_list(F.struct("node", "label", "n", "sketch")).alias("m"))
+    late = stored(_cross_pairs(open_lists.select(
+        F.col("m.node").alias("nodes"), F.col("m.label").alias("labels"), F.col("m.n").alias("sizes"),
+        F.col("m.sketch").alias("sketches")), percent), "late_near")
+    late = stored(_verified(late, sets, percent), "late_links")
     if not late.isEmpty():
         labels = stored(components(links.unionByName(late)), "labels")
 
@@ -305,10 +367,12 @@ def _sets_of(spark: SparkSession, texts: DataFrame, chosen: DataFrame, n: int) -
         for batch in batches:
             for part in H.pieces(batch, "text"):
                 items, bounds = shingle_sets(part.column("text"), n)
+                sketches = [sketch(items[a:b]).view(np.int64) for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(set_prints(items, bounds).view(np.int64), pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(items.view(np.int64), pa.int64()))],
-                    ["print", "items"])
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(items.view(np.int64), pa.int64())),
+                     pa.array(sketches, pa.list_(pa.int64()))],
+                    ["print", "items", "sketch"])
 
-    found = rows.select("text").mapInArrow(expand, "print long, items array<long>")
-    return found.join(chosen.select("print"), "print", "left_semi").groupBy("print").agg(F.first("items").alias("items"))
+    # Rows that repeat an id may give a set twice or one that nobody asked for; neither changes which pairs are linked.
+    return rows.select("text").mapInArrow(expand, "print long, items array<long>, sketch array<long>")
