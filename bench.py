@@ -23,8 +23,8 @@ HEADLINE = [
     "run_summary", "run_history", "recent_runs", "unhealed_failures", "freshness_latest", "incident_summary",
     "flatten_reports", "explode_pages", "log_parse", "statement_audit", "route_decisions", "evidence",
     "similar_incidents", "lineage_downstream", "approval_upsert", "escalation_ladder", "stream_ingest",
-    "stream_load_counts", "scheduled_load", "load_provenance", "paged_run", "paged_stream", "stream_records", "stream_triage",
-    "stream_escalations", "incident_records", "drill_detection", "run_checks", "monitor_job", "restore_after_drill",
+    "stream_load_counts", "scheduled_load", "paged_stream", "stream_records", "stream_triage", "incident_records",
+    "drill_detection", "run_checks", "monitor_job",
 ]
 
 
