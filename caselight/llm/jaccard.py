@@ -156,7 +156,7 @@ def _shards(sets: DataFrame, bands: Bands, n: int, shards: int) -> DataFrame:
                     sigs.append(low[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
                     who, times = np.unique(owner[a:b], return_counts=True)
                     keys.append(own[who].tobytes())
-                    counts.append(times.astype("<u2").tobytes())
+                    counts.append(times.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers, pa.int32()), *(pa.array(x, pa.binary()) for x in (sigs, keys, counts))],
                     ["shard", "sigs", "keys", "counts"])
@@ -165,7 +165,7 @@ def _shards(sets: DataFrame, bands: Bands, n: int, shards: int) -> DataFrame:
 
 
 def _lists(packed: DataFrame) -> DataFrame:
-    """The different lists of prints that share a signature, each once: list_id and members (ascending)."""
+    """The different lists of prints that share a signature, each once: list_id and members, in one order everywhere."""
     def find(key, table):
         del key
         sig, prints = [], []
@@ -173,24 +173,27 @@ def _lists(packed: DataFrame) -> DataFrame:
             raw = np.zeros((len(s) // 5, 8), np.uint8)
             raw[:, :5] = np.frombuffer(s, np.uint8).reshape(-1, 5)
             sig.append(raw.view("<u8").ravel())
-            prints.append(np.repeat(np.frombuffer(k, "<u8"), np.frombuffer(c, "<u2")))
+            prints.append(np.repeat(np.frombuffer(k, "<u8"), np.frombuffer(c, "<u4")))
         sig, prints = np.concatenate(sig), np.concatenate(prints)
-        order = np.argsort(sig)
-        sig, prints = sig[order], prints[order]
-        edge = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1], [True]]))
-        long = np.flatnonzero(np.diff(edge) > 1)
-        seen, members = {}, []
-        for a, b in zip(edge[long].tolist(), edge[long + 1].tolist()):
-            group = np.unique(prints[a:b].view(np.int64))
-            if len(group) > 1:
-                name = int(set_prints(group.view(np.uint64), np.array([0, len(group)]))[0].view(np.int64))
-                if name not in seen:
-                    seen[name] = len(members)
-                    members.append(group)
-        flat = np.concatenate(members) if members else np.zeros(0, np.int64)
-        offsets = np.concatenate([[0], np.cumsum([len(m) for m in members])]).astype(np.int32)
-        return pa.table({"list_id": pa.array(list(seen), pa.int64()),
-                         "members": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))})
+        order = np.lexsort((prints, sig))
+        sig, prints = sig[order], prints[order].view(np.int64)
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (prints[1:] != prints[:-1])
+        sig, prints = sig[new], prints[new]
+        new = np.ones(len(sig), bool)
+        new[1:] = sig[1:] != sig[:-1]
+        start = np.flatnonzero(new)
+        sizes = np.diff(np.append(start, len(sig)))
+        start, sizes = start[sizes > 1], sizes[sizes > 1]
+        run = np.zeros(len(prints) + 1, np.uint64)
+        np.cumsum(H.mix(prints.view(np.uint64) + np.uint64(77)), out=run[1:])
+        names = H.mix(run[start + sizes] - run[start] + sizes.astype(np.uint64)).view(np.int64)
+        names, first = np.unique(names, return_index=True)
+        start, sizes = start[first], sizes[first]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes) + np.repeat(start, sizes)
+        return pa.table({"list_id": pa.array(names, pa.int64()), "members": pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()), pa.array(prints[places], pa.int64()))})
 
     lists = packed.groupBy("shard").applyInArrow(find, "list_id long, members array<long>")
     return lists.groupBy("list_id").agg(F.first("members").alias("members"))
