@@ -336,6 +336,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
     links = stored(_verified(stored(_near(pairs, sets, percent), "near"), sets, percent), "links")
     labels = stored(components(links), "labels")
 
+    # Once more against the member with most links so far: in a group of near copies that is the text they all come from.
+    degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(
+        F.count("*").alias("degree"))
+    known = stored(labels.join(degrees, "node", "left").select("node", "label", F.coalesce("degree", F.lit(0)).alias("degree")),
+                   "degrees")
+    ranked = lists.select("list_id", F.explode("members").alias("node")).join(known, "node", "left").groupBy("list_id").agg(
+        F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node", F.coalesce("label", "node").alias("label"))).alias("hub"),
+        F.collect_list(F.struct("node", F.coalesce("label", "node").alias("label"))).alias("m"))
+    again = ranked.select(F.col("hub.node").alias("centre"), F.explode(F.filter(
+        "m", lambda x: x["label"] != F.col("hub.label"))).alias("x")).select(
+        F.least("centre", "x.node").alias("a"), F.greatest("centre", "x.node").alias("b")).distinct()
+    more = stored(_verified(stored(_near(again, sets, percent), "near"), sets, percent), "hub_links")
+    links = stored(links.unionByName(more), "links")
+    labels = stored(components(links), "labels")
+
     rest = lists.select("list_id", F.explode("members").alias("node")).join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     split = stored(rest.groupBy("list_id").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select(
