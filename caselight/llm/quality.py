@@ -12,15 +12,18 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from caselight.llm.common import SPACE, let, stored, words
 
 PRECISION = 7
+WINDOW = 8
+#: Repeated words from which a text is held to the tighter fence on repeats; a phrase or two in a short text stay below.
+LEAST_REPEATS = 4 * WINDOW
 #: Scaled measures: name -> (expression, whether a low value is bad too, slack added to each fence).
 MEASURES = {
     "word_length": ("100 * word_chars div n_words", True, 100),
     "symbols": ("1000 * n_symbols div n_words", False, 100),
     "dup_lines": ("1000 * n_dup_lines div n_words", False, 50),
     "repeats": ("1000 * n_repeat_words div n_words", False, 290),
+    "long_repeats": (f"if(n_repeat_words < {LEAST_REPEATS}, 0, 1000 * n_repeat_words div n_words)", False, 150),
     "runs": ("1000 * n_run_words div n_words", False, 100),
 }
-WINDOW = 8
 
 
 def repeat_words(tokens: Column) -> Column:

@@ -60,6 +60,22 @@ def test_quality_fences_adapt(spark):
     assert not found[900] and all(found[i] for i in range(200)) and all(found[1000 + i] for i in range(200))
 
 
+def test_quality_rejects_long_texts_with_repeats(spark):
+    clean = [(i, " ".join(f"w{i:03}x{k:04}" for k in range(300)), "en", "a") for i in range(120)]
+
+    def repeating(key, n, again):
+        w = [f"v{key}x{k:04}" for k in range(n)]
+        return key, " ".join(w[:-again] + w[:again]), "en", "a"
+
+    docs = [repeating(900, 400, 40), repeating(901, 400, 50), repeating(902, 2000, 230), repeating(903, 90, 12), repeating(904, 400, 20)]
+    found = {r["doc_id"]: r for r in quality.judge(
+        spark.createDataFrame(clean + docs, "doc_id long, text string, lang string, source string")).collect()}
+    assert [found[k]["n_repeat_words"] for k in range(900, 905)] == [80, 100, 460, 24, 40]
+    assert not any(found[k]["base_failed"] for k in found)
+    assert [found[k]["kept"] for k in range(900, 905)] == [False, False, False, True, True]
+    assert all(found[i]["kept"] for i in range(120))
+
+
 def test_sainte_lague():
     assert mixing.sainte_lague([53, 24, 23], 7) == [3, 2, 2]
     for weights in ([5, 2, 1], [1, 1, 1], [100, 1, 1, 1, 1], [0, 3, 7], [7] + [1] * 9):
