@@ -7,7 +7,7 @@ not depend on how Spark dealt the rows. All of it is DataFrame operations.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
 from caselight.llm.common import SPACE, let, stored, words
 
@@ -96,8 +96,9 @@ def fences(rows: DataFrame, spread: float = 6.0, min_docs: int = 100) -> DataFra
     """Lowest and highest accepted value of each measure for each language and source.
 
     ``rows`` has lang, source and the base counts of documents that passed the base rules. A fence lies ``spread``
-    quartile distances plus the slack of the measure beyond the quartile. A group of fewer than ``min_docs`` documents
-    takes the merged sketch of its language, and if that is small too the one of all documents.
+    quartile distances plus the slack of the measure beyond the quartile. Quartiles are those of the group's sketch with
+    the language's shares added as ``min_docs`` further documents, and the language's has those of all documents added in
+    the same way: one rule at every size, in which the wider sketches fade as the group grows.
     """
     stack = ", ".join(f"'{name}', cast({expression} as bigint)" for name, (expression, _, _) in MEASURES.items())
     values = rows.select("lang", "source", F.expr(f"stack({len(MEASURES)}, {stack}) as (measure, v)"))
@@ -107,27 +108,33 @@ def fences(rows: DataFrame, spread: float = 6.0, min_docs: int = 100) -> DataFra
     by_lang = sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n"))
     by_all = by_lang.groupBy("measure", "bucket").agg(F.sum("n").alias("n"))
 
-    def quartiles(merged: DataFrame, keys: list[str]) -> DataFrame:
-        by = Window.partitionBy(*keys)
-        run = merged.withColumn("upto", F.sum("n").over(by.orderBy("bucket"))).withColumn("all", F.sum("n").over(by))
-        return run.groupBy(*keys).agg(
-            F.max("all").alias("docs"),
-            F.min(F.when(4 * F.col("upto") >= F.col("all"), F.col("bucket"))).alias("q1"),
-            F.min(F.when(4 * F.col("upto") >= 3 * F.col("all"), F.col("bucket"))).alias("q3"))
-
-    own = quartiles(sketch, ["lang", "source", "measure"]).alias("own")
-    lang = quartiles(by_lang, ["lang", "measure"]).alias("lang")
-    every = quartiles(by_all, ["measure"]).alias("every")
-    joined = own.join(lang, F.col("own.lang").eqNullSafe(F.col("lang.lang"))
-                      & (F.col("own.measure") == F.col("lang.measure"))).join(
-        every, F.col("own.measure") == F.col("every.measure"))
-
-    def pick(name: str) -> Column:
-        return (F.when(F.col("own.docs") >= min_docs, F.col(f"own.{name}"))
-                .when(F.col("lang.docs") >= min_docs, F.col(f"lang.{name}")).otherwise(F.col(f"every.{name}")))
-
-    quart = joined.select(F.col("own.lang").alias("lang"), F.col("own.source").alias("source"),
-                          F.col("own.measure").alias("measure"), pick("q1").alias("q1"), pick("q3").alias("q3"))
+    def listed(merged: DataFrame, keys: list[str]) -> DataFrame:
+        return merged.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("part"),
+                                         F.sum("n").alias("docs"))
+
+    def faded(part: Column, wider: Column) -> Column:
+        """``part`` with the shares of ``wider`` added as ``min_docs`` further documents."""
+        return F.concat(F.transform(part, lambda x: F.struct(x["bucket"].alias("bucket"), x["n"].cast("double").alias("n"))),
+                        F.transform(wider, lambda x: F.struct(x["bucket"].alias("bucket"), (min_docs * x["share"]).alias("n"))))
+
+    def shares(part: Column, docs: Column) -> Column:
+        return F.transform(part, lambda x: F.struct(x["bucket"].alias("bucket"), (x["n"] / docs).alias("share")))
+
+    def quantile(part: Column, docs: Column, quarters: int) -> Column:
+        start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("bigint").alias("at"))
+        return F.aggregate(part, start, lambda acc, x: F.struct(
+            (acc["upto"] + x["n"]).alias("upto"),
+            F.coalesce(acc["at"], F.when(4 * (acc["upto"] + x["n"]) >= quarters * docs, x["bucket"])).alias("at")))["at"]
+
+    every = listed(by_all, ["measure"]).select("measure", shares(F.col("part"), F.col("docs")).alias("wider"))
+    lang = listed(by_lang, ["lang", "measure"]).join(every, "measure").select(
+        "lang", "measure", shares(faded(F.col("part"), F.col("wider")), F.col("docs") + min_docs).alias("wider")).alias("lang")
+    own = listed(sketch, ["lang", "source", "measure"]).alias("own")
+    mixed = own.join(lang, F.col("own.lang").eqNullSafe(F.col("lang.lang")) & (F.col("own.measure") == F.col("lang.measure"))).select(
+        "own.lang", "own.source", "own.measure", (F.col("docs") + min_docs).alias("docs"),
+        F.sort_array(faded(F.col("part"), F.col("wider"))).alias("part"))
+    quart = mixed.select("lang", "source", "measure", quantile(F.col("part"), F.col("docs"), 1).alias("q1"),
+                         quantile(F.col("part"), F.col("docs"), 3).alias("q3"))
     sides = []
     for name, (_, low_counts, slack) in MEASURES.items():
         here = F.col("measure") == name

@@ -60,6 +60,17 @@ def test_quality_fences_adapt(spark):
     assert not found[900] and all(found[i] for i in range(200)) and all(found[1000 + i] for i in range(200))
 
 
+@pytest.mark.parametrize("size", [60, 99, 100])
+def test_quality_keeps_small_sources(spark, size):
+    plain = [(i, f"word other thing more text here and there now then so it goes on for a while yes it does n{i}", "en", "a")
+             for i in range(200)]
+    odd = [(900, "#$% " * 15 + plain[0][1], "en", "a")]
+    coded = [(1000 + i, "x | y | z | " * 2 + plain[i][1], "en", "b") for i in range(size)]
+    found = {r["doc_id"]: r["kept"] for r in quality.judge(
+        spark.createDataFrame(plain + odd + coded, "doc_id long, text string, lang string, source string")).collect()}
+    assert not found[900] and all(found[i] for i in range(200)) and all(found[1000 + i] for i in range(size))
+
+
 def test_quality_rejects_long_texts_with_repeats(spark):
     clean = [(i, " ".join(f"w{i:03}x{k:04}" for k in range(300)), "en", "a") for i in range(120)]
 
