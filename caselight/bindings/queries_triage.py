@@ -93,6 +93,35 @@ def impacted_models(spark, sf):
     return lineage.impacted_models(b.lineage_edges(spark, sf), b.lineage_nodes(spark, sf), changed)
 
 
+REACH_ALL = """/* recursive */
+, reach(root, node) AS (
+    SELECT parent, child FROM x_edges
+    UNION
+    SELECT root, child FROM reach JOIN x_edges ON parent = node)
+"""
+
+
+@query("lineage_all_sources", REACH_ALL + "SELECT root::BIGINT AS root, node FROM reach")
+def lineage_all_sources(spark, sf):
+    """Descendants of every node that feeds another one."""
+    edges = b.lineage_edges(spark, sf)
+    return lineage.downstream(edges, edges.select(F.col("parent").alias("root")).distinct())
+
+
+@query("impacted_all_sources", REACH_ALL + """
+SELECT root::BIGINT AS root, name, column_name, coalesce(contains(lower(code), column_name), FALSE)::VARCHAR AS references_column
+FROM reach JOIN (SELECT *, CASE WHEN raw_code <> '' THEN raw_code ELSE coalesce(compiled_code, '') END AS code FROM x_nodes
+                 WHERE resource_type = 'model') ON unique_id = node
+JOIN (SELECT event_id AS root, CASE WHEN event_id % 7 <> 0 THEN event_type || '_id' END AS column_name FROM events) c USING (root)
+""")
+def impacted_all_sources(spark, sf):
+    """Impacted models of every node that feeds another one, each with the column of its own row as the changed one."""
+    edges = b.lineage_edges(spark, sf)
+    column = F.when(F.col("event_id") % 7 != 0, F.concat("event_type", F.lit("_id")))
+    changes = b.table(spark, sf, "events").select(F.col("event_id").alias("root"), column.alias("column_name"))
+    return lineage.impacted_models(edges, b.lineage_nodes(spark, sf), changes)
+
+
 @query("source_lookup", """
 SELECT event_type AS source_name, 'user_' || user_id AS name, min(event_id) FILTER (WHERE value > 200) AS unique_id,
        (unique_id IS NOT NULL)::VARCHAR AS source_found

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from caselight.bindings import catalog, inputs
 from caselight.operators import (
     approvals, changes, drills, incidents, lineage, monitors, quality, repair, runlog, selection, similarity,
 )
@@ -259,6 +260,24 @@ def test_reachability_in_a_cyclic_graph(spark):
     assert set(rows(lineage.downstream(edges, roots), "root", "node")) == expected
 
 
+def test_lineage_starts_from_every_source(spark, sf):
+    children = {}
+    for parent, child in inputs.lineage_edges(spark, sf).collect():
+        children.setdefault(parent, set()).add(child)
+    expected = set()
+    for root in children:
+        queue = list(children[root])
+        while queue:
+            node = queue.pop()
+            if (root, node) not in expected:
+                expected.add((root, node))
+                queue += children.get(node, ())
+    assert set(rows(catalog.QUERIES["lineage_all_sources"](spark, sf), "root", "node")) == expected
+    models = {r["unique_id"]: r["name"] for r in inputs.lineage_nodes(spark, sf).collect() if r["resource_type"] == "model"}
+    found = rows(catalog.QUERIES["impacted_all_sources"](spark, sf), "root", "name")
+    assert found == sorted(((root, models[node]) for root, node in expected if node in models), key=repr)
+
+
 @pytest.mark.parametrize("block_rows", [7, 4096])
 @pytest.mark.parametrize("ordered", [False, True])
 def test_nearest_matches_brute_force(spark, block_rows, ordered):
