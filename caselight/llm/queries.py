@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caselight.llm import bpe, exact, fmindex, jaccard, mixing, pii, quality, suffix, url_filters, warc
+from caselight.llm import (
+    bpe, exact, filter_audit, fmindex, jaccard, mixing, phrases, pii, quality, suffix, url_filters, warc, wrappers,
+)
 from caselight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +69,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents")).drop("scored_spans")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("words", "k")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_url_filters, op2_quality_rules, op3_source_mixing, op4_ngram_jaccard, op5_bpe, op6_suffix_array, op7_fm_index,
-    op8_exact_dedup, op9_warc, op10_pii)}
+    op8_exact_dedup, op9_warc, op10_pii, op11_collocations, op12_filter_audit, op13_html_extraction)}
 
 _URL = """
 WITH cut AS (
@@ -187,5 +201,90 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based LEFT JOIN bad ON bad.rid = based.rid
 """
 
+_COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')),
+    '[^\x20\x09]+') AS w
+  FROM documents
+), one AS (
+  SELECT lang, w[i] AS phrase, count(*) AS f FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces) GROUP BY ALL
+), two AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM pieces) GROUP BY ALL HAVING count(*) >= 10
+), three AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM pieces) GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+  SELECT two.lang, w1 || ' ' || w2 AS phrase, 1 AS k, two.f AS a, x.f AS l, y.f AS r
+  FROM two JOIN one x ON x.lang = two.lang AND x.phrase = w1 JOIN one y ON y.lang = two.lang AND y.phrase = w2
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.f, x.f, y.f
+  FROM three t JOIN one x ON x.lang = t.lang AND x.phrase = t.w1
+    JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.f, x.f, y.f
+  FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2
+    JOIN one y ON y.lang = t.lang AND y.phrase = t.w3
+), scored AS (
+  SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cuts
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, w1 || ' ' || w2 AS phrase, f FROM three UNION ALL SELECT lang, w2 || ' ' || w3, f FROM three) GROUP BY ALL
+), free AS (
+  SELECT weakest.* FROM weakest LEFT JOIN longer USING (lang, phrase) WHERE f IS NULL OR 100 * f < 50 * a
+), totals AS (
+  SELECT lang, sum(f) AS n FROM one GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM free JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, 1, step - 1) AS before, substr(filter_order, step, 1) AS own
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), judged AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) AS hit,
+         length(translate(fails, before, '')) < length(fails) AS earlier, fails = own AS alone
+  FROM c, steps
+), counted AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT hit AND NOT earlier THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit AND NOT earlier THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND earlier THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND NOT earlier THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit AND NOT earlier THEN toxic ELSE 0 END) AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
-    "op1_url_filters": _URL, "op2_quality_rules": _QUALITY, "op8_exact_dedup": _EXACT, "op9_warc": _WARC}
+    "op1_url_filters": _URL, "op2_quality_rules": _QUALITY, "op8_exact_dedup": _EXACT, "op9_warc": _WARC,
+    "op11_collocations": _COLLOCATIONS, "op12_filter_audit": _AUDIT}
