@@ -278,7 +278,7 @@ def test_lineage_starts_from_every_source(spark, sf):
     assert found == sorted(((root, models[node]) for root, node in expected if node in models), key=repr)
 
 
-@pytest.mark.parametrize("block_rows", [7, 4096])
+@pytest.mark.parametrize("block_rows", [50, 4096])
 @pytest.mark.parametrize("ordered", [False, True])
 def test_nearest_matches_brute_force(spark, block_rows, ordered):
     rng = np.random.default_rng(2)
@@ -307,12 +307,58 @@ def test_nearest_with_sides_of_different_size(spark):
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id bigint, vector array<double>")
     few, many = df.where("id < 3"), df.where("id >= 3")
     for queries, corpus in ((few, many), (many, few)):
-        got = similarity.nearest(queries, corpus, 2, query_key="id", corpus_key="id", block_rows=4)
+        got = similarity.nearest(queries, corpus, 2, query_key="id", corpus_key="id", block_rows=40)
         q_ids, c_ids = [sorted(r["id"] for r in side.collect()) for side in (queries, corpus)]
         expected = {(q, rank, sorted(c_ids, key=lambda c: -vectors[q] @ vectors[c])[rank - 1]) for q in q_ids for rank in (1, 2)}
         assert set(rows(got, "query_id", "rank", "match_id")) == expected
 
 
+def clustered(n, copies, seed=3):
+    """n unit vectors around n / 10 centres, of which ``copies`` are one and the same vector."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 10, 32))
+    vectors = centres[rng.integers(0, len(centres), n)] + 0.35 * rng.normal(size=(n, 32))
+    vectors[rng.permutation(n)[:copies]] = centres[0]
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("task_rows", [similarity.TASK_ROWS, 2000])
+def test_nearest_recall_beyond_one_block(spark, task_rows, monkeypatch):
+    """Every 50th row asks all rows, text ids, a third of all vectors equal, blocks far smaller than the table."""
+    monkeypatch.setattr(similarity, "TASK_ROWS", task_rows)
+    vectors = clustered(12_000, 4000)
+    df = spark.createDataFrame([(f"INC-{i:06d}", i, [float(x) for x in v]) for i, v in enumerate(vectors)],
+                               "incident_id string, n bigint, vector array<double>").repartition(4)
+    queries = df.where("n % 50 = 0").withColumnRenamed("incident_id", "query_id")
+    got = similarity.nearest(queries, df, 5, block_rows=256).collect()
+    scores = np.round(vectors[::50] @ vectors.T, 9)
+    fifth = np.sort(scores, axis=1)[:, -5]
+    asked = {(r["query_id"], r["rank"]): r["match_id"] for r in got}
+    assert len(asked) == len(got) == 5 * len(scores)
+    good = sum(scores[int(q[4:]) // 50, int(m[4:])] >= fifth[int(q[4:]) // 50] for (q, _), m in asked.items())
+    assert good / len(got) >= 0.9
+    for r in got:  # scores are exact
+        assert abs(r["score"] - vectors[int(r["query_id"][4:])] @ vectors[int(r["match_id"][4:])]) < 1e-9
+
+
+def test_nearest_moves_each_vector_once_per_table(spark, monkeypatch):
+    df = spark.createDataFrame([(i, i, [float(i), 1.0]) for i in range(100)], "query_id bigint, incident_id bigint, vector array<double>")
+    plan = lambda: similarity.nearest(df, df, 1)._jdf.queryExecution().executedPlan().toString()
+    small = plan()
+    monkeypatch.setattr(similarity, "TASK_ROWS", 10)
+    large = plan()
+    for text in (small, large):
+        assert text.count("Exchange") == 2 and "Join" not in text and "collect_list" not in text
+    assert "rangepartitioning(table" in large
+
+
+def test_nearest_without_vectors(spark):
+    none = spark.createDataFrame([(1, 1, None)], "query_id bigint, incident_id bigint, vector array<double>")
+    some = spark.createDataFrame([(2, 2, [1.0])], "query_id bigint, incident_id bigint, vector array<double>")
+    assert similarity.nearest(none, none, 3).count() == 0
+    assert rows(similarity.nearest(none.union(some), some, 3), "query_id", "match_id") == [(2, 2)]
+
+
 def test_reuse_threshold_is_inclusive(spark):
     memory = spark.createDataFrame(
         [(1, [1.0, 0.0], True), (2, [0.0, 1.0], False)], "incident_id bigint, vector array<double>, has_sql_fix boolean")
