@@ -91,47 +91,64 @@ class Side:
         return owner, symbol, self.before(symbol, low[owner]), other[owner] + smaller, found
 
 
-def phrases_of(ids: np.ndarray, max_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each length up to ``max_words`` the phrases of a shard (one row of word numbers each) and their counts."""
+def phrases_of(ids: np.ndarray, max_words: int) -> Iterator[tuple[np.ndarray, np.ndarray, tuple | None]]:
+    """For each length the phrases of a shard (one row of word numbers each), their counts, and for the last but one length
+    how they go on: (phrase, next word, count). So the longest phrases are listed under what they start with; only
+    ``max_words`` below 3 lists all lengths by themselves."""
     size = int(ids.max()) + 1
     count = np.bincount(ids, minlength=size)
     first = (np.cumsum(count) - count)[1:]
     phrases, count = np.arange(1, size)[:, None], count[1:]
-    yield phrases, count
+    yield phrases, count, None
     if max_words == 1:
         return
-    ahead, back = Side(ids, max_words, size), Side(ids[::-1], max_words, size)
+    depth = max(2, max_words - 1)
+    ahead, back = Side(ids, depth, size), Side(ids[::-1], depth, size)
     low = low_back = first
-    for length in range(2, max_words + 1):
-        if length % 2 == 0:  # to the right: a step of the reversed text
-            owner, word, low_back, low, count = back.extend(low_back, low, count, size)
-            phrases = np.concatenate([phrases[owner], word[:, None]], axis=1)
-        else:  # to the left
-            owner, word, low, low_back, count = ahead.extend(low, low_back, count, size)
-            phrases = np.concatenate([word[:, None], phrases[owner]], axis=1)
-        yield phrases, count
+    for length in range(2, depth + 1):  # to the left: a step of the text itself
+        owner, word, low, low_back, count = ahead.extend(low, low_back, count, size)
+        phrases = np.concatenate([word[:, None], phrases[owner]], axis=1)
+        more = None
+        if length == max_words - 1:  # to the right: a step of the reversed text
+            owner, word, _, _, found = back.extend(low_back, low, count, size)
+            more = owner, word, found
+        yield phrases, count, more
 
 
 def _indexed(max_words: int):
     """Arrow function: gather texts by language, index each shard, hand on its phrases with their counts."""
 
-    def batches_of(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def shard(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         ids, words = word_ids(b"\n".join(texts))
         texts.clear()
         if not len(ids):
             return
-        yield batch(lang, [0], [""], [int(np.count_nonzero(ids))])
-        for phrases, count in phrases_of(ids, max_words):
+        yield batch([b""], [int(np.count_nonzero(ids))], [None], lang)
+        for phrases, count, more in phrases_of(ids, max_words):
             for at in range(0, len(count), BATCH_ROWS):
                 part = phrases[at:at + BATCH_ROWS] - 1
                 columns = [words.take(pa.array(part[:, k])) for k in range(part.shape[1])]
                 text = pc.binary_join_element_wise(*columns, b" ") if len(columns) > 1 else columns[0]
-                yield batch(lang, np.full(len(part), part.shape[1]), text.cast(pa.string()), count[at:at + BATCH_ROWS])
-
-    def batch(lang, words, phrase, count) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(count), pa.string()), pa.array(words, pa.int32()), pa.array(phrase, pa.string()),
-             pa.array(count, pa.int64())], names=["lang", "words", "phrase", "a"])
+                yield batch(text, count[at:at + BATCH_ROWS], going_on(more, at, at + len(part), words), lang)
+
+    def going_on(more: tuple | None, start: int, end: int, words: pa.Array):
+        """The words that may follow each phrase, as one text; a count above 1 stands behind its word after a tab."""
+        if more is None:
+            return pa.nulls(end - start, pa.binary())
+        owner, word, count = more
+        a, b = np.searchsorted(owner, [start, end])
+        text, many = words.take(pa.array(word[a:b] - 1)), pa.array(count[a:b])
+        counted = pc.binary_join_element_wise(text, many.cast(pa.string()).cast(pa.binary()), b"\t")
+        entries = pc.if_else(pc.greater(many, 1), counted, text)
+        offsets = np.searchsorted(owner[a:b], np.arange(start, end + 1)).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), entries), b" ")
+
+    def batch(phrase, count, more, lang: str) -> pa.RecordBatch:
+        phrase = phrase if isinstance(phrase, pa.Array) else pa.array(phrase, pa.binary())
+        key = pc.binary_join_element_wise(phrase, lang.encode(), b"\n")
+        more = more if isinstance(more, pa.Array) else pa.array(more, pa.binary())
+        return pa.RecordBatch.from_arrays([key.cast(pa.string()), pa.array(count, pa.int64()), more.cast(pa.string())],
+                                          ["key", "a", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -144,10 +161,10 @@ def _indexed(max_words: int):
                 size += len(raw)
                 if size >= SHARD_BYTES:
                     for name, gathered in held.items():
-                        yield from batches_of(name, gathered)
+                        yield from shard(name, gathered)
                     held, size = {}, 0
         for name, gathered in held.items():
-            yield from batches_of(name, gathered)
+            yield from shard(name, gathered)
 
     return run
 
@@ -158,16 +175,30 @@ def count_phrases(
     """(lang, words, phrase, a): how often each phrase of up to ``max_words`` words occurs inside pieces of the texts.
 
     One more row per language with words = 0 and an empty phrase holds the number of all words. Phrases below
-    ``at_least`` are left out after all shards were added up. Shards send each phrase once, so the most frequent phrase
-    has as many rows as there are shards.
+    ``at_least`` are left out after all shards were added up.
+
+    Only one shuffle, by phrase: the longest phrases travel as continuations of the row that they start with, and are
+    looked at only where that one is frequent enough. A shard sends each phrase once, so the most frequent phrase has as
+    many rows as there are shards.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = texts.mapInArrow(_indexed(max_words), "lang string, words int, phrase string, a bigint")
-    # A shard has no phrase twice: a combine step before the shuffle would hold its rows and merge nothing.
-    dealt = found.repartition("lang", "words", "phrase")
-    return dealt.groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a")).where(
-        (F.col("words") == 0) | (F.col("a") >= at_least))
+    # The key is the phrase, a line feed (which no word contains) and the language.
+    found = texts.mapInArrow(_indexed(max_words), "key string, a bigint, more string").repartition("key")
+    total = F.sum("a").over(Window.partitionBy("key"))
+    frequent = found.withColumn("total", total).where(F.col("key").startswith("\n") | (F.col("total") >= at_least))
+    entries = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(F.split("more", " "), F.array().cast("array<string>")))
+    parts = frequent.select("key", "a", F.explode(entries).alias("entry"))
+    parts = parts.select("key", F.split_part("entry", F.lit("\t"), F.lit(1)).alias("next"), F.when(
+        F.col("entry").isNull(), F.col("a")).when(F.col("entry").contains("\t"), F.split_part(
+            "entry", F.lit("\t"), F.lit(2)).cast("bigint")).otherwise(1).alias("a"))
+    summed = parts.groupBy("key", "next").agg(F.sum("a").alias("a")).where(
+        F.col("key").startswith("\n") | (F.col("a") >= at_least))
+    start = F.substring_index("key", "\n", 1)
+    phrase = F.when(F.col("next").isNull(), start).otherwise(F.concat_ws(" ", start, F.col("next")))
+    named = summed.select(F.expr("substring(key, instr(key, '\n') + 1)").alias("lang"), phrase.alias("phrase"), "a")
+    return named.select("lang", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("words"),
+                        "phrase", "a")
 
 
 def _span(words: Column, start: int | Column, length: int | Column) -> Column:

@@ -70,10 +70,13 @@ def test_interval_counts_do_not_depend_on_how_ids_are_packed(monkeypatch):
     ids = np.array([random.Random(1).randrange(0, 7) for _ in range(500)] + [0])
     ids = ids[np.sort(np.unique(np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])))]
     text = ids.tolist()
-    for words, count in phrases.phrases_of(ids, 4):
-        m = words.shape[1]
-        expected = Counter(tuple(text[i:i + m]) for i in range(len(text) - m + 1) if 0 not in text[i:i + m])
-        assert {tuple(w): c for w, c in zip(words.tolist(), count.tolist())} == expected
+    def expected(m):
+        return Counter(tuple(text[i:i + m]) for i in range(len(text) - m + 1) if 0 not in text[i:i + m])
+
+    for words, count, more in phrases.phrases_of(ids, 4):
+        assert {tuple(w): c for w, c in zip(words.tolist(), count.tolist())} == expected(words.shape[1])
+    longest = {(*words[i].tolist(), w): c for i, w, c in zip(*(x.tolist() for x in more))}
+    assert words.shape[1] == 3 and longest == expected(4)
     wide = phrases.Side(ids, 3, 2 ** 40)  # sorted by several keys instead of one packed number
     assert (wide.bwt == phrases.Side(ids, 3, 8).bwt).mean() > 0.5
 
