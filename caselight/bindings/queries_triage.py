@@ -494,14 +494,17 @@ def escalation_ladder(spark, sf):
 
 @query("escalation_applied", DUE + f"""
 , after AS (
-    SELECT a.* REPLACE (CASE WHEN p.action IS NULL THEN a.status ELSE 'auto_approved' END AS status,
+    SELECT a.* REPLACE (CASE WHEN p.action IS NULL THEN a.status
+                             WHEN coalesce(a.proposed_sql, '') <> '' AND t.tier = 'rejected' THEN 'refused'
+                             ELSE 'auto_approved' END AS status,
                CASE WHEN p.action IS NULL THEN a.resolved_at ELSE TIMESTAMP '{LATER}' END AS resolved_at,
                CASE WHEN p.action IS NULL THEN a.resolved_by ELSE 'escalation_timeout' END AS resolved_by,
                CASE WHEN m.action IS NULL THEN a.escalation_email_sent_at ELSE TIMESTAMP '{LATER}' END AS escalation_email_sent_at,
                CASE WHEN d.action IS NULL THEN a.dag_paused_at ELSE TIMESTAMP '{LATER}' END AS dag_paused_at)
     FROM x_approvals a LEFT JOIN (SELECT * FROM acts WHERE action = 'auto_apply') p USING (incident_id)
     LEFT JOIN (SELECT * FROM acts WHERE action = 'send_mail') m USING (incident_id)
-    LEFT JOIN (SELECT * FROM acts WHERE action = 'pause_dag') d USING (incident_id))
+    LEFT JOIN (SELECT * FROM acts WHERE action = 'pause_dag') d USING (incident_id)
+    LEFT JOIN x_audited t ON t.sql = a.proposed_sql)
 SELECT {APPROVAL_OUT} FROM after
 """)
 def escalation_applied(spark, sf):

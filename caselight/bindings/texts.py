@@ -42,4 +42,13 @@ STATEMENTS = [
     "UPDATE raw.case_reports SET outcome = '" + "it''s long; " * 600 + "' WHERE report_id = '1'",
     "DELETE FROM raw.case_reports WHERE (drug_name IS NULL",
     "UPDATE raw.case_reports SET outcome = 'x WHERE report_id = 1",
+    "DELETE FROM raw.case_reports /* /* */ WHERE 1=1 -- */",
+    "DELETE FROM raw.case_reports /* outer /* inner */ still outer */ WHERE 1=1",
+    "DELETE FROM raw.case_reports /** a / b **/ WHERE report_id = '1' /* c */",
+    "DELETE FROM raw.case_reports /* not closed WHERE 1=1",
+    "DELETE FROM raw.case_reports $$ WHERE 1=1 $$",
+    "UPDATE raw.case_reports SET outcome = $q$it's; 1 $$ -- x$q$ WHERE report_id = '1'",
+    "UPDATE raw.case_reports SET outcome = $q$ open WHERE report_id = '1'",
+    r"UPDATE raw.case_reports SET outcome = E'it\'s; 1' WHERE report_id = '1'",
+    r"UPDATE raw.case_reports SET outcome = E'\' WHERE report_id = '1",
 ]

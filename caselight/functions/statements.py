@@ -32,10 +32,22 @@ TABLE_PATTERN = (
 )
 RENAME_PATTERN = r"(?i)^\s*ALTER\s+TABLE\s+\S+\s+RENAME\s+COLUMN\s+\S+\s+TO\s+\S+\s*;?\s*$"
 
-# Quoted text, then comments; the first alternative that matches wins, so a dash pair inside quotes is no comment.
+# Quoted text, then comments; the first alternative that matches wins, so a dash pair inside quotes is no comment. Quoted
+# are strings, strings with backslash escapes, names and dollar quotes. A comment matches only if no other starts inside it:
+# where comments nest the engines differ, so what is left of them is refused.
 # Possessive and unrolled: linear, and without a stack frame per character of a long literal.
-QUOTED = r"""'[^']*+(?:''[^']*+)*+'|"[^"]*+(?:""[^"]*+)*+\""""
-COMMENT = r"--[^\r\n]*|/\*[\s\S]*?\*/"
+_DOLLAR = r"(?<![\w$\x{80}-\x{ffff}])\$(?:[A-Za-z_]\w*+)?\$"
+_LITERALS = r"""(?i:\be)'[^'\\]*+(?:(?:\\[\s\S]|'')[^'\\]*+)*+'|'[^']*+(?:''[^']*+)*+'|"[^"]*+(?:""[^"]*+)*+\""""
+COMMENT = r"--[^\r\n]*+|/\*(?:[^*/]++|\*++[^*/]|/++[^*/])*+\*++/"
+#: What must not be left once quoted text and comments are gone.
+UNCLOSED = rf"""['"]|/\*|\*/|{_DOLLAR}"""
+
+
+def quoted(group: int) -> str:
+    """Pattern of quoted text; ``group`` is the number of the group that holds the tag of a dollar quote."""
+    return rf"{_LITERALS}|({_DOLLAR})[\s\S]*?\{group}"
+
+
 STATEMENT_WORDS = "SELECT|INSERT|UPDATE|DELETE|MERGE|CREATE|ALTER|DROP|UPSERT|REPLACE"
 
 
@@ -50,13 +62,13 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def mask(sql: Column) -> Column:
     """Each quoted text and comment replaced by one letter, so only real separators remain."""
-    return F.regexp_replace(sql, f"{QUOTED}|{COMMENT}", "q")
+    return F.regexp_replace(sql, f"{quoted(1)}|{COMMENT}", "q")
 
 
 def bare(sql: Column) -> Column:
     """Text without comments and with quoted text emptied."""
-    without_comments = F.regexp_replace(sql, f"({QUOTED})|{COMMENT}", "$1 ")
-    return F.regexp_replace(without_comments, QUOTED, "q")
+    without_comments = F.regexp_replace(sql, f"({quoted(2)})|{COMMENT}", "$1 ")
+    return F.regexp_replace(without_comments, quoted(1), "q")
 
 
 def outline(text: Column) -> Column:
@@ -112,7 +124,7 @@ def verdict(
     shouted = F.upper(text)
     rules = [
         (~text.rlike(r"\S"), outcome(REJECTED, "no statement")),
-        (~closed, outcome(REJECTED, "quotes or parentheses that do not close")),
+        (~closed, outcome(REJECTED, "quotes, comments or parentheses that do not close")),
         (parts != 1, outcome(REJECTED, F.concat(F.lit("expected one statement, found "), parts.cast("string")))),
         (F.size(tables) == 0, outcome(REJECTED, "no table could be identified")),
         (F.size(outside) > 0,
@@ -143,7 +155,7 @@ def classify(sql: Column, allowed: list[str] = ALLOWED_TABLES) -> Column:
         )
 
     def analyse(parsed: Column) -> Column:
-        closed = lambda seen: (seen["depth"] == 0) & (seen["lowest"] == 0) & ~parsed["bare"].rlike("""['"]""")
+        closed = lambda seen: (seen["depth"] == 0) & (seen["lowest"] == 0) & ~parsed["bare"].rlike(UNCLOSED)
         return let(outline(parsed["bare"]), lambda seen: F.struct(
             parsed["text"].alias("text"), parsed["parts"].alias("parts"), parsed["tables"].alias("tables"),
             seen["has_where"].alias("has_where"), closed(seen).alias("closed"),

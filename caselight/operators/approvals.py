@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caselight.functions import statements as st
 from caselight.functions.measures import minutes_between, moment
+from caselight.operators.audit import audited
 from caselight.operators.changes import update_where, upsert_columns
 from caselight.operators.incidents import TIMEOUT_MINUTES
 from caselight.operators.latest import latest_per_key
@@ -45,23 +46,24 @@ def fix_steps(approved: DataFrame, allowed: list[str] = st.ALLOWED_TABLES) -> Da
     rename is derived anew from the live schema, anything else runs as approved; no statement means a plain retry.
     """
     acts = F.coalesce(F.col("severity").isin("P1", "P2"), F.lit(False))
-    return approved.withColumn(
-        "step", F.when(acts, audited_step(F.col("proposed_sql"), allowed)).otherwise("acknowledge"))
+    judged = audited(approved, F.when(acts, F.col("proposed_sql")), "__audit", allowed)
+    step = step_of(F.col("proposed_sql"), F.col("__audit.tier"))
+    return judged.withColumn("step", F.when(acts, step).otherwise("acknowledge")).drop("__audit")
 
 
-def audited_step(sql: Column, allowed: list[str] = st.ALLOWED_TABLES) -> Column:
-    """What to do with a statement that may run now, after a fresh audit."""
-    return st.let(st.tier(sql, allowed), lambda known: (
+def step_of(sql: Column, tier: Column) -> Column:
+    """What to do with a statement that may run now, given the tier of a fresh audit."""
+    return (
         F.when(F.coalesce(sql, F.lit("")) == "", "retry")
-        .when(known == st.REJECTED, "refuse")
-        .when(known == st.AUTO_EXECUTABLE, "apply_rename_and_retry")
+        .when(tier == st.REJECTED, "refuse")
+        .when(tier == st.AUTO_EXECUTABLE, "apply_rename_and_retry")
         .otherwise("run_statement_and_retry")
-    ))
+    )
 
 
 def timeout_step(action: Column, sql: Column, allowed: list[str] = st.ALLOWED_TABLES) -> Column:
     """The step of an ``auto_apply``, null for other actions: nobody looked at the statement, so it is audited again."""
-    return F.when(action == "auto_apply", audited_step(sql, allowed))
+    return F.when(action == "auto_apply", st.let(st.tier(sql, allowed), lambda known: step_of(sql, known)))
 
 
 def status_of(wanted: DataFrame, approvals: DataFrame) -> DataFrame:
@@ -101,13 +103,18 @@ def ladder(
     pending = approvals.where(F.col("status") == "pending")
     found = pending.select(
         "incident_id", "severity", age.alias("age_minutes"), "proposed_sql", F.explode(due).alias("action"))
-    return found.withColumn("step", timeout_step(F.col("action"), F.col("proposed_sql"), allowed)).drop("proposed_sql")
+    applies = F.col("action") == "auto_apply"
+    judged = audited(found, F.when(applies, F.col("proposed_sql")), "__audit", allowed)
+    step = F.when(applies, step_of(F.col("proposed_sql"), F.col("__audit.tier")))
+    return judged.withColumn("step", step).drop("proposed_sql", "__audit")
 
 
-def climb(approvals: DataFrame, as_of, timeout: int = TIMEOUT_MINUTES) -> DataFrame:
-    """The approvals table after the due actions of ``ladder`` were taken at ``as_of``; no join needed.
+def climb(
+    approvals: DataFrame, as_of, timeout: int = TIMEOUT_MINUTES, allowed: list[str] = st.ALLOWED_TABLES
+) -> DataFrame:
+    """The approvals table after the due actions of ``ladder`` were taken at ``as_of``.
 
-    A request whose statement the audit refuses is closed as well, as on approval; ``ladder`` tells that it did not run.
+    A request whose statement the audit refuses is closed as ``refused``: nothing ran, so no report counts it as healed.
     """
     age = minutes_between(F.col("created_at"), moment(as_of))
     due = F.when(
@@ -116,11 +123,13 @@ def climb(approvals: DataFrame, as_of, timeout: int = TIMEOUT_MINUTES) -> DataFr
     )
     took = lambda action: F.coalesce(F.array_contains("__due", action), F.lit(False))
     applied = took("auto_apply")
-    return approvals.withColumn("__due", due).withColumns({
-        "status": F.when(applied, "auto_approved").otherwise(F.col("status")),
+    judged = audited(approvals.withColumn("__due", due), F.when(applied, F.nullif("proposed_sql", F.lit(""))), "__audit", allowed)
+    refused = (F.coalesce("proposed_sql", F.lit("")) != "") & (F.col("__audit.tier") == st.REJECTED)
+    return judged.withColumns({
+        "status": F.when(applied & refused, "refused").when(applied, "auto_approved").otherwise(F.col("status")),
         "resolved_at": F.when(applied, moment(as_of)).otherwise(F.col("resolved_at")),
         "resolved_by": F.when(applied, TIMEOUT_RESOLVER).otherwise(F.col("resolved_by")),
         "escalation_email_sent_at": F.when(took("send_mail"), moment(as_of)).otherwise(
             F.col("escalation_email_sent_at")),
         "dag_paused_at": F.when(took("pause_dag"), moment(as_of)).otherwise(F.col("dag_paused_at")),
-    }).drop("__due")
+    }).drop("__due", "__audit")

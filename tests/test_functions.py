@@ -1,8 +1,11 @@
 import datetime as dt
+import random
+import re
 
 from pyspark.sql import functions as F
 
 from caselight.functions import codes, labels, logs, measures, statements
+from caselight.operators.audit import audit
 from tests.helpers import column
 
 CODES = [None, "", " ", "1", " 1 ", "1.0", "NaN", "-999", "2"]
@@ -96,6 +99,7 @@ def test_hints_first_match_wins(spark):
     assert column(spark, "s string", list(cases), logs.error_type_hint(F.col("s"))) == list(cases.values())
 
 
+UNCLOSED = "quotes, comments or parentheses that do not close"
 TIERS = [
     (None, "rejected", "no statement", None),
     (" \n", "rejected", "no statement", None),
@@ -118,6 +122,12 @@ TIERS = [
     ("SELECT * FROM raw.case_reports", "rejected", "select fixes nothing", "SELECT"),
     ("WITH x AS (SELECT 1 FROM raw.case_reports) DELETE FROM raw.case_reports", "rejected", "delete without where", "DELETE"),
     ("WITH x AS (SELECT 1 FROM raw.case_reports) UPDATE raw.case_reports SET a = 1", "needs_approval", "update", "UPDATE"),
+    ("DELETE FROM raw.case_reports /* /* */ WHERE 1=1 -- */", "rejected", UNCLOSED, "DELETE"),
+    ("DELETE FROM raw.case_reports $$ WHERE 1=1 $$", "rejected", "delete without where", "DELETE"),
+    ("DELETE FROM raw.case_reports $a$ $b$ $a$ WHERE a$b$ = $b$ c", "rejected", UNCLOSED, "DELETE"),
+    ("DELETE FROM raw.case_reports WHERE a = $1", "needs_approval", "delete with where", "DELETE"),
+    ("DELETE FROM raw.case_reports WHERE a = E'\\'' OR b = ''", "needs_approval", "delete with where", "DELETE"),
+    ("UPDATE raw.case_reports SET a = E'\\'; DELETE FROM raw.case_reports --'", "needs_approval", "update", "UPDATE"),
     ("GRANT ALL ON TABLE raw.case_reports TO me", "rejected", "unknown statement type UNKNOWN", "UNKNOWN"),
     ("/* ; */ UPDATE \"raw\".\"case_reports\" SET a = 1", "needs_approval", "update", "UPDATE"),
 ]
@@ -131,7 +141,7 @@ def test_long_and_deep_statements(spark):
     got = column(spark, "s string", texts, statements.classify(F.col("s")))
     assert [r["reason"] for r in got[:5]] == ["delete without where"] * 5
     assert [r["reason"] for r in got[5:7]] == ["update", "no table could be identified"]
-    assert [r["reason"] for r in got[7:]] == ["quotes or parentheses that do not close"] * 3
+    assert [r["reason"] for r in got[7:]] == [UNCLOSED] * 3
 
 
 def test_statement_tiers(spark):
@@ -139,6 +149,76 @@ def test_statement_tiers(spark):
     assert [(r["tier"], r["reason"], r["statement_type"]) for r in got] == [t[1:] for t in TIERS]
 
 
+def lexed(sql):
+    """What a database sees of a statement: the text outside quotes, comments and parentheses; None if something stays open.
+
+    One character at a time, with comments that nest, as PostgreSQL does it.
+    """
+    i, out, depth = 0, "", 0
+    while i < len(sql):
+        if sql.startswith("--", i):
+            while i < len(sql) and sql[i] not in "\r\n":
+                i += 1
+        elif sql.startswith("/*", i):
+            level, i = 1, i + 2
+            while level:
+                if i >= len(sql):
+                    return None
+                step = {"/*": 1, "*/": -1}.get(sql[i:i + 2], 0)
+                level, i = level + step, i + (2 if step else 1)
+            out += " "
+        elif sql[i] in "'\"":
+            mark, escapes = sql[i], sql[i] == "'" and out[-1:] in ("e", "E") and not out[-2:-1].isalnum()
+            i += 1
+            while True:
+                if i >= len(sql):
+                    return None
+                if escapes and sql[i] == "\\":
+                    i += 2
+                elif sql[i:i + 2] == mark * 2:
+                    i += 2
+                elif sql[i] == mark:
+                    break
+                else:
+                    i += 1
+            out, i = out + "q", i + 1
+        elif (tag := re.match(r"\$([A-Za-z_]\w*)?\$", sql[i:])) and not re.search(r"[\w$]$", out):
+            end = sql.find(tag.group(), i + tag.end())
+            if end < 0:
+                return None
+            out, i = out + "q", end + tag.end()
+        else:
+            depth += {"(": 1, ")": -1}.get(sql[i], 0)
+            if depth < 0:
+                return None
+            out += sql[i] if depth == 0 else " "
+            i += 1
+    return out if depth == 0 else None
+
+
+def test_no_where_is_made_up(spark):
+    """Whatever quotes and comments surround it, a DELETE passes for review only if the database sees its WHERE."""
+    rng = random.Random(12)
+    parts = ["/*", "*/", "/* /*", "'", "''", '"', "$$", "$q$", "--", "\n", " WHERE 1=1 ", "(", ")", " x ", "E'", "\\", "*", "/", "e", "$"]
+    texts = ["DELETE FROM raw.case_reports " + "".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(20_000)]
+    texts += ["DELETE FROM raw.case_reports /* /* */ WHERE 1=1 -- */", "DELETE FROM raw.case_reports /* /* */ */ WHERE 1=1"]
+    got = column(spark, "s string", texts, statements.classify(F.col("s")))
+    passed = [t for t, r in zip(texts, got) if r["tier"] != "rejected"]
+    assert len(passed) > 500
+    for text in passed:
+        seen = lexed(text)
+        assert seen is not None and re.search(r"\bWHERE\b", seen), text
+
+
+def test_each_text_is_judged_once(spark):
+    df = spark.createDataFrame([(i, sql) for i, sql in enumerate(["", None, "SELECT 1"] * 5 + [t[0] for t in TIERS])], "id long, sql string")
+    got = audit(df).orderBy("id").collect()
+    assert [(r["audit"]["tier"], r["audit"]["reason"], r["audit"]["statement_type"]) for r in got[15:]] == [t[1:] for t in TIERS]
+    assert [r["audit"]["reason"] for r in got[:3]] == ["no statement"] * 2 + ["no table could be identified"]
+    plan = audit(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("HashAggregate")  # classified after the different texts were merged
+
+
 def test_allow_list_is_a_parameter(spark):
     sql = "UPDATE raw.other SET a = 1"
     assert column(spark, "s string", [sql, None], statements.tier(F.col("s"), ["raw.other"])) == ["needs_approval", None]

@@ -420,6 +420,17 @@ def test_escalation_ladder(spark):
     assert approvals.ladder(after, NOW).isEmpty()
 
 
+def test_refused_timeouts_do_not_count_as_healed(spark):
+    table = approvals_table(spark, ("bad", "P1", "pending", 30, None, None), ("good", "P1", "pending", 30, None, None),
+                            ("blank", "P1", "pending", 30, None, None), ("seen", "P1", "approved", 30, None, None))
+    sql = F.when(F.col("incident_id").isin("bad", "seen"), "DELETE FROM raw.case_reports /* /* */ WHERE 1=1 -- */").when(
+        F.col("incident_id") == "good", "UPDATE raw.case_reports SET a = 1").otherwise("")
+    after = approvals.climb(table.withColumn("proposed_sql", sql), NOW)
+    assert rows(after, "incident_id", "status") == [
+        ("bad", "refused"), ("blank", "auto_approved"), ("good", "auto_approved"), ("seen", "approved")]
+    assert after.select(incidents.approved(F.col("status")).alias("a"), "incident_id").where("a").count() == 3
+
+
 def test_decisions_and_status(spark):
     table = approvals_table(spark, ("a", "P1", "pending", 5, None, None), ("b", "P0", "pending", 5, None, None))
     clicks = spark.createDataFrame([("a", "reject", "x", 1), ("a", "approve", None, 2)], "incident_id string, action string, username string, n int")
