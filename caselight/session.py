@@ -50,6 +50,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, *paths: str) -> int:
+    """Delete folders in whatever file system they are; returns how many were there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(conf).delete(place, True))
+    return gone
+
+
 def ship_package() -> None:
     """Send this package's classes to Python workers by value.
 

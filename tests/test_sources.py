@@ -233,14 +233,74 @@ def test_keyed_table(spark, tmp_path):
     assert rows(table.read(spark)) == [("5", 1)]
 
 
+def files_of(spark, path):
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").collect()
+    return {r["path"]: r["length"] for r in found if "part-" in r["path"]}
+
+
 def test_keyed_table_leaves_other_buckets_alone(spark, tmp_path):
     table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=8)
     table.write(spark.range(200).withColumn("v", F.lit(0)))
-    files = lambda: {f for f in (r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
-        table.path).select("path").collect()) if "part-" in f}
-    before = files()
+    before = files_of(spark, f"{table.path}/data")
     table.upsert(spark.range(1).withColumn("v", F.lit(1)), [F.desc("v")])
-    assert len(before - files()) == 1 and table.read(spark).where("v = 1").count() == 1
+    after = files_of(spark, f"{table.path}/data")
+    assert before.items() <= after.items() and len(after) == len(before) + 1  # nothing overwritten, one bucket written
+    assert table.read(spark).where("v = 1").count() == 1
+
+
+def test_keyed_table_buckets_grow_with_the_table(spark, tmp_path):
+    """Buckets are cut in two where they grow; what one load writes stays bounded by the buckets it touches."""
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=2, leaf_rows=50)
+    expected = {}
+    for step in range(6):
+        batch = [(f"{(step * 67 + i) % 500}", step) for i in range(90)]
+        table.upsert(spark.createDataFrame(batch, "id string, v int"), [F.desc("v")])
+        expected |= dict(batch)
+        version, leaves = table._current(spark)
+        assert version == step + 1 and sum(n for _, n in leaves.values()) == len(expected)
+        assert rows(table.read(spark)) == sorted(expected.items())
+        assert sum(2.0 ** (1 - leaf.bit_length()) for leaf in leaves) == 1.0  # every hash has one bucket
+    assert max(n for _, n in leaves.values()) <= 50 and len(leaves) >= len(expected) // 50
+    table.upsert(spark.createDataFrame([("new", 1)], "id string, v int"), [F.desc("v")])
+    written = spark.read.parquet(f"{table.path}/data/load=7").count()
+    assert written <= 51 and table.read(spark).count() == len(expected) + 1
+
+
+def test_keyed_table_survives_a_load_that_dies(spark, tmp_path, monkeypatch):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=4)
+    table.write(spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int"))
+    batch = spark.createDataFrame([("a", 2), ("c", 2)], "id string, v int")
+    reader = table.read(spark)
+
+    def dies(*args):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.KeyedTable, "_publish", dies)  # all data files are there, the map is not
+        with pytest.raises(RuntimeError):
+            table.upsert(batch, [F.desc("v")])
+    assert rows(table.read(spark)) == [("a", 1), ("b", 1)]
+    table.upsert(batch, [F.desc("v")])
+    assert rows(table.read(spark)) == [("a", 2), ("b", 1), ("c", 2)]
+    assert rows(reader) == [("a", 1), ("b", 1)]  # an earlier reader goes on with what it began with
+
+
+def test_keyed_table_cleaning(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=1)
+    for v in range(5):
+        table.upsert(spark.createDataFrame([("a", v), (f"k{v}", v)], "id string, v int"), [F.desc("v")])
+    assert table.clean(spark, keep=2) == 6  # three folders and three maps
+    assert table.read(spark).count() == 6 and len(files_of(spark, f"{table.path}/data")) == 2
+    assert table.clean(spark, keep=2) == 0
+
+
+def test_empty_keyed_table(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=2)
+    assert table.clean(spark) == 0
+    table.write(spark.createDataFrame([], "id string, v int"))
+    assert table.exists(spark) and table.read(spark).columns == ["id", "v"] and table.read(spark).count() == 0
+    table.upsert(spark.createDataFrame([("a", 1)], "id string, v int"), [F.desc("v")])
+    assert rows(table.read(spark)) == [("a", 1)]
 
 
 def test_keyed_table_keeps_columns_of_either_side(spark, tmp_path):
