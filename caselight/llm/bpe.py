@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import sys
 from collections.abc import Iterator
 from itertools import chain
 
@@ -17,8 +16,8 @@ from caselight.llm import common  # noqa: F401  ships the package to Python work
 
 #: Fixed value: the pattern by which byte-level vocabularies of this kind split a text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces that a Python worker remembers in each of two generations.
-REMEMBERED = 150_000
+#: Pieces that a task remembers in each of two generations.
+REMEMBERED = 60_000
 #: Longer pieces are not remembered.
 LONGEST = 64
 
@@ -127,31 +126,20 @@ class Codec:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def codec(path: str) -> Codec:
-    """One codec for each file and Python worker.
-
-    It is kept on the interpreter, because a function that is shipped by value gets new globals with every task.
-    """
-    kept = sys.__dict__.setdefault("_caselight_codecs", {})
-    if path not in kept:
-        kept[path] = Codec(path)
-    return kept[path]
-
-
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True,
                   decoded: bool = True, digests: bool = False) -> DataFrame:
     """One row per input row: id, n_tokens, and as asked the ids, the decoded text and digests of both.
 
     ``path`` is the vocabulary file, present on every executor. Null text is empty and has no ids. Strings of special
     tokens in a text become their ids. Rows are handled one by one, so repeated rows give repeated results; other columns
-    are not read. No shuffle; a worker remembers a bounded number of pieces.
+    are not read. No shuffle; a task remembers a bounded number of pieces.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens long" + ", ids array<int>" * ids + ", decoded string" * decoded \
         + ", ids_sha256 string, decoded_sha256 string" * digests
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        own = Codec(path)  # goes with its task: the worker process is used again by other stages
         for batch in batches:
             for at in range(0, batch.num_rows, 128):  # bounds what is held when texts are long
                 part = batch.slice(at, 128)

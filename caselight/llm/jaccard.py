@@ -7,8 +7,9 @@ hash on two levels; at most ``k`` differences leave a first-level part in which
 parts differs. So one of the three pairs of second-level parts agrees, and the contents of each pair are a signature.
 
 An empty pair would be shared by unrelated sets. There are some first-level parts to spare, so a set with few empty parts
-shares a signature that is not empty with each set similar to it. Only sets with too many empty parts
-("thin" ones) use empty signatures, and only two thin sets can need one.
+shares a signature that is not empty with each set similar to it. Only two sets with too many empty parts ("thin" ones) can
+fail to. So thin sets also have their rarest-by-hash elements as signatures: similar sets share one of the first
+(size - least overlap + 1) elements in the order of a hash. No signature is empty.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ class Bands:
     """Size bands of a similarity ``percent`` and the partitions of the join of each band."""
 
     def __init__(self, percent: int, largest: int = 1 << 40):
+        self.percent = percent
         self.low, self.high, self.k, self.parts, self.fine, self.spare = [], [], [], [], [], []
         low = 1
         while low <= largest:
@@ -99,7 +101,7 @@ def signatures(items: np.ndarray, bounds: np.ndarray, bands: Bands, step: int) -
     np.add.at(sums, cell, H.mix(values ^ np.uint64(0x5851F42D4C957F2D)))
     full = np.zeros(base[-1], bool)
     full[cell] = True
-    found, owners = [], []
+    found, owners, needy = [], [], np.zeros(len(sizes), bool)
     for width in np.unique(fine[active]).tolist():
         sets = np.flatnonzero(active & (fine == width))
         part_of = np.repeat(sets, parts[sets])
@@ -108,19 +110,28 @@ def signatures(items: np.ndarray, bounds: np.ndarray, bands: Bands, step: int) -
         filled = [full[start + j] for j in range(width)]
         weak = (width - sum(f.astype(np.int64) for f in filled)) >= 2
         weak_parts = np.bincount(part_of, weak, minlength=len(sizes)).astype(np.int64)
-        thin = (weak_parts > spare)[part_of]
+        needy[sets] |= (weak_parts > spare)[sets]
         tag = H.mix((band[part_of].astype(np.uint64) << np.uint64(40)) + part_no.astype(np.uint64))
         for x in range(width):
             for y in range(x + 1, width):
-                keep = filled[x] | filled[y] | thin
+                keep = filled[x] | filled[y]
                 sums_here = sums[start[keep] + x] + sums[start[keep] + y]
                 found.append(H.mix(sums_here ^ (tag[keep] + np.uint64(x * 64 + y))))
                 owners.append(part_of[keep])
+    for i in np.flatnonzero(needy).tolist():
+        first = np.sort(H.mix(items[bounds[i]:bounds[i + 1]] + np.uint64(33)))[:prefix_size(int(sizes[i]), bands.percent)]
+        found.append(H.mix(first ^ np.uint64(0x2545F4914F6CDD1D)))
+        owners.append(np.full(len(first), i))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(found), np.concatenate(owners)
 
 
+def prefix_size(size: int, percent: int) -> int:
+    """How many elements, the first in any one order, hold one of those that a similar set shares."""
+    return size + (-percent * size) // 100 + 1
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return keyed(rows, "id", "text", "key")
@@ -200,14 +211,14 @@ def _lists(packed: DataFrame) -> DataFrame:
 
 
 def sketch(items: np.ndarray) -> np.ndarray:
-    """Parities of the set over cells, about three cells for two elements, as 64-bit words; the words are a power of two.
+    """Parities of the set over cells, six to twelve for an element, as 64-bit words; the words are a power of two.
 
     Cells whose parities differ hold at least one element that only one of two sets has, so the number of differing bits
     never exceeds the number of differing elements: a filter that loses nothing. Folding halves onto each other gives the
     sketch with half the cells.
     """
     words = 1
-    while words * 64 < 1.5 * len(items):
+    while words * 64 < 6 * len(items):
         words *= 2
     odd = np.bincount((H.mix(items + np.uint64(5)) & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<u8")
@@ -242,36 +253,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("shared") >= percent * (F.size("x") + F.size("y") - F.col("shared"))).select("a", "b").distinct()
 
 
-def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a list that are in different components and that sizes and sketches leave possible.
+def _closest(lists: DataFrame, percent: int, most: int) -> DataFrame:
+    """(list_id, a, b): for each component of each list, the pairs with other components that sketches find the closest.
 
-    ``lists`` has one row per list: nodes, labels, sizes and sketches of its members.
+    ``lists`` has one row per list: nodes, labels, sizes and sketches of its members, and which nodes were compared with
+    them before. Pairs that sizes and sketches rule out, or that were compared, are left out, so a list that gives no row
+    holds no link that is still missing. A component has ``most`` rows of a list at most, however large the list.
     """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = set()
-            for nodes, labels, sizes, sketches in zip(*(batch.column(x).to_pylist() for x in ("nodes", "labels", "sizes", "sketches"))):
-                nodes, labels, sizes = (np.array(x, np.int64) for x in (nodes, labels, sizes))
-                words = min(map(len, sketches))
-                bits = np.zeros((len(nodes), words), np.uint64)
-                for i, own in enumerate(sketches):
-                    own = np.array(own, np.int64).view(np.uint64)
-                    while len(own) > words:
-                        own = own[:len(own) // 2] ^ own[len(own) // 2:]
-                    bits[i] = own
-                for i in range(len(nodes) - 1):
-                    rest = slice(i + 1, None)
-                    differ = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    total, least = sizes[rest] + sizes[i], np.minimum(sizes[rest], sizes[i])
-                    fits = ((labels[rest] != labels[i]) & ((100 + percent) * differ <= (100 - percent) * total)
-                            & (100 * least >= percent * (total - least)))
-                    for j in np.flatnonzero(fits).tolist():
-                        one, two = int(nodes[i]), int(nodes[i + 1 + j])
-                        seen.add((min(one, two), max(one, two)))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in seen], pa.int64()), pa.array([y for _, y in seen], pa.int64())],
-                                             ["a", "b"])
-
-    return lists.mapInArrow(compare, "a long, b long").distinct()
+            out: list[tuple[int, int, int]] = []
+            for i, list_id in enumerate(batch.column("list_id").to_pylist()):
+                nodes, labels, sizes = (batch.column(x)[i].values.to_numpy() for x in ("nodes", "labels", "sizes"))
+                sketches, compared = batch.column("sketches")[i].values, batch.column("compared")[i].values
+                out.extend((list_id, a, b) for a, b in pairs_of(nodes, labels, sizes, folded(sketches), compared.to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*out) if out else ([], [], []))],
+                                             ["list_id", "a", "b"])
+
+    def folded(sketches: pa.ListArray) -> np.ndarray:
+        """The sketches as rows of one matrix, all folded to the length of the shortest."""
+        lengths = sketches.value_lengths().to_numpy()
+        ends = np.cumsum(lengths)
+        values, words = sketches.flatten().to_numpy().view(np.uint64), int(lengths.min())
+        bits = np.zeros((len(lengths), words), np.uint64)
+        for i, (end, length) in enumerate(zip(ends.tolist(), lengths.tolist())):
+            own = values[end - length:end]
+            while len(own) > words:
+                own = own[:len(own) // 2] ^ own[len(own) // 2:]
+            bits[i] = own
+        return bits
+
+    def pairs_of(nodes: np.ndarray, labels: np.ndarray, sizes: np.ndarray, bits: np.ndarray, compared: list) -> set[tuple[int, int]]:
+        places = {node: i for i, node in enumerate(nodes.tolist())}
+        best: dict[int, list[tuple[int, int, int]]] = {}
+        for i in range(len(nodes)):
+            differ = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
+            total, least = sizes + sizes[i], np.minimum(sizes, sizes[i])
+            fits = ((labels != labels[i]) & ((100 + percent) * differ <= (100 - percent) * total)
+                    & (100 * least >= percent * (total - least)))
+            fits[[places[x] for x in compared[i] or () if x in places]] = False
+            found = np.flatnonzero(fits)
+            if len(found) > most:
+                found = found[np.argsort(differ[found], kind="stable")[:most]]
+            kept = best.setdefault(int(labels[i]), [])
+            kept.extend((int(differ[j]), i, j) for j in found.tolist())
+            if len(kept) > most:
+                kept.sort()
+                del kept[most:]
+        return {(min(int(nodes[i]), int(nodes[j])), max(int(nodes[i]), int(nodes[j]))) for kept in best.values() for _, i, j in kept}
+
+    return lists.mapInArrow(compare, "list_id long, a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
@@ -284,8 +315,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     that links reach (null ids come last). Equal sets are one class, so copies are never paired. Other columns are not
     read. Shingles are compared by 64-bit hashes.
 
-    Sets that share a signature are first compared with the least of them. What that leaves in different components is
-    then compared completely, so no link is lost, and a group of near copies is not expanded into all its pairs.
+    Sets that share a signature are first compared with the least of them, then with the one that has most links. What that
+    leaves in different components is compared in rounds, the closest pairs of two components first, until none is left that
+    could be similar. So no missing link joins two components, and a group of near copies is not expanded into its pairs.
     """
     return _grouped(docs, id_col, text_col, n, percent).select(
         F.col("id").alias(id_col), "n_shingles", "component_id", F.col("print").alias("set_id"))
@@ -351,19 +383,35 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
     links = stored(links.unionByName(more), "links")
     labels = stored(components(links), "labels")
 
-    rest = lists.select("list_id", F.explode("members").alias("node")).join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
-    split = stored(rest.groupBy("list_id").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select(
-        "list_id"), "split")
+    # Then what is still in different components: for each component and list the closest pairs that were not compared, more
+    # of them in each round, until no list has any. A list that gives none has no link left and is not looked at again.
     narrow = sets.select(F.col("print").alias("node"), F.size("items").alias("n"), "sketch")
-    open_lists = rest.join(split, "list_id", "left_semi").join(narrow, "node").groupBy("list_id").agg(
-        F.collect_list(F.struct("node", "label", "n", "sketch")).alias("m"))
-    late = stored(_cross_pairs(open_lists.select(
-        F.col("m.node").alias("nodes"), F.col("m.label").alias("labels"), F.col("m.n").alias("sizes"),
-        F.col("m.sketch").alias("sketches")), percent), "late_near")
-    late = stored(_verified(late, sets, percent), "late_links")
-    if not late.isEmpty():
-        labels = stored(components(links.unionByName(late)), "labels")
+    left, tried, most = lists, None, 1
+    while True:
+        rest = left.select("list_id", F.explode("members").alias("node")).join(labels, "node", "left").withColumn(
+            "label", F.coalesce("label", "node"))
+        split = stored(rest.groupBy("list_id").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select(
+            "list_id"), "split")
+        members_of = rest.join(split, "list_id", "left_semi").join(narrow, "node")
+        if tried is None:
+            members_of = members_of.withColumn("compared", F.lit(None).cast("array<bigint>"))
+        else:
+            both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            members_of = members_of.join(both.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("compared")),
+                                         "node", "left")
+        open_lists = members_of.groupBy("list_id").agg(F.collect_list(F.struct("node", "label", "n", "sketch", "compared")).alias("m"))
+        close = stored(_closest(open_lists.select(
+            "list_id", F.col("m.node").alias("nodes"), F.col("m.label").alias("labels"), F.col("m.n").alias("sizes"),
+            F.col("m.sketch").alias("sketches"), F.col("m.compared").alias("compared")), percent, most), "closest")
+        wanted_pairs = stored(close.select("a", "b").distinct(), "late_near")
+        if wanted_pairs.isEmpty():
+            break
+        late = stored(_verified(wanted_pairs, sets, percent), "late_links")
+        links = stored(links.unionByName(late), "links")
+        labels = stored(components(links), "labels")
+        tried = wanted_pairs if tried is None else stored(tried.unionByName(wanted_pairs), "tried")
+        left = stored(left.join(close.select("list_id").distinct(), "list_id", "left_semi"), "open")
+        most *= 4
 
     named = classes.join(labels.withColumnRenamed("node", "print"), "print", "left").withColumn(
         "label", F.coalesce("label", "print"))

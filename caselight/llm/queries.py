@@ -43,7 +43,9 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary(), ids=False, decoded=False, digests=True)
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary())
+    return coded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
