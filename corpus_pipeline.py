@@ -30,7 +30,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(docs, vocabulary(), ids=False, decoded=False, digests=True)
+    return bpe.encode_decode(docs, vocabulary(), decoded=False, digests=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("ngram_jaccard", ngram_jaccard),
