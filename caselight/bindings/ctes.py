@@ -332,9 +332,18 @@ SELECT event_id, (event_id - 1) // 2 FROM events WHERE event_id > 0 AND event_ty
 CTES["x_nodes"] = """
 SELECT event_id AS unique_id, CASE WHEN event_id % 3 <> 0 THEN 'model' ELSE 'test' END AS resource_type,
        'model_' || event_id AS name,
-       CASE WHEN event_id % 2 = 0 THEN 'select ' || event_type || '_ID from src' ELSE '' END AS raw_code,
-       CASE WHEN event_id % 5 <> 0 THEN upper('select ' || event_type || '_ID from src') END AS compiled_code
-FROM events
+       CASE WHEN event_id % 2 = 0 THEN code ELSE '' END AS raw_code,
+       CASE WHEN event_id % 5 <> 0 THEN upper(code) END AS compiled_code
+FROM (SELECT *, 'select ' || event_type || '_ID, C' || event_id // 4 % 12 || ' from src' AS code FROM events)
+"""
+CTES["x_sources"] = """
+SELECT schema_name, table_name, (max(event_id) - 1) // 2 AS root FROM x_tracked
+WHERE event_type <> 'click' AND event_id > 0 GROUP BY ALL
+"""
+CTES["x_drift"] = """
+SELECT schema_name, table_name, root, CASE WHEN len(added) = 1 AND len(removed) = 1 THEN removed[1] END AS column_name
+FROM x_diff JOIN x_sources USING (schema_name, table_name)
+WHERE has_prior_snapshot AND coalesce(len(added), 0) + coalesce(len(removed), 0) + coalesce(len(changed_types), 0) > 0
 """
 CTES["x_vectors"] = f"""
 SELECT vec_id AS incident_id, embedding::DOUBLE[] AS vector, vec_id % 2 = 1 AS has_sql_fix,

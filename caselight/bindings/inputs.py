@@ -10,6 +10,8 @@ from caselight.bindings.texts import AS_OF, DAG_ID, ERROR_TYPE_CYCLE, LOGS, STAT
 from caselight.functions.measures import moment
 from caselight.operators.incidents import approved
 from caselight.operators.changes import dedupe_batch
+from caselight.operators.lineage import drift_changes
+from caselight.operators.monitors import latest_snapshot, schema_diff
 from caselight.plans.reports import TASKS
 
 TASK_IDS = list(TASKS)
@@ -342,7 +344,8 @@ def lineage_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 def lineage_nodes(spark: SparkSession, sf: str) -> DataFrame:
     event = F.col("event_id")
-    code = F.concat(F.lit("select "), F.col("event_type"), F.lit("_ID from src"))
+    column = (int_div("event_id", 4) % 12).cast("string")
+    code = F.concat(F.lit("select "), F.col("event_type"), F.lit("_ID, C"), column, F.lit(" from src"))
     return table(spark, sf, "events").select(
         event.alias("unique_id"), F.when(event % 3 != 0, "model").otherwise("test").alias("resource_type"),
         F.concat(F.lit("model_"), event.cast("string")).alias("name"),
@@ -351,6 +354,19 @@ def lineage_nodes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lineage_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """The monitored tables as sources: each stands above the last event it got. Tables of clicks are not in the graph."""
+    last = tracked_events(spark, sf).where("event_type <> 'click' AND event_id > 0").groupBy(
+        F.col("schema_name").alias("source_name"), F.col("table_name").alias("name")).agg(F.max("event_id").alias("n"))
+    return last.select("source_name", "name", F.floor((F.col("n") - 1) / 2).alias("unique_id"))
+
+
+def drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The changed columns of the monitored tables that are sources of the lineage graph."""
+    diffs = schema_diff(live_columns(spark, sf), latest_snapshot(snapshots(spark, sf)))
+    return drift_changes(diffs, lineage_sources(spark, sf))
+
+
 def incident_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Incident memory: one vector per past incident, numbered in the order of the incidents."""
     key = F.col("vec_id")

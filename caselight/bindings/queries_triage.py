@@ -67,32 +67,42 @@ def statement_audit(spark, sf):
 
 # --- lineage ---------------------------------------------------------------------------------------------------------
 
-ROOTS = [(1, "error_id"), (5, "view_id"), (6, None)]
 REACH = """/* recursive */
 , reach(root, node) AS (
-    SELECT r.root, child FROM (VALUES (1), (5), (6)) r(root) JOIN x_edges ON parent = r.root
+    SELECT r.root, child FROM (SELECT DISTINCT root FROM x_sources) r JOIN x_edges ON parent = r.root
     UNION
     SELECT root, child FROM reach JOIN x_edges ON parent = node)
 """
+MODELS = """(SELECT *, lower(CASE WHEN raw_code <> '' THEN raw_code ELSE coalesce(compiled_code, '') END) AS code FROM x_nodes
+                 WHERE resource_type = 'model')"""
 
 
 @query("lineage_downstream", REACH + "SELECT root::BIGINT AS root, node FROM reach")
 def lineage_downstream(spark, sf):
-    roots = spark.createDataFrame([(root,) for root, _ in ROOTS], "root bigint")
+    """What each monitored table that is a source of the graph feeds."""
+    roots = b.lineage_sources(spark, sf).select(F.col("unique_id").alias("root")).distinct()
     return lineage.downstream(b.lineage_edges(spark, sf), roots)
 
 
-@query("impacted_models", REACH + """
-SELECT root::BIGINT AS root, name, column_name, coalesce(contains(lower(code), column_name), FALSE)::VARCHAR AS references_column
-FROM reach JOIN (SELECT *, CASE WHEN raw_code <> '' THEN raw_code ELSE coalesce(compiled_code, '') END AS code FROM x_nodes
-                 WHERE resource_type = 'model') ON unique_id = node
-JOIN (VALUES (1, 'error_id'), (5, 'view_id'), (6, NULL)) c(root, column_name) USING (root)
+@query("impacted_models", REACH + f"""
+SELECT root::BIGINT AS root, name, column_name, coalesce(contains(code, lower(column_name)), FALSE)::VARCHAR AS references_column
+FROM reach JOIN {MODELS} ON unique_id = node JOIN (SELECT DISTINCT root, column_name FROM x_drift) c USING (root)
 """)
 def impacted_models(spark, sf):
-    changed = spark.createDataFrame(ROOTS, "root bigint, column_name string")
+    """Models below each table that drifted, and whether they mention the column that changed there."""
+    changed = b.drift(spark, sf).select("root", "column_name").distinct()
     return lineage.impacted_models(b.lineage_edges(spark, sf), b.lineage_nodes(spark, sf), changed)
 
 
+@query("impacted_by_table", REACH + f"""
+SELECT schema_name, table_name, array_to_string(list(DISTINCT name ORDER BY name), ',') AS models,
+       array_to_string(coalesce(list(DISTINCT name ORDER BY name) FILTER (contains(code, lower(column_name))), []), ',') AS referencing
+FROM x_drift JOIN reach USING (root) JOIN {MODELS} ON unique_id = node GROUP BY schema_name, table_name
+""")
+def impacted_by_table(spark, sf):
+    return lineage.impact_by_table(b.lineage_edges(spark, sf), b.lineage_nodes(spark, sf), b.drift(spark, sf))
+
+
 REACH_ALL = """/* recursive */
 , reach(root, node) AS (
     SELECT parent, child FROM x_edges
@@ -101,25 +111,27 @@ REACH_ALL = """/* recursive */
 """
 
 
-@query("lineage_all_sources", REACH_ALL + "SELECT root::BIGINT AS root, node FROM reach")
+@query("lineage_all_sources", REACH_ALL + """
+, sets AS (SELECT root, count(*) AS n_reached, list(node ORDER BY node) AS reached FROM reach GROUP BY root)
+SELECT root::BIGINT AS root, min(root) OVER same::BIGINT AS class_id, count(*) OVER same AS class_size, n_reached
+FROM sets WINDOW same AS (PARTITION BY reached)
+""")
 def lineage_all_sources(spark, sf):
-    """Descendants of every node that feeds another one."""
-    edges = b.lineage_edges(spark, sf)
-    return lineage.downstream(edges, edges.select(F.col("parent").alias("root")).distinct())
+    """How many nodes every node that feeds another one reaches, and which of them reach the same."""
+    return lineage.Reach.of(b.lineage_edges(spark, sf)).classes().withColumnRenamed("node", "root")
 
 
-@query("impacted_all_sources", REACH_ALL + """
-SELECT root::BIGINT AS root, name, column_name, coalesce(contains(lower(code), column_name), FALSE)::VARCHAR AS references_column
-FROM reach JOIN (SELECT *, CASE WHEN raw_code <> '' THEN raw_code ELSE coalesce(compiled_code, '') END AS code FROM x_nodes
-                 WHERE resource_type = 'model') ON unique_id = node
-JOIN (SELECT event_id AS root, CASE WHEN event_id % 7 <> 0 THEN event_type || '_id' END AS column_name FROM events) c USING (root)
+@query("impacted_all_sources", REACH_ALL + f"""
+SELECT c.root::BIGINT AS root, c.column_name, count(code) AS n_models,
+       count(*) FILTER (contains(code, lower(c.column_name))) AS n_referencing
+FROM reach JOIN (SELECT event_id AS root, CASE WHEN event_id % 7 <> 0 THEN event_type || '_id' END AS column_name FROM events) c USING (root)
+LEFT JOIN {MODELS} ON unique_id = node GROUP BY c.root, c.column_name
 """)
 def impacted_all_sources(spark, sf):
-    """Impacted models of every node that feeds another one, each with the column of its own row as the changed one."""
-    edges = b.lineage_edges(spark, sf)
+    """How many models lie below every node that feeds another one, and how many mention the column of its own row."""
     column = F.when(F.col("event_id") % 7 != 0, F.concat("event_type", F.lit("_id")))
     changes = b.table(spark, sf, "events").select(F.col("event_id").alias("root"), column.alias("column_name"))
-    return lineage.impacted_models(edges, b.lineage_nodes(spark, sf), changes)
+    return lineage.Reach.of(b.lineage_edges(spark, sf)).impact(b.lineage_nodes(spark, sf), changes)
 
 
 @query("source_lookup", """
@@ -166,10 +178,6 @@ def reusable_fix(spark, sf):
 
 def _evidence_inputs(spark, sf):
     memory = b.incident_vectors(spark, sf)
-    impact = b.live_columns(spark, sf).groupBy("schema_name", "table_name").agg(
-        F.array_sort(F.collect_set(F.concat(F.lit("m_"), "column_name"))).alias("models"),
-        F.array_sort(F.collect_set(F.when(F.col("data_type") == "text", F.concat(F.lit("m_"), "column_name")))).alias("referencing"),
-    )
     nulls = b.tracked_events(spark, sf).withColumn("drug_name", F.when(F.col("value") >= 10, F.col("value")))
     return {
         "similar": similarity.nearest(memory, memory, 3, order="incident_id"),
@@ -180,7 +188,7 @@ def _evidence_inputs(spark, sf):
         "baselines": b.baselines(spark, sf),
         "rows": nulls,
         "freshness": b.freshness_checks(spark, sf),
-        "impact": impact,
+        "impact": lineage.impact_by_table(b.lineage_edges(spark, sf), b.lineage_nodes(spark, sf), b.drift(spark, sf)),
     }
 
 
@@ -189,21 +197,22 @@ def _classified(spark, sf):
     return incidents.classify(parsed, "label")
 
 
-EVIDENCE = SIMILAR + """
+EVIDENCE = SIMILAR + REACH + """
 , near AS (SELECT query_id AS incident_id, count(*) AS n_similar, max(score) AS top_score,
                   'incident ' || max(match_id) FILTER (WHERE rank = 1) AS top_summary
            FROM s WHERE rank <= 3 GROUP BY query_id),
 nulls AS (SELECT schema_name, table_name, count(*) FILTER (WHERE value < 10) AS nn, count(*) AS total,
                  round(nn / total * 100, 2) AS pct FROM x_tracked GROUP BY ALL),
-impact AS (SELECT schema_name, table_name, list(DISTINCT 'm_' || column_name ORDER BY 'm_' || column_name) AS models,
-                  list(DISTINCT 'm_' || column_name ORDER BY 'm_' || column_name) FILTER (data_type = 'text') AS referencing
-           FROM x_live GROUP BY ALL),
+impact AS (SELECT schema_name, table_name, list(DISTINCT name ORDER BY name) AS models,
+                  list(DISTINCT name ORDER BY name) FILTER (contains(code, lower(column_name))) AS referencing
+           FROM x_drift JOIN reach USING (root) JOIN """ + MODELS + """ ON unique_id = node GROUP BY schema_name, table_name),
 j AS (SELECT c.*, n_similar, top_score, top_summary,
              list_transform(coalesce(d.added, []), lambda x: '''' || x || '''') AS a,
              list_transform(CASE WHEN has_prior_snapshot THEN coalesce(d.removed, []) ELSE [] END, lambda x: '''' || x || '''') AS r,
              list_transform(CASE WHEN has_prior_snapshot THEN coalesce(d.changed_types, []) ELSE [] END, lambda x: '''' || x || '''') AS t,
-             list_transform(models, lambda x: '''' || x || '''') AS models,
+             list_transform(models, lambda x: '''' || x || '''') AS models, models AS model_names,
              list_transform(referencing, lambda x: '''' || x || '''') AS referencing,
+             CASE WHEN impact.models IS NOT NULL THEN coalesce(referencing, []) END AS referencing_names,
              current_count, baseline_count, deviation_pct, nn, total, pct, f.table_name AS fresh, last_loaded, is_stale,
              CASE WHEN error_type = 'schema_drift' AND len(a) = 1 AND len(r) = 1 THEN d.removed[1] END AS changed_column
       FROM x_classified c LEFT JOIN near USING (incident_id) LEFT JOIN x_diff d USING (schema_name, table_name)
@@ -232,10 +241,23 @@ ev AS (SELECT * EXCLUDE (a, r, t), t_memory || ' ' || CASE error_type WHEN 'sche
 """
 
 
-@query("evidence", EVIDENCE + "SELECT incident_id, tool_used, changed_column, evidence FROM ev")
+@query("evidence", EVIDENCE + """
+SELECT incident_id, tool_used, changed_column, evidence,
+       CASE WHEN error_type = 'schema_drift' THEN to_json(model_names)::VARCHAR END AS detail_models,
+       CASE WHEN error_type = 'schema_drift' THEN to_json(referencing_names)::VARCHAR END AS detail_referencing,
+       CASE WHEN error_type IN ('volume_anomaly', 'data_corruption') THEN current_count::VARCHAR END AS detail_count,
+       CASE WHEN error_type IN ('data_quality', 'data_corruption') THEN nn::VARCHAR END AS detail_nulls,
+       n_similar::VARCHAR AS detail_similar
+FROM ev
+""")
 def evidence(spark, sf):
+    """The summary of each incident, and from its details what each check found."""
     found = triage.investigate(_classified(spark, sf), **_evidence_inputs(spark, sf))
-    return found.select("incident_id", "tool_used", "changed_column", "evidence")
+    detail = lambda path, name: F.get_json_object("details", path).alias(f"detail_{name}")
+    return found.select(
+        "incident_id", "tool_used", "changed_column", "evidence", detail("$.impact.models", "models"),
+        detail("$.impact.referencing", "referencing"), detail("$.count.current_count", "count"),
+        detail("$.null.null_rows", "nulls"), detail("$.similar.n_similar", "similar"))
 
 
 def _proposals(spark, sf):

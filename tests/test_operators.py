@@ -260,22 +260,72 @@ def test_reachability_in_a_cyclic_graph(spark):
     assert set(rows(lineage.downstream(edges, roots), "root", "node")) == expected
 
 
-def test_lineage_starts_from_every_source(spark, sf):
-    children = {}
-    for parent, child in inputs.lineage_edges(spark, sf).collect():
+def closure(pairs):
+    """What each parent reaches."""
+    children, found = {}, {}
+    for parent, child in pairs:
         children.setdefault(parent, set()).add(child)
-    expected = set()
     for root in children:
-        queue = list(children[root])
+        seen, queue = set(), list(children[root])
         while queue:
             node = queue.pop()
-            if (root, node) not in expected:
-                expected.add((root, node))
+            if node not in seen:
+                seen.add(node)
                 queue += children.get(node, ())
-    assert set(rows(catalog.QUERIES["lineage_all_sources"](spark, sf), "root", "node")) == expected
-    models = {r["unique_id"]: r["name"] for r in inputs.lineage_nodes(spark, sf).collect() if r["resource_type"] == "model"}
-    found = rows(catalog.QUERIES["impacted_all_sources"](spark, sf), "root", "name")
-    assert found == sorted(((root, models[node]) for root, node in expected if node in models), key=repr)
+        found[root] = seen
+    return found
+
+
+def graph(seed, n, edges):
+    """Edges with cycles, loops, repeats and a long chain; nodes are texts."""
+    rng = np.random.default_rng(seed)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, n, (edges, 2))] + [(i, i + 1) for i in range(n, n + 9)] + [(0, 0), (3, 3)]
+    return [(f"n{a:04d}", f"n{b:04d}") for a, b in pairs + pairs[:5]]
+
+
+@pytest.mark.parametrize("seed, n, edges", [(1, 40, 30), (2, 200, 210), (3, 150, 400)])
+def test_classes_of_a_cyclic_graph(spark, seed, n, edges):
+    pairs = graph(seed, n, edges)
+    reached = closure(pairs)
+    same = {}
+    for root, nodes in reached.items():
+        same.setdefault(frozenset(nodes), []).append(root)
+    expected = sorted((root, min(roots), len(roots), len(nodes)) for nodes, roots in same.items() for root in roots)
+    df = spark.createDataFrame([*pairs, (None, "x"), ("x", None)], "parent string, child string").repartition(3)
+    found = lineage.Reach.of(df)
+    assert rows(found.classes(), "node", "class_id", "class_size", "n_reached") == expected
+    bits = {(r["number"], r["block"]) for r in found.blocks.collect()}
+    assert len(bits) == found.blocks.count() <= len(reached) * (len({x for p in pairs for x in p}) // 64 + 1)
+
+
+def test_impact_counts(spark):
+    pairs = graph(5, 60, 70)
+    reached = closure(pairs)
+    names = sorted({x for p in pairs for x in p})
+    nodes = [(x, "model" if i % 3 else "seed", x, ["Select DRUG, a_b", "", None, "drug_name"][i % 4], "a_B from x") for i, x in enumerate(names)]
+    code = {x: (raw or compiled).lower() for x, kind, _, raw, compiled in nodes if kind == "model"}
+    changes = [(x, [None, "drug", "A_b", "drug_name", "b from", "not there at all, and longer than any code", ""][i % 7]) for i, x in enumerate(names)]
+    expected = sorted([(root, c, sum(x in code for x in reached[root]), sum(bool(c) and c.lower() in code.get(x, "") for x in reached[root]))
+                       for root, c in changes if root in reached], key=repr)
+    found = lineage.Reach.of(spark.createDataFrame(pairs, "parent string, child string")).impact(
+        spark.createDataFrame(nodes, "unique_id string, resource_type string, name string, raw_code string, compiled_code string"),
+        spark.createDataFrame(changes, "root string, column_name string"))
+    assert rows(found, "root", "column_name", "n_models", "n_referencing") == expected
+
+
+def test_reach_of_nothing(spark):
+    none = spark.createDataFrame([], "parent string, child string")
+    assert lineage.Reach.of(none).classes().count() == 0
+
+
+def test_lineage_starts_from_every_source(spark, sf):
+    reached = closure(inputs.lineage_edges(spark, sf).collect())
+    found = rows(catalog.QUERIES["lineage_all_sources"](spark, sf), "root", "n_reached")
+    assert found == sorted((root, len(nodes)) for root, nodes in reached.items())
+    sources = {r["unique_id"] for r in inputs.lineage_sources(spark, sf).collect()}
+    assert len(sources) > 10
+    assert rows(catalog.QUERIES["lineage_downstream"](spark, sf), "root", "node") == sorted(
+        ((root, node) for root in sources for node in reached[root]), key=repr)
 
 
 @pytest.mark.parametrize("block_rows", [50, 4096])
