@@ -321,7 +321,7 @@ def drill_detection(spark, sf):
     """Two drills on one table and what the monitors say: the count alert and the failures of the rules."""
     loaded = b.loaded_reports(spark, sf, reporter=False)
     key = ["report_id"]
-    damaged = drills.drop_rows(drills.run_drill("data_quality", loaded, key, AS_OF, SEED), key, SEED)
+    damaged = drills.run_drills(["data_quality", "volume_anomaly"], loaded, key, AS_OF, SEED)
     checks = monitors.count_check(
         damaged.agg(F.count(F.lit(1)).alias("current_count")).select(
             F.lit("raw").alias("schema_name"), F.lit("case_reports").alias("table_name"), "current_count"),
@@ -407,9 +407,7 @@ def restore_after_drill(spark, sf):
     tables.rebuild(b.loaded_reports(spark, sf), f"{root}/live")
     live = spark.read.parquet(f"{root}/live")
     tables.snapshot_once(live, f"{root}/backup")
-    damaged = live
-    for scenario in ("volume_anomaly", "data_quality", "schema_drift"):
-        damaged = drills.run_drill(scenario, damaged, ["report_id"], AS_OF)
+    damaged = drills.run_drills(["volume_anomaly", "data_quality", "schema_drift"], live, ["report_id"], AS_OF)
     tables.rebuild(damaged, f"{root}/damaged")
     hurt = spark.read.parquet(f"{root}/damaged")
     assert hurt.columns != RAW_COLUMNS

@@ -5,10 +5,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from caselight.functions.measures import moment
-from caselight.operators.selection import select_fraction
+from caselight.operators.selection import Cut, select_fraction, select_fractions
 from caselight.schemas import RAW_COLUMNS
 
 logger = logging.getLogger(__name__)
@@ -32,14 +32,20 @@ def drop_rows(df: DataFrame, keys: Sequence[str], seed: int, fraction: float = D
 def null_values(df: DataFrame, column: str, keys: Sequence[str], seed: int, fraction: float = NULL_FRACTION,
                 rounding: str = "ceil", minimum: int = 0) -> DataFrame:
     """Blank a column on an exact share of the rows."""
-    hit = select_fraction(df, keys, fraction, seed, rounding, minimum)
-    return df.withColumn(column, F.when(~hit, F.col(column)))
+    return _blank(df, column, select_fraction(df, keys, fraction, seed, rounding, minimum))
 
 
 def bad_codes(df: DataFrame, column: str, keys: Sequence[str], seed: int, fraction: float = BAD_CODE_FRACTION,
               code: str = BAD_CODE) -> DataFrame:
     """Put an impossible code on an exact share of the rows, one row at least."""
-    hit = select_fraction(df, keys, fraction, seed, "floor", 1)
+    return _overwrite(df, column, select_fraction(df, keys, fraction, seed, "floor", 1), code)
+
+
+def _blank(df: DataFrame, column: str, hit: Column) -> DataFrame:
+    return df.withColumn(column, F.when(~hit, F.col(column)))
+
+
+def _overwrite(df: DataFrame, column: str, hit: Column, code: str = BAD_CODE) -> DataFrame:
     return df.withColumn(column, F.when(hit, F.lit(code)).otherwise(F.col(column)))
 
 
@@ -63,18 +69,37 @@ def restore(backup: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFram
     return backup.select(*columns)
 
 
+#: The selections of each scenario, given the seed of the run.
+CUTS = {
+    "volume_anomaly": lambda seed: [Cut(DROP_FRACTION, seed)],
+    "data_quality": lambda seed: [Cut(NULL_FRACTION, seed, "floor", 1), Cut(BAD_CODE_FRACTION, seed + 1, "floor", 1)],
+}
+SCENARIOS = ("volume_anomaly", "data_quality", "schema_drift", "freshness_failure")
+
+
+def run_drills(scenarios: Sequence[str], df: DataFrame, keys: Sequence[str], as_of, seed: int = 0) -> DataFrame:
+    """Damage a table according to several scenarios at once; unknown names and ``none`` leave it alone.
+
+    The selections of all scenarios are made on the table as it is, together, with two passes over its keys. Rows are dropped
+    and columns renamed after the values were damaged, in whatever order the scenarios are named.
+    """
+    for name in scenarios:
+        if name not in SCENARIOS and name != "none":
+            logger.warning("unknown drill %r, nothing done", name)
+    wanted = [(name, cut) for name in dict.fromkeys(scenarios) for cut in CUTS.get(name, lambda _: [])(seed)]
+    hits: dict[str, list[Column]] = {}
+    for (name, _), hit in zip(wanted, select_fractions(df, keys, [cut for _, cut in wanted]) if wanted else []):
+        hits.setdefault(name, []).append(hit)
+    if "data_quality" in hits:
+        nulls, codes = hits["data_quality"]
+        df = _overwrite(_blank(df, "drug_name", nulls), "serious", codes)
+    if "freshness_failure" in scenarios:
+        df = make_stale(df, as_of)
+    if "volume_anomaly" in hits:
+        df = df.where(~hits["volume_anomaly"][0])
+    return move(df) if "schema_drift" in scenarios else df
+
+
 def run_drill(scenario: str, df: DataFrame, keys: Sequence[str], as_of, seed: int = 0) -> DataFrame:
-    """Damage a table according to a scenario name; unknown names and ``none`` leave it alone."""
-    scenarios = {
-        "volume_anomaly": lambda: drop_rows(df, keys, seed),
-        "data_quality": lambda: bad_codes(
-            null_values(df, "drug_name", keys, seed, rounding="floor", minimum=1), "serious", keys, seed + 1
-        ),
-        "schema_drift": lambda: move(df),
-        "freshness_failure": lambda: make_stale(df, as_of),
-    }
-    if scenario not in scenarios:
-        if scenario != "none":
-            logger.warning("unknown drill %r, nothing done", scenario)
-        return df
-    return scenarios[scenario]()
+    """``run_drills`` for one scenario."""
+    return run_drills([scenario], df, keys, as_of, seed)

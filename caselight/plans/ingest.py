@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from caselight.functions.measures import moment
-from caselight.operators import monitors, quality, runlog
+from caselight.operators import drills, monitors, quality, runlog
 from caselight.plans import marts
 from caselight.plans.staging import normalize_codes, stage_reports
-from caselight.schemas import LANDING_COLUMNS, REQUIRED_COLUMNS, SNAPSHOT_DDL, TASK_RUN_DDL
+from caselight.schemas import LANDING_COLUMNS, RAW_COLUMNS, RAW_TYPES, REQUIRED_COLUMNS, SNAPSHOT_DDL, TASK_RUN_DDL
+from caselight.session import remove
 from caselight.sources import landing, tables
 from caselight.sources.paged import Fetcher, SourceUnavailable, position, register
 from caselight.sources.reports import explode_pages, flatten
@@ -111,12 +112,16 @@ def task_runs(warehouse: Warehouse, spark: SparkSession) -> DataFrame:
 def run_load(
     spark: SparkSession, warehouse: Warehouse, documents: Callable[[], DataFrame], landing_path: str, load_date: str,
     run: tuple[str, str], clock: Callable[[], dt.datetime], clean_codes: bool = False, exclude: tuple[str, ...] = (),
+    drill: str = "none", seed: int = 0,
 ) -> Extracted:
     """One load from end to end: extract, validate, load, build. Each task is logged; the first failure stops the load.
 
-    ``run`` is (dag_id, run_id) and also names the landing batch. When nothing came in, the later tasks do not run.
+    ``run`` is (dag_id, run_id) and also names the landing batch. When nothing came in, the later tasks do not run. With a
+    ``drill`` the load first damages the raw table as it is, see ``drill_raw``.
     """
     found: list[Extracted] = []
+    if drill != "none":
+        logged(warehouse, spark, run, "run_drill", lambda: drill_raw(warehouse, spark, drill, clock(), seed), clock)
 
     def extract_reports() -> int:
         found.append(extract(spark, documents, landing_path, load_date, run[1]))
@@ -146,6 +151,36 @@ def run_load(
     return found[0]
 
 
+def drill_raw(warehouse: Warehouse, spark: SparkSession, drill: str, at, seed: int = 0) -> int | None:
+    """Damage the stored raw table on purpose; returns how many rows it has then, None if there was nothing to damage.
+
+    The table as it was before the first drill is kept as a copy (``restore_raw`` brings it back). The damaged rows go to a
+    new folder and are published as one version, so a drill that dies half way has done nothing.
+    """
+    damage = {
+        "volume_anomaly": lambda df: drills.drop_rows(df, ["report_id"], seed),
+        "data_quality": lambda df: drills.null_values(df, "drug_name", ["report_id"], seed),
+        "schema_drift": drills.rename,
+        "freshness_failure": lambda df: drills.make_stale(df, at),
+    }.get(drill)
+    if damage is None:
+        logger.warning("unknown drill %r, nothing done", drill)
+        return None
+    if not warehouse.raw.exists(spark):
+        return None
+    stored = warehouse.raw.read(spark)
+    tables.snapshot_once(stored, warehouse.path("backup", "case_reports"))
+    warehouse.raw.write(damage(stored))
+    return warehouse.raw.read(spark).count()
+
+
+def restore_raw(warehouse: Warehouse, spark: SparkSession) -> None:
+    """Put the copy from before the first drill back and give it up."""
+    path = warehouse.path("backup", "case_reports")
+    warehouse.raw.write(drills.restore(spark.read.parquet(path)))
+    remove(spark, path)
+
+
 def typed_batch(batch: DataFrame) -> DataFrame:
     """A landing batch, all text, with the types of the raw table."""
     columns = [F.col(name) for name in LANDING_COLUMNS if name not in ("patient_age", "load_date")]
@@ -179,23 +214,56 @@ def load_batch(
         batch.unpersist()
 
 
+def report_groups(warehouse: Warehouse, spark: SparkSession) -> DataFrame:
+    """``marts.report_groups`` of the raw table, kept from load to load.
+
+    What was grouped before is brought up to date with the buckets that loads replaced since then; the rest of the raw table
+    is not read, unless a group may have lost its newest date. Without an earlier result, or when its version of the raw
+    table was cleaned away, the whole table is grouped. The result of each version has a folder of its own and counts once the
+    log names it, so a build that dies is done again from the one before.
+    """
+    path, log = warehouse.path("mart_state", "report_groups"), warehouse.path("mart_state", "built")
+    version = warehouse.raw.version(spark)
+    built = [row["version"] for row in tables.read_log(spark, log, "version bigint").select("version").distinct().collect()]
+    last = max((v for v in built if v <= version), default=None)
+    if last != version:
+        staged = stage_reports(warehouse.raw.read(spark))
+        changes = warehouse.raw.changes(spark, last) if last is not None else None
+        if changes is None:
+            tables.rebuild(marts.report_groups(staged), f"{path}/{version}")
+        else:
+            removed, added = (None if rows is None else stage_reports(with_raw_columns(rows)) for rows in changes)
+            changed = marts.changed_groups(spark.read.parquet(f"{path}/{last}"), removed, added)
+            tables.rebuild(changed, f"{path}/{version}-changed")
+            changed = spark.read.parquet(f"{path}/{version}-changed")
+            lost = not changed.where("lost").isEmpty()
+            tables.rebuild(marts.with_newest(changed, staged) if lost else changed.drop("lost"), f"{path}/{version}")
+            remove(spark, f"{path}/{version}-changed")
+        tables.put(spark.createDataFrame([(version,)], "version bigint"), log, str(version))
+        remove(spark, *[f"{path}/{v}" for v in built if v != version], *[f"{log}/{tables.BATCH}={v}" for v in built if v != version])
+    return spark.read.parquet(f"{path}/{version}")
+
+
+def with_raw_columns(rows: DataFrame) -> DataFrame:
+    """Rows of some buckets with all columns of the raw table, null where none of those buckets has one."""
+    missing = [name for name in RAW_COLUMNS if name not in rows.columns]
+    return rows.select("*", *[F.lit(None).cast(RAW_TYPES.get(name, "string")).alias(name) for name in missing])
+
+
 def build_models(warehouse: Warehouse, spark: SparkSession, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Rebuild both marts from the staging view, then run its rules; returns the rule report and raises if any failed.
+    """Rebuild both marts, then run the rules of the staging view; returns the rule report and raises if any failed.
 
-    The raw table is scanned and typed once and kept while marts and rules use it; both marts come from one grouping.
+    Both marts come from one grouping that is kept up to date from load to load (``report_groups``), so a load does not scan
+    the raw table for them. The rules read the columns that they are about.
     """
-    staged = stage_reports(warehouse.raw.read(spark)).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = stage_reports(warehouse.raw.read(spark))
     staged.createOrReplaceTempView("stg_case_reports")
-    groups = marts.report_groups(staged).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tables.rebuild(marts.drug_reactions_from_groups(groups), warehouse.path("mart", "drug_reactions"))
-        tables.rebuild(marts.serious_events_from_groups(groups), warehouse.path("mart", "serious_events"),
-                       ["drug_name", "severity_rank"])
-        rules = quality.run_rules(staged, quality.STAGED_RULES, "stg_case_reports", exclude)
-        report = spark.createDataFrame(rules.collect(), rules.schema)  # one row per rule
-    finally:
-        groups.unpersist()
-        staged.unpersist()
+    groups = report_groups(warehouse, spark)
+    tables.rebuild(marts.drug_reactions_from_groups(groups), warehouse.path("mart", "drug_reactions"))
+    tables.rebuild(marts.serious_events_from_groups(groups), warehouse.path("mart", "serious_events"),
+                   ["drug_name", "severity_rank"])
+    rules = quality.run_rules(staged, quality.STAGED_RULES, "stg_case_reports", exclude)
+    report = spark.createDataFrame(rules.collect(), rules.schema)  # one row per rule
     quality.gate(report)
     return report
 

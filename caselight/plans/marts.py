@@ -23,6 +23,50 @@ def report_groups(staged: DataFrame) -> DataFrame:
     )
 
 
+GROUP = ["drug_name", "reaction", "outcome", "is_serious"]
+
+
+def changed_groups(groups: DataFrame, removed: DataFrame | None, added: DataFrame | None) -> DataFrame:
+    """``report_groups`` after some staged rows went and others came, without a look at the rows that stayed.
+
+    Counts and sums are added up; rows that are in both ``removed`` and ``added`` cancel. A newest date can only be lost
+    with a removed row; where that may be, ``lost`` is true and ``newest`` has to be looked up, see ``with_newest``.
+    """
+    numbers = ["reports", "fatal", "age_sum", "age_count"]
+    none = F.lit(None).cast("date")
+
+    def part(df: DataFrame, sign: int, name: str) -> DataFrame:
+        dates = [(F.col("newest") if name == column else none).alias(column) for column in ("before", "gone", "come")]
+        return df.select(*GROUP, *[(F.lit(sign) * F.col(n)).cast(kinds[n]).alias(n) for n in numbers], *dates)
+
+    kinds = {field.name: field.dataType for field in groups.schema.fields}
+    rows = part(groups, 1, "before")
+    for staged, sign, name in ((removed, -1, "gone"), (added, 1, "come")):
+        if staged is not None:
+            rows = rows.unionByName(part(report_groups(staged), sign, name))
+    summed = rows.groupBy(*GROUP).agg(
+        *[F.sum(n).cast(kinds[n]).alias(n) for n in numbers], *[F.max(n).alias(n) for n in ("before", "gone", "come")])
+    lost = (F.col("gone") == F.col("before")) & (F.coalesce(F.col("come") < F.col("gone"), F.lit(True)))
+    return summed.where("reports > 0").select(
+        *GROUP, *numbers, F.greatest("before", "come").alias("newest"), F.coalesce(lost, F.lit(False)).alias("lost"))
+
+
+def with_newest(changed: DataFrame, staged: DataFrame) -> DataFrame:
+    """Fill in the newest dates that ``changed_groups`` could not tell, from the rows of those groups."""
+    lost = changed.where("lost").select(*GROUP)
+    same = F.lit(True)
+    for name in GROUP:
+        same = same & staged[name].eqNullSafe(lost[name])
+    found = staged.join(lost, same, "left_semi").groupBy(*GROUP).agg(F.max("received_date").alias("newest"))
+    kept = changed.where("NOT lost").drop("lost")
+    numbers = [name for name in kept.columns if name not in (*GROUP, "newest")]
+    empty = [F.lit(None).cast(kept.schema[name].dataType).alias(name) for name in numbers]
+    filled = changed.where("lost").drop("lost").withColumn("newest", F.lit(None).cast("date")).unionByName(
+        found.select(*GROUP, *empty, "newest")).groupBy(*GROUP).agg(
+        *[F.max(name).alias(name) for name in numbers], F.max("newest").alias("newest"))
+    return kept.unionByName(filled)
+
+
 def _mean_age(total: Column, known: Column) -> Column:
     """Mean rounded to one digit; the decimal sum is exact and divided only once."""
     return F.when(known > 0, F.round(total.cast("double") / known, 1))

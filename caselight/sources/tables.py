@@ -123,6 +123,29 @@ class KeyedTable:
                 f"{self.path}/data").limit(0)
         return stored.drop(LEAF)
 
+    def version(self, spark: SparkSession) -> int:
+        """The number of the newest load, 0 without one."""
+        return self._current(spark)[0]
+
+    def changes(self, spark: SparkSession, since: int) -> tuple[DataFrame | None, DataFrame | None] | None:
+        """The rows of the buckets that were replaced since a version, and of those that replaced them.
+
+        Rows that did not change but share a bucket with one that did are in both. Only those buckets are read. None if the
+        map of that version is no longer there.
+        """
+        version, leaves = self._current(spark)
+        maps = self._maps(spark)
+        old = {} if maps is None else {
+            row[LEAF]: (row[LOAD], row["rows"]) for row in maps.where(F.col("version") == since).collect()}
+        if not version or not old:
+            return None
+
+        def rows(mine: dict[int, tuple[int, int]], other: dict[int, tuple[int, int]]) -> DataFrame | None:
+            found = self._stored(spark, {leaf: place for leaf, place in mine.items() if other.get(leaf) != place})
+            return None if found is None else found.drop(LEAF)
+
+        return rows(old, leaves), rows(leaves, old)
+
     def upsert(self, batch: DataFrame, order: Sequence[Column], loaded_at=None) -> None:
         """Insert or replace by key; the first row of a key under ``order`` wins inside the batch.
 

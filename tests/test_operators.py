@@ -191,6 +191,45 @@ def test_selection_is_exact(spark, n, fraction, rounding, minimum, size):
     assert {r[0] for r in df.where(hit).collect()} == brute_selection([f"k{i}" for i in range(n)], 3, size)
 
 
+def test_several_selections_take_two_passes(spark, monkeypatch):
+    """Each row is read twice, however many cuts there are; a third pass is the answer's own."""
+    monkeypatch.setattr(selection, "CELL", 2)  # cells of a dozen rows: the cuts fall inside them
+    monkeypatch.setattr(selection, "GROUP", 1)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    keys = [f"k{i}" for i in range(3000)]
+    df = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("id")).mapInArrow(counted, "id string")
+    cuts = [selection.Cut(0.6, 3), selection.Cut(0.1, 4, "floor", 1), selection.Cut(0.0, 5), selection.Cut(1.0, 6), selection.Cut(0.05, 3)]
+    hits = selection.select_fractions(df, ["id"], cuts)
+    assert read.value == 2 * len(keys)
+    found = df.select("id", *[hit.alias(f"h{i}") for i, hit in enumerate(hits)]).collect()
+    for i, cut in enumerate(cuts):
+        size = selection.wanted_rows(len(keys), cut.fraction, cut.rounding, cut.minimum)
+        assert {r["id"] for r in found if r[f"h{i}"]} == brute_selection(keys, cut.seed, size)
+
+
+def test_equal_digests_are_selected_together(spark):
+    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3, "id string")
+    for fraction in (0.1, 0.5, 0.9):
+        hit = selection.select_fraction(df, ["id"], fraction, 1)
+        assert df.where(hit).count() in (3, 6, 9)
+
+
+def test_drills_at_once_are_those_one_by_one(spark):
+    raw = raw_table(spark, 300)
+    key = ["report_id"]
+    both = drills.run_drills(["volume_anomaly", "data_quality"], raw, key, NOW, seed=2)
+    after = drills.run_drill("data_quality", raw, key, NOW, seed=2)
+    expected = after.where(~selection.select_fraction(raw, key, drills.DROP_FRACTION, 2))
+    assert rows(both, "report_id", "drug_name", "serious") == rows(expected, "report_id", "drug_name", "serious")
+    assert both.count() == 120
+
+
 def test_selection_skips_rows_without_key(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "id string")
     assert df.where(~selection.select_fraction(df, ["id"], 1.0, 0)).count() == 1

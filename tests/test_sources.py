@@ -1,15 +1,17 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from caselight.operators.quality import DataQualityError
-from caselight.plans import ingest as ingest_plan
-from caselight.plans.ingest import Warehouse, load_batch, run_load, task_runs
+from caselight.plans import ingest as ingest_plan, marts
+from caselight.plans.ingest import Warehouse, build_models, load_batch, run_load, task_runs
 from caselight.plans.reports import run_summary
-from caselight.schemas import FRESHNESS_DDL, LANDING_COLUMNS, LANDING_DDL, REPORT_DDL
+from caselight.plans.staging import stage_reports
+from caselight.schemas import FRESHNESS_DDL, LANDING_COLUMNS, LANDING_DDL, RAW_COLUMNS, REPORT_DDL
 from caselight.sources import landing, paged, reports, tables, windows
 from caselight.streaming import ingest, jobs, ladder
 from tests.helpers import rows
@@ -389,6 +391,84 @@ def test_run_load_logs_each_task(spark, tmp_path):
     assert ingest.first_cursor(spark, warehouse, WINDOW) == {"date_range": WINDOW, "skip": "3"}
 
 
+def mart_rows(warehouse, spark):
+    return [rows(spark.read.parquet(warehouse.path("mart", name))) for name in ("drug_reactions", "serious_events")]
+
+
+def rebuilt(warehouse, spark):
+    groups = marts.report_groups(stage_reports(warehouse.raw.read(spark)))
+    return [rows(marts.drug_reactions_from_groups(groups)), rows(marts.serious_events_from_groups(groups))]
+
+
+def test_marts_follow_the_loads(spark, tmp_path, monkeypatch):
+    """After every load the marts equal a full rebuild, though only the replaced buckets of the raw table are read."""
+    warehouse = Warehouse(str(tmp_path / "w"), buckets=16)
+    rng = random.Random(4)
+    order = [F.desc_nulls_last("received_date")]
+    read, looked_up = [], []
+    original, newest = marts.changed_groups, marts.with_newest
+
+    def changed(groups, removed, added):
+        read.append([len(df.inputFiles()) if df is not None else 0 for df in (removed, added)])
+        return original(groups, removed, added)
+
+    monkeypatch.setattr(marts, "changed_groups", changed)
+    monkeypatch.setattr(marts, "with_newest", lambda *args: looked_up.append(1) or newest(*args))
+
+    def load(step, keys, day):
+        batch = landing_batch(spark, *[{
+            "report_id": str(k), "serious": rng.choice(["1", "2", ""]), "serious_death": rng.choice(["1", None]),
+            "patient_age": rng.choice(["40", "7.5", "x", None]), "drug_name": rng.choice(["a", "B ", "c"]),
+            "reaction": rng.choice(["r", "s"]), "outcome": rng.choice(["1", "2", None]), "received_date": day(k), "patient_sex": "1",
+            "load_date": "2024-03-01"} for k in keys])
+        load_batch(warehouse, batch, order, f"2024-03-0{step + 1} 01:00:00", batch_id=str(step))
+        build_models(warehouse, spark)
+        assert mart_rows(warehouse, spark) == rebuilt(warehouse, spark)
+
+    load(0, range(300), lambda k: f"2024{k % 12 + 1:02d}01")
+    assert read == []  # nothing to follow yet
+    load(1, [5, 900], lambda k: "20250101")  # one replaced, one new, both newer
+    assert len(read) == 1 and max(read[0]) <= 2 and not looked_up
+    load(2, range(0, 300, 2), lambda k: "20200101")  # the newest rows of groups are replaced by older ones
+    assert looked_up
+    build_models(warehouse, spark)  # nothing new: nothing read
+    assert len(read) == 2
+    warehouse.raw.upsert(warehouse.raw.read(spark).limit(3).withColumn("drug_name", F.lit("d")), order)
+    warehouse.raw.upsert(warehouse.raw.read(spark).limit(3).withColumn("drug_name", F.lit("e")), order)
+    build_models(warehouse, spark)  # two loads at once
+    assert mart_rows(warehouse, spark) == rebuilt(warehouse, spark) and len(read) == 3
+    warehouse.raw.upsert(warehouse.raw.read(spark).limit(3).withColumn("drug_name", F.lit("f")), order)
+    warehouse.raw.clean(spark, keep=1)
+    build_models(warehouse, spark)  # the version that was grouped is gone: all is grouped anew
+    assert mart_rows(warehouse, spark) == rebuilt(warehouse, spark) and len(read) == 3
+
+
+def test_a_load_may_begin_with_a_drill(spark, tmp_path):
+    warehouse, path = Warehouse(str(tmp_path / "w"), buckets=4), str(tmp_path / "landing")
+    clock = clock_from(dt.datetime(2024, 3, 1))
+
+    def load(run_id, drill="none", n=1):
+        documents = lambda: document_frame(spark, *[full_document(f"{run_id}-{i}") for i in range(n)])
+        return run_load(spark, warehouse, documents, path, "2024-03-01", ("d", run_id), clock, drill=drill)
+
+    def tasks(run_id):
+        return {r["task_id"] for r in task_runs(warehouse, spark).where(F.col("run_id") == run_id).collect()}
+
+    load("r0", "volume_anomaly", n=20)  # nothing stored yet, nothing to damage
+    assert warehouse.raw.read(spark).count() == 20 and "run_drill" in tasks("r0")
+    load("r1", "volume_anomaly")
+    assert warehouse.raw.read(spark).count() == 8 + 1
+    with pytest.raises(DataQualityError, match="drug_name: not_null failed for 9"):
+        load("r2", "schema_drift")
+    assert "medication_name" in warehouse.raw.read(spark).columns and warehouse.raw.read(spark).where("drug_name IS NULL").count() == 9
+    ingest_plan.restore_raw(warehouse, spark)
+    assert warehouse.raw.read(spark).columns == RAW_COLUMNS and warehouse.raw.read(spark).count() == 20
+    load("r3", "unheard_of")
+    assert warehouse.raw.read(spark).count() == 21
+    load("r4")
+    assert "run_drill" in tasks("r3") and "run_drill" not in tasks("r4")
+
+
 def test_only_a_source_that_is_down_lets_a_load_use_old_data(spark, tmp_path):
     warehouse, path = Warehouse(str(tmp_path / "w"), buckets=4), str(tmp_path / "landing")
     clock = clock_from(dt.datetime(2024, 3, 1))
