@@ -51,6 +51,18 @@ def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
 BROADCAST_BYTES, BROADCAST_ROWS = 32_000_000, 500_000
 
 
+def wide_key(id_value: Column, text: Column) -> Column:
+    """128 bits that rows share only if they repeat both id and text (null as empty), as a struct of two numbers."""
+    text = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(id_value, text).alias("a"), F.xxhash64(text, F.lit(1), id_value).alias("b"))
+
+
+def wrapped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Each row as it is in a struct ``row``, beside its ``key`` and ``id``: no column of the table can clash with those."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(whole, wide_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).alias("id"))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str, name: str = "__key") -> DataFrame:
     """Append a key that rows share only if they repeat both id and text (null as empty)."""
     return docs.withColumn(name, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))

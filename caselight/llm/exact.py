@@ -55,12 +55,19 @@ def refined(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns; of rows that repeat an id, one."""
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns.
+
+    Of rows that repeat the id that stays, the one with most code points stays, then the one with the smaller hash of all its
+    columns: the same in every run. An empty table gives none; columns of any name come back as they were.
+    """
     _, groups = refined(docs, id_col, text_col)
-    side = stored(groups.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"),
-                                F.lit(True).alias("__group")), "copies")
-    marked = docs.withColumn("__digest", F.sha2(bare_text(F.col(text_col)), 256))
-    joined = attach(marked, side, "__digest", "left", F.lit(100))
-    alone = joined.filter(F.col("__group").isNull())
-    firsts = joined.filter(F.col("__group") & F.col(id_col).eqNullSafe(F.col("__keep"))).dropDuplicates(["__digest"])
-    return alone.unionByName(firsts).select(*[F.col(f"`{c}`") for c in docs.columns])
+    side = stored(groups.select("digest", "keep_id", F.lit(True).alias("grouped")), "copies")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(whole.alias("row"), F.sha2(bare_text(F.col(text_col)), 256).alias("digest"), F.col(id_col).alias("id"),
+                         F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("points"))
+    joined = attach(marked, side, "digest", "left", F.lit(100))
+    alone = joined.filter(F.col("grouped").isNull()).select("row")
+    order = F.struct(-F.col("points"), F.xxhash64("row"), F.xxhash64(F.lit(1), "row"))
+    firsts = joined.filter(F.col("grouped") & F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(
+        F.min_by("row", order).alias("row")).select("row")
+    return alone.unionByName(firsts).select("row.*")

@@ -55,7 +55,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 1_000_000):
+def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 500_000):
     """Slices of a batch that hold at most so many bytes of text, or one row."""
     sizes = np.diff(flat(batch.column(column))[1])
     start, held = 0, 0

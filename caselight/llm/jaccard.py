@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caselight.llm import hashing as H
-from caselight.llm.common import attach, keyed, partitions, stored
+from caselight.llm.common import attach, partitions, stored, wide_key, wrapped
 from caselight.llm.components import components
 
 SIGNATURES_PER_SHARD = 500_000
@@ -134,7 +134,7 @@ def prefix_size(size: int, percent: int) -> int:
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return keyed(rows, "id", "text", "key")
+    return rows.withColumn("key", wide_key(F.col("id"), F.col("text")))
 
 
 def _shards(sets: DataFrame, bands: Bands, n: int, shards: int) -> DataFrame:
@@ -211,14 +211,14 @@ def _lists(packed: DataFrame) -> DataFrame:
 
 
 def sketch(items: np.ndarray) -> np.ndarray:
-    """Parities of the set over cells, six to twelve for an element, as 64-bit words; the words are a power of two.
+    """Parities of the set over cells, about three cells for two elements, as 64-bit words; the words are a power of two.
 
     Cells whose parities differ hold at least one element that only one of two sets has, so the number of differing bits
     never exceeds the number of differing elements: a filter that loses nothing. Folding halves onto each other gives the
     sketch with half the cells.
     """
     words = 1
-    while words * 64 < 6 * len(items):
+    while words * 64 < 1.5 * len(items):
         words *= 2
     odd = np.bincount((H.mix(items + np.uint64(5)) & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<u8")
@@ -327,10 +327,8 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  ) -> DataFrame:
     """The rows of ``docs`` whose id is that of their group, with all their columns; rows with an empty set stay."""
     rows = _grouped(docs, id_col, text_col, n, percent)
-    gone = stored(rows.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct(),
-                  "similar")
-    kept = attach(keyed(docs, id_col, text_col), gone, "__key", "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = stored(rows.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("key").distinct(), "similar")
+    return attach(wrapped(docs, id_col, text_col), gone, "key", "left_anti").select("row.*")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
@@ -351,7 +349,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
                     ["id", "key", "n_shingles", "print", "n_signatures"])
 
     members = stored(texts.select("id", "key", "text").mapInArrow(
-        describe, f"id {kind}, key long, n_shingles long, print long, n_signatures long"), "sets")
+        describe, f"id {kind}, key struct<a:bigint,b:bigint>, n_shingles long, print long, n_signatures long"), "sets")
     total = members.agg(F.sum("n_signatures")).first()[0] or 0
     shards = max(partitions(spark), total // SIGNATURES_PER_SHARD + 1)
     lists = stored(_lists(_shards(texts, bands, n, shards)), "lists")
@@ -407,11 +405,12 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
         if wanted_pairs.isEmpty():
             break
         late = stored(_verified(wanted_pairs, sets, percent), "late_links")
-        links = stored(links.unionByName(late), "links")
-        labels = stored(components(links), "labels")
+        if not late.isEmpty():
+            links = stored(links.unionByName(late), "links")
+            labels = stored(components(links), "labels")
         tried = wanted_pairs if tried is None else stored(tried.unionByName(wanted_pairs), "tried")
         left = stored(left.join(close.select("list_id").distinct(), "list_id", "left_semi"), "open")
-        most *= 4
+        most *= 8
 
     named = classes.join(labels.withColumnRenamed("node", "print"), "print", "left").withColumn(
         "label", F.coalesce("label", "print"))

@@ -13,7 +13,7 @@ from fractions import Fraction
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
-from caselight.llm.common import attach, keyed, stored, word_count
+from caselight.llm.common import attach, stored, wide_key, word_count, wrapped
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -102,19 +102,18 @@ def take_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     block = f"(at div {block_words})"
     extra_copy = f"((({block} + 1) * extra + start) div n) - (({block} * extra + start) div n)"
     copies = chosen.filter("size > 0").select("key", F.expr(f"least({cap}, passes + {extra_copy})").alias("copies"))
-    per_key = stored(copies.groupBy(F.col("key").alias("__key")).agg(F.max("copies").alias("__copies")), "copies")
-    joined = attach(keyed(docs, id_col, text_col), per_key.filter("__copies > 0"), "__key", "inner")
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    per_key = stored(copies.groupBy("key").agg(F.max("copies").alias("copies")), "copies")
+    joined = attach(wrapped(docs, id_col, text_col), per_key.filter("copies > 0"), "key", "inner")
+    return joined.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, shard_words: int, cap: int,
             seed: int) -> DataFrame:
     """Rows on the lines of their shards, with the full passes, extra blocks and seeded start of each shard."""
     size = word_count(F.col(text_col))
-    rows = keyed(docs, id_col, text_col).select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.col("__key").alias("key"),
-        F.xxhash64(F.lit(seed), F.col("__key")).alias("place"))
+    key = wide_key(F.col(id_col), F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("key")).select(
+        "*", F.xxhash64(F.lit(seed), F.col("key")).alias("place"))
     rows = stored(rows, "mix")
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = sums.groupBy().applyInPandas(
