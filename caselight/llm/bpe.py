@@ -17,7 +17,7 @@ from caselight.llm import common  # noqa: F401  ships the package to Python work
 #: Fixed value: the pattern by which byte-level vocabularies of this kind split a text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces that a task remembers in each of two generations.
-REMEMBERED = 60_000
+REMEMBERED = 100_000
 #: Longer pieces are not remembered.
 LONGEST = 64
 
