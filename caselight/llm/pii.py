@@ -1,7 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score. DataFrame operations.
 
 Positions come from cutting a text at the matches of a pattern: the lengths of the pieces between and of the matches
-add up to code point offsets. Patterns are possessive, so each is linear in the text and needs no deep stack.
+add up to code point offsets. They are added up in chunks of matches, then over the chunks, because a fold that appends to
+one long array copies it at every step. Words nearby are looked up in blocks of the text, because a substring counts code
+points from the start of its text. Patterns are possessive, so each is linear in the text and needs no deep stack.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from caselight.llm.common import let
 ACCEPT = 0.5
 #: Code points before and after a span that are searched for context words.
 NEAR = 40
+#: Matches whose lengths are added up by one fold; code points of one block of a text.
+CHUNK, BLOCK = 256, 4096
 
 
 @dataclass(frozen=True)
@@ -42,10 +46,12 @@ LOCAL = "A-Za-z0-9._%+-"
 KINDS = (
     Kind("email", _edge(LOCAL) + rf"[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", base=True),
     Kind("ip", _edge("0-9") + r"[0-9]++(?:\.[0-9]++){3}+", ".", base=True, check="octets"),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", base=True, check="luhn"),
+    # Only runs of the right length: a run goes on while digits follow, with a blank or hyphen between two of them at most.
+    Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])", "", base=True, check="luhn"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", base=True, check="phone"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])", "",
-         score=0.4, check="mod97", lift=0.4, context="iban|account|konto|compte|cuenta|bank|banque|banco"),
+         score=0.4, check="mod97", lift=0.2, context="iban|account|konto|compte|cuenta|bank|banque|banco",
+         against="isbn|serial|part no|order no|tracking"),
     Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", "-", score=0.3, check="ssn",
          lift=0.0, context="ssn|social security|sozialversicherung|s[ée]curit[ée] sociale|seguro social",
          against="isbn|order|invoice|part no"),
@@ -98,6 +104,7 @@ def spans_of(kind: Kind, text: Column) -> Column:
     empty = F.array().cast("array<struct<start:int,end:int,score:double>>")
 
     def located(matches: Column) -> Column:
+        """(start, end, text) of each match: places within its chunk, and the chunks one after the other."""
         pieces = F.split(text, kind.pattern, -1)
         zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
 
@@ -107,17 +114,30 @@ def spans_of(kind: Kind, text: Column) -> Column:
             span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("text"))
             return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-        pairs = F.zip_with(matches, pieces, lambda m, p: F.struct(m.alias("match"), p.alias("piece")))
-        pairs = F.filter(pairs, lambda x: x["match"].isNotNull())
-        return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+        def placed(chunks: Column) -> Column:
+            starts = F.aggregate(chunks, F.array(F.lit(0)), lambda acc, c: F.concat(
+                acc, F.array(F.element_at(acc, -1) + c["at"])))
+            moved = F.zip_with(chunks, F.slice(starts, F.lit(1), F.size(chunks)), lambda c, s: F.transform(c["out"], lambda x: F.struct(
+                (x["start"] + s).alias("start"), (x["end"] + s).alias("end"), x["text"].alias("text"))))
+            return F.flatten(moved)
 
-    def scored(span: Column) -> Column:
+        pairs = F.slice(F.zip_with(matches, pieces, lambda m, p: F.struct(m.alias("match"), p.alias("piece"))),
+                        F.lit(1), F.size(matches))
+        return let(pairs, lambda all_pairs: let(
+            F.transform(F.sequence(F.lit(0), F.floor((F.size(all_pairs) - 1) / CHUNK).cast("int")),
+                        lambda c: F.aggregate(F.slice(all_pairs, c * CHUNK + 1, F.lit(CHUNK)), zero, step)), placed))
+
+    def scored(blocks: Column, span: Column) -> Column:
         score = F.lit(kind.score) + F.lit(kind.lift)
         if kind.context:
-            near = F.lower(F.concat(
-                F.substring(text, F.greatest(span["start"] + 1 - NEAR, F.lit(1)),
-                            F.least(span["start"], F.lit(NEAR))), F.lit(" "),
-                F.substring(text, span["end"] + 1, F.lit(NEAR))))
+            def part(start: Column, length: Column) -> Column:
+                """``length`` code points from ``start``, at most a block of them."""
+                at = F.floor(start / BLOCK).cast("int")
+                here = F.concat(F.get(blocks, at), F.coalesce(F.get(blocks, at + 1), F.lit("")))
+                return F.coalesce(F.substring(here, start - at * BLOCK + 1, length), F.lit(""))
+
+            first = F.greatest(span["start"] - NEAR, F.lit(0))
+            near = F.lower(F.concat(part(first, span["start"] - first), F.lit(" "), part(span["end"], F.lit(NEAR))))
             score = score + F.when(near.rlike(kind.context), 0.4).otherwise(0.0)
             if kind.against:
                 score = score - F.when(near.rlike(kind.against), 0.3).otherwise(0.0)
@@ -125,7 +145,11 @@ def spans_of(kind: Kind, text: Column) -> Column:
 
     def judged(matches: Column) -> Column:
         valid = F.filter(located(matches), lambda s: passes(kind, s["text"]))
-        return F.filter(F.transform(valid, scored), lambda s: s["score"] >= ACCEPT)
+        cut = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int")),
+                          lambda b: F.substring(text, b * BLOCK + 1, F.lit(BLOCK)))
+        return let(valid, lambda spans: F.when(F.size(spans) == 0, empty).otherwise(let(
+            cut if kind.context else F.array().cast("array<string>"),
+            lambda blocks: F.filter(F.transform(spans, lambda s: scored(blocks, s)), lambda s: s["score"] >= ACCEPT))))
 
     found = let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
                 lambda m: F.when(F.size(m) == 0, empty).otherwise(judged(m)))
@@ -136,8 +160,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per input row: id, a count for each base kind, base_sha256, spans, and scored_spans with the scores.
 
     Base kinds (email, ip, card, phone) are the leftmost matches that do not overlap and pass their check. The method
-    adds bank account numbers (mod 97) and social security numbers; the latter only beside a word that speaks of them.
-    Null and empty texts have no spans. Rows are handled one by one, without a shuffle; other columns are not read.
+    adds bank account numbers (mod 97), unless words nearby speak of another number, and social security numbers, only beside
+    a word that speaks of them. Null and empty texts have no spans; an empty table gives no rows. Long texts are linear in
+    their length and matches. Rows are handled one by one, repeated ones too, without a shuffle; other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))

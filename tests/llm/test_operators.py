@@ -1,5 +1,7 @@
 """Each operator against brute force over messy rows, and over an empty table."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,7 +119,6 @@ def test_mix(messy, messy_rows, nothing):
             goal[s] = 3 * sizes[s]
             left.remove(s)
     goal |= share
-    taken = dict.fromkeys(names, 0)
     by_id = {}
     for r in found:
         by_id.setdefault((r["target"], r["source_size"]), 0)
@@ -125,10 +126,32 @@ def test_mix(messy, messy_rows, nothing):
     for s in names:
         near = [k for k in by_id if k[1] == sizes[s] and abs(k[0] - goal[s]) < 1e-6]
         assert near and abs(by_id[near[0]] - goal[s]) <= 16 + 0.01 * goal[s]
-    assert taken is not None and rows(mixing.mix(messy), *found[0].__fields__) == as_rows(tuple(r) for r in found)
+    assert rows(mixing.mix(messy), *found[0].__fields__) == as_rows(tuple(r) for r in found)
     assert mixing.mix(nothing).count() == 0
     whole = mixing.take_documents(messy)
-    assert whole.columns == messy.columns and mixing.take_documents(nothing).count() == 0
+    assert whole.columns == messy.columns and mixing.take_documents(nothing).collect() == []
+
+
+def test_words_taken_of_each_document(spark, messy):
+    """Every word of every line is dealt with by itself: full passes over the line and the blocks chosen for one more."""
+    block, cap = 16, 3
+    placed = mixing._placed(messy, "doc_id", "text", "source", block, 300, cap, 7).collect()
+    lines = {}
+    for r in placed:
+        lines.setdefault((r["source"], r["shard"]), []).append(r)
+    assert len(lines) > len({k[0] for k in lines})  # some source has several shards
+    expected = []
+    for line in lines.values():
+        line.sort(key=lambda r: (r["at"], r["size"]))
+        assert [r["at"] for r in line] == [sum(x["size"] for x in line[:i]) for i in range(len(line))]
+        n, extra, start = line[0]["n"], line[0]["extra"], line[0]["start"]
+        chosen = [((k + 1) * extra + start) // n - (k * extra + start) // n for k in range(n)]
+        assert set(chosen) <= {0, 1} and sum(chosen) == extra
+        for r in line:
+            once = sum(line[0]["passes"] + chosen[(r["at"] + w) // block] for w in range(r["size"]))
+            expected.append((r["id"], r["size"], min(cap * r["size"], once)))
+    found = mixing.mix(messy, shard_words=300)
+    assert rows(found, "doc_id", "size", "taken") == as_rows(expected)
 
 
 def test_jaccard(messy, messy_rows, nothing):
@@ -231,7 +254,48 @@ def test_pii(messy, messy_rows, nothing):
     assert pii.find_pii(nothing).count() == 0
 
 
-def test_pii_long_texts_do_not_overflow(spark):
-    long = ["a." * 300_000, "1" * 600_000, "+1" + " 2" * 300_000, "x@" + "y." * 300_000 + "z", "1.2." * 200_000]
-    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
-    assert pii.find_pii(docs).count() == len(long)
+def spans_by_id(df):
+    """All columns of the result, so that no pattern is pruned away."""
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_pii_long_texts(spark):
+    """Texts of a million characters with very many matches, and ones that invite backtracking: every column is computed."""
+    long = ["a." * 300_000, "1" * 600_000, "+1" + " 2" * 300_000, "x@" + "y." * 300_000 + "z", "1.2." * 200_000,
+            ", ".join(str(k * 7919) for k in range(150_000)), "a@b.co " * 60_000, "1.2.3.4 " * 60_000, "+1 234 567 890 x " * 30_000,
+            "é DE89 3704 0044 0532 0130 00 . " * 20_000, "12-34 " * 150_000]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string").repartition(4)
+    found = spans_by_id(pii.find_pii(docs))
+    numbers = ("n_email", "n_ip", "n_card", "n_phone")
+    assert [tuple(found[i][n] for n in numbers) for i in range(len(long))] == [
+        (0, 0, 0, 0), (0, 0, 0, 0), (0, 0, 0, 0), (1, 0, 0, 0), (0, 100_000, 0, 0), (0, 0, 0, 0), (60_000, 0, 0, 0),
+        (0, 60_000, 0, 0), (0, 0, 0, 30_000), (0, 0, 0, 0), (0, 0, 0, 0)]
+    assert found[6]["base_sha256"] == brute.sha(",".join(f"email:{7 * k}:{7 * k + 6}" for k in range(60_000)))
+    ibans = [x for x in found[9]["scored_spans"] if x["kind"] == "iban"]
+    assert [(x["start"], x["end"]) for x in ibans] == [(k * 32 + 2, k * 32 + 29) for k in range(20_000)]
+
+
+def test_pii_positions_across_chunks_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pii, "CHUNK", 3)
+    monkeypatch.setattr(pii, "BLOCK", 47)
+    rng = random.Random(9)
+    parts = ["a@b.co", "1.2.3.4", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 1234-5678", "é", " ", "  ", "-", "7", "12", ".", "\n",
+             "DE89370400440532013000", "iban", "ssn", "123-45-6789", "order no", "+", "9" * 20, "x"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "é "]) for _ in range(rng.randrange(1, 40))) for _ in range(1500)]
+    found = spans_by_id(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    wide = {}
+    with monkeypatch.context() as patch:
+        patch.setattr(pii, "CHUNK", 256)
+        patch.setattr(pii, "BLOCK", 4096)
+        wide = spans_by_id(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    for i, text in enumerate(texts):
+        assert found[i]["base_sha256"] == brute.sha(",".join(brute.pii(text))), text
+        assert found[i]["spans"] == wide[i]["spans"]
+
+
+def test_pii_context_decides(spark):
+    number = "DE89 3704 0044 0532 0130 00"
+    texts = [f"pay to {number} today", f"tracking {number} sent", f"tracking of IBAN {number}", f"part no {number}", "x" * 50 + f"serial {number}",
+             "serial " + "x " * 30 + number, "my ssn is 123-45-6789", "isbn 123-45-6789", "ssn on invoice 123-45-6789", "123-45-6789"]
+    found = spans_by_id(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [bool(found[i]["spans"]) for i in range(len(texts))] == [True, False, True, False, False, True, True, False, False, False]
