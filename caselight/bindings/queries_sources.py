@@ -14,6 +14,7 @@ from caselight.bindings.saved_pages import fetch_saved
 from caselight.bindings.texts import AS_OF, STATEMENTS
 from caselight.operators import changes, monitors, quality
 from caselight.operators.audit import audit
+from caselight.plans import monitoring
 from caselight.plans.ingest import Warehouse, build_models, load_batch, run_load, task_runs
 from caselight.schemas import LANDING_COLUMNS
 from caselight.session import shared_dir
@@ -173,11 +174,15 @@ def landing_files(spark, sf):
     return quality.require_columns(batch, LANDING_COLUMNS).select(*LANDING_COLUMNS)
 
 
-@query("keyed_table", f"""
+KEYED = f"""
 , old AS (SELECT * FROM x_raw WHERE loaded_at < DATE '{SPLIT_DAY}'
           QUALIFY row_number() OVER (PARTITION BY report_id ORDER BY loaded_at DESC, source_row DESC) = 1),
 new AS (SELECT * REPLACE (TIMESTAMP {q(AS_OF)} AS loaded_at) FROM x_raw WHERE loaded_at >= DATE '{SPLIT_DAY}'
         QUALIFY row_number() OVER (PARTITION BY report_id ORDER BY x_raw.loaded_at DESC, source_row DESC) = 1)
+"""
+
+
+@query("keyed_table", KEYED + f"""
 SELECT report_id, received_date, drug_name, source_row, {stamp('loaded_at')} AS loaded_at
 FROM (SELECT * FROM old WHERE report_id NOT IN (SELECT report_id FROM new) UNION ALL SELECT * FROM new)
 """)
@@ -192,6 +197,27 @@ def keyed_table(spark, sf):
     return table.read(spark)
 
 
+@query("table_profile", KEYED + f"""
+, merged AS (SELECT * FROM old WHERE report_id NOT IN (SELECT report_id FROM new) UNION ALL SELECT * FROM new)
+SELECT column_name, count(*) AS total_rows, count(*) FILTER (missing) AS null_rows,
+       round(count(*) FILTER (missing) / count(*) * 100, 2)::DOUBLE AS null_pct, {stamp('max(loaded_at)')} AS newest
+FROM (SELECT 'received_date' AS column_name, received_date IS NULL AS missing, loaded_at FROM merged
+      UNION ALL SELECT 'drug_name', drug_name IS NULL, loaded_at FROM merged
+      UNION ALL SELECT 'source_row', source_row IS NULL, loaded_at FROM merged)
+GROUP BY column_name
+""")
+def table_profile(spark, sf):
+    """Counts, null rates and the newest load of a stored table, brought up to date after an upsert."""
+    root = shared_dir(spark, "profile")
+    table = tables.KeyedTable(f"{root}/reports", ("report_id",))
+    raw = b.raw_reports(spark, sf, reporter=False).select("report_id", "received_date", "drug_name", "source_row", "loaded_at")
+    table.write(changes.dedupe_batch(raw.where(F.col("loaded_at") < SPLIT_DAY), ["report_id"], b.last_wins()))
+    columns = ["received_date", "drug_name", "source_row"]
+    monitoring.profile(spark, table, columns, f"{root}/profile", "loaded_at")
+    table.upsert(raw.where(F.col("loaded_at") >= SPLIT_DAY), b.last_wins(), loaded_at=AS_OF)
+    return monitoring.profile(spark, table, columns, f"{root}/profile", "loaded_at")
+
+
 @query("load_provenance", FLAT + """
 , n AS (SELECT count(*) AS n FROM flat WHERE drug_name IS NOT NULL AND reaction IS NOT NULL)
 SELECT '1 live' AS load, n AS landed, 'false' AS used_cache, 'live' AS data_source, n AS loaded, 'success' AS status FROM n

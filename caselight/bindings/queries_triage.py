@@ -221,8 +221,8 @@ j AS (SELECT c.*, n_similar, top_score, top_summary,
 texts AS (SELECT *,
     CASE WHEN n_similar > 0 THEN printf('Found %d similar past incident(s); most similar (score %.2f): %s.', n_similar,
         round(top_score, 2), top_summary) ELSE 'No similar past incidents found in memory.' END AS t_memory,
-    'Schema diff vs. last snapshot: added=[' || array_to_string(a, ', ') || '] removed=[' || array_to_string(r, ', ')
-        || '] changed_types=[' || array_to_string(t, ', ') || ']. models impacted: [' || array_to_string(coalesce(models, []), ', ') || ']'
+    'Columns against the last snapshot: new [' || array_to_string(a, ', ') || '], gone [' || array_to_string(r, ', ')
+        || '], other type or nullability [' || array_to_string(t, ', ') || ']. Models below the table: [' || array_to_string(coalesce(models, []), ', ') || ']'
         || CASE WHEN changed_column IS NOT NULL THEN '; models referencing the changed column: ['
                || array_to_string(coalesce(referencing, []), ', ') || ']' ELSE '' END || '.' AS t_drift,
     'Row count check: current=' || coalesce(current_count::VARCHAR, 'None') || ' baseline='
@@ -233,10 +233,10 @@ texts AS (SELECT *,
   FROM j),
 ev AS (SELECT * EXCLUDE (a, r, t), t_memory || ' ' || CASE error_type WHEN 'schema_drift' THEN t_drift WHEN 'volume_anomaly' THEN t_count
            WHEN 'data_quality' THEN t_null WHEN 'data_corruption' THEN t_null || ' ' || t_count WHEN 'freshness' THEN t_fresh
-           ELSE 'No specialized check beyond similar incidents; likely outside the data itself.' END AS evidence,
-         CASE error_type WHEN 'schema_drift' THEN 'schema_inspector+lineage_tracer' WHEN 'volume_anomaly' THEN 'row_count_check'
-           WHEN 'data_quality' THEN 'null_rate_check' WHEN 'data_corruption' THEN 'null_rate_check+row_count_check'
-           WHEN 'freshness' THEN 'freshness_check' ELSE 'memory_lookup' END AS tool_used
+           ELSE 'Nothing but past incidents was looked at: no check is made for failures of this kind.' END AS evidence,
+         CASE error_type WHEN 'schema_drift' THEN 'schema_diff,lineage' WHEN 'volume_anomaly' THEN 'row_count'
+           WHEN 'data_quality' THEN 'null_rate' WHEN 'data_corruption' THEN 'null_rate,row_count'
+           WHEN 'freshness' THEN 'freshness' ELSE 'past_incidents' END AS tool_used
        FROM texts)
 """
 

@@ -15,17 +15,22 @@ from caselight.operators.runlog import RUN_KEY
 
 TIMEOUT_MINUTES = 30
 
+# Own wording.
+DRIFT = "Columns against the last snapshot: new %s, gone %s, other type or nullability %s. Models below the table: %s%s."
+NO_CHECK = "Nothing but past incidents was looked at: no check is made for failures of this kind."
+CHECKS = {"schema_drift": "schema_diff,lineage", "volume_anomaly": "row_count", "data_quality": "null_rate",
+          "data_corruption": "null_rate,row_count", "freshness": "freshness"}
+PAST_INCIDENTS = "past_incidents"
+
 # Wording of messages and of the texts that stand in for missing ones.
 NO_LOG = "No error_message found in monitoring.pipeline_runs for dag_id=%s run_id=%s task_id=%s"
 SIMILAR = "Found %d similar past incident(s); most similar (score %.2f): %s."
 NO_SIMILAR = "No similar past incidents found in memory."
-DRIFT = "Schema diff vs. last snapshot: added=%s removed=%s changed_types=%s. models impacted: %s%s."
 REFERENCING = "; models referencing the changed column: %s"
 COUNTS = "Row count check: current=%s baseline=%s deviation=%s%%."
 NULLS = "Null-rate check on %s: %d/%d rows (%s%%) are NULL."
 FRESHNESS = "Latest freshness check: last_loaded=%s is_stale=%s."
 NO_FRESHNESS = "No freshness check recorded yet."
-NO_CHECK = "No specialized check beyond similar incidents; likely outside the data itself."
 LOGGED_ONLY = "P3 (upstream/infra) — no fix attempted, logged only."
 RENAME_SQL = 'ALTER TABLE %s.%s RENAME COLUMN "%s" TO "%s"'
 RENAME_NOTE = "Rename column '%s' back to '%s'."
@@ -124,13 +129,7 @@ def gather_evidence(
         .when(kind == "freshness", fresh_text)
         .otherwise(NO_CHECK)
     )
-    tool = labels.lookup({
-        "schema_drift": "schema_inspector+lineage_tracer",
-        "volume_anomaly": "row_count_check",
-        "data_quality": "null_rate_check",
-        "data_corruption": "null_rate_check+row_count_check",
-        "freshness": "freshness_check",
-    }, kind, F.lit("memory_lookup"))
+    tool = labels.lookup(CHECKS, kind, F.lit(PAST_INCIDENTS))
     only = lambda name, *kinds: F.when(kind.isin(*kinds), F.col(name)).alias(name)
     details = F.to_json(F.struct(
         "similar", only("diff", "schema_drift"), only("impact", "schema_drift"),

@@ -123,6 +123,18 @@ class KeyedTable:
                 f"{self.path}/data").limit(0)
         return stored.drop(LEAF)
 
+    def places(self, spark: SparkSession) -> dict[int, tuple[int, int]]:
+        """The load and the number of rows of each bucket; a bucket of one load never changes."""
+        return self._current(spark)[1]
+
+    def stored(self, spark: SparkSession, leaves: dict[int, tuple[int, int]]) -> DataFrame:
+        """The rows of some buckets, with the name of their bucket in ``leaf``."""
+        return self._stored(spark, leaves)
+
+    def count(self, spark: SparkSession) -> int:
+        """The number of rows, from the map alone."""
+        return sum(rows for _, rows in self.places(spark).values())
+
     def version(self, spark: SparkSession) -> int:
         """The number of the newest load, 0 without one."""
         return self._current(spark)[0]

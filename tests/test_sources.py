@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselight.operators.quality import DataQualityError
-from caselight.plans import ingest as ingest_plan, marts
+from caselight.plans import ingest as ingest_plan, marts, monitoring
 from caselight.plans.ingest import Warehouse, build_models, load_batch, run_load, task_runs
 from caselight.plans.reports import run_summary
 from caselight.plans.staging import stage_reports
@@ -296,6 +296,31 @@ def test_keyed_table_cleaning(spark, tmp_path):
     assert table.clean(spark, keep=2) == 0
 
 
+def test_a_profile_reads_new_buckets_only(spark, tmp_path, monkeypatch):
+    table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=8)
+    read = []
+    original = tables.KeyedTable.stored
+    monkeypatch.setattr(tables.KeyedTable, "stored", lambda self, spark, leaves: read.append(len(leaves)) or original(self, spark, leaves))
+
+    def profile(columns=("v", "w")):
+        found = monitoring.profile(spark, table, columns, str(tmp_path / "p"), "at")
+        return {r["column_name"]: (r["total_rows"], r["null_rows"], r["null_pct"], r["newest"]) for r in found.collect()}
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    batch = lambda keys, v, n: spark.createDataFrame([(k, v, day(n)) for k in keys], "id bigint, v int, at timestamp_ntz")
+    with pytest.raises(FileNotFoundError):
+        profile()
+    table.write(batch(range(200), None, 1))
+    assert table.count(spark) == 200
+    assert profile() == {"v": (200, 200, 100.0, day(1)), "w": (200, 200, 100.0, day(1))} and read == [8]
+    assert profile()["v"][0] == 200 and read == [8]  # nothing new, nothing read
+    table.upsert(batch([3], 7, 2), [F.desc("v")])
+    assert profile() == {"v": (200, 199, 99.5, day(2)), "w": (200, 200, 100.0, day(2))} and read == [8, 1]
+    assert profile(("id", "v"))["id"] == (200, 0, 0.0, day(2)) and read == [8, 1, 8]  # a column not asked for before
+    table.write(batch([], 1, 1))
+    assert profile() == {"v": (0, 0, 0.0, None), "w": (0, 0, 0.0, None)} and read == [8, 1, 8]
+
+
 def test_empty_keyed_table(spark, tmp_path):
     table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=2)
     assert table.clean(spark) == 0
