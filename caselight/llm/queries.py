@@ -166,34 +166,36 @@ WITH t AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
 ), long_form AS (
   SELECT rid, lang, source, m, v FROM (
-    SELECT rid, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats', 'runs']) AS m,
+    SELECT rid, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats', 'long_repeats', 'runs']) AS m,
       unnest([100 * word_chars // n_words, 1000 * n_symbols // n_words, 1000 * n_dup_lines // n_words,
-              1000 * n_repeat_words // n_words, 1000 * n_run_words // n_words]) AS v
+              1000 * n_repeat_words // n_words, CASE WHEN n_repeat_words < 32 THEN 0 ELSE 1000 * n_repeat_words // n_words END,
+              1000 * n_run_words // n_words]) AS v
     FROM based WHERE NOT base_failed)
 ), sketch AS (
   SELECT lang, source, m, {_BUCKET} AS b, count(*) AS n FROM long_form GROUP BY ALL
-), q_own AS (
-  SELECT lang, source, m, max(total) AS docs, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
-  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY b) AS upto, sum(n) OVER (PARTITION BY lang, source, m) AS total
-        FROM sketch) GROUP BY lang, source, m
-), s_lang AS (SELECT lang, m, b, sum(n) AS n FROM sketch GROUP BY ALL
-), q_lang AS (
-  SELECT lang, m, max(total) AS docs, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
-  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, m ORDER BY b) AS upto, sum(n) OVER (PARTITION BY lang, m) AS total FROM s_lang)
-  GROUP BY lang, m
-), s_all AS (SELECT m, b, sum(n) AS n FROM sketch GROUP BY ALL
-), q_all AS (
-  SELECT m, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
-  FROM (SELECT *, sum(n) OVER (PARTITION BY m ORDER BY b) AS upto, sum(n) OVER (PARTITION BY m) AS total FROM s_all) GROUP BY m
+), share_all AS (
+  SELECT m, b, sum(n) / sum(sum(n)) OVER (PARTITION BY m) AS share FROM sketch GROUP BY m, b
+), d_lang AS (SELECT lang, m, sum(n) AS docs FROM sketch GROUP BY lang, m
+), share_lang AS (
+  SELECT x.lang, x.m, b, sum(x.n) / (any_value(docs) + 100) AS share
+  FROM (SELECT lang, m, b, n::DOUBLE AS n FROM sketch
+        UNION ALL SELECT lang, d.m, b, 100 * share FROM d_lang d JOIN share_all a ON a.m = d.m) x
+  JOIN d_lang d ON x.lang IS NOT DISTINCT FROM d.lang AND x.m = d.m GROUP BY x.lang, x.m, b
+), d_own AS (SELECT lang, source, m, sum(n) AS docs FROM sketch GROUP BY lang, source, m
+), mixed AS (
+  SELECT x.lang, x.source, x.m, b, sum(x.n) AS n, any_value(docs) + 100 AS total
+  FROM (SELECT lang, source, m, b, n::DOUBLE AS n FROM sketch
+        UNION ALL SELECT d.lang, source, d.m, b, 100 * share FROM d_own d JOIN share_lang l
+          ON d.lang IS NOT DISTINCT FROM l.lang AND d.m = l.m) x
+  JOIN d_own d ON x.lang IS NOT DISTINCT FROM d.lang AND x.source IS NOT DISTINCT FROM d.source AND x.m = d.m
+  GROUP BY x.lang, x.source, x.m, b
 ), limits AS (
-  SELECT o.lang, o.source, o.m,
-    CASE WHEN o.docs >= 100 THEN o.q1 WHEN l.docs >= 100 THEN l.q1 ELSE a.q1 END AS q1,
-    CASE WHEN o.docs >= 100 THEN o.q3 WHEN l.docs >= 100 THEN l.q3 ELSE a.q3 END AS q3
-  FROM q_own o JOIN q_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m JOIN q_all a ON o.m = a.m
+  SELECT lang, source, m, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY b) AS upto FROM mixed) GROUP BY lang, source, m
 ), bad AS (
   SELECT DISTINCT x.rid FROM long_form x JOIN limits l
     ON x.lang IS NOT DISTINCT FROM l.lang AND x.source IS NOT DISTINCT FROM l.source AND x.m = l.m
-  WHERE v > q3 + 6 * (q3 - q1) + CASE x.m WHEN 'dup_lines' THEN 50 WHEN 'repeats' THEN 290 ELSE 100 END
+  WHERE v > q3 + 6 * (q3 - q1) + CASE x.m WHEN 'dup_lines' THEN 50 WHEN 'repeats' THEN 290 WHEN 'long_repeats' THEN 150 ELSE 100 END
      OR x.m = 'word_length' AND v < q1 - 6 * (q3 - q1) - 100
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -1,11 +1,13 @@
 """The registered queries against SQL and brute force over the smallest tables."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from caselight.llm import queries
+from caselight.llm import quality, queries
 from caselight.llm.queries import vocabulary
 from tests.llm import brute
 
@@ -13,7 +15,7 @@ from tests.llm import brute
 @pytest.fixture(scope="module")
 def duck(sf):
     connection = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "labels"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     return connection
 
@@ -34,6 +36,28 @@ def test_sql(name, spark, sf, duck):
         sorted(repr(tuple(r[i] for i in at)) for r in result.fetchall())
 
 
+def test_quality_sql_is_the_rule_of_the_operator(spark):
+    """Small groups and long texts with repeats, on which fixed sketches or fences would judge otherwise."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(700):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(15, 300))]
+        if k % 9 == 0:
+            words += words[:rng.randrange(8, 40)]
+        if k % 13 == 0:
+            words += ["x |"] * rng.randrange(1, 40)
+        rows.append((k, " ".join(words), rng.choice(["en", "de", None]), f"s{int(rng.paretovariate(0.6)) % 12}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    connection = duckdb.connect()
+    documents = df.toArrow()
+    connection.register("documents", documents)
+    found = connection.sql(queries.ORACLES["op2_quality_rules"])
+    at = [found.columns.index(c) for c in ("doc_id", "base_failed", "kept")]
+    expected = sorted(tuple(r[i] for i in at) for r in found.fetchall())
+    got = sorted((r["doc_id"], r["base_failed"], r["kept"]) for r in quality.judge(df).collect())
+    assert got == expected and 20 < sum(not kept and not base for _, base, kept in got) < 400
+
+
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
 
