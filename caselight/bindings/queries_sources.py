@@ -423,6 +423,25 @@ def stream_checks(spark, sf):
     return failures.unionByName(alerts)
 
 
+@query("stream_repeated_keys", """
+SELECT user_id, count(DISTINCT event_id % 3) - 1 AS later_batches FROM events WHERE user_id IS NOT NULL
+GROUP BY user_id HAVING count(DISTINCT event_id % 3) > 1
+""")
+def stream_repeated_keys(spark, sf):
+    """Events arrive in three batches; users that come again in a later one are reported there."""
+    root = shared_dir(spark, "repeated")
+    events = b.table(spark, sf, "events")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    base = monitors.batch_baseline("raw", "events", events, "2024-01-01")
+    seen = tables.KeyedTable(f"{root}/seen", ("user_id",), buckets=4)
+    checks.start_checks(stream, [quality.not_null("user_id")], base, "raw", "events", CHECKED_AT, root, f"{root}/checkpoint",
+                        seen=seen).awaitTermination()
+    found = spark.read.parquet(f"{root}/repeated").where("first_batch < batch_id")
+    return found.groupBy("user_id").agg(F.count(F.lit(1)).alias("later_batches"))
+
+
 TIMEOUT_STEP = """CASE WHEN coalesce(proposed_sql, '') = '' THEN 'retry' WHEN tier = 'rejected' THEN 'refuse'
     WHEN tier = 'auto_executable' THEN 'apply_rename_and_retry' ELSE 'run_statement_and_retry' END"""
 

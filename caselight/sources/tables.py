@@ -135,6 +135,17 @@ class KeyedTable:
         """The number of rows, from the map alone."""
         return sum(rows for _, rows in self.places(spark).values())
 
+    def lookup(self, wanted: DataFrame) -> DataFrame | None:
+        """The rows whose keys occur in ``wanted``; only their buckets are read. None if there is none to read."""
+        spark = wanted.sparkSession
+        _, leaves = self._current(spark)
+        if not leaves:
+            return None
+        keys = with_key(wanted.select(*self.keys), self.keys)
+        touched = [row[LEAF] for row in self._placed(keys, leaves).select(LEAF).distinct().collect()]
+        rows = self._stored(spark, {leaf: leaves[leaf] for leaf in touched if leaf in leaves})
+        return None if rows is None else rows.drop(LEAF).join(keys.distinct(), list(self.keys), "left_semi")
+
     def version(self, spark: SparkSession) -> int:
         """The number of the newest load, 0 without one."""
         return self._current(spark)[0]

@@ -13,7 +13,7 @@ from caselight.plans.reports import run_summary
 from caselight.plans.staging import stage_reports
 from caselight.schemas import FRESHNESS_DDL, LANDING_COLUMNS, LANDING_DDL, RAW_COLUMNS, REPORT_DDL
 from caselight.sources import landing, paged, reports, tables, windows
-from caselight.streaming import ingest, jobs, ladder
+from caselight.streaming import checks, ingest, jobs, ladder
 from tests.helpers import rows
 
 WINDOW = "receiptdate:[20060401 TO 20070401]"
@@ -296,6 +296,18 @@ def test_keyed_table_cleaning(spark, tmp_path):
     assert table.clean(spark, keep=2) == 0
 
 
+def test_a_key_that_comes_again_in_a_later_batch_is_reported(spark, tmp_path):
+    seen = tables.KeyedTable(str(tmp_path / "seen"), ("id",), buckets=4)
+    batches = [["a", "b", None, None], ["b", "c", "c"], ["d"], ["a", "d"]]
+    expected = [[], [("b", 1, 0), ("c", 2, 1)], [], [("a", 1, 0), ("d", 1, 2)]]
+    for number, (keys, found) in enumerate(zip(batches, expected)):
+        batch = spark.createDataFrame([(k,) for k in keys], "id string")
+        for _ in range(2):  # handed over again after a failure: the same answer
+            assert rows(checks.repeated_keys(batch, number, seen), "id", "n_rows", "first_batch") == found
+            checks.remember_keys(batch, number, seen)
+    assert rows(seen.read(spark)) == [("a", 0), ("b", 0), ("c", 1), ("d", 2)]
+
+
 def test_a_profile_reads_new_buckets_only(spark, tmp_path, monkeypatch):
     table = tables.KeyedTable(str(tmp_path / "t"), ("id",), buckets=8)
     read = []
