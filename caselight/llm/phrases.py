@@ -187,7 +187,8 @@ def count_phrases(
     found = texts.mapInArrow(_indexed(max_words), "key string, a bigint, more string").repartition("key")
     total = F.sum("a").over(Window.partitionBy("key"))
     frequent = found.withColumn("total", total).where(F.col("key").startswith("\n") | (F.col("total") >= at_least))
-    entries = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(F.split("more", " "), F.array().cast("array<string>")))
+    going_on = F.when(F.col("more") != "", F.split("more", " ")).otherwise(F.array().cast("array<string>"))  # "": it never does
+    entries = F.concat(F.array(F.lit(None).cast("string")), going_on)
     parts = frequent.select("key", "a", F.explode(entries).alias("entry"))
     parts = parts.select("key", F.split_part("entry", F.lit("\t"), F.lit(1)).alias("next"), F.when(
         F.col("entry").isNull(), F.col("a")).when(F.col("entry").contains("\t"), F.split_part(

@@ -99,3 +99,12 @@ def test_one_language_is_ranked_in_slices(spark):
     docs = [("en", sentence) for sentence in (" ".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(50))]
     df = spark.createDataFrame(docs, "lang string, text string")
     assert mined(phrases.collocations(df, min_count=1, top=7)) == brute(docs, 2, 3, 1, 50, 7)
+
+
+def test_phrases_that_end_their_piece_in_many_shards(spark):
+    """A phrase that never goes on in a shard has no continuation there, not an empty one that counts as a longer phrase."""
+    docs = [("en", "Alpha beta. gamma" + f"\tdelta x{i}" * (i % 2)) for i in range(24)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(24, "text")
+    df = df.union(df).coalesce(48)
+    assert {r["phrase"] for r in phrases.count_phrases(df).collect() if r["phrase"] != r["phrase"].strip()} == set()
+    assert mined(phrases.collocations(df)) == brute(docs * 2, 2, 3, 10, 50, 2000)
