@@ -367,6 +367,14 @@ def test_lineage_starts_from_every_source(spark, sf):
         ((root, node) for root in sources for node in reached[root]), key=repr)
 
 
+def test_lineage_downstream_follows_every_event_of_the_tables(spark, sf):
+    reached = closure(inputs.lineage_edges(spark, sf).collect())
+    roots = {(r["event_id"] - 1) // 2 for r in inputs.table(spark, sf, "events").collect() if r["event_id"] > 0}
+    assert {1, 5, 6} | {r["unique_id"] for r in inputs.lineage_sources(spark, sf).collect()} <= roots
+    assert rows(catalog.QUERIES["lineage_downstream"](spark, sf), "root", "node") == sorted(
+        ((root, node) for root in roots for node in reached[root]), key=repr)
+
+
 @pytest.mark.parametrize("block_rows", [50, 4096])
 @pytest.mark.parametrize("ordered", [False, True])
 def test_nearest_matches_brute_force(spark, block_rows, ordered):
