@@ -1,7 +1,7 @@
 """Reachability in a lineage graph and the models that mention a column.
 
-For given roots ``downstream`` lists what they reach. For all nodes at once such a list would hold every pair; instead
-``Reach`` keeps what a node reaches as bits, 64 neighbouring nodes in one number, and hands out classes and counts.
+For given roots ``downstream`` lists what they reach. For all nodes at once ``Reach`` keeps what a node reaches as bits, 64
+neighbouring nodes in one number, and makes all pairs, classes or counts of them.
 """
 
 from __future__ import annotations
@@ -166,12 +166,22 @@ class Reach:
         groups = named.groupBy(*same).agg(F.min("node").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
         return named.join(groups, same).select("node", "class_id", "class_size", "n_reached")
 
+    def pairs(self) -> DataFrame:
+        """Every (root, node) with a path from root to node, as ``downstream`` gives it for all roots that feed a node."""
+        to = lambda name, number: self.numbers.select(F.col("node").alias(name), F.col("number").alias(number))
+        reached = self.blocks.select("number", F.explode(_members("block", "bits")).alias("reached"))
+        return reached.join(to("root", "number"), "number").join(to("node", "reached"), "reached").select("root", "node")
+
+    def _models(self, nodes: DataFrame) -> DataFrame:
+        """The models among ``nodes`` with their number and their code in lower case."""
+        code = F.lower(code_of(F.col("raw_code"), F.col("compiled_code"))).alias("code")
+        return nodes.where(F.col("resource_type") == "model").select("unique_id", "name", code).join(
+            self.numbers.withColumnRenamed("node", "unique_id"), "unique_id")
+
     def impact(self, nodes: DataFrame, changes: DataFrame) -> DataFrame:
         """(root, column_name, n_models, n_referencing) of each change: models it reaches, and those whose text mentions
         the column. ``nodes`` and ``changes`` are as for ``impacted_models``; no pair of root and model is made."""
-        models = nodes.where(F.col("resource_type") == "model").join(
-            self.numbers.withColumnRenamed("node", "unique_id"), "unique_id").withColumn("code", F.lower(code_of(
-                F.col("raw_code"), F.col("compiled_code"))))
+        models = self._models(nodes)
         place = [F.shiftright("number", 6).alias("block")]
         bit = F.bit_or(F.expr("shiftleft(1L, cast(number & 63 as int))"))
         all_models = models.groupBy(*place).agg(bit.alias("models"))
@@ -185,6 +195,14 @@ class Reach:
         return met.groupBy("root", "column_name").agg(count("models").alias("n_models"), count("hits").alias("n_referencing"))
 
 
+def _members(block: str, bits: Column | str) -> Column:
+    """The numbers of the nodes whose bits are set in a block."""
+    bits = F.col(bits) if isinstance(bits, str) else bits
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))
+    inside = F.filter(numbers, lambda i: bits.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i.cast("int"))) != 0)
+    return F.transform(inside, lambda i: F.col(block) * 64 + i)
+
+
 def mentioning(models: DataFrame, columns: DataFrame) -> DataFrame:
     """(number, name) of the models (number, code) whose lower-case code contains a name, by an equality join.
 

@@ -375,6 +375,19 @@ def test_lineage_downstream_follows_every_event_of_the_tables(spark, sf):
         ((root, node) for root in roots for node in reached[root]), key=repr)
 
 
+def test_lineage_lists_every_pair(spark, sf):
+    reached = closure(inputs.lineage_edges(spark, sf).collect())
+    assert rows(catalog.QUERIES["lineage_all_sources"](spark, sf), "root", "node") == sorted(
+        ((root, node) for root, nodes in reached.items() for node in nodes), key=repr)
+
+
+def test_pairs_of_a_messy_graph(spark):
+    pairs = graph(3, 150, 200)
+    found = lineage.Reach.of(spark.createDataFrame([*pairs, (None, "x")], "parent string, child string").repartition(3))
+    assert rows(found.pairs(), "root", "node") == sorted(
+        ((root, node) for root, nodes in closure(pairs).items() for node in nodes), key=repr)
+
+
 @pytest.mark.parametrize("block_rows", [50, 4096])
 @pytest.mark.parametrize("ordered", [False, True])
 def test_nearest_matches_brute_force(spark, block_rows, ordered):
