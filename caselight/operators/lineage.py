@@ -178,6 +178,28 @@ class Reach:
         return nodes.where(F.col("resource_type") == "model").select("unique_id", "name", code).join(
             self.numbers.withColumnRenamed("node", "unique_id"), "unique_id")
 
+    def impacted(self, nodes: DataFrame, changes: DataFrame) -> DataFrame:
+        """What ``impacted_models`` gives, one row for each change and each model that its root reaches.
+
+        Blocks meet the bits of the models, and those of the models that mention the column, before pairs are made of them,
+        so no text of a model moves with a pair.
+        """
+        models = self._models(nodes).withColumn("block", F.shiftright("number", 6))
+        bit = F.bit_or(F.expr("shiftleft(1L, cast(number & 63 as int))"))
+        all_models = models.groupBy("block").agg(bit.alias("models"))
+        roots = changes.select("root", "column_name").join(
+            self.numbers.select(F.col("node").alias("root"), "number"), "root").withColumn("column", F.lower("column_name"))
+        columns = roots.where("column <> ''").select(F.col("column").alias("name")).distinct()
+        mentioned = mentioning(models.select("number", "code"), columns).withColumn("block", F.shiftright("number", 6)).groupBy(
+            F.col("name").alias("column"), "block").agg(bit.alias("hits"))
+        met = roots.join(self.blocks, "number").join(all_models, "block").join(mentioned, ["column", "block"], "left")
+        bits = F.col("bits").bitwiseAND(F.col("models"))
+        hits = F.when(F.col("column") == "", bits).otherwise(F.coalesce(F.col("hits"), F.lit(0).cast("bigint")))
+        found = met.select("root", "column_name", hits.alias("hits"), F.explode(_members("block", bits)).alias("number"))
+        named = F.expr("(shiftrightunsigned(hits, cast(number & 63 as int)) & 1) = 1")
+        return found.join(models.select("number", "name"), "number").select(
+            "root", "name", "column_name", named.alias("references_column"))
+
     def impact(self, nodes: DataFrame, changes: DataFrame) -> DataFrame:
         """(root, column_name, n_models, n_referencing) of each change: models it reaches, and those whose text mentions
         the column. ``nodes`` and ``changes`` are as for ``impacted_models``; no pair of root and model is made."""

@@ -388,6 +388,29 @@ def test_pairs_of_a_messy_graph(spark):
         ((root, node) for root, nodes in closure(pairs).items() for node in nodes), key=repr)
 
 
+def test_impact_lists_every_model(spark):
+    pairs = graph(5, 150, 170)
+    reached = closure(pairs)
+    names = sorted({x for p in pairs for x in p})
+    nodes = [(x, "model" if i % 3 else "seed", f"m{x}", ["Select DRUG, a_b", "", None, "drug_name"][i % 4], "a_B from x") for i, x in enumerate(names)]
+    code = {x: (raw or compiled).lower() for x, kind, _, raw, compiled in nodes if kind == "model"}
+    changes = [(x, [None, "drug", "A_b", "drug_name", "b from", "not there at all", ""][i % 7]) for i, x in enumerate(names)] + [(names[0], "from")]
+    expected = sorted([(root, f"m{x}", c, c is not None and c.lower() in code[x])
+                       for root, c in changes for x in reached.get(root, ()) if x in code], key=repr)
+    edges = spark.createDataFrame(pairs, "parent string, child string")
+    nodes = spark.createDataFrame(nodes, "unique_id string, resource_type string, name string, raw_code string, compiled_code string")
+    changes = spark.createDataFrame(changes, "root string, column_name string")
+    columns = "root", "name", "column_name", "references_column"
+    assert rows(lineage.Reach.of(edges).impacted(nodes, changes), *columns) == expected
+    assert rows(lineage.impacted_models(edges, nodes, changes), *columns) == expected
+
+
+def test_impacted_all_sources_lists_every_model(spark, sf):
+    reached = closure(inputs.lineage_edges(spark, sf).collect())
+    found = rows(catalog.QUERIES["impacted_all_sources"](spark, sf), "root", "name")
+    assert found == sorted(((root, f"model_{node}") for root, nodes in reached.items() for node in nodes if node % 3), key=repr)
+
+
 @pytest.mark.parametrize("block_rows", [50, 4096])
 @pytest.mark.parametrize("ordered", [False, True])
 def test_nearest_matches_brute_force(spark, block_rows, ordered):
