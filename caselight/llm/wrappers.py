@@ -498,7 +498,7 @@ def induce(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     # First every page's text by itself, then the counts: a text that all pages of a host share is merged before it moves.
     different = seen.groupBy("host", "shape_id", "shape", "node", "mark", "page").agg(F.count(F.lit(1)).alias("rows"))
     counts = stored(different.groupBy("host", "shape_id", "shape", "node", "mark").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows")).where("node < 0 OR pages > 1"), "wrappers")
+        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("rows")), "wrappers")
     shapes = counts.where("node < 0").select("host", "shape_id", "shape", "pages", "rows")
     seeds = shapes.groupBy("host").agg(F.max(F.struct("pages", "shape_id", "shape")).alias("best"),
                                        F.sum("pages").alias("of_host")).where(F.col("of_host") >= LEAST_PAGES)
@@ -507,7 +507,10 @@ def induce(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         _align, "host string, shape_id string, node int, slot string"), "slots")
     of_slot = placed.join(shapes.select("host", "shape_id", "pages"), ["host", "shape_id"]).groupBy("host", "slot").agg(
         F.sum("pages").alias("of_slot"))
-    texts = counts.where("node >= 0").select("host", "shape_id", "node", "mark", "pages").join(
+    # A text may stand on one page of each of many shapes. Only what is too rare on the whole host is left out beforehand.
+    places = counts.where("node >= 0").select("host", "shape_id", "node", "mark", "pages")
+    often = places.groupBy("host", "mark").agg(F.sum("pages").alias("of_mark")).where(F.col("of_mark") >= LEAST_PAGES)
+    texts = places.join(often, ["host", "mark"], "left_semi").join(
         placed, ["host", "shape_id", "node"]).groupBy("host", "slot", "mark").agg(F.sum("pages").alias("pages"))
     constant = texts.where(F.col("pages") >= LEAST_PAGES).join(of_slot, ["host", "slot"]).where(
         2 * F.col("pages") >= F.col("of_slot"))

@@ -123,3 +123,17 @@ def test_given_pages(spark, sf):
                  for part in re.split("</?(?:p|h1)>", inner)]
         text = "\n".join(line for line in lines if line)
         assert found[page["page_id"]]["text"] == text and found[page["page_id"]]["n_chars"] == len(text)
+
+
+def test_template_of_pages_that_share_no_shape(spark):
+    """A text that stands once in each of many shapes is template as soon as the slot has it on enough pages."""
+    rng = random.Random(8)
+    bodies = [[sentence(rng, 12), sentence(rng, 9)] for _ in range(8)]
+    pages = [(k, "http://own.example/", f"<body><article class=z><p>{a}</p><p>{b}</p><div class=w><p>Read on at our own site</p></div>"
+                                        f"<div class=q{'abcdefgh'[k]}><p>{sentence(rng, 3)}</p></div></article>")
+             for k, (a, b) in enumerate(bodies)]
+    assert len({str(shape_of(Page(html))[0]) for _, _, html in pages}) == 8
+    found = extracted(spark, pages)
+    assert all("Read on" not in found[k] and found[k].startswith("\n".join(body)) for k, body in enumerate(bodies))
+    few = extracted(spark, pages[:4])
+    assert all("Read on at our own site" in few[k] for k in range(4))
