@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from caselight.llm import hashing as H
@@ -203,12 +204,13 @@ def segments(docs: DataFrame, unit: Unit) -> DataFrame:
                     if unit.words:
                         body = b" ".join(body.split())
                     found.setdefault((s, body), []).append((i, f))
-                ids, keys = part.column("id").to_pylist(), part.column("key").to_pylist()
+                at = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in found.values()], dtype=np.int64)]), pa.int32())
+                rows = pa.array([i for x in found.values() for i, _ in x], pa.int64())
+                firsts = pa.array([f for x in found.values() for _, f in x], pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     pa.array([s for s, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary()),
-                    pa.array([[ids[i] for i, _ in x] for x in found.values()], pa.list_(part.schema.field("id").type)),
-                    pa.array([[keys[i] for i, _ in x] for x in found.values()], pa.list_(pa.int64())),
-                    pa.array([[f for _, f in x] for x in found.values()], pa.list_(pa.int64()))],
+                    pa.ListArray.from_arrays(at, part.column("id").take(rows)),
+                    pa.ListArray.from_arrays(at, part.column("key").take(rows)), pa.ListArray.from_arrays(at, firsts)],
                     ["shard", "content", "ids", "keys", "firsts"])
 
     schema = T.StructType([
@@ -218,11 +220,20 @@ def segments(docs: DataFrame, unit: Unit) -> DataFrame:
     return docs.join(marks, "key").select("id", "key", "text", "places").mapInArrow(expand, schema)
 
 
+def listed(column: pa.ChunkedArray) -> list:
+    """The values of a column; numbers without nulls by way of numpy, which is faster."""
+    plain = pa.types.is_integer(column.type) and not column.null_count
+    return column.to_numpy().tolist() if plain else column.to_pylist()
+
+
 def gathered(table: pa.Table):
     """Different contents of a shard and for each its occurrences (id, key, first), each document place once."""
     found: dict = {}
-    for content, ids, keys, firsts in zip(*(table.column(x).to_pylist() for x in ("content", "ids", "keys", "firsts"))):
-        found.setdefault(content, set()).update(zip(ids, keys, firsts))
+    table = table.combine_chunks()
+    at = np.concatenate([[0], np.cumsum(pc.list_value_length(table["firsts"]).to_numpy())]).tolist()
+    ids, keys, firsts = (listed(pc.list_flatten(table[x])) for x in ("ids", "keys", "firsts"))
+    for content, a, b in zip(table["content"].to_pylist(), at, at[1:]):
+        found.setdefault(content, set()).update(zip(ids[a:b], keys[a:b], firsts[a:b]))
     return list(found), [list(x) for x in found.values()]
 
 

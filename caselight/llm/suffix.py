@@ -22,7 +22,7 @@ GRAM = 32
 
 
 def _order(keys: tuple[np.ndarray, ...], tops: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Stable order of rows by several keys, and a dense rank (from 1) along that order."""
+    """Order of rows by several keys (equal rows in any order), and a dense rank (from 1) along that order."""
     width = 1
     for top in tops:
         width *= top
@@ -30,7 +30,7 @@ def _order(keys: tuple[np.ndarray, ...], tops: tuple[int, ...]) -> tuple[np.ndar
         joined = keys[0].astype(np.int64)
         for key, top in zip(keys[1:], tops[1:]):
             joined = joined * top + key
-        order = np.argsort(joined, kind="stable")
+        order = np.argsort(joined)
         joined = joined[order]
         new = joined[1:] != joined[:-1]
     else:
