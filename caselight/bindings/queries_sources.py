@@ -17,7 +17,7 @@ from caselight.operators.audit import audit
 from caselight.plans import monitoring
 from caselight.plans.ingest import Warehouse, build_models, load_batch, run_load, task_runs
 from caselight.schemas import LANDING_COLUMNS
-from caselight.session import shared_dir
+from caselight.session import shared_dir, short_lived_shuffles
 from caselight.sources import landing, paged, reports, tables, windows
 from caselight.streaming import checks, ingest, jobs, ladder
 from caselight.streaming.windows import load_counts
@@ -357,7 +357,8 @@ def stream_ingest(spark, sf):
     wrong = F.regexp_replace("json", '"serious":"[12]"', '"serious":"9"')
     recent = F.get_json_object("json", "$.receiptdate") >= SPLIT_DAY.replace("-", "")
     for drop in (nested.select(wrong.alias("value")), nested.where(recent).select(F.col("json").alias("value"))):
-        drop.write.mode("append").text(f"{root}/documents")
+        with short_lived_shuffles(spark):
+            drop.write.mode("append").option("compression", "gzip").text(f"{root}/documents")
         documents = ingest.document_stream(spark, f"{root}/documents")
         ingest.start_ingest(documents, warehouse, LOAD_DATE, AS_OF, f"{root}/checkpoint").awaitTermination()
     return warehouse.raw.read(spark).select("report_id", "received_date", "serious", "drug_name", "reaction",
