@@ -144,6 +144,21 @@ def test_calls_to_the_state_do_not_grow_with_the_incidents_of_a_group():
     assert store.calls < 10
 
 
+def test_what_falls_due_in_a_group_leaves_as_one_frame():
+    store = Store()
+    grouped = ladder.EscalationLadder(30, 10_000)
+    grouped.init(store)
+    asked = pd.DataFrame([(str(n), n * MINUTE, False, "P1", False, False, None) for n in range(100)], columns=ladder.ROW)
+    assert list(grouped.handleInputRows((7,), iter([asked]), None)) == []
+    first, = store.timers
+    now = 79 * MINUTE
+    times, info = SimpleNamespace(getCurrentWatermarkInMs=lambda: now), SimpleNamespace(getExpiryTimeInMs=lambda: first)
+    frames = list(grouped.handleExpiredTimer((7,), times, info))
+    assert [len(frame) for frame in frames] == [50]
+    assert sorted(frames[0].due_ms) == [(n + 30) * MINUTE for n in range(50)]
+    assert store.timers - {first} == {80 * MINUTE}
+
+
 def test_the_stream_keeps_one_state_for_a_group(spark, tmp_path):
     ddl = ("incident_id string, severity string, status string, created_at timestamp_ntz, "
            "escalation_email_sent_at timestamp_ntz, dag_paused_at timestamp_ntz, proposed_sql string")
